@@ -5,7 +5,7 @@ are DuckDB's own.
 """
 
 from peerwatch.plans.catalogue import EVENTS, EVENTS_SPLIT, ORDERS, ORDERS_SPLIT, PLAN
-from peerwatch.sources.generator import TEXT_FIELDS
+from peerwatch.sources.generator import SHORT_TEXTS
 
 HOUR, DAY, MONTH = "%Y-%m-%d-%H", "%Y-%m-%d", "%Y-%m"
 
@@ -116,13 +116,14 @@ def _number(digest: str, first: int) -> str:
     return f"('0x' || substr({digest}, {first}, 15))::BIGINT"
 
 
-def _letters(digests: str, n) -> str:
-    return f"substr(translate(to_base64(unhex({digests})), '+/=', ''), 1, {n})"
+def _letters(kind: str) -> str:
+    blocks = ", ".join(f"sha256(concat('{PLAN.seed}|', id, '|{kind}-texts-{i}'))" for i in range(7))
+    return f"translate(to_base64(unhex(concat({blocks}))), '+/=', '')"
 
 
 def generated(kind: str, ids: str, batch_rows: int, fields: dict, message: str) -> str:
     span = PLAN.end - PLAN.start
-    texts = {c: _letters(_digest(kind, c), 10) for c in TEXT_FIELDS if c != "f16"}
+    texts = {c: f"substr(letters, {1 + 10 * i}, 10)" for i, c in enumerate(SHORT_TEXTS)}
     hour = "strftime(make_timestamp({}::BIGINT * 1000000), '%Y%m%d%H')::BIGINT"
     columns = {
         "f01": "f01",
@@ -136,17 +137,17 @@ def generated(kind: str, ids: str, batch_rows: int, fields: dict, message: str)
     }
     select = ", ".join(f"{v} AS {k}" for k, v in sorted(columns.items()))
     return f"""
-    SELECT {select} FROM (
-      SELECT id, turn, a, b,
-             {PLAN.start} + turn * {span} // {PLAN.rounds}
-               + t1 % greatest((turn + 1) * {span} // {PLAN.rounds} - turn * {span} // {PLAN.rounds}, 1) AS f01,
-             {PLAN.start} + turn * {span} // {PLAN.rounds}
-               + t2 % greatest((turn + 1) * {span} // {PLAN.rounds} - turn * {span} // {PLAN.rounds}, 1) AS f30
-      FROM (
-        SELECT id, (id // {batch_rows}) % {PLAN.rounds} AS turn,
-               {_number(_digest(kind, 'numbers'), 1)} AS a, {_number(_digest(kind, 'numbers'), 16)} AS b,
-               {_number(_digest(kind, 'times'), 1)} AS t1, {_number(_digest(kind, 'times'), 16)} AS t2
-        FROM ({ids}) AS i) AS d) AS drawn
+    WITH drawn AS MATERIALIZED (
+      SELECT id, (id // {batch_rows}) % {PLAN.rounds} AS turn, {_letters(kind)} AS letters,
+             {_number(_digest(kind, 'numbers'), 1)} AS a, {_number(_digest(kind, 'numbers'), 16)} AS b,
+             {_number(_digest(kind, 'times'), 1)} AS t1, {_number(_digest(kind, 'times'), 16)} AS t2
+      FROM ({ids}) AS i),
+    placed AS (
+      SELECT id, turn, a, b, letters, base + t1 % length AS f01, base + t2 % length AS f30
+      FROM (SELECT *, {PLAN.start} + turn * {span} // {PLAN.rounds} AS base,
+                   greatest((turn + 1) * {span} // {PLAN.rounds} - turn * {span} // {PLAN.rounds}, 1) AS length
+            FROM drawn) AS s)
+    SELECT {select} FROM placed
     """
 
 
@@ -162,10 +163,7 @@ NOISE = generated(
         "f14": "(48 + (b // 20000000) % 3)",
         "f22": "(1 + (b // 60000000) % 9)",
     },
-    _letters(
-        f"concat({', '.join(_digest('noise', f'f16-{i}') for i in range(3))})",
-        f"(2 + {_number(_digest('noise', 'length', 'turn'), 1)} % 29)",
-    ),
+    f"substr(letters, 181, 2 + {_number(_digest('noise', 'length', 'turn'), 1)} % 29)",
 )
 PLANTED = generated(
     "planted",

@@ -27,7 +27,8 @@ TEXT_LENGTH = 10
 ROWS_PER_MB = 4_000  # 100,000 rows are taken as 25 MB
 PLANTED_SHARE = 10  # one planted row for every ten noise rows
 
-TEXT_FIELDS = tuple(c for c in LOG.names if c not in LONG_FIELDS and c not in LOG_PARTITIONS)
+SHORT_TEXTS = tuple(c for c in LOG.names if c not in LONG_FIELDS and c not in LOG_PARTITIONS and c != "f16")
+_TEXT_BLOCKS = 7  # 224 characters: 18 texts of 10 and one message of up to 30
 
 
 @dataclass(frozen=True)
@@ -87,7 +88,7 @@ def _finish(rows: DataFrame) -> DataFrame:
 
 
 def _draw(ids: DataFrame, plan: LogPlan, kind: str, batch_rows: int) -> DataFrame:
-    """Uniform numbers for every id, two digests for all of them."""
+    """Uniform numbers and letters for every id."""
     row = F.col("id")
     round_no, slice_start, slice_length = _slice_bounds(plan, row, batch_rows)
     drawn = ids.select(
@@ -97,10 +98,12 @@ def _draw(ids: DataFrame, plan: LogPlan, kind: str, batch_rows: int) -> DataFram
         round_no.alias("_round"),
         slice_start.alias("_start"),
         slice_length.alias("_length"),
+        letters(plan.seed, row, f"{kind}-texts", _TEXT_BLOCKS).alias("_texts"),
     )
     return drawn.select(
         "id",
         "_round",
+        "_texts",
         hex_number(F.col("_n"), 1).alias("_a"),
         hex_number(F.col("_n"), 16).alias("_b"),
         (F.col("_start") + hex_number(F.col("_t"), 1) % F.col("_length")).alias("f01"),
@@ -113,17 +116,14 @@ def _peeled(column: str, step: int, size: int) -> Column:
     return F.call_function("div", F.col(column), F.lit(NUMBERS * step)) % size
 
 
-def _texts(plan: LogPlan, kind: str) -> dict[str, Column]:
-    return {
-        c: letters(digest(plan.seed, F.col("id"), f"{kind}-{c}"), TEXT_LENGTH) for c in TEXT_FIELDS if c != "f16"
-    }
+def _texts() -> dict[str, Column]:
+    return {c: F.substring("_texts", 1 + i * TEXT_LENGTH, TEXT_LENGTH) for i, c in enumerate(SHORT_TEXTS)}
 
 
 def _noise_message(plan: LogPlan) -> Column:
     """Random text whose length, 2 to 30, is drawn once per round."""
     length = 2 + (hex_number(digest(plan.seed, F.col("_round"), "noise-length"), 1) % 29).cast("int")
-    symbols = F.concat(*[digest(plan.seed, F.col("id"), f"noise-f16-{i}") for i in range(3)])
-    return F.substring(letters(symbols, 30), F.lit(1), length)
+    return F.substring(F.col("_texts"), F.lit(1 + len(SHORT_TEXTS) * TEXT_LENGTH), length)
 
 
 def noise_log(ids: DataFrame, plan: LogPlan) -> DataFrame:
@@ -140,7 +140,7 @@ def noise_log(ids: DataFrame, plan: LogPlan) -> DataFrame:
                 "f22": 1 + _peeled("_b", 3, 9),
                 "f31": F.col("f30"),
                 "f16": _noise_message(plan),
-                **_texts(plan, "noise"),
+                **_texts(),
             }
         )
     )
@@ -160,7 +160,7 @@ def planted_log(ids: DataFrame, plan: LogPlan) -> DataFrame:
                 **{c: F.lit(v).cast("bigint") for c, v in fixed.items()},
                 "f31": F.col("f30"),
                 "f16": F.lit(PLANTED_TEXT),
-                **_texts(plan, "planted"),
+                **_texts(),
             }
         )
     )
