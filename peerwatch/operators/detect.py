@@ -10,6 +10,7 @@ from peerwatch.operators.exclusion import fits_broadcast, without_listed
 from peerwatch.operators.filters import in_window, with_code
 
 PLAIN_KEYS = ("f22", "f02", "f06", "f07")
+GROUP_KEYS = ("f22", "f02", "f16", "bk", "ad", "f06", "f07")
 
 
 def _compact(df: DataFrame, column: str) -> Column:
@@ -23,14 +24,13 @@ def _compact(df: DataFrame, column: str) -> Column:
     return F.col(column)
 
 
-def _batch_column(df: DataFrame, window, batch_ids) -> Column:
-    if batch_ids is None:
-        return F.lit(window[1]).cast("bigint")
-    if isinstance(batch_ids, int):
-        return F.lit(batch_ids).cast("bigint")
-    if list(batch_ids) != hours.hourly_batch_ids(*window):
-        raise ValueError("a list of batch ids has to name every hour of the window")
-    return hours.next_hour(F.col("f31").try_cast("bigint"))
+HOURLY = "hourly"
+
+
+def _batch_column(window, batch_ids) -> Column:
+    if batch_ids == HOURLY:
+        return hours.next_hour(F.col("f31").try_cast("bigint"))
+    return F.lit(int(window[1] if batch_ids is None else batch_ids)).cast("bigint")
 
 
 def prepare(
@@ -62,7 +62,7 @@ def prepare(
             _compact(log, "f04").alias("f04"),
             clean_text("f16").alias("f16"),
             bucket.alias("bk"),
-            _batch_column(log, window, batch_ids).alias("ad"),
+            _batch_column(window, batch_ids).alias("ad"),
         )
         .where(F.length("f16") > min_len)
     )
@@ -102,9 +102,9 @@ def mass_senders(
     ``min_peers`` distinct peers, without the senders on the list.
 
     ``window`` is the half-open range of the batch hour.  ``batch_ids`` is
-    None (the window's end), one id, or the list of all hourly ids of the
-    window: then every row finds its own batch and any number of hourly
-    rounds is one scan and one aggregation.
+    None (the window's end), one id, or ``HOURLY``: then every row finds its
+    own batch, the end of its hour, and any number of hourly rounds is one
+    scan and one aggregation.
 
     A list small enough to broadcast removes rows before the shuffle.  A long
     list is joined after the peer threshold: the sender is a group key, so
@@ -125,13 +125,18 @@ def mass_senders(
     if observation is not None:
         rows = rows.observe(observation, F.count(F.lit(1)).alias("rows_in"))
 
-    groups = count_peers(rows, ("f22", "f02", "f16", "bk", "ad", "f06", "f07"), approximate=approximate)
+    groups = count_peers(rows, GROUP_KEYS, approximate=approximate)
     groups = groups.where(F.col("cnt") > min_peers)
     if exclusion is not None and not broadcast:
         groups = without_listed(groups, exclusion, "f02", broadcast=False)
 
+    return finish(groups, bucket_format)
+
+
+def finish(groups: DataFrame, bucket_format: str) -> DataFrame:
+    """Grouped rows in the column order and types of the batch table."""
     bucket = F.col("bk")
-    if not isinstance(rows.schema["bk"].dataType, StringType):
+    if not isinstance(groups.schema["bk"].dataType, StringType):
         bucket = hours.bucket_key_text("bk", bucket_format)
     return groups.select(
         F.col("f22").cast("string").alias("f22"),

@@ -17,7 +17,7 @@ from peerwatch.functions.text import (
     trimmed,
 )
 from peerwatch.operators import derived, filters, profile, report, sample
-from peerwatch.operators.detect import count_peers, mass_senders
+from peerwatch.operators.detect import HOURLY, count_peers, mass_senders
 from peerwatch.operators.exclusion import without_listed
 from peerwatch.plans.jobs import Tables, run_bulk, run_next_day
 from peerwatch.schema import BATCH, LATEST, RESULT
@@ -29,6 +29,7 @@ from peerwatch.sources.generator import LogPlan, generate_log, noise_log, plante
 from peerwatch.sources.logs import read_log, read_table, write_log, write_table
 from peerwatch.sources.results import ResultStore
 from peerwatch.sources.snapshots import Snapshot
+from peerwatch.streaming.hourly import run_stream, stream_log
 
 # The line items ship from 1995 to 2001, the events happen in January 2024.
 ORDERS = (1995010100, 2002010100)
@@ -63,7 +64,7 @@ def hourly_batches(spark, folder) -> DataFrame:
         event_log(spark, folder),
         event_exclusion(spark, folder),
         EVENTS,
-        batch_ids=hours.hourly_batch_ids(*EVENTS),
+        batch_ids=HOURLY,
         min_peers=1,
     )
 
@@ -325,6 +326,19 @@ def restart_day_seen(spark, folder) -> DataFrame:
     return _events_loaded(spark, folder).seen.read()
 
 
+def stream_hours(spark, folder) -> DataFrame:
+    """The hourly batches as a stream that is stopped and resumed while the
+    log grows; the newest hour is still open at the end."""
+    path, found, progress = work_folder(spark), work_folder(spark), work_folder(spark)
+    log = event_log(spark, folder)
+    middle = (EVENTS[0] + EVENTS[1]) // 2
+    for window in ((EVENTS[0], middle), (middle, EVENTS[1])):
+        write_log(filters.in_window(log, "f31", *window), path, partition_by=())
+        query = run_stream(stream_log(spark, path), event_exclusion(spark, folder), found, progress, min_peers=4)
+        query.awaitTermination()
+    return ResultStore(spark, found).read()
+
+
 def run_metrics(spark, folder) -> DataFrame:
     return _events_loaded(spark, folder).read_metrics().select("job", "batchId", "rows_out")
 
@@ -532,6 +546,7 @@ QUERIES = {
         swap_table,
         restart_day,
         restart_day_seen,
+        stream_hours,
         run_metrics,
         batch_log,
         watermark,

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from peerwatch.functions import hours
 from peerwatch.operators.derived import first_last, latest_per_sender, merge_first_last
-from peerwatch.operators.detect import mass_senders
+from peerwatch.operators.detect import HOURLY, mass_senders
 from peerwatch.schema import LATEST, RUN_METRICS, SEEN
 from peerwatch.sources.batch_log import BatchLog
 from peerwatch.sources.logs import empty, literal_rows
@@ -118,7 +118,7 @@ def run_hours(
     """
     batch_ids = hours.hourly_batch_ids(*window)
     started, seen_rows = perf_counter(), Observation()
-    rows = mass_senders(log, exclusion, window, batch_ids=batch_ids, observation=seen_rows, **options)
+    rows = mass_senders(log, exclusion, window, batch_ids=HOURLY, observation=seen_rows, **options)
     tables.results.replace_batches(rows, batch_ids)
     _record(tables, "hours", batch_ids, _rows_in(seen_rows), started)
     _finish(tables, batch_ids, options, advance)

@@ -68,6 +68,7 @@ BULK_NEW = batch(ORDER_LOG, ORDER_LIST, (ORDERS_SPLIT, ORDERS[1]), MONTH)
 DAILY = batch(EVENT_LOG, EVENT_LIST, EVENTS, DAY)
 DAILY_OLD = batch(EVENT_LOG, EVENT_LIST, (EVENTS[0], EVENTS_SPLIT), DAY)
 HOURLY = batch(EVENT_LOG, EVENT_LIST, EVENTS, HOUR, 1, NEXT_HOUR)
+STREAMED = batch(EVENT_LOG, EVENT_LIST, EVENTS, HOUR, 4, NEXT_HOUR)
 
 # The stored event results: 29 days at once, then 24 hourly batches.
 LOADED_BULK = batch(EVENT_LOG, EVENT_LIST, (EVENTS[0], EVENTS_SPLIT), DAY, 1)
@@ -306,6 +307,7 @@ ORACLES = {
     "swap_table": f"SELECT * FROM ({BULK_OLD}) AS a UNION ALL SELECT * FROM ({BULK_NEW}) AS b",
     "restart_day": LOADED,
     "restart_day_seen": seen(LOADED),
+    "stream_hours": f"SELECT * FROM ({STREAMED}) AS r WHERE ad < (SELECT max({NEXT_HOUR}) FROM ({EVENT_LOG}) AS l)",
     "run_metrics": f"""
         SELECT 'bulk' AS job, {EVENTS_SPLIT}::BIGINT AS batchId, count(*) AS rows_out FROM ({LOADED_BULK}) AS b
         UNION ALL

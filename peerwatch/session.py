@@ -15,6 +15,9 @@ def local_session(cores: str = "*", *, shuffle_partitions: int = 8, memory: str
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.session.timeZone", "UTC")
+        # Plans are built from many small expressions; do not look up the
+        # Python line of each.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="peerwatch-warehouse-"))
         .getOrCreate()
     )

@@ -50,6 +50,13 @@ class ResultStore:
         """Add rows, each to its own (``ad``, ``bd``) partition."""
         self._writer(self._by_partition(rows), "append").partitionBy(*RESULT_PARTITIONS).parquet(self.path)
 
+    def overwrite_partitions(self, rows: DataFrame) -> None:
+        """Replace the (``ad``, ``bd``) partitions that ``rows`` fill and leave
+        all others alone."""
+        self._writer(self._by_partition(rows), "overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+            *RESULT_PARTITIONS
+        ).parquet(self.path)
+
     def replace_batch(self, rows: DataFrame, batch_id: int) -> None:
         """Make ``rows`` the whole content of one batch."""
         own = rows.where(F.col("ad") == F.lit(int(batch_id))).select(*[c for c in RESULT.names if c != "ad"])
@@ -75,9 +82,7 @@ class ResultStore:
         marked = rows.withColumn("ad", checked).observe(
             written, F.collect_set(F.concat_ws("/", F.col("ad").cast("string"), "bd")).alias("pairs")
         )
-        self._writer(self._by_partition(marked), "overwrite").option(
-            "partitionOverwriteMode", "dynamic"
-        ).partitionBy(*RESULT_PARTITIONS).parquet(self.path)
+        self.overwrite_partitions(marked)
         if before:
             fresh = set(observed(written).get("pairs", ()))
             self._empty({(ad, bd) for ad, bd in before if "/".join([str(ad)] + [bd] * (bd is not None)) not in fresh})
