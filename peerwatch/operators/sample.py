@@ -17,8 +17,8 @@ def random_order(seed: int, columns):
 
 
 def seeded_sample(rows: DataFrame, n: int, *, seed: int = 0, columns=None) -> DataFrame:
-    """Exactly ``n`` rows (or all, if fewer), in a random choice that depends
-    only on the seed and the rows.
+    """Exactly ``n`` distinct rows (or all, if fewer), in a random choice that
+    depends only on the seed and the rows.
 
     The choice is the ``n`` smallest digests.  Small samples are a top-k.
     Large ones never sort everything or pass through one task: a histogram of
@@ -26,7 +26,8 @@ def seeded_sample(rows: DataFrame, n: int, *, seed: int = 0, columns=None) -> Da
     whole, and only rows of the prefix at the border are ranked.
     """
     names = list(columns or rows.columns)
-    keyed = rows.withColumn("_d", random_order(seed, names))
+    # No second aggregation if the rows are a ``distinct`` already.
+    keyed = rows.distinct().withColumn("_d", random_order(seed, names))
     order = ["_d", *names]
     if n <= TOP_K_ROWS:
         return keyed.orderBy(*order).limit(n).drop("_d")
@@ -49,7 +50,8 @@ def seeded_sample(rows: DataFrame, n: int, *, seed: int = 0, columns=None) -> Da
 
 
 def random_sample(rows: DataFrame, n: int, *, seed: int | None = None) -> DataFrame:
-    """``n`` rows in ``rand`` order; repeatable only for equal partitioning."""
+    """``n`` rows in ``rand`` order: a top-k, so meant for a small ``n``, and
+    repeatable only for equal partitioning.  See :func:`seeded_sample`."""
     return rows.orderBy(F.rand(seed) if seed is not None else F.rand()).limit(n)
 
 

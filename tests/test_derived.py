@@ -30,7 +30,8 @@ def test_latest_breaks_ties_in_a_fixed_order(spark):
 def test_latest_prunes_before_the_shuffle(spark):
     from test_detect import plan_of
 
-    assert "WindowGroupLimit" in plan_of(derived.latest_per_sender(batch(spark, [])))
+    rows = batch(spark, [("1", "a", "t", 12, "2024-01-01-05", ad, "0", "7") for ad in range(9)]).repartition(2)
+    assert "WindowGroupLimit" in plan_of(derived.latest_per_sender(rows))
 
 
 def test_first_last_and_merge(spark):
@@ -87,9 +88,11 @@ def test_large_sample_is_the_smallest_digests(spark):
     assert rows_of(sample.seeded_sample(rows, 50, seed=8)) != rows_of(whole.limit(50))
 
 
-def test_large_sample_counts_equal_rows(spark):
-    rows = spark.range(25_000).selectExpr("id % 2 AS id", "'n' AS name")  # two digests only
-    assert sample.seeded_sample(rows, 20_000, seed=1).count() == 20_000
+def test_sample_takes_equal_rows_once(spark):
+    rows = spark.range(25_000).selectExpr("id % 12000 AS id", "'n' AS name")
+    for n, want in ((100, 100), (11_000, 11_000), (20_000, 12_000)):
+        got = sample.seeded_sample(rows, n, seed=1)
+        assert got.count() == want == got.distinct().count()
 
 
 def test_report_and_peek(spark):
