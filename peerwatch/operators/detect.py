@@ -125,11 +125,15 @@ def mass_senders(
     if observation is not None:
         rows = rows.observe(observation, F.count(F.lit(1)).alias("rows_in"))
 
-    groups = count_peers(rows, GROUP_KEYS, approximate=approximate)
+    # One id for the whole window needs no place in the shuffled key.
+    keys = [k for k in GROUP_KEYS if k != "ad" or batch_ids == HOURLY]
+    groups = count_peers(rows, keys, approximate=approximate)
     groups = groups.where(F.col("cnt") > min_peers)
     if exclusion is not None and not broadcast:
         groups = without_listed(groups, exclusion, "f02", broadcast=False)
 
+    if batch_ids != HOURLY:
+        groups = groups.withColumn("ad", _batch_column(window, batch_ids))
     return finish(groups, bucket_format)
 
 

@@ -358,12 +358,18 @@ def watermark(spark, folder) -> DataFrame:
 # --- generated logs ---------------------------------------------------------------------
 
 
+def _ids(spark, folder, name, key) -> DataFrame:
+    """Row ids from a table.  Making a row costs far more than moving its id,
+    so the ids are spread evenly; neighbours stay together."""
+    return table(spark, folder, name).select(F.col(key).alias("id")).repartitionByRange("id")
+
+
 def _noise(spark, folder) -> DataFrame:
-    return noise_log(table(spark, folder, "orders").select(F.col("o_orderkey").alias("id")), PLAN)
+    return noise_log(_ids(spark, folder, "orders", "o_orderkey"), PLAN)
 
 
 def _planted(spark, folder) -> DataFrame:
-    return planted_log(table(spark, folder, "customer").select(F.col("c_custkey").alias("id")), PLAN)
+    return planted_log(_ids(spark, folder, "customer", "c_custkey"), PLAN)
 
 
 def gen_noise(spark, folder) -> DataFrame:
