@@ -84,6 +84,24 @@ def count_peers(rows: DataFrame, keys, *, peer: str = "f04", approximate: float
     return rows.groupBy(*keys).agg(n.alias("cnt"))
 
 
+def _group_hash() -> Column:
+    return F.xxhash64(*GROUP_KEYS)
+
+
+def candidate_groups(log: DataFrame, window: tuple[int, int], *, min_peers: int = 10, **options) -> DataFrame:
+    """Hashes of the groups with more than ``min_peers`` rows.
+
+    A group needs more rows than that to have more peers, so no other group
+    can pass.  Hashes that coincide only add candidates.  This shuffles a
+    hash and a count per group instead of whole texts and peers; see
+    ``candidates`` of :func:`mass_senders`.  ``options`` are those of
+    :func:`prepare`, with the values given to :func:`mass_senders`.
+    """
+    rows = prepare(log, window, **options)
+    counted = rows.groupBy(_group_hash().alias("group")).agg(F.count("f04").alias("n"))
+    return counted.where(F.col("n") > min_peers).select("group")
+
+
 def mass_senders(
     log: DataFrame,
     exclusion: DataFrame | None,
@@ -97,6 +115,7 @@ def mass_senders(
     broadcast: bool | None = None,
     approximate: float | None = None,
     observation: Observation | None = None,
+    candidates: DataFrame | None = None,
 ) -> DataFrame:
     """Groups (sender, text, bucket, batch, attributes) with more than
     ``min_peers`` distinct peers, without the senders on the list.
@@ -111,6 +130,10 @@ def mass_senders(
     the answer is the same, and only the few remaining groups are shuffled to
     the list instead of the whole log.
 
+    ``candidates`` is a stored result of :func:`candidate_groups`, small
+    enough to broadcast (check with ``fits_broadcast``): rows of all other
+    groups are then dropped before the shuffle.
+
     ``observation`` receives ``rows_in``, the log rows that enter the grouping,
     from the same pass.
     """
@@ -125,6 +148,9 @@ def mass_senders(
     if observation is not None:
         rows = rows.observe(observation, F.count(F.lit(1)).alias("rows_in"))
 
+    if candidates is not None:
+        rows = rows.join(F.broadcast(candidates), _group_hash() == F.col("group"), "left_semi")
+
     # One id for the whole window needs no place in the shuffled key.
     keys = [k for k in GROUP_KEYS if k != "ad" or batch_ids == HOURLY]
     groups = count_peers(rows, keys, approximate=approximate)

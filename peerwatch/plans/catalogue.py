@@ -19,7 +19,7 @@ from peerwatch.functions.text import (
 from peerwatch.operators import derived, filters, profile, report, sample
 from peerwatch.operators.detect import HOURLY, count_peers, mass_senders
 from peerwatch.operators.exclusion import without_listed
-from peerwatch.plans.jobs import Tables, run_bulk, run_next_day
+from peerwatch.plans.jobs import Tables, mass_senders_in_two_steps, run_bulk, run_next_day
 from peerwatch.schema import BATCH, LATEST, RESULT
 from peerwatch.session import work_folder
 from peerwatch.sources import catalog
@@ -54,6 +54,13 @@ def bulk_batch_long_list(spark, folder) -> DataFrame:
     return bulk_batch(spark, folder, broadcast=False)
 
 
+def bulk_batch_two_steps(spark, folder) -> DataFrame:
+    """The same answer after a count of the rows of every group."""
+    return mass_senders_in_two_steps(
+        order_log(spark, folder), order_exclusion(spark, folder), ORDERS, bucket_format=hours.BUCKET_MONTH
+    )
+
+
 def daily_batch(spark, folder, window=EVENTS) -> DataFrame:
     log = event_log(spark, folder)
     return mass_senders(log, event_exclusion(spark, folder), window, bucket_format=hours.BUCKET_DAY)
@@ -512,6 +519,7 @@ QUERIES = {
     for f in (
         bulk_batch,
         bulk_batch_long_list,
+        bulk_batch_two_steps,
         daily_batch,
         hourly_batches,
         batch_view,

@@ -13,8 +13,10 @@ from pyspark.sql import functions as F
 
 from peerwatch.functions import hours
 from peerwatch.operators.derived import first_last, latest_per_sender, merge_first_last
-from peerwatch.operators.detect import HOURLY, mass_senders
+from peerwatch.operators.detect import HOURLY, candidate_groups, mass_senders
+from peerwatch.operators.exclusion import fits_broadcast
 from peerwatch.schema import LATEST, RUN_METRICS, SEEN
+from peerwatch.session import work_folder
 from peerwatch.sources.batch_log import BatchLog
 from peerwatch.sources.logs import empty, literal_rows
 from peerwatch.sources.results import ResultStore, observed
@@ -48,6 +50,25 @@ class Tables:
         return self.spark.read.schema(RUN_METRICS).parquet(self.metrics_path)
 
 
+def mass_senders_in_two_steps(
+    log: DataFrame, exclusion: DataFrame | None, window: tuple[int, int], **options
+) -> DataFrame:
+    """:func:`mass_senders`, told beforehand which groups have enough rows.
+
+    The log is read twice, but only rows of the candidates are shuffled with
+    their texts.  That pays where most texts are sent a few times only and
+    the network is the bottleneck.  Too many candidates to broadcast mean
+    that most rows matter: then they are all grouped at once.
+    """
+    shared = {k: v for k, v in options.items() if k in ("batch_ids", "code", "min_len", "min_peers", "bucket_format")}
+    path = work_folder(log.sparkSession)
+    candidate_groups(log, window, **shared).write.parquet(path)
+    candidates = log.sparkSession.read.schema("group bigint").parquet(path)
+    return mass_senders(
+        log, exclusion, window, candidates=candidates if fits_broadcast(candidates) else None, **options
+    )
+
+
 def refresh_latest(tables: Tables) -> None:
     """Rebuild the newest row of every sender from all stored results."""
     tables.latest.swap(latest_per_sender(tables.results.read()))
@@ -85,6 +106,7 @@ def run_bulk(
     window: tuple[int, int],
     *,
     batch_id: int | None = None,
+    two_steps: bool = False,
     **options,
 ) -> DataFrame:
     """One batch over a window of any length; its id is the window's end.
@@ -93,7 +115,8 @@ def run_bulk(
     """
     batch_id = window[1] if batch_id is None else batch_id
     started, seen_rows = perf_counter(), Observation()
-    rows = mass_senders(log, exclusion, window, batch_ids=batch_id, observation=seen_rows, **options)
+    detect = mass_senders_in_two_steps if two_steps else mass_senders
+    rows = detect(log, exclusion, window, batch_ids=batch_id, observation=seen_rows, **options)
     tables.results.replace_batch(rows, batch_id)
     _record(tables, "bulk", [batch_id], _rows_in(seen_rows), started)
     _finish(tables, [batch_id], options, advance=True)
@@ -107,6 +130,7 @@ def run_hours(
     window: tuple[int, int],
     *,
     advance: bool = True,
+    two_steps: bool = False,
     **options,
 ) -> DataFrame:
     """Every hourly batch of a window from one scan and one aggregation.
@@ -118,7 +142,8 @@ def run_hours(
     """
     batch_ids = hours.hourly_batch_ids(*window)
     started, seen_rows = perf_counter(), Observation()
-    rows = mass_senders(log, exclusion, window, batch_ids=HOURLY, observation=seen_rows, **options)
+    detect = mass_senders_in_two_steps if two_steps else mass_senders
+    rows = detect(log, exclusion, window, batch_ids=HOURLY, observation=seen_rows, **options)
     tables.results.replace_batches(rows, batch_ids)
     _record(tables, "hours", batch_ids, _rows_in(seen_rows), started)
     _finish(tables, batch_ids, options, advance)

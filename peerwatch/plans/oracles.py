@@ -247,6 +247,7 @@ _EVENT_HOUR = "strftime(ts, '%Y%m%d%H')::BIGINT"
 ORACLES = {
     "bulk_batch": BULK,
     "bulk_batch_long_list": BULK,
+    "bulk_batch_two_steps": BULK,
     "daily_batch": DAILY,
     "hourly_batches": HOURLY,
     "batch_view": BULK,

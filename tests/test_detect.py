@@ -10,6 +10,7 @@ from test_functions import by_steps
 from peerwatch.functions import hours
 from peerwatch.operators.detect import HOURLY, count_peers, mass_senders
 from peerwatch.operators.exclusion import without_listed
+from peerwatch.plans.jobs import mass_senders_in_two_steps
 from peerwatch.schema import BATCH, EXCLUSION
 from peerwatch.sources.logs import literal_rows
 
@@ -141,6 +142,18 @@ def test_one_pass_equals_single_hours(make_log):
     assert one_pass == sorted(single, key=repr) and len(one_pass) > 100
 
 
+def test_two_steps_equal_one(spark, make_log):
+    log = make_log(random_rows(6, 6000, bad=0.1)).persist()
+    listed = literal_rows(spark, [(3, "c")], EXCLUSION)
+    window = (2023022800, 2023030200)
+    for peers, batch_ids in ((1, HOURLY), (3, None), (0, 5), (10_000, None)):
+        options = {"min_peers": peers, "batch_ids": batch_ids, "bucket_format": hours.BUCKET_DAY}
+        direct = rows_of(mass_senders(log, listed, window, **options))
+        assert rows_of(mass_senders_in_two_steps(log, listed, window, **options)) == direct
+        assert bool(direct) == (peers < 10_000)
+    log.unpersist()
+
+
 def test_sketch_is_close(spark):
     rows = spark.range(40_000).select((F.col("id") % 4).alias("g"), F.col("id").alias("f04"))
     for r in count_peers(rows, ["g"], approximate=0.02).collect():
