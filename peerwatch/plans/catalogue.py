@@ -20,7 +20,7 @@ from peerwatch.operators import derived, filters, profile, report, sample
 from peerwatch.operators.detect import HOURLY, count_peers, mass_senders
 from peerwatch.operators.exclusion import without_listed
 from peerwatch.plans.jobs import Tables, mass_senders_in_two_steps, run_bulk, run_next_day
-from peerwatch.schema import BATCH, LATEST, RESULT
+from peerwatch.schema import BATCH, EXCLUSION, LATEST, RESULT
 from peerwatch.session import work_folder
 from peerwatch.sources import catalog
 from peerwatch.sources.adapters import event_exclusion, event_log, order_exclusion, order_log, table
@@ -367,8 +367,10 @@ def watermark(spark, folder) -> DataFrame:
 
 def _ids(spark, folder, name, key) -> DataFrame:
     """Row ids from a table.  Making a row costs far more than moving its id,
-    so the ids are spread evenly; neighbours stay together."""
-    return table(spark, folder, name).select(F.col(key).alias("id")).repartitionByRange("id")
+    so the ids are spread evenly over all cores; neighbours stay together.
+    (Without a number, adaptive execution would join such small partitions.)"""
+    tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return table(spark, folder, name).select(F.col(key).alias("id")).repartitionByRange(tasks, "id")
 
 
 def _noise(spark, folder) -> DataFrame:
@@ -423,9 +425,12 @@ def file_control(spark, folder) -> DataFrame:
 
 def planted_recovery(spark, folder) -> DataFrame:
     """The planted senders, and nobody else, are found among the noise."""
-    log = _noise(spark, folder).unionByName(_planted(spark, folder))
-    names = sample.build_exclusion(log, 100, keep_out=(19_218_983_880, 19_218_983_890), seed=3)
-    return mass_senders(log, names, (2023032300, 2023032306), min_peers=2)
+    path, listed = work_folder(spark), work_folder(spark)
+    write_log(_noise(spark, folder), path)
+    write_log(_planted(spark, folder), path)
+    log = read_log(spark, path)
+    write_table(sample.build_exclusion(log, 100, keep_out=(19_218_983_880, 19_218_983_890), seed=3), listed)
+    return mass_senders(log, read_table(spark, listed, EXCLUSION), (2023032300, 2023032306), min_peers=2)
 
 
 # --- tables by name -----------------------------------------------------------------------
