@@ -1,8 +1,8 @@
 """Operator 4: language identification by compression.
 
 For each language a zstandard dictionary of raw content is made from a bounded sample of labelled text.  A text is
-compressed, as a whole, once with each dictionary, in chunks that all see the dictionary; the language whose
-dictionary gives the fewest bytes is its language.  ``score`` is how much smaller that is than the second best, and a
+compressed, as a whole and in lower case, once with each dictionary, in small chunks, so that it is the dictionary that
+is matched and not the text itself; the language whose dictionary gives the fewest bytes is its language.  ``score`` is how much smaller that is than the second best, and a
 margin below ``narrow`` sets ``rejected``.
 
 Scale: the sample is at most about ``SAMPLE`` pieces of ``PIECE`` characters for each language, picked by a hash of the
@@ -10,7 +10,8 @@ id (documented bound; the only thing that comes to the driver).  All rows are th
 
 Defined results: a null text, or one without a letter, is ``und`` with score 0; without any labelled row everything is
 ``und``; documents held out, or without id or language, are never learned from; a document without id counts as held
-out; ties go to the language first in the alphabet; other columns are not touched.
+out; ties go to the language with more labelled rows, then to the
+first in the alphabet; other columns are not touched.
 """
 
 from __future__ import annotations
@@ -26,8 +27,8 @@ from peerwatch.llm.common import table
 
 SAMPLE, PIECE = 600, 400
 DICTIONARY_BYTES = 112 * 1024
-CHUNK_BYTES = 8192
-LEVEL = 3
+CHUNK_BYTES = 400
+LEVEL = 5
 NARROW = 0.01
 UNKNOWN = "und"
 SPACE = 1 << 20
@@ -54,14 +55,15 @@ def dictionaries(docs: DataFrame, *, sample: int = SAMPLE, size: int = DICTIONAR
     pieces: dict[str, list] = {}
     for r in picked.collect():
         pieces.setdefault(r.l, []).append((r.p, r.id, r.t))
-    return {l: "\n".join(t for _, _, t in sorted(found)).encode()[:size] for l, found in sorted(pieces.items())}
+    usual_first = sorted(pieces, key=lambda l: (-counts[l], l))
+    return {l: "\n".join(t.lower() for _, _, t in sorted(pieces[l])).encode()[:size] for l in usual_first}
 
 
 class Classifier:
     def __init__(self, content: dict[str, bytes], level: int = LEVEL):
         import zstandard
 
-        self.languages = sorted(content)
+        self.languages = list(content)
         self.compressors = []
         for language in self.languages:
             known = zstandard.ZstdCompressionDict(content[language], dict_type=zstandard.DICT_TYPE_RAWCONTENT)
@@ -72,7 +74,7 @@ class Classifier:
     def classify(self, text: str | None) -> tuple[str, float]:
         if not text or not self.languages or not _LETTER.search(text):
             return UNKNOWN, 0.0
-        raw = text.encode("utf-8", "replace")
+        raw = text.lower().encode("utf-8", "replace")
         chunks = [raw[i : i + CHUNK_BYTES] for i in range(0, len(raw), CHUNK_BYTES)]
         sizes = [sum(len(c.compress(chunk)) for chunk in chunks) for c in self.compressors]
         best = min(range(len(sizes)), key=sizes.__getitem__)

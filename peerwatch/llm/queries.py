@@ -1,16 +1,18 @@
 """The queries of this subpackage and their SQL."""
 
-from peerwatch.llm import bpe, exact_dedup, language, pii, warc
+from peerwatch.llm import bpe, exact_dedup, language, ngram_join, pii, warc
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
     "op4_language": language.op4_language,
     "op5_bpe": bpe.op5_bpe,
     "op6_pii": pii.op6_pii,
+    "op9_ngram_join": ngram_join.op9_ngram_join,
     "op10_warc": warc.op10_warc,
 }
 
 ORACLES = {
     "op1_exact_dedup": exact_dedup.SQL,
+    "op9_ngram_join": ngram_join.SQL,
     "op10_warc": warc.SQL,
 }
