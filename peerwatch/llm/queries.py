@@ -1,9 +1,10 @@
 """The queries of this subpackage and their SQL."""
 
-from peerwatch.llm import bpe, exact_dedup, language, ngram_join, pii, warc
+from peerwatch.llm import bpe, exact_dedup, language, ngram_join, pii, quality, warc
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
+    "op3_quality": quality.op3_quality,
     "op4_language": language.op4_language,
     "op5_bpe": bpe.op5_bpe,
     "op6_pii": pii.op6_pii,
