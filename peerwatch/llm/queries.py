@@ -1,6 +1,6 @@
 """The queries of this subpackage and their SQL."""
 
-from peerwatch.llm import bpe, exact_dedup, language, ngram_join, pii, quality, warc
+from peerwatch.llm import bpe, decontaminate, exact_dedup, html_text, language, ngram_join, pii, quality, warc
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
@@ -8,6 +8,8 @@ QUERIES = {
     "op4_language": language.op4_language,
     "op5_bpe": bpe.op5_bpe,
     "op6_pii": pii.op6_pii,
+    "op7_decontaminate": decontaminate.op7_decontaminate,
+    "op8_html_text": html_text.op8_html_text,
     "op9_ngram_join": ngram_join.op9_ngram_join,
     "op10_warc": warc.op10_warc,
 }
