@@ -18,7 +18,7 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def written(spark: SparkSession, df: DataFrame, name: str = "step") -> DataFrame:
     """The rows as a Parquet table in the shared folder: lineage ends there, and a lost executor costs one read."""
     path = f"{work_folder(spark)}-{name}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

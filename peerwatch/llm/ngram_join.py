@@ -9,7 +9,8 @@ difference.  So at least ``m - d`` parts of linked sets are equal (pigeonhole),
 with fewer than two n-grams says little and is left out, unless the set has so many of them that they could be all
 that is equal; then they are used too.  A set is sketched for its own band and for the next larger one.
 
-Verification compares the sets of words themselves.  Nothing else makes a link.
+Candidates whose whole sketches are further apart than linked sets can be are dropped; of the rest the sets of words themselves
+are compared.  Nothing else makes a link.
 
 Scale: equal sets are one before the join.  Sketch parts are shuffled once.  Sets that share a part are first compared with one
 pivot each, the smallest id among all they meet, which joins groups of near copies without their pairs.  What is still in
@@ -79,8 +80,8 @@ def gram_hashes(text: str, n: int, hashes: _Hashes) -> np.ndarray:
     # The number of words counts: a short sequence is no n-gram of others.
     out = np.full(len(found) - size + 1, size, np.uint64)
     for i in range(size):
-        out = _mixed(out * np.uint64(0x100000001B3) + each[i : len(found) - size + 1 + i])
-    return np.unique(out)
+        out = out * np.uint64(0x9E3779B97F4A7C15) + each[i : len(found) - size + 1 + i]
+    return np.unique(_mixed(out))
 
 
 class Bands:
@@ -181,8 +182,58 @@ def _pairs(keys, ids) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(columns, ["key", "rid"])
 
 
+def parity(hashed: np.ndarray) -> np.ndarray:
+    """The whole set as one sketch, two bits or more for each n-gram (within bounds); halves XORed are the shorter sketch."""
+    bits = min(max(256, 1 << int(2 * len(hashed)).bit_length()), 1 << 16)
+    place = _mixed(hashed, 977) % np.uint64(bits)
+    out = np.zeros(bits // 64, np.uint64)
+    np.bitwise_xor.at(out, (place >> np.uint64(6)).astype(np.int64), np.uint64(1) << (place & np.uint64(63)))
+    return out
+
+
+def may_link(a: np.ndarray, n_a: int, b: np.ndarray, n_b: int, percent: int) -> bool:
+    """False only if sizes or the Hamming distance of the sketches rule a link out."""
+    if 100 * min(n_a, n_b) < percent * max(n_a, n_b):
+        return False
+    size = min(len(a), len(b))
+    a, b = (np.bitwise_xor.reduce(x.reshape(-1, size), axis=0) for x in (a, b))
+    return int(np.bitwise_count(a ^ b).sum()) <= (100 - percent) * (n_a + n_b) // (100 + percent)
+
+
+def _sketches(texts: DataFrame, n: int) -> DataFrame:
+    """(rid, n, sketch) of rows (rid, text)."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = _Hashes()
+        for batch in batches:
+            found = [gram_hashes(v.as_py(), n, hashes) for v in batch.column(1)]
+            columns = [batch.column(0), pa.array([len(f) for f in found], pa.int64()), pa.array([parity(f).tobytes() for f in found], pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["rid", "n", "sketch"])
+
+    return texts.mapInArrow(work, "rid long, n long, sketch binary")
+
+
+def _possible(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that their sketches do not rule out."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = []
+            columns = (batch.column(i).to_pylist() for i in range(2, 6))
+            for i, (n_a, a, n_b, b) in enumerate(zip(*columns, strict=True)):
+                if may_link(np.frombuffer(a, np.uint64), n_a, np.frombuffer(b, np.uint64), n_b, percent):
+                    keep.append(i)
+            keep = pa.array(keep, pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(keep), batch.column(1).take(keep)], ["a", "b"])
+
+    left = sketches.select(F.col("rid").alias("a"), F.col("n").alias("n_a"), F.col("sketch").alias("s_a"))
+    right = sketches.select(F.col("rid").alias("b"), F.col("n").alias("n_b"), F.col("sketch").alias("s_b"))
+    both = pairs.join(right, "b").join(left, "a").select("a", "b", "n_a", "s_a", "n_b", "s_b")
+    return both.mapInArrow(work, "a long, b long")
+
+
 def _verified(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
-    """Those pairs (a, b) whose sets link; texts: (rid, text)."""
+    """Those pairs (a, b) whose sets of words link; texts: (rid, text)."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, mine = None, set()
@@ -196,7 +247,8 @@ def _verified(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataF
                 both = len(mine & other)
                 if both and 100 * both >= percent * (len(mine) + len(other) - both):
                     keep.append(i)
-            yield pa.RecordBatch.from_arrays([a.take(pa.array(keep, pa.int64())), b.take(pa.array(keep, pa.int64()))], ["a", "b"])
+            keep = pa.array(keep, pa.int64())
+            yield pa.RecordBatch.from_arrays([a.take(keep), b.take(keep)], ["a", "b"])
 
     left = texts.select(F.col("rid").alias("a"), F.col("text").alias("left"))
     right = texts.select(F.col("rid").alias("b"), F.col("text").alias("right"))
@@ -227,12 +279,13 @@ def ngram_classes(spark: SparkSession, docs: DataFrame, *, n: int = 4, percent:
     sets = written(spark, sets.where("low < high").select("key", "set", "low"), "shared")
     known = written(spark, rows.join(sets.select(F.col("set").alias("rid")).distinct(), "rid").select("rid", "text"), "texts")
     pivots = sets.groupBy("set").agg(F.min("low").alias("a")).where("set != a").select("a", F.col("set").alias("b"))
-    links = written(spark, _verified(pivots, known, n, percent), "links")
+    sketches = written(spark, _sketches(known, n), "sketches")
+    check = lambda pairs: _verified(written(spark, _possible(pairs, sketches, percent), "possible"), known, n, percent)
+    links = written(spark, check(pivots), "links")
     root = classes(spark, links)
     placed = sets.select("key", "set").join(root, sets["set"] == root["node"], "left")
     placed = written(spark, placed.select("key", "set", F.coalesce("root", "set").alias("root")), "placed")
-    pairs = written(spark, _between_classes(placed), "pairs")
-    more = written(spark, _verified(pairs, known, n, percent), "more")
+    more = written(spark, check(_between_classes(placed)), "more")
     root = classes(spark, links.union(more))
     whole = named.join(root, named["set"] == root["node"], "left")
     whole = written(spark, whole.select("set", "first", F.coalesce("root", "set").alias("class")), "whole")

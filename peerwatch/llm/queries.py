@@ -1,9 +1,11 @@
 """The queries of this subpackage and their SQL."""
 
-from peerwatch.llm import bpe, decontaminate, exact_dedup, html_text, language, ngram_join, pii, quality, warc
+import corpus_pipeline
+from peerwatch.llm import bpe, decontaminate, exact_dedup, html_text, language, line_dedup, ngram_join, pii, quality, warc
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
+    "op2_line_dedup": line_dedup.op2_line_dedup,
     "op3_quality": quality.op3_quality,
     "op4_language": language.op4_language,
     "op5_bpe": bpe.op5_bpe,
@@ -12,10 +14,12 @@ QUERIES = {
     "op8_html_text": html_text.op8_html_text,
     "op9_ngram_join": ngram_join.op9_ngram_join,
     "op10_warc": warc.op10_warc,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLES = {
     "op1_exact_dedup": exact_dedup.SQL,
+    "op2_line_dedup": line_dedup.SQL,
     "op9_ngram_join": ngram_join.SQL,
     "op10_warc": warc.SQL,
 }

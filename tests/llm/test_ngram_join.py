@@ -3,7 +3,7 @@ import random
 import pytest
 
 from peerwatch.llm.common import classes
-from peerwatch.llm.ngram_join import Bands, _Hashes, gram_hashes, grams, ngram_classes, sketch_keys
+from peerwatch.llm.ngram_join import Bands, _Hashes, gram_hashes, grams, may_link, ngram_classes, parity, sketch_keys
 
 
 def brute(rows, n=4, percent=85):
@@ -66,6 +66,8 @@ def test_linked_sets_share_a_key(percent):
         x, y = grams(a, 4), grams(b, 4)
         if 100 * len(x & y) >= percent * len(x | y):
             linked += 1
+            p, q = gram_hashes(a, 4, hashes), gram_hashes(b, 4, hashes)
+            assert may_link(parity(p), len(p), parity(q), len(q), percent)
             assert set(sketch_keys(gram_hashes(a, 4, hashes), bands).tolist()) & set(sketch_keys(gram_hashes(b, 4, hashes), bands).tolist())
     assert linked > 50
 
