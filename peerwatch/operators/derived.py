@@ -9,7 +9,7 @@ from peerwatch.schema import LATEST, SEEN
 SEEN_KEYS = ("f22", "f02", "f06", "f07")
 
 
-def latest_per_sender(result: DataFrame) -> DataFrame:
+def latest_per_sender(result: DataFrame, columns=LATEST.names) -> DataFrame:
     """The newest result row of every sender.
 
     The order is total, so ties on the bucket are always broken alike.  Rank
@@ -26,7 +26,7 @@ def latest_per_sender(result: DataFrame) -> DataFrame:
         F.asc_nulls_last("f07"),
     )
     ranked = result.select("*", F.row_number().over(newest).alias("rn"))
-    return ranked.where(F.col("rn") == 1).select(*LATEST.names)
+    return ranked.where(F.col("rn") == 1).select(*columns)
 
 
 def _seen_range(rows: DataFrame, first: str, last: str, bucket_format: str | None) -> DataFrame:

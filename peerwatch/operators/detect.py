@@ -6,7 +6,7 @@ from pyspark.sql.types import StringType
 
 from peerwatch.functions import hours
 from peerwatch.functions.text import clean_text, trimmed
-from peerwatch.operators.exclusion import fits_broadcast, without_listed
+from peerwatch.operators.exclusion import BROADCAST_IDS, fits_broadcast, without_listed
 from peerwatch.operators.filters import in_window, with_code
 
 PLAIN_KEYS = ("f22", "f02", "f06", "f07")
@@ -88,7 +88,9 @@ def _group_hash() -> Column:
     return F.xxhash64(*GROUP_KEYS)
 
 
-def candidate_groups(log: DataFrame, window: tuple[int, int], *, min_peers: int = 10, **options) -> DataFrame:
+def candidate_groups(
+    log: DataFrame, window: tuple[int, int], *, exclusion: DataFrame | None = None, min_peers: int = 10, **options
+) -> DataFrame:
     """Hashes of the groups with more than ``min_peers`` rows.
 
     A group needs more rows than that to have more peers, so no other group
@@ -98,6 +100,9 @@ def candidate_groups(log: DataFrame, window: tuple[int, int], *, min_peers: int
     :func:`prepare`, with the values given to :func:`mass_senders`.
     """
     rows = prepare(log, window, **options)
+    # Listed senders need no place among the candidates if that is cheap to tell.
+    if exclusion is not None and fits_broadcast(exclusion):
+        rows = without_listed(rows, exclusion, "f02", broadcast=True)
     counted = rows.groupBy(_group_hash().alias("group")).agg(F.count("f04").alias("n"))
     return counted.where(F.col("n") > min_peers).select("group")
 
@@ -116,6 +121,7 @@ def mass_senders(
     approximate: float | None = None,
     observation: Observation | None = None,
     candidates: DataFrame | None = None,
+    broadcast_limit: int = BROADCAST_IDS,
 ) -> DataFrame:
     """Groups (sender, text, bucket, batch, attributes) with more than
     ``min_peers`` distinct peers, without the senders on the list.
@@ -130,26 +136,30 @@ def mass_senders(
     the answer is the same, and only the few remaining groups are shuffled to
     the list instead of the whole log.
 
-    ``candidates`` is a stored result of :func:`candidate_groups`, small
-    enough to broadcast (check with ``fits_broadcast``): rows of all other
-    groups are then dropped before the shuffle.
+    ``candidates`` is a stored result of :func:`candidate_groups`: rows of all
+    other groups are dropped before texts are shuffled.  Up to
+    ``broadcast_limit`` candidates are broadcast, more are joined by their
+    8-byte hash.
 
-    ``observation`` receives ``rows_in``, the log rows that enter the grouping,
-    from the same pass.
+    ``observation`` receives ``rows_in``, the log rows of the window that meet
+    the row conditions, before the list is applied, from the same pass.
     """
     rows = prepare(
         log, window, batch_ids=batch_ids, code=code, min_len=min_len, bucket_format=bucket_format
     )
+    # Counted here, so that the figure is the same for lists of any length.
+    if observation is not None:
+        rows = rows.observe(observation, F.count(F.lit(1)).alias("rows_in"))
+
     if exclusion is not None and broadcast is None:
         broadcast = fits_broadcast(exclusion)
     if exclusion is not None and broadcast:
         rows = without_listed(rows, exclusion, "f02", broadcast=True)
 
-    if observation is not None:
-        rows = rows.observe(observation, F.count(F.lit(1)).alias("rows_in"))
-
     if candidates is not None:
-        rows = rows.join(F.broadcast(candidates), _group_hash() == F.col("group"), "left_semi")
+        few = fits_broadcast(candidates, broadcast_limit)
+        groups = F.broadcast(candidates) if few else candidates
+        rows = rows.join(groups, _group_hash() == F.col("group"), "left_semi")
 
     # One id for the whole window needs no place in the shuffled key.
     keys = [k for k in GROUP_KEYS if k != "ad" or batch_ids == HOURLY]

@@ -8,9 +8,6 @@ from pyspark.sql.types import StringType
 # well below 100 MB.  Longer lists are joined by shuffle.
 BROADCAST_IDS = 1_000_000
 
-# Over how many tasks a shuffle join deals the rows of one sender.
-SPREAD = 8
-
 
 def fits_broadcast(ids: DataFrame, limit: int = BROADCAST_IDS) -> bool:
     """Count the list (from file footers, for a stored one) against the bound."""
@@ -25,27 +22,23 @@ def exclusion_key(df: DataFrame, column: str) -> Column:
     return F.col(column).cast("bigint")
 
 
-def without_listed(
-    df: DataFrame, exclusion: DataFrame, column: str, *, broadcast: bool | None = None, spread: int = SPREAD
-) -> DataFrame:
+def without_listed(df: DataFrame, exclusion: DataFrame, column: str, *, broadcast: bool | None = None) -> DataFrame:
     """Anti join: rows of ``df`` whose ``column`` is not an ``id`` of the list.
 
     NULL ids match nothing and repeated ids do no harm.  ``broadcast=None``
     counts the list first; True states that its size is already known.
 
-    Without broadcast both sides may be skewed.  Ids are made distinct
-    map-side, so a much repeated one is a single row; each is then sent to
-    ``spread`` places and the rows of one sender are dealt over those by a
-    hash of their other values.
+    Without broadcast ids are made distinct map-side, so a much repeated one
+    is a single row, and a hot sender is split by Spark's skew join.  Rows
+    without a number match nothing and stay out of the shuffle.
     """
     ids = exclusion.select(F.col("id").cast("bigint").alias("_excluded"))
     if broadcast is None:
         broadcast = fits_broadcast(ids)
-    same_sender = exclusion_key(df, column) == F.col("_excluded")
+    key = exclusion_key(df, column)
     if broadcast:
-        return df.join(F.broadcast(ids), same_sender, "left_anti")
+        return df.join(F.broadcast(ids), key == F.col("_excluded"), "left_anti")
 
-    places = F.array(*[F.lit(i).cast("bigint") for i in range(spread)])
-    ids = ids.where(F.col("_excluded").isNotNull()).distinct().select("_excluded", F.explode(places).alias("_place"))
-    place = F.pmod(F.xxhash64(*df.columns), F.lit(spread))
-    return df.join(ids, same_sender & (place == F.col("_place")), "left_anti")
+    ids = ids.where(F.col("_excluded").isNotNull()).distinct()
+    numbered = df.where(key.isNotNull()).join(ids, key == F.col("_excluded"), "left_anti")
+    return numbered.unionByName(df.where(key.isNull()))

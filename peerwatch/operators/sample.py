@@ -5,9 +5,6 @@ from pyspark.sql import functions as F
 
 from peerwatch.operators.filters import outside_range
 
-# Up to this many rows a plain top-k is one short merge of sorted runs.
-TOP_K_ROWS = 10_000
-
 _PREFIX_DIGITS = 4  # 65,536 possible prefixes bound the histogram
 
 
@@ -20,18 +17,15 @@ def seeded_sample(rows: DataFrame, n: int, *, seed: int = 0, columns=None) -> Da
     """Exactly ``n`` distinct rows (or all, if fewer), in a random choice that
     depends only on the seed and the rows.
 
-    The choice is the ``n`` smallest digests.  Small samples are a top-k.
-    Large ones never sort everything or pass through one task: a histogram of
-    digest prefixes (at most 65,536 rows) tells which prefixes are taken
-    whole, and only rows of the prefix at the border are ranked.
+    The choice is the ``n`` smallest digests, without sorting everything: a
+    histogram of digest prefixes (at most 65,536 rows) tells which prefixes
+    are taken whole, and only rows of the prefix at the border, one of
+    65,536 parts of all, are ranked in one task.
     """
     names = list(columns or rows.columns)
     # No second aggregation if the rows are a ``distinct`` already.
     keyed = rows.distinct().withColumn("_d", random_order(seed, names))
     order = ["_d", *names]
-    if n <= TOP_K_ROWS:
-        return keyed.orderBy(*order).limit(n).drop("_d")
-
     prefix = F.substring("_d", 1, _PREFIX_DIGITS)
     keyed = keyed.withColumn("_p", prefix)
     upto = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, Window.currentRow)

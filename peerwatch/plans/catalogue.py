@@ -19,7 +19,7 @@ from peerwatch.functions.text import (
 from peerwatch.operators import derived, filters, profile, report, sample
 from peerwatch.operators.detect import HOURLY, count_peers, mass_senders
 from peerwatch.operators.exclusion import without_listed
-from peerwatch.plans.jobs import Tables, mass_senders_in_two_steps, run_bulk, run_next_day
+from peerwatch.plans.jobs import Tables, mass_senders_in_two_steps, run_bulk, run_hours, run_next_day
 from peerwatch.schema import BATCH, EXCLUSION, LATEST, RESULT
 from peerwatch.session import work_folder
 from peerwatch.sources import catalog
@@ -61,6 +61,17 @@ def bulk_batch_two_steps(spark, folder) -> DataFrame:
     )
 
 
+def bulk_batch_two_steps_shuffled(spark, folder) -> DataFrame:
+    """The same with more candidates than may be broadcast."""
+    return mass_senders_in_two_steps(
+        order_log(spark, folder),
+        order_exclusion(spark, folder),
+        ORDERS,
+        bucket_format=hours.BUCKET_MONTH,
+        broadcast_limit=0,
+    )
+
+
 def daily_batch(spark, folder, window=EVENTS) -> DataFrame:
     log = event_log(spark, folder)
     return mass_senders(log, event_exclusion(spark, folder), window, bucket_format=hours.BUCKET_DAY)
@@ -88,8 +99,12 @@ def peer_count(spark, folder) -> DataFrame:
 
 
 def peer_count_sketch(spark, folder) -> DataFrame:
+    """Whether the sketched count of each group is near the exact one."""
     log = order_log(spark, folder).withColumn("bd", hours.bucket_text("f31", hours.BUCKET_MONTH))
-    return count_peers(log, ("f02", "bd"), approximate=0.02)
+    exact = count_peers(log, ("f02", "bd"))
+    sketched = count_peers(log, ("f02", "bd"), approximate=0.02).withColumnRenamed("cnt", "sketch")
+    near = F.abs(F.col("sketch") - F.col("cnt")) <= F.greatest(F.lit(1.0), 0.1 * F.col("cnt"))
+    return exact.join(sketched, ["f02", "bd"]).select("f02", "bd", near.alias("near"))
 
 
 # --- rows, predicates, functions ------------------------------------------------
@@ -185,14 +200,18 @@ def anti_join_long_list(spark, folder) -> DataFrame:
     return rows.select("f02", "f04", "f31")
 
 
-def anti_join_text_key(spark, folder) -> DataFrame:
+def anti_join_text_key(spark, folder, **options) -> DataFrame:
     """Numbers kept as text; what is no number is never excluded."""
     log = order_log(spark, folder)
     number = F.when(F.col("f04") % 2 == 0, F.col("f02").cast("string")).otherwise(F.concat(F.lit("x"), F.col("f02")))
-    rows = without_listed(log.withColumn("f02", number), order_exclusion(spark, folder), "f02")
+    rows = without_listed(log.withColumn("f02", number), order_exclusion(spark, folder), "f02", **options)
     return rows.select("f02", "f04", "f31")
 
 
+def anti_join_text_key_long_list(spark, folder) -> DataFrame:
+    return anti_join_text_key(spark, folder, broadcast=False)
+
+
 def distinct_pairs(spark, folder) -> DataFrame:
     return sample.sender_names(order_log(spark, folder), (10, 20))
 
@@ -207,10 +226,15 @@ def seeded_sample(spark, folder) -> DataFrame:
 
 
 def random_sample(spark, folder) -> DataFrame:
-    """How many of the rows drawn at random are real and different."""
+    """How many rows are drawn at random, and how many of them are real and different."""
     orders = table(spark, folder, "orders").select("o_orderkey")
     drawn = sample.random_sample(orders, 500, seed=3)
-    return drawn.agg(F.count_distinct("o_orderkey").alias("rows"))
+    known = drawn.join(orders.distinct().withColumn("known", F.lit(1)), "o_orderkey", "left")
+    return known.agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count_distinct("o_orderkey").alias("different"),
+        F.count_distinct(F.when(F.col("known") == 1, F.col("o_orderkey"))).alias("real"),
+    )
 
 
 # --- derived tables -----------------------------------------------------------------
@@ -256,7 +280,12 @@ def column_profile(spark, folder) -> DataFrame:
 
 
 def column_profile_distinct(spark, folder) -> DataFrame:
-    return profile.column_profile(order_log(spark, folder)).select("column", "distinct")
+    """Whether the sketched number of values of each column is near the exact one."""
+    log = order_log(spark, folder)
+    sketched = profile.column_profile(log).select("column", "distinct")
+    exact = log.agg(*[F.count_distinct(c).alias(c) for c in log.columns]).unpivot([], log.columns, "column", "exact")
+    near = F.abs(F.col("distinct") - F.col("exact")) <= F.greatest(F.lit(1.0), 0.2 * F.col("exact"))
+    return sketched.join(exact, "column").select("column", "exact", near.alias("near"))
 
 
 # --- tables by path -------------------------------------------------------------------
@@ -284,6 +313,42 @@ def batch_replace_empty(spark, folder) -> DataFrame:
     return store.read()
 
 
+def _in_dynamic_session(spark, query, folder) -> DataFrame:
+    """A query whose writes run in a session that overwrites single partitions."""
+    mode = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(mode)
+    spark.conf.set(mode, "dynamic")
+    try:
+        return query(spark, folder)
+    finally:
+        spark.conf.set(mode, before)
+
+
+def batch_replace_dynamic(spark, folder) -> DataFrame:
+    return _in_dynamic_session(spark, batch_replace, folder)
+
+
+def batch_replace_empty_dynamic(spark, folder) -> DataFrame:
+    return _in_dynamic_session(spark, batch_replace_empty, folder)
+
+
+def truncate_table_dynamic(spark, folder) -> DataFrame:
+    return _in_dynamic_session(spark, truncate_table, folder)
+
+
+def overwrite_batch_dynamic(spark, folder) -> DataFrame:
+    return _in_dynamic_session(spark, overwrite_batch, folder)
+
+
+def replace_escaped_buckets(spark, folder) -> DataFrame:
+    """A rerun without rows where bucket names hold characters that paths escape."""
+    store = _store(spark)
+    store.append(daily_batch(spark, folder))
+    for peers in (10, 1_000_000_000):
+        store.replace_batches(bulk_batch(spark, folder, bucket_format="yyyy/MM/dd HH:mm", min_peers=peers), [ORDERS[1]])
+    return store.read()
+
+
 def dynamic_partitions(spark, folder) -> DataFrame:
     """Rows find their partitions; a partition filter reads some of them."""
     store = _store(spark)
@@ -315,11 +380,11 @@ def swap_table(spark, folder) -> DataFrame:
     return snapshot.read()
 
 
-def _events_loaded(spark, folder) -> Tables:
+def _events_loaded(spark, folder, **more) -> Tables:
     """All events: the first 29 days as one batch, the last day by the hour."""
     tables = Tables(spark, work_folder(spark)).create()
     log, listed = event_log(spark, folder), event_exclusion(spark, folder)
-    options = {"bucket_format": hours.BUCKET_DAY, "min_peers": 1}
+    options = {"bucket_format": hours.BUCKET_DAY, "min_peers": 1, **more}
     run_bulk(tables, log, listed, (EVENTS[0], EVENTS_SPLIT), **options)
     run_next_day(tables, log, listed, **options)
     return tables
@@ -333,6 +398,25 @@ def restart_day_seen(spark, folder) -> DataFrame:
     return _events_loaded(spark, folder).seen.read()
 
 
+def rerun_smaller(spark, folder) -> DataFrame:
+    """All tables after the last day was run again with a higher threshold."""
+    tables = _events_loaded(spark, folder)
+    options = {"bucket_format": hours.BUCKET_DAY, "min_peers": 3}
+    window = (EVENTS_SPLIT, EVENTS[1])
+    run_hours(tables, event_log(spark, folder), event_exclusion(spark, folder), window, **options)
+    what = {
+        "results": tables.results.read().select("f02", "bd", F.col("cnt").cast("string").alias("value")),
+        "latest": tables.read_latest().select("f02", "bd", F.col("cnt").cast("string").alias("value")),
+        "seen": tables.seen.read().select("f02", F.col("f_date").alias("bd"), F.col("l_date").alias("value")),
+        "log": tables.batch_log.read().select(F.lit("").alias("f02"), F.lit("").alias("bd"), F.col("batchId").alias("value")),
+    }
+    out = None
+    for name, rows in what.items():
+        rows = rows.select(F.lit(name).alias("what"), "f02", "bd", "value")
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 def stream_hours(spark, folder) -> DataFrame:
     """The hourly batches as a stream that is stopped and resumed while the
     log grows; the newest hour is still open at the end."""
@@ -347,7 +431,13 @@ def stream_hours(spark, folder) -> DataFrame:
 
 
 def run_metrics(spark, folder) -> DataFrame:
-    return _events_loaded(spark, folder).read_metrics().select("job", "batchId", "rows_out")
+    """Rows read and stored by every batch, with a short list and a long one."""
+    out = None
+    for name, broadcast in (("short", True), ("long", False)):
+        metrics = _events_loaded(spark, folder, broadcast=broadcast).read_metrics().where("rows_out IS NOT NULL")
+        rows = metrics.select(F.lit(name).alias("list"), "job", "batchId", "rows_in", "rows_out")
+        out = rows if out is None else out.unionByName(rows)
+    return out
 
 
 def batch_log(spark, folder) -> DataFrame:
@@ -409,16 +499,17 @@ def partition_roundtrip(spark, folder) -> DataFrame:
 
 
 def file_control(spark, folder) -> DataFrame:
-    """Rows written by two tasks, or spread by partition value."""
+    """Rows written by two tasks, or spread by partition value: into how many files."""
     merged, spread = work_folder(spark), work_folder(spark)
     log = _noise(spark, folder).unionByName(_planted(spark, folder))
     write_log(log, merged, files=2)
     write_log(log, spread, partition_by=("f31",), rebalance=True)
     out = None
-    for name, path in (("merged", merged), ("spread", spread)):
+    # Two tasks make two files at most; small partitions that are rebalanced make one.
+    for name, path, limit in (("merged", merged, 2), ("spread", spread, 1)):
         read = read_log(spark, path).select("cp", "f31", F.col("_metadata.file_name").alias("file"))
         counted = read.groupBy("f31").agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("file").alias("files"))
-        counted = counted.select(F.lit(name).alias("kind"), "f31", "rows", (F.col("files") <= 4).alias("few_files"))
+        counted = counted.select(F.lit(name).alias("kind"), "f31", "rows", (F.col("files") <= limit).alias("few_files"))
         out = counted if out is None else out.unionByName(counted)
     return out
 
@@ -508,8 +599,11 @@ def table_statistics(spark, folder) -> DataFrame:
     name = f"{_database(spark)}.analyzed"
     catalog.create_table_as(order_log(spark, folder), name)
     described = catalog.analyze(spark, name)
-    rows = F.regexp_extract("data_type", r"(\d+) rows", 1).cast("bigint")
-    return described.where(F.col("col_name") == "Statistics").select(rows.alias("rows"))
+    rows = F.regexp_extract("data_type", r"(\d+) rows", 1)
+    counted = described.where(F.col("col_name") == "Statistics")
+    counted = counted.select(F.lit("*").alias("column"), F.lit("rows").alias("statistic"), rows.alias("value"))
+    found = catalog.column_statistics(spark, name, ("f02", "f04", "f31")).where("statistic <> 'distinct_count'")
+    return counted.unionByName(found)
 
 
 def table_roundtrip(spark, folder) -> DataFrame:
@@ -525,6 +619,7 @@ QUERIES = {
         bulk_batch,
         bulk_batch_long_list,
         bulk_batch_two_steps,
+        bulk_batch_two_steps_shuffled,
         daily_batch,
         hourly_batches,
         batch_view,
@@ -544,6 +639,7 @@ QUERIES = {
         anti_join,
         anti_join_long_list,
         anti_join_text_key,
+        anti_join_text_key_long_list,
         distinct_pairs,
         exclusion_list,
         seeded_sample,
@@ -559,12 +655,18 @@ QUERIES = {
         column_profile_distinct,
         batch_replace,
         batch_replace_empty,
+        batch_replace_dynamic,
+        batch_replace_empty_dynamic,
+        truncate_table_dynamic,
+        overwrite_batch_dynamic,
+        replace_escaped_buckets,
         dynamic_partitions,
         preclear_day,
         truncate_table,
         swap_table,
         restart_day,
         restart_day_seen,
+        rerun_smaller,
         stream_hours,
         run_metrics,
         batch_log,

@@ -238,16 +238,48 @@ ORDERED_COLUMNS = [
     ("f31", False),
 ]
 
+
+
+def exact_values(rows: str, columns) -> str:
+    parts = [f"SELECT '{c}' AS \"column\", count(DISTINCT {c}) AS exact, true AS near FROM log" for c, _ in columns]
+    return f"WITH log AS ({rows}) " + " UNION ALL ".join(parts)
+
+
+def rows_between(start: int, end: int) -> str:
+    return f"(SELECT count(*) FROM ({EVENT_LOG}) AS e WHERE f31 >= {start} AND f31 < {end})"
+
+
+# The last day run again with a threshold of three peers.
+RELOADED_DAY = batch(EVENT_LOG, EVENT_LIST, (EVENTS_SPLIT, EVENTS[1]), DAY, 3, NEXT_HOUR)
+RELOADED = f"SELECT * FROM ({LOADED_BULK}) AS a UNION ALL SELECT * FROM ({RELOADED_DAY}) AS b"
+
 _WINDOWED = f"SELECT f02, f04, f31 FROM ({ORDER_LOG}) AS l WHERE f31 >= 1997010100 AND f31 < 1999010100"
 _KEPT = f"SELECT f02, f04, f31 FROM ({ORDER_LOG}) AS l WHERE f02 NOT IN (SELECT id FROM ({ORDER_LIST}) AS x)"
 _PADDED = "concat('  ?? ', text, ' 100  ', chr(9), '? ')"
 _SEGMENT = "CASE WHEN c_mktsegment = 'BUILDING' THEN '' WHEN c_mktsegment <> 'MACHINERY' THEN c_mktsegment END"
 _EVENT_HOUR = "strftime(ts, '%Y%m%d%H')::BIGINT"
 
+TEXT_KEY = f"""
+    SELECT CASE WHEN f04 % 2 = 0 THEN f02::VARCHAR ELSE 'x' || f02 END AS f02, f04, f31 FROM ({ORDER_LOG}) AS l
+    WHERE f04 % 2 <> 0 OR f02 NOT IN (SELECT id FROM ({ORDER_LIST}) AS x)"""
+
 ORACLES = {
     "bulk_batch": BULK,
     "bulk_batch_long_list": BULK,
     "bulk_batch_two_steps": BULK,
+    "bulk_batch_two_steps_shuffled": BULK,
+    "peer_count_sketch": f"SELECT f02, {hour_text('f31', MONTH)} AS bd, true AS near FROM ({ORDER_LOG}) AS l GROUP BY 1, 2",
+    "column_profile_distinct": exact_values(ORDER_LOG, ORDERED_COLUMNS),
+    "batch_replace_dynamic": f"SELECT * FROM ({BULK}) AS a UNION ALL SELECT * FROM ({DAILY}) AS b",
+    "batch_replace_empty_dynamic": DAILY,
+    "truncate_table_dynamic": f'SELECT count(*) AS "before", 0::BIGINT AS "after" FROM ({BULK}) AS r',
+    "overwrite_batch_dynamic": BULK,
+    "replace_escaped_buckets": DAILY,
+    "rerun_smaller": f"""
+        SELECT 'results' AS what, f02, bd, cnt::VARCHAR AS value FROM ({RELOADED}) AS a
+        UNION ALL SELECT 'latest', f02, bd, cnt::VARCHAR FROM ({latest(RELOADED)}) AS b
+        UNION ALL SELECT 'seen', f02, f_date, l_date FROM ({seen(RELOADED)}) AS c
+        UNION ALL SELECT 'log', '', '', id::VARCHAR FROM (SELECT {EVENTS_SPLIT} AS id UNION ALL {LAST_DAY_IDS}) AS d""",
     "daily_batch": DAILY,
     "hourly_batches": HOURLY,
     "batch_view": BULK,
@@ -277,9 +309,8 @@ ORACLES = {
         FROM ({EVENT_LOG}) AS l""",
     "anti_join": _KEPT,
     "anti_join_long_list": _KEPT,
-    "anti_join_text_key": f"""
-        SELECT CASE WHEN f04 % 2 = 0 THEN f02::VARCHAR ELSE 'x' || f02 END AS f02, f04, f31 FROM ({ORDER_LOG}) AS l
-        WHERE f04 % 2 <> 0 OR f02 NOT IN (SELECT id FROM ({ORDER_LIST}) AS x)""",
+    "anti_join_text_key_long_list": TEXT_KEY,
+    "anti_join_text_key": TEXT_KEY,
     "distinct_pairs": f"SELECT DISTINCT f02 AS id, f03 AS name FROM ({ORDER_LOG}) AS l WHERE f02 < 10 OR f02 > 20",
     "exclusion_list": sampled(
         f"SELECT DISTINCT f02 AS id, f03 AS name FROM ({ORDER_LOG}) AS l WHERE f02 < 10 OR f02 > 20",
@@ -290,7 +321,8 @@ ORACLES = {
     "seeded_sample": sampled(
         "SELECT DISTINCT l_orderkey, l_partkey FROM lineitem", ("l_orderkey", "l_partkey"), 20_000, 3
     ),
-    "random_sample": 'SELECT least(count(*), 500) AS "rows" FROM orders',
+    "random_sample": """
+        SELECT least(count(*), 500) AS "rows", least(count(*), 500) AS different, least(count(*), 500) AS real FROM orders""",
     "latest_per_number": latest(BULK),
     "latest_with_ties": latest(f"SELECT * FROM ({DAILY}) AS a UNION ALL SELECT * FROM ({DAILY_OLD}) AS b"),
     "first_last": seen(HOURLY),
@@ -310,9 +342,12 @@ ORACLES = {
     "restart_day_seen": seen(LOADED),
     "stream_hours": f"SELECT * FROM ({STREAMED}) AS r WHERE ad < (SELECT max({NEXT_HOUR}) FROM ({EVENT_LOG}) AS l)",
     "run_metrics": f"""
-        SELECT 'bulk' AS job, {EVENTS_SPLIT}::BIGINT AS batchId, count(*) AS rows_out FROM ({LOADED_BULK}) AS b
+        SELECT list, job, batchId, rows_in, rows_out FROM (VALUES ('short'), ('long')) AS k(list) CROSS JOIN (
+        SELECT 'bulk' AS job, {EVENTS_SPLIT}::BIGINT AS batchId, {rows_between(EVENTS[0], EVENTS_SPLIT)} AS rows_in,
+               count(*) AS rows_out FROM ({LOADED_BULK}) AS b
         UNION ALL
-        SELECT 'hours', id, count(ad) FROM ({LAST_DAY_IDS}) AS i LEFT JOIN ({LOADED_DAY}) AS d ON ad = id GROUP BY id
+        SELECT 'hours', id, {rows_between(EVENTS_SPLIT, EVENTS[1])}, count(ad)
+        FROM ({LAST_DAY_IDS}) AS i LEFT JOIN ({LOADED_DAY}) AS d ON ad = id GROUP BY id) AS m
         """,
     "batch_log": f"SELECT '{EVENTS_SPLIT}' AS \"batchId\" UNION ALL SELECT id::VARCHAR FROM ({LAST_DAY_IDS}) AS i",
     "watermark": f"SELECT max(ad) AS lastdate FROM ({HOURLY}) AS r",
@@ -333,6 +368,13 @@ ORACLES = {
         SELECT count(*) AS "before", 0::BIGINT AS tables_left
         FROM (SELECT DISTINCT f02, f03 FROM ({ORDER_LOG}) AS l WHERE f02 < 10 OR f02 > 20) AS p""",
     "bucketed_table": f'SELECT f02, count(*) AS "rows" FROM ({GENERATED}) AS g GROUP BY f02',
-    "table_statistics": 'SELECT count(*) AS "rows" FROM lineitem JOIN supplier ON s_suppkey = l_suppkey',
+    "table_statistics": f"""
+        WITH log AS ({ORDER_LOG})
+        SELECT '*' AS "column", 'rows' AS statistic, count(*)::VARCHAR AS value FROM log
+        UNION ALL SELECT c, s, v FROM (
+        SELECT unnest(['f02', 'f02', 'f02', 'f04', 'f04', 'f04', 'f31', 'f31', 'f31']) AS c,
+               unnest(['min', 'max', 'num_nulls', 'min', 'max', 'num_nulls', 'min', 'max', 'num_nulls']) AS s,
+               unnest([min(f02)::VARCHAR, max(f02)::VARCHAR, '0', min(f04)::VARCHAR, max(f04)::VARCHAR, '0',
+                       min(f31)::VARCHAR, max(f31)::VARCHAR, '0']) AS v FROM log) AS x""",
     "table_roundtrip": BULK,
 }

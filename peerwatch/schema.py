@@ -12,7 +12,7 @@ LONG_FIELDS = ("f01", "f02", "f04", "f06", "f07", "f10", "f14", "f15", "f19", "f
 
 LOG_COLUMNS = tuple(f"f{i:02d}" for i in range(1, 32))
 
-# Hour columns added from f01; the partition columns of the log as generated.
+# Hour columns added from f01.
 LOG_PARTITIONS = ("cp", "ld")
 
 

@@ -23,6 +23,12 @@ def local_session(cores: str = "*", *, shuffle_partitions: int = 8, memory: str
     )
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder on whatever file system it lies; none is no error."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def work_folder(spark: SparkSession) -> str:
     """A fresh folder path below the cluster's shared checkpoint folder.
 

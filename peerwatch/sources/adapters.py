@@ -52,7 +52,8 @@ def event_log(spark: SparkSession, folder: str) -> DataFrame:
     """Events as messages: an event type writes to the users it touches."""
     events = table(spark, folder, "events").select("event_type", "user_id", "ts")
     types = F.array(*[F.lit(t) for t in EVENT_TYPES])
-    numbered = events.withColumn("local", F.array_position(types, F.col("event_type")))
+    # An event of another type has no number and is no message.
+    numbered = events.withColumn("local", F.array_position(types, F.col("event_type"))).where("local > 0")
     text = F.concat(F.lit("  event??? "), F.col("event_type"), F.lit(" \t 000 "))
     return numbered.select(*_log_columns("local", "user_id", text, "ts", "event_type"))
 

@@ -15,15 +15,16 @@ class BatchLog:
         self.path = path
 
     def create(self) -> "BatchLog":
-        empty(self.spark, BATCH_LOG).write.mode("overwrite").parquet(self.path)
+        empty(self.spark, BATCH_LOG).write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(self.path)
         return self
 
     def read(self) -> DataFrame:
         return self.spark.read.schema(BATCH_LOG).parquet(self.path)
 
     def append(self, batch_ids) -> None:
-        """Add batches, all of them in one small file."""
-        rows = literal_rows(self.spark, [(str(int(b)),) for b in batch_ids], BATCH_LOG)
+        """Add batches that are not there yet, all of them in one small file."""
+        rows = literal_rows(self.spark, [(b,) for b in dict.fromkeys(str(int(b)) for b in batch_ids)], BATCH_LOG)
+        rows = rows.join(self.read(), "batchId", "left_anti").coalesce(1)
         rows.write.mode("append").parquet(self.path)
 
     def last(self) -> int:

@@ -3,22 +3,48 @@
 Everything here is Spark SQL on datasource tables and needs no Hive support.
 """
 
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from peerwatch.schema import RESULT, RESULT_PARTITIONS
+from peerwatch.session import remove_folder
 from peerwatch.sources.logs import empty
 
 
-def use_database(spark: SparkSession, database: str) -> None:
+_MODE = "spark.sql.sources.partitionOverwriteMode"
+
+
+@contextmanager
+def _static_overwrite(spark: SparkSession):
+    """Overwriting a partition replaces all below it, whatever the session says."""
+    before = spark.conf.get(_MODE)
+    spark.conf.set(_MODE, "static")
+    try:
+        yield
+    finally:
+        spark.conf.set(_MODE, before)
+
+
+def use_database(spark: SparkSession, database: str, *, current: bool = False) -> None:
+    """Make the database if need be; ``current`` makes it the session's own."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    if current:
+        spark.sql(f"USE {database}")
 
 
 def reset(spark: SparkSession, database: str, tables) -> None:
-    """Drop the given tables, if they exist, and keep an empty database."""
+    """Drop the given tables, if they exist, and keep an empty database.
+
+    Folders that a failed run left in their places are removed as well, or
+    they would stand in the way of the next table of that name.
+    """
     use_database(spark, database)
+    place = spark.sql(f"DESCRIBE DATABASE {database}").where("info_name = 'Location'").first()["info_value"]
     for table in tables:
         spark.sql(f"DROP TABLE IF EXISTS {database}.{table}")
+        remove_folder(spark, f"{place.rstrip('/')}/{table.lower()}")
 
 
 def create_table(spark: SparkSession, table: str, schema: StructType, partition_by=(), using: str = "orc") -> None:
@@ -53,9 +79,10 @@ def overwrite_batch(rows: DataFrame, table: str, batch_id: int) -> None:
     spark = rows.sparkSession
     inner = [c for c in RESULT.names if c != "ad"]
     values = rows.where(f"ad = {int(batch_id)}").select(*inner).hint("rebalance", "bd")
-    spark.sql(
-        f"INSERT OVERWRITE TABLE {table} PARTITION (ad = {int(batch_id)}, bd) SELECT * FROM {{rows}}", rows=values
-    )
+    with _static_overwrite(spark):
+        spark.sql(
+            f"INSERT OVERWRITE TABLE {table} PARTITION (ad = {int(batch_id)}, bd) SELECT * FROM {{rows}}", rows=values
+        )
 
 
 def clear_batches(spark: SparkSession, table: str, batch_ids) -> None:
@@ -70,9 +97,31 @@ def truncate(spark: SparkSession, table: str) -> None:
 
 
 def swap(spark: SparkSession, staged: str, live: str) -> None:
-    """Put a finished table in the place of another."""
-    spark.sql(f"DROP TABLE IF EXISTS {live}")
-    spark.sql(f"ALTER TABLE {staged} RENAME TO {live}")
+    """Put a finished table in the place of another.
+
+    The live table is only moved aside until the other one has its name; any
+    failure puts it back.
+    """
+    if not spark.catalog.tableExists(staged):
+        raise LookupError(f"no table {staged} to put in the place of {live}")
+    aside = f"{live}_replaced"
+    if spark.catalog.tableExists(aside):
+        # A former swap ended half-way: what it moved aside is live if nothing else is.
+        if spark.catalog.tableExists(live):
+            spark.sql(f"DROP TABLE {aside}")
+        else:
+            spark.sql(f"ALTER TABLE {aside} RENAME TO {live}")
+    had_one = spark.catalog.tableExists(live)
+    if had_one:
+        spark.sql(f"ALTER TABLE {live} RENAME TO {aside}")
+    try:
+        spark.sql(f"ALTER TABLE {staged} RENAME TO {live}")
+    except Exception:
+        if had_one:
+            spark.sql(f"ALTER TABLE {aside} RENAME TO {live}")
+        raise
+    if had_one:
+        spark.sql(f"DROP TABLE {aside}")
 
 
 def write_bucketed(
@@ -86,6 +135,17 @@ def write_bucketed(
     writer.bucketBy(buckets, key).sortBy(sort).saveAsTable(table)
 
 
+def column_statistics(spark: SparkSession, table: str, columns) -> DataFrame:
+    """What ANALYZE found out about columns: (column, statistic, value)."""
+    out = None
+    for column in columns:
+        rows = spark.sql(f"DESCRIBE EXTENDED {table} `{column}`").selectExpr(
+            f"'{column}' AS column", "info_name AS statistic", "info_value AS value"
+        )
+        out = rows if out is None else out.unionByName(rows)
+    return out.where("statistic IN ('min', 'max', 'num_nulls', 'distinct_count')")
+
+
 def analyze(spark: SparkSession, table: str) -> DataFrame:
     """Compute statistics of all columns and describe the table."""
     spark.sql(f"ANALYZE TABLE {table} COMPUTE STATISTICS FOR ALL COLUMNS")

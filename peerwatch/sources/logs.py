@@ -5,14 +5,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from peerwatch.schema import LOG, LOG_PARTITIONS
+from peerwatch.schema import LOG
 
 
 def write_log(
     log: DataFrame,
     path: str,
     *,
-    partition_by=LOG_PARTITIONS,
+    partition_by=("f31",),
     mode: str = "append",
     files: int | None = None,
     rebalance: bool = False,
@@ -22,8 +22,9 @@ def write_log(
 
     ``files`` merges tasks down to that number without a shuffle.
     ``rebalance`` shuffles by partition value towards even file sizes: small
-    partitions share a task and a large one is split over many.  Partition by
-    the column batches filter on (``f31``) to let them skip whole folders.
+    partitions share a task and a large one is split over many.  The default
+    partition column is the one that batches filter on, so that they skip
+    whole folders; ``cp`` and ``ld`` are ordinary columns.
     """
     if rebalance:
         log = log.hint("rebalance", *partition_by)

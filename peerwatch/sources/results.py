@@ -1,8 +1,10 @@
 """The stored detection result: one folder per batch, replaced as a whole.
 
 Running a batch again must leave exactly its new rows, also when there are
-fewer of them or none.  Replacement is Spark's own partition overwrite, so
-there is no separate drop that could be lost between two steps.
+fewer of them or none, in any session and for any bucket format.  New rows are
+first written aside, so a detection that fails leaves the former batch as it
+was; then the batch's folder is overwritten with them.  A failure in that
+short last step leaves the batch without rows until it is run again.
 """
 
 from py4j.protocol import Py4JJavaError
@@ -11,10 +13,9 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from peerwatch.schema import RESULT, RESULT_PARTITIONS
+from peerwatch.session import remove_folder, work_folder
 from peerwatch.sources.logs import empty
 
-_HIVE_NULL = "__HIVE_DEFAULT_PARTITION__"
-
 
 def observed(observation: Observation) -> dict:
     """The observed values, or none of them if the rows were found to be
@@ -57,52 +58,41 @@ class ResultStore:
             *RESULT_PARTITIONS
         ).parquet(self.path)
 
-    def replace_batch(self, rows: DataFrame, batch_id: int) -> None:
-        """Make ``rows`` the whole content of one batch."""
-        own = rows.where(F.col("ad") == F.lit(int(batch_id))).select(*[c for c in RESULT.names if c != "ad"])
-        balanced = own.hint("rebalance", "bd")
-        self._writer(balanced, "overwrite").partitionBy("bd").parquet(f"{self.path}/ad={int(batch_id)}")
-
-    def replace_batches(self, rows: DataFrame, batch_ids) -> None:
-        """Make ``rows`` the whole content of many batches, in one write.
+    def replace_batch(self, rows: DataFrame, batch_id: int) -> bool:
+        """Make ``rows`` the whole content of one batch; rows of others are
+        left out.  True if the batch had rows before."""
+        return bool(self.replace_batches(rows.where(F.col("ad") == F.lit(int(batch_id))), [batch_id]))
 
-        Partitions with new rows are overwritten by the write.  Those that a
-        former run filled and this one does not are emptied afterwards; there
-        are none in a first run.  Readers meet old or new rows, never a gap.
-        """
+    def replace_batches(self, rows: DataFrame, batch_ids) -> set[int]:
+        """Make ``rows`` the whole content of many batches, from one pass over
+        them.  Returns the batches that had rows before."""
         wanted = [int(b) for b in batch_ids]
-        before = self._partitions(wanted)
         ad = F.col("ad")
         checked = F.when(ad.isin(wanted), ad).otherwise(
             F.raise_error(F.concat(F.lit("row of a batch that is not replaced: "), ad.cast("string"))).cast("bigint")
         )
-        # The set of written partitions comes with the write itself, so the
-        # rows are computed once.
-        written = Observation()
-        marked = rows.withColumn("ad", checked).observe(
-            written, F.collect_set(F.concat_ws("/", F.col("ad").cast("string"), "bd")).alias("pairs")
-        )
-        self.overwrite_partitions(marked)
-        if before:
-            fresh = set(observed(written).get("pairs", ()))
-            self._empty({(ad, bd) for ad, bd in before if "/".join([str(ad)] + [bd] * (bd is not None)) not in fresh})
+        staged = work_folder(self.spark)
+        self._writer(self._by_partition(rows.withColumn("ad", checked)), "overwrite").parquet(staged)
+        before = self.filled(wanted)
+        self._clear(before)
+        self.append(self.spark.read.schema(RESULT).parquet(staged))
+        remove_folder(self.spark, staged)
+        return before
 
     def clear_batches(self, batch_ids) -> None:
-        """Empty every filled partition of the batches."""
-        self._empty(self._partitions(batch_ids))
-
-    def _partitions(self, batch_ids) -> set:
-        """Filled (``ad``, ``bd``) pairs of some batches: partition values
-        only, no column is read."""
-        pairs = self.read_batches(batch_ids).select("ad", "bd").distinct().collect()
-        return {(r["ad"], r["bd"]) for r in pairs}
-
-    def _empty(self, pairs) -> None:
-        inner = RESULT.names[: -len(RESULT_PARTITIONS)]
-        nothing = empty(self.spark, RESULT).select(*inner)
-        for ad, bd in sorted(pairs, key=str):
-            value = _HIVE_NULL if bd is None else bd
-            self._writer(nothing, "overwrite").parquet(f"{self.path}/ad={ad}/bd={value}")
+        """Leave no row of the batches."""
+        self._clear(self.filled(batch_ids))
+
+    def filled(self, batch_ids) -> set[int]:
+        """Those of some batches that have rows: partition values only, at
+        most one row for each batch."""
+        return {r["ad"] for r in self.read_batches(batch_ids).select("ad").distinct().collect()}
+
+    def _clear(self, batch_ids) -> None:
+        """Overwrite the folders of whole batches, whatever buckets are in them."""
+        nothing = empty(self.spark, RESULT).drop("ad")
+        for ad in sorted(batch_ids):
+            self._writer(nothing, "overwrite").partitionBy("bd").parquet(f"{self.path}/ad={ad}")
 
     @staticmethod
     def _by_partition(rows: DataFrame) -> DataFrame:
@@ -111,4 +101,6 @@ class ResultStore:
 
     @staticmethod
     def _writer(rows: DataFrame, mode: str):
-        return rows.write.mode(mode)
+        """An overwrite replaces all of its path, also where the session overwrites
+        single partitions."""
+        return rows.write.mode(mode).option("partitionOverwriteMode", "static")

@@ -81,7 +81,7 @@ def test_predicates(spark):
 def test_large_sample_is_the_smallest_digests(spark):
     rows = spark.range(30_000).selectExpr("id", "concat('n', id) name")
     whole = rows.withColumn("d", sample.random_order(9, ["id", "name"])).orderBy("d", "id").select("id", "name")
-    n = sample.TOP_K_ROWS + 777
+    n = 10_777
     assert rows_of(sample.seeded_sample(rows, n, seed=9)) == rows_of(whole.limit(n))
     assert rows_of(sample.seeded_sample(rows, 50, seed=9)) == rows_of(whole.limit(50))
     assert sample.seeded_sample(rows, 40_000, seed=9).count() == 30_000
