@@ -116,19 +116,23 @@ def near_lines(spark: SparkSession, docs: DataFrame, *, percent: int = PERCENT)
     # Of lines with one set all but the first are removed.
     firsts = sets.groupBy("s1", "s2").agg(F.min("at").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
     again = written(spark, sets.select("s1", "s2", "at").join(firsts, ["s1", "s2"]).where("at > first").select("at"), "again")
-    rows = sets.select(F.posexplode("prefix").alias("j", "w"), "at", "n", "sketch")
+    rows = sets.select(F.posexplode("prefix").alias("j", "w"), "at", "n", "sketch", "s1")
+    # Lines with one set have one prefix, so at every word the first of them is there, too: the others go.
+    copies = Window.partitionBy("w", "s1", "n", "sketch").orderBy("at")
+    rows = rows.withColumn("copy", F.row_number().over(copies)).where("copy = 1").drop("copy", "s1")
     word = Window.partitionBy("w")
-    # The earliest line at a word; the count leaves out words that no other line has.
-    met = rows.withColumns({"low": F.min(F.struct("at", "n", "sketch", "j")).over(word), "high": F.max("at").over(word)})
-    met = met.where("low.at < high").join(again, "at", "left_anti")
-    met = written(spark, met.select("w", "at", "n", "sketch", "j", F.when(F.col("low.at") < F.col("at"), F.col("low")).alias("low")), "met")
-    near_first = met.where("low is not null").where(_can_match("n", "low.n", "j", "low.j", "sketch", "low.sketch", percent))
-    near_first = written(spark, near_first.select("at", F.col("low.at").alias("by")).distinct(), "near_first")
+    # The earliest line at a word, and how many there are.
+    met = rows.withColumns({"low": F.min(F.struct("at", "n", "sketch", "j")).over(word), "many": F.count("*").over(word)})
+    near = F.expr(_can_match("n", "low.n", "j", "low.j", "sketch", "low.sketch", percent))
+    # Of two lines at a word the later is compared with the earlier; only three or more can give other pairs.
+    met = met.where("at > low.at").withColumn("near", near).where("near or many > 2")
+    met = written(spark, met.select("w", "at", "n", "sketch", "j", "near", "many", F.col("low.at").alias("low")), "met")
+    near_first = written(spark, met.where("near").select("at", F.col("low").alias("by")).distinct(), "near_first")
     found = written(spark, _verified(spark, placed, bits, near_first, percent), "found")
-    left = met.where("low is not null").join(found, "at", "left_anti")
-    left = left.select("w", "at", "n", "sketch", "j", F.col("low.at").alias("low"))
+    met = met.where("many > 2")
+    left = met.join(found, "at", "left_anti").select("w", "at", "n", "sketch", "j")
     others = met.select("w", *(F.col(c).alias(f"y_{c}") for c in ("at", "n", "sketch", "j")))
-    pairs = left.join(others, "w").where("y_at < at and y_at != low").where(_can_match("n", "y_n", "j", "y_j", "sketch", "y_sketch", percent))
+    pairs = left.join(others, "w").where("y_at < at").where(_can_match("n", "y_n", "j", "y_j", "sketch", "y_sketch", percent))
     pairs = written(spark, pairs.select("at", F.col("y_at").alias("by")).distinct(), "pairs")
     more = written(spark, _verified(spark, placed, bits, pairs, percent), "more")
     gone = again.union(found).union(more).select((F.expr(f"at >> {bits}")).alias("p"), F.expr(f"cast(at & {(1 << bits) - 1} as int)").alias("line_no"))
