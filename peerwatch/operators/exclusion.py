@@ -30,7 +30,7 @@ def without_listed(df: DataFrame, exclusion: DataFrame, column: str, *, broadcas
 
     Without broadcast ids are made distinct map-side, so a much repeated one
     is a single row, and a hot sender is split by Spark's skew join.  Rows
-    without a number match nothing and stay out of the shuffle.
+    without a number match nothing; they are dealt out by their other values.
     """
     ids = exclusion.select(F.col("id").cast("bigint").alias("_excluded"))
     if broadcast is None:
@@ -39,6 +39,6 @@ def without_listed(df: DataFrame, exclusion: DataFrame, column: str, *, broadcas
     if broadcast:
         return df.join(F.broadcast(ids), key == F.col("_excluded"), "left_anti")
 
-    ids = ids.where(F.col("_excluded").isNotNull()).distinct()
-    numbered = df.where(key.isNotNull()).join(ids, key == F.col("_excluded"), "left_anti")
-    return numbered.unionByName(df.where(key.isNull()))
+    ids = ids.where(F.col("_excluded").isNotNull()).distinct().withColumn("_number", F.lit(True))
+    place = F.coalesce(key, F.xxhash64(*df.columns))
+    return df.join(ids, (place == F.col("_excluded")) & (key.isNotNull() == F.col("_number")), "left_anti")

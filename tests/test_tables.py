@@ -133,7 +133,11 @@ def test_log_files(spark, make_log, folder):
     write_log(log.repartition(6), f"{folder}/a", files=2)
     write_log(log.repartition(6), f"{folder}/a", files=2)
     back = read_log(spark, f"{folder}/a")
-    assert back.schema == log.schema and back.count() == 120
+    assert sorted(back.dtypes) == sorted(log.dtypes) and back.count() == 120
+    from test_detect import plan_of
+
+    plan = plan_of(back.where("f31 >= 2023032301 and f31 < 2023032302"))
+    assert "PartitionFilters: [isnotnull(f31" in plan
     assert back.select(F.col("_metadata.file_path")).distinct().count() <= 12
     write_log(log.repartition(6), f"{folder}/b", partition_by=("f31",), rebalance=True)
     even = read_log(spark, f"{folder}/b")
@@ -181,8 +185,12 @@ def test_jobs_and_reruns(spark, make_log, folder):
 
     metrics = tables.read_metrics()
     bulk = metrics.where("job = 'bulk'").collect()
-    assert [(r["batchId"], r["rows_in"], r["rows_out"]) for r in bulk] == [(2023032306, 72, 6)] * 2
+    assert [(r["batchId"], r["rows_in"], r["rows_out"]) for r in bulk] == [(2023032306, 144, 6)] * 2
     assert metrics.where("job = 'hours'").count() == 24 * 3
+    assert metrics.where("job = 'latest'").count() == metrics.where("job = 'seen'").count() == 5
+    assert tables.batch_log.read().groupBy("batchId").count().where("count > 1").isEmpty()
+    assert rows_of(tables.latest.read(), "f02", "bd") == [("1", "2023-03-23-05")]
+    assert rows_of(tables.seen.read(), "f02", "f_date", "l_date") == [("1", "2023-03-23-00", "2023-03-23-05")]
     assert metrics.where("millis < 0 or rows_out > rows_in").count() == 0
 
 
@@ -197,3 +205,18 @@ def test_stream_equals_the_batches(spark, make_log, folder):
     want = mass_senders(log, listed, (2023032300, 2023032400), batch_ids=HOURLY).where("ad < 2023032400")
     got = ResultStore(spark, f"{folder}/out").read().select(*BATCH.names)
     assert rows_of(got) == rows_of(want) and got.count() > 5
+
+
+def test_swap_by_name_keeps_the_live_table(spark):
+    catalog.use_database(spark, "peerwatch_swap")
+    catalog.reset(spark, "peerwatch_swap", ("live", "staged", "live_replaced"))
+    live, staged = "peerwatch_swap.live", "peerwatch_swap.staged"
+    catalog.create_table_as(spark.range(3), live)
+    with pytest.raises(LookupError):
+        catalog.swap(spark, staged, live)
+    assert spark.table(live).count() == 3
+    # A swap that ended between its two renames is put right by the next one.
+    spark.sql(f"ALTER TABLE {live} RENAME TO {live}_replaced")
+    catalog.create_table_as(spark.range(5), staged)
+    catalog.swap(spark, staged, live)
+    assert spark.table(live).count() == 5 and not spark.catalog.tableExists(f"{live}_replaced")
