@@ -298,7 +298,12 @@ def _parts(html: str) -> tuple[str, list[str], list[str]] | None:
 def train(spark: SparkSession, pages: DataFrame, *, sample: int = SAMPLE) -> Model:
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("html").cast("string").alias("html"))
     rows = rows.where(F.contains(F.col("html"), F.lit("<article")) & (F.length("html") <= SAMPLE_CHARS))
-    picked = rows.orderBy(F.xxhash64("page_id", F.lit("html")), "page_id", F.xxhash64("html")).limit(sample).collect()
+    # First the places in the order, then the pages: only those of the sample leave their tasks.
+    place = ["page_id", F.xxhash64("page_id", F.lit("html")).alias("p"), F.xxhash64("html").alias("h")]
+    first = rows.select(*place).orderBy("p", "page_id", "h").limit(sample)
+    first = F.broadcast(first.select(F.col("p").alias("p1"), F.col("h").alias("h1")).distinct())
+    chosen = rows.select(*place, "html").join(first, F.expr("p = p1 and h = h1"), "left_semi")
+    picked = sorted(chosen.dropDuplicates(["p", "page_id", "h"]).select("p", "page_id", "h", "html").collect(), key=lambda r: (r.p, r.h))
     model, plain = Model(), ("Some title", ["A long line of plain words about something that happened. " * n for n in (1, 2, 4)], ["short words"])
     for r in picked:
         if parts := _parts(r.html):
