@@ -17,12 +17,12 @@ id are one item; other columns are not touched.
 
 from __future__ import annotations
 
-import hashlib
 import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -53,9 +53,10 @@ class _Kinds(dict):
             self.clear()
         inner = word.strip(_EDGES)
         low = inner.lower()
-        if _NUMBER.fullmatch(inner):
+        figures = not inner.isalpha()
+        if figures and _NUMBER.fullmatch(inner):
             found = (NUMBER,), (inner,), False
-        elif (m := _MEASURE.fullmatch(inner)) and m[2].lower() in UNITS:
+        elif figures and (m := _MEASURE.fullmatch(inner)) and m[2].lower() in UNITS:
             found = (NUMBER, UNIT), (m[1], m[2].lower()), False
         elif low in UNITS:
             found = (UNIT,), (low,), False
@@ -84,21 +85,56 @@ class _Hashes(dict):
     def __missing__(self, word):
         if len(self) >= SEEN_WORDS:
             self.clear()
-        value = self[word] = int.from_bytes(hashlib.blake2b(word.encode("utf-8", "replace"), digest_size=8).digest(), "little")
+        # The lowest bits are left to flags.
+        value = self[word] = xxhash.xxh64_intdigest(word.encode("utf-8", "replace")) & ~7
         return value
 
 
-def window_hashes(words: list[str], size: int, hashes: _Hashes) -> np.ndarray:
-    """A hash of every window; 0 where it has too few plain words."""
-    if len(words) < size:
+class _Codes(dict):
+    """Hash of the template word of a word, without its lowest bits: 1 for a capital, 2 for an end of sentence, 4 if the
+    word is not just one template word."""
+
+    def __init__(self, kinds: _Kinds, hashes: _Hashes):
+        super().__init__()
+        self.kinds, self.hashes = kinds, hashes
+
+    def __missing__(self, word):
+        if len(self) >= SEEN_WORDS:
+            self.clear()
+        template_words, _, capital, ends = self.kinds[word]
+        plain = self.hashes[template_words[0]] if len(template_words) == 1 else 0
+        code = self[word] = plain | capital | ends << 1 | (len(template_words) != 1) << 2
+        return code
+
+
+def template_hashes(text: str, codes: _Codes) -> np.ndarray:
+    """The hashes of the template words of a text, mostly without a step for each word in Python."""
+    lines = [line.split() for line in text.splitlines()]
+    words = [w for line in lines for w in line]
+    if not words:
+        return np.empty(0, np.uint64)
+    each = np.fromiter(map(codes.__getitem__, words), np.uint64, len(words))
+    if (each & np.uint64(4)).any():
+        words = template(text, codes.kinds)[0]
+        return np.fromiter(map(codes.hashes.__getitem__, words), np.uint64, len(words))
+    starts = np.concatenate(([True], (each[:-1] & np.uint64(2)) != 0))
+    first = np.cumsum([0, *map(len, lines[:-1])])
+    starts[first[first < len(words)]] = True
+    names = ((each & np.uint64(1)) != 0) & ~starts
+    return np.where(names, np.uint64(codes.hashes[NAME]), each & ~np.uint64(7))
+
+
+def window_hashes(each: np.ndarray, size: int, hashes: _Hashes) -> np.ndarray:
+    """A hash of every window of template hashes; 0 where it has too few plain words."""
+    if len(each) < size:
         return np.empty(0, np.uint64)
-    each = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
-    plain = np.cumsum([0, *(w[0] != "<" or w not in (NUMBER, UNIT, NAME) for w in words)])
-    n = len(words) - size + 1
+    slot = (each == hashes[NUMBER]) | (each == hashes[UNIT]) | (each == hashes[NAME])
+    slots = np.concatenate(([0], np.cumsum(slot)))
+    n = len(each) - size + 1
     out = np.full(n, size, np.uint64)
     for i in range(size):
-        out = _mixed(out * np.uint64(0x100000001B3) + each[i : n + i])
-    return np.where(plain[size:] - plain[:-size] >= LITERALS, out | np.uint64(1), np.uint64(0))
+        out = out * np.uint64(0x9E3779B97F4A7C15) + each[i : n + i]
+    return np.where(size - (slots[size:] - slots[:-size]) >= LITERALS, _mixed(out) | np.uint64(1), np.uint64(0))
 
 
 WINDOWS = "id long, twin long, pos int, hash long, words string, slots array<string>"
@@ -109,17 +145,21 @@ def _windows(rows: DataFrame, sizes: list[int] | None, bits: np.ndarray | None)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds, hashes = _Kinds(), _Hashes()
+        codes = _Codes(kinds, hashes)
         for batch in batches:
             out = []
             for row_id, twin, value in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
-                words, values = template(value.as_py(), kinds)
-                for size in sizes or [min(WINDOW, max(1, len(words)))]:
-                    hashed = window_hashes(words, size, hashes)
+                text, words = value.as_py(), None
+                each = template_hashes(text, codes)
+                for size in sizes or [min(WINDOW, max(1, len(each)))]:
+                    hashed = window_hashes(each, size, hashes)
                     keep = hashed != 0
                     if bits is not None:
                         at = hashed % np.uint64(BITS)
                         keep &= (bits[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) == 1
                     for pos in np.flatnonzero(keep):
+                        if words is None:
+                            words, values = template(text, kinds)
                         slots = [v for v in values[pos : pos + size] if v is not None]
                         out.append((row_id, twin, int(pos), int(hashed[pos : pos + 1].view(np.int64)[0]), " ".join(words[pos : pos + size]), slots))
                 if len(out) >= 5_000:

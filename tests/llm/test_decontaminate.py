@@ -90,3 +90,18 @@ def test_empty_tables(spark, folder):
     docs.limit(0).write.parquet(f"{folder}/documents.parquet")
     items.write.parquet(f"{folder}/benchmark.parquet")
     assert op7_decontaminate(spark, folder).count() == 0
+
+
+def test_hashes_are_those_of_the_template():
+    import numpy as np
+
+    from peerwatch.llm.decontaminate import _Codes, _Hashes, template_hashes
+
+    rng = random.Random(9)
+    kinds, hashes = _Kinds(), _Hashes()
+    codes = _Codes(kinds, hashes)
+    parts = ["Tom", "tom.", "5kg", "...", "12", "km", "\n", "\n\n", "End!", "É", "a", "—", '"Quote."', " ", " ", "USA"]
+    for _ in range(2_000):
+        text = " ".join(rng.choice(parts) for _ in range(rng.randrange(20)))
+        assert template_hashes(text, codes).tolist() == [hashes[w] for w in template(text, kinds)[0]]
+    assert np.uint64(hashes[NAME]) & np.uint64(7) == 0
