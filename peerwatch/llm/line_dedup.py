@@ -24,12 +24,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from peerwatch.llm.common import table, text_of, written
+from peerwatch.llm.common import in_bit_table, table, text_of, written
 
 LEAST_WORDS = 5
 PERCENT = 80
 BUCKETS = 1 << 16
-BITS = 1 << 20
 NONE = (1 << 63) - 1
 
 
@@ -148,21 +147,10 @@ def _can_match(n: str, m: str, i: str, j: str, a: str, b: str, percent: int) ->
     )
 
 
-def _flagged(ids: DataFrame, value: Column) -> Column:
-    """True if the value is a d of ``ids``, and for few others: one literal of fixed size."""
-    place = F.pmod(F.xxhash64(value), F.lit(BITS))
-    words = ids.select(F.expr(f"cast(pmod(xxhash64(d), {BITS}) div 64 as int)").alias("at"), F.expr(f"shiftleft(1L, cast(pmod(xxhash64(d), {BITS}) % 64 as int))").alias("bit"))
-    found = {r["at"]: r.bits for r in words.groupBy("at").agg(F.bit_or("bit").alias("bits")).collect()}
-    bits = F.split(F.lit(",".join(str(found.get(i, 0)) for i in range(BITS // 64))), ",").cast("array<bigint>")
-    at = F.call_function("shiftright", place, F.lit(6)).cast("int")
-    word = F.element_at(bits, at + 1)
-    return F.call_function("shiftright", word, F.pmod(place, F.lit(64)).cast("int")).bitwiseAND(F.lit(1).cast("long")) == 1
-
-
 def _verified(spark: SparkSession, placed: DataFrame, bits: int, pairs: DataFrame, percent: int) -> DataFrame:
     """The lines ``at`` of pairs (at, by) that are similar in their words."""
     both = pairs.select(F.explode(F.array("at", "by")).alias("at")).distinct()
-    holders = placed.where(_flagged(both.select(F.expr(f"at >> {bits}").alias("d")), F.col("p")))
+    holders = placed.where(in_bit_table(both.select(F.expr(f"at >> {bits}").alias("p")), "p", F.col("p")))
     lines = _lines(holders, bits).select("at", F.array_distinct(_words(F.col("line"))).alias("words"))
     texts = written(spark, lines.join(both, "at").distinct(), "texts")
     by = texts.select(F.col("at").alias("by"), F.col("words").alias("other"))
@@ -184,7 +172,7 @@ def clean_documents(spark: SparkSession, docs: DataFrame, *, percent: int = PERC
     keyed = with_keys(docs).select(*(F.col(f"`{c}`").alias(n) for c, n in named.items()), "d", "h", "t")
     gone = near_lines(spark, docs, percent=percent).distinct().groupBy("d", "h").agg(F.collect_set("line_no").alias("gone"))
     gone = written(spark, gone, "gone")
-    touched = _flagged(gone.select("d"), F.col("d"))
+    touched = in_bit_table(gone, "d", F.col("d"))
     lines = F.split("t", "\n", -1)
     number = F.when(F.length("t") > 0, F.size(lines)).otherwise(0)
     same = keyed.where(~touched).select(*named.values(), F.col("t").alias("new"), number.alias("n_lines"), F.lit(0).alias("n_removed"))

@@ -33,10 +33,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from peerwatch.llm.common import classes, table, text_of, written
+from peerwatch.llm.common import classes, in_bit_table, table, text_of, written
 
 SEEN_WORDS = 500_000
 PART_BITS = 64
+#: Words of 64 bits of the short sketch that pairs are first compared by.
+SHORT = 8
 #: n-grams that a part must have to be used by itself.
 FULL_PART = 2
 
@@ -126,20 +128,21 @@ def sketch_keys(hashed: np.ndarray, bands: Bands) -> np.ndarray:
 
 
 def _sets(rows: DataFrame, n: int) -> DataFrame:
-    """n_shingles and a 128-bit name of the set for each row (rid, doc_id, text)."""
+    """n_shingles, a 128-bit name and the sketch of the set for each row (rid, doc_id, text)."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = _Hashes()
         for batch in batches:
-            sizes, names = [], []
+            sizes, names, sketches = [], [], []
             for value in batch.column(2):
                 hashed = gram_hashes(value.as_py(), n, hashes)
                 sizes.append(len(hashed))
                 names.append(_name(hashed))
-            columns = [batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(names, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, ["rid", "doc_id", "n_shingles", "name"])
+                sketches.append(parity(hashed).tobytes())
+            columns = [batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(names, pa.binary()), pa.array(sketches, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["rid", "doc_id", "n_shingles", "name", "sketch"])
 
-    return rows.mapInArrow(work, "rid long, doc_id long, n_shingles long, name binary")
+    return rows.mapInArrow(work, "rid long, doc_id long, n_shingles long, name binary, sketch binary")
 
 
 def _name(hashed: np.ndarray) -> bytes:
@@ -184,7 +187,7 @@ def _pairs(keys, ids) -> pa.RecordBatch:
 
 def parity(hashed: np.ndarray) -> np.ndarray:
     """The whole set as one sketch, two bits or more for each n-gram (within bounds); halves XORed are the shorter sketch."""
-    bits = min(max(256, 1 << int(2 * len(hashed)).bit_length()), 1 << 16)
+    bits = min(max(64 * SHORT, 1 << int(2 * len(hashed)).bit_length()), 1 << 16)
     place = _mixed(hashed, 977) % np.uint64(bits)
     out = np.zeros(bits // 64, np.uint64)
     np.bitwise_xor.at(out, (place >> np.uint64(6)).astype(np.int64), np.uint64(1) << (place & np.uint64(63)))
@@ -200,19 +203,6 @@ def may_link(a: np.ndarray, n_a: int, b: np.ndarray, n_b: int, percent: int) ->
     return int(np.bitwise_count(a ^ b).sum()) <= (100 - percent) * (n_a + n_b) // (100 + percent)
 
 
-def _sketches(texts: DataFrame, n: int) -> DataFrame:
-    """(rid, n, sketch) of rows (rid, text)."""
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = _Hashes()
-        for batch in batches:
-            found = [gram_hashes(v.as_py(), n, hashes) for v in batch.column(1)]
-            columns = [batch.column(0), pa.array([len(f) for f in found], pa.int64()), pa.array([parity(f).tobytes() for f in found], pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, ["rid", "n", "sketch"])
-
-    return texts.mapInArrow(work, "rid long, n long, sketch binary")
-
-
 def _possible(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) that their sketches do not rule out."""
 
@@ -269,7 +259,7 @@ def ngram_classes(spark: SparkSession, docs: DataFrame, *, n: int = 4, percent:
     least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id"))["doc_id"]
     named = found.where("n_shingles > 0").groupBy("name").agg(least.alias("first"), F.min("rid").alias("set"))
     named = written(spark, named, "named")
-    mapped = written(spark, found.join(named.drop("first"), "name", "left").drop("name"), "mapped")
+    mapped = written(spark, found.drop("sketch").join(named.drop("first"), "name", "left").drop("name"), "mapped")
     part = Window.partitionBy("key")
     met = _keys(rows, n, percent)
     met = met.withColumns({"low": F.min("rid").over(part), "high": F.max("rid").over(part)})
@@ -277,15 +267,23 @@ def ngram_classes(spark: SparkSession, docs: DataFrame, *, n: int = 4, percent:
     sets = met.join(mapped.select("rid", "set"), "rid").select("key", "set").distinct()
     sets = sets.withColumns({"low": F.min("set").over(part), "high": F.max("set").over(part)})
     sets = written(spark, sets.where("low < high").select("key", "set", "low"), "shared")
-    known = written(spark, rows.join(sets.select(F.col("set").alias("rid")).distinct(), "rid").select("rid", "text"), "texts")
+    # The sketches of all sets that meet another.
+    members = sets.select(F.col("set").alias("rid")).distinct()
+    sketches = found.select("rid", F.col("n_shingles").alias("n"), "sketch").join(members, "rid", "left_semi")
+    sketches = written(spark, sketches, "sketches")
     pivots = sets.groupBy("set").agg(F.min("low").alias("a")).where("set != a").select("a", F.col("set").alias("b"))
-    sketches = written(spark, _sketches(known, n), "sketches")
-    check = lambda pairs: _verified(written(spark, _possible(pairs, sketches, percent), "possible"), known, n, percent)
+
+    def check(pairs: DataFrame) -> DataFrame:
+        possible = written(spark, _possible(pairs, sketches, percent), "possible")
+        ids = possible.select(F.explode(F.array("a", "b")).alias("rid")).distinct()
+        texts = rows.where(in_bit_table(ids, "rid", F.col("rid"))).join(ids, "rid").select("rid", "text")
+        return _verified(possible, written(spark, texts, "texts"), n, percent)
+
     links = written(spark, check(pivots), "links")
     root = classes(spark, links)
     placed = sets.select("key", "set").join(root, sets["set"] == root["node"], "left")
     placed = written(spark, placed.select("key", "set", F.coalesce("root", "set").alias("root")), "placed")
-    more = written(spark, check(_between_classes(placed)), "more")
+    more = written(spark, check(_between_classes(spark, placed, sketches, percent)), "more")
     root = classes(spark, links.union(more))
     whole = named.join(root, named["set"] == root["node"], "left")
     whole = written(spark, whole.select("set", "first", F.coalesce("root", "set").alias("class")), "whole")
@@ -296,15 +294,36 @@ def ngram_classes(spark: SparkSession, docs: DataFrame, *, n: int = 4, percent:
     return out.select("doc_id", "n_shingles", in_class.alias("component_id"))
 
 
-def _between_classes(placed: DataFrame) -> DataFrame:
-    """All pairs (a, b) that share a key and are in different classes, from rows (key, set, root)."""
+def _short(sketches: DataFrame) -> DataFrame:
+    """(set, n, q0, q1, ...): the sketches folded to SHORT words."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            folded = [np.bitwise_xor.reduce(np.frombuffer(v.as_py(), np.int64).reshape(-1, SHORT), axis=0) for v in batch.column(2)]
+            words = np.stack(folded, axis=1) if folded else np.empty((SHORT, 0), np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(pa.array(w) for w in words)], ["set", "n", *(f"q{i}" for i in range(SHORT))])
+
+    return sketches.mapInArrow(work, "set long, n long, " + ", ".join(f"q{i} long" for i in range(SHORT)))
+
+
+def _between_classes(spark: SparkSession, placed: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """All pairs (a, b) that share a key and are in different classes, from rows (key, set, root).
+
+    Those that their sizes or short sketches rule out are left out at once.
+    """
     counts = placed.groupBy("key", "root").agg(F.count("*").alias("n"))
     most = counts.groupBy("key").agg(F.count("*").alias("classes"), F.max(F.struct("n", "root"))["root"].alias("largest"))
-    open_ = placed.join(most.where("classes > 1"), "key")
-    left = open_.where("root != largest").select("key", F.col("set").alias("x"), F.col("root").alias("rx"))
-    right = open_.select("key", F.col("set").alias("y"), F.col("root").alias("ry"), (F.col("root") == F.col("largest")).alias("in_largest"))
+    open_ = placed.join(most.where("classes > 1"), "key").join(_short(sketches), "set")
+    open_ = written(spark, open_.drop("classes"), "open")
+    words = [f"q{i}" for i in range(SHORT)]
+    side = lambda c: ["key", F.col("set").alias(c), *(F.col(o).alias(f"{c}_{o}") for o in ("root", "n", *words))]
+    left = open_.where("root != largest").select(*side("x"))
+    right = open_.select(*side("y"), (F.col("root") == F.col("largest")).alias("in_largest"))
     # Pairs of two that are both outside the largest class are taken once.
-    pairs = left.join(right, "key").where("rx != ry and (in_largest or x < y)")
+    pairs = left.join(right, "key").where("x_root != y_root and (in_largest or x < y)")
+    pairs = pairs.where(f"100 * least(x_n, y_n) >= {percent} * greatest(x_n, y_n)")
+    distance = " + ".join(f"bit_count(x_{q} ^ y_{q})" for q in words)
+    pairs = pairs.where(f"{100 + percent} * ({distance}) <= {100 - percent} * (x_n + y_n)")
     return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
