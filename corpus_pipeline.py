@@ -22,7 +22,7 @@ from pyspark.sql.window import Window
 from peerwatch.llm.bpe import encode_documents
 from peerwatch.llm.common import table, written
 from peerwatch.llm.decontaminate import without_contaminated
-from peerwatch.llm.line_dedup import clean_documents, with_keys
+from peerwatch.llm.line_dedup import clean_documents
 from peerwatch.llm.ngram_join import ngram_classes
 from peerwatch.llm.quality import selected_documents
 
@@ -34,10 +34,11 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    named = docs.withColumn("text", F.col("text").cast("string"))
-    cleaned = clean_documents(spark, named)
+    # Columns that have the names of the counts come back under their own names.
+    aside = {c: f"documents_{c}" for c in ("n_lines", "n_removed") if c in docs.columns}
+    cleaned = clean_documents(spark, docs.withColumnsRenamed(aside).withColumn("text", F.col("text").cast("string")))
     left = (F.col("n_removed") == 0) | F.rlike("text", F.lit(r"\S"))
-    return cleaned.where(left).select(*docs.columns)
+    return cleaned.where(left).select(*(F.col(aside.get(c, c)).alias(c) for c in docs.columns))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -49,8 +50,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     repeated = docs.groupBy("doc_id").count().where("count > 1").limit(1)
     if repeated.isEmpty():
         return kept
-    first = Window.partitionBy("d", "h").orderBy(F.lit(1))
-    return with_keys(kept).withColumn("place", F.row_number().over(first)).where("place = 1").select(*docs.columns)
+    first = Window.partitionBy("doc_id", F.xxhash64("text")).orderBy(F.lit(1))
+    return kept.withColumn("place_of_row", F.row_number().over(first)).where("place_of_row = 1").select(*docs.columns)
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
