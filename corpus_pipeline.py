@@ -4,7 +4,7 @@ Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written
 stage.  All but the last return the columns of the documents they were given.
 
 1. quality: documents that the quality classifier does not select go.
-2. lines: near-duplicate lines go; documents that lose their last non-blank line go with them.
+2. lines: near-duplicate lines of any length go; documents that lose their last non-blank line go with them.
 3. near_duplicates: of each class of near duplicates (five-word shingles, Jaccard 0.8 or more) the smallest id stays.
 4. benchmark: documents that hold a benchmark item, word for word or with other parameters, go.
 5. tokens: the remaining documents as token ids, with digests of the ids and of the text decoded from them.
@@ -36,7 +36,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     # Columns that have the names of the counts come back under their own names.
     aside = {c: f"documents_{c}" for c in ("n_lines", "n_removed") if c in docs.columns}
-    cleaned = clean_documents(spark, docs.withColumnsRenamed(aside).withColumn("text", F.col("text").cast("string")))
+    # Short lines, too: menus, buttons and licence lines of a source are often of one to four words.
+    cleaned = clean_documents(spark, docs.withColumnsRenamed(aside).withColumn("text", F.col("text").cast("string")), least=1)
     left = (F.col("n_removed") == 0) | F.rlike("text", F.lit(r"\S"))
     return cleaned.where(left).select(*(F.col(aside.get(c, c)).alias(c) for c in docs.columns))
 

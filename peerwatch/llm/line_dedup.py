@@ -1,7 +1,7 @@
 """Operator 2: near-duplicate lines by an exact set-similarity join; DataFrame functions only.
 
-The set of a line is its distinct words; lines of fewer than ``LEAST_WORDS`` distinct words are too short to be a copy of
-anything and are left alone.  A line is removed if an earlier line (smaller doc_id, then smaller line number) has a Jaccard
+The set of a line is its distinct words; lines of fewer than ``least`` distinct words are left alone.  The query's SQL fixes five
+(``LEAST_WORDS``); the pipeline takes every line that is not blank.  A line is removed if an earlier line (smaller doc_id, then smaller line number) has a Jaccard
 similarity of at least ``percent``.
 
 Lines with equal sets are found by a 128-bit name.  The first line of each set goes into the join: its words are ordered by
@@ -14,7 +14,7 @@ Scale: a prefix is about a fifth of a line.  Each line is first compared with th
 the many variants of one line without their pairs; only lines that are left are compared with all others they meet.  Equal lines,
 however many, are one line in the join.  Documents without a removed line are not shuffled again (a bit table of fixed size tells them).
 
-Defined results: a null text counts as empty and has no lines; blank and short lines stay as they are; of rows that repeat an id, or have none, those with the
+Defined results: a null text counts as empty and has no lines; blank lines and those below ``least`` stay as they are; of rows that repeat an id, or have none, those with the
 smaller text hash come first, null ids last; rows equal in id and text are one row in this order, and lose the same lines; other columns are not touched.
 """
 
@@ -88,7 +88,7 @@ def _lines(placed: DataFrame, bits: int) -> DataFrame:
     return lines.select((F.shiftleft("p", bits) + F.col("line_no")).alias("at"), "line")
 
 
-def near_lines(spark: SparkSession, docs: DataFrame, *, percent: int = PERCENT) -> DataFrame:
+def near_lines(spark: SparkSession, docs: DataFrame, *, percent: int = PERCENT, least: int = LEAST_WORDS) -> DataFrame:
     """(d, h, line_no) of the lines to remove; d and h as of ``with_keys``."""
     placed, bits = _placed(spark, docs)
     lines = _lines(placed, bits)
@@ -100,7 +100,7 @@ def near_lines(spark: SparkSession, docs: DataFrame, *, percent: int = PERCENT)
             lambda w: F.shiftleft(F.element_at(rarity, (F.pmod(w, F.lit(BUCKETS)) + 1).cast("int")).cast("long"), 56).bitwiseOR(F.shiftrightunsigned(w, 8)),
         )
     )
-    sets = lines.select("at", _hashed(F.col("line")).alias("w")).where(F.size("w") >= LEAST_WORDS)
+    sets = lines.select("at", _hashed(F.col("line")).alias("w")).where(F.size("w") >= max(1, least))
     sets = sets.select("at", ordered.alias("w"))
     one_bit = lambda w: F.call_function("shiftleft", F.lit(1).cast("long"), w.bitwiseAND(F.lit(63).cast("long")).cast("int"))
     sets = sets.select(
@@ -165,12 +165,12 @@ def with_keys(docs: DataFrame) -> DataFrame:
     return docs.withColumns({"d": F.coalesce(F.col("doc_id").cast("long"), F.lit(NONE)), "h": F.xxhash64(text), "t": text})
 
 
-def clean_documents(spark: SparkSession, docs: DataFrame, *, percent: int = PERCENT) -> DataFrame:
+def clean_documents(spark: SparkSession, docs: DataFrame, *, percent: int = PERCENT, least: int = LEAST_WORDS) -> DataFrame:
     """All documents and columns, the text without its removed lines, and ``n_lines``, ``n_removed`` (clashing columns are replaced)."""
     plain = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
     named = {c: f"c{i}" for i, c in enumerate(plain)}
     keyed = with_keys(docs).select(*(F.col(f"`{c}`").alias(n) for c, n in named.items()), "d", "h", "t")
-    gone = near_lines(spark, docs, percent=percent).distinct().groupBy("d", "h").agg(F.collect_set("line_no").alias("gone"))
+    gone = near_lines(spark, docs, percent=percent, least=least).distinct().groupBy("d", "h").agg(F.collect_set("line_no").alias("gone"))
     gone = written(spark, gone, "gone")
     touched = in_bit_table(gone, "d", F.col("d"))
     lines = F.split("t", "\n", -1)

@@ -64,3 +64,20 @@ def test_an_id_with_two_texts(spark):
     assert got.count() == 3 and got.where("doc_id = 2").first().n_removed == 1
     # One of the equal first lines stays.
     assert sum("a b c d e" in (r.text or "") for r in got.collect()) == 1
+
+
+def test_short_lines(spark):
+    rng = random.Random(5)
+    rows = [(d, "\n".join(" ".join(line(rng, rng.randrange(7), 6)) for _ in range(6)), "x") for d in range(30)]
+    rows += [(100, "All rights reserved.", "x"), (101, "news\nreserved. All rights", "x"), (102, "a b c d e", "x"), (103, "a b c d", "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n_lines string")
+    got = clean_documents(spark, docs, least=1).select("doc_id", "text", "n_lines", "n_removed").collect()
+    assert sorted(repr(tuple(r)) for r in got) == brute(rows, least=1)
+    assert {r.doc_id: r.text for r in got if r.doc_id >= 100} == {100: "All rights reserved.", 101: "news", 102: "a b c d e", 103: ""}
+
+
+def test_the_pipeline_takes_short_lines(spark):
+    import corpus_pipeline
+
+    docs = spark.createDataFrame([(1, "Les.\nOne\n"), (2, "Les.\nTwo"), (3, "Les."), (4, "\n")], "doc_id long, text string")
+    assert {(r.doc_id, r.text) for r in corpus_pipeline.lines(spark, docs, "").collect()} == {(1, "Les.\nOne\n"), (2, "Two"), (4, "\n")}
