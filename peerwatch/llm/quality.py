@@ -1,13 +1,16 @@
 """Operator 3: quality classifier by importance resampling.
 
 Two kinds of text are modelled by hashed n-grams: the target (labelled good and not toxic) and raw text, a mixture with one
-component for each other label.  Counted are words, pairs of neighbouring word shapes ("THE!!" is ``A!``) and runs of one word.  The log-weight of a
+component for all documents, labelled or not, and one for each other label.  Counted are words, pairs of neighbouring word shapes
+("THE!!" is ``A!``) and runs of one word.  The n-grams of all documents are the common measure: a model is the log ratio of its
+share of a bucket to theirs, for every bucket, shrunk by counts (``BORROWED``) and by how far it is from chance (``SURE``).  The log-weight of a
 document is the log of the ratio of the two likelihoods.  As many documents as the target explains better, at the labelled
 shares, are then drawn by Gumbel top-k: those with the largest log-weight plus ``temperature`` times Gumbel noise, which is
 a fixed function of seed and id.
 
-Scale: at most ``SAMPLE`` labelled rows are learned from, those with the smallest hash of the id (documented bound, which makes
-the broadcast of their labels safe); counts come to the driver as tables of fixed size.  All documents are scored without
+Scale: the n-grams of all documents are found once, written, and counted within each task before they are summed up in tables of fixed size, which
+come to the driver.  At most ``SAMPLE`` labelled rows are learned from, those with the smallest hash of the id (documented bound,
+which makes the broadcast of the labels safe).  All documents are scored without
 a shuffle.  The k-th largest key is found by counting in bins, so nothing is sorted.
 
 Defined results: a text without a word (null, empty) is never selected; with no label of either kind all weights are 0
@@ -34,15 +37,15 @@ from peerwatch.llm.ngram_join import _Hashes, _mixed, gram_hashes
 SAMPLE = 20_000
 WORD_BUCKETS, SHAPE_BUCKETS = 1 << 20, 1 << 14
 BUCKETS = WORD_BUCKETS + SHAPE_BUCKETS
-#: Counts that every bucket of a raw component borrows, and the distance from the expected count, in standard deviations,
-#: from which a bucket says something.
-BORROWED, SURE = 3.0, 6.0
-LEAST_TEXTS = 5
+#: Counts that every bucket of a model borrows from the documents at large, and the distance from the expected count, in standard
+#: deviations, at which a log ratio counts half: less below, nearly whole far above.
+BORROWED, SURE = 0.5, 3.0
 #: Texts that share so many of their least hashes count as copies when learning.
 LEAST, COPY = 8, 5
 TEMPERATURE, SEED = 0.25, 17
 SEEN_WORDS = 500_000
-TARGET = "good"
+TARGET, ALL = "good", "all"
+KINDS = (TARGET, "raw0-0", "raw0-1", "raw1-1")
 FEW = 5_000
 BINS = 4096
 #: Key of a document without words.
@@ -85,12 +88,13 @@ def features(text: str, seen: _Words) -> np.ndarray:
     return np.unique(np.concatenate((word, WORD_BUCKETS + pair, BUCKETS - 1 - runs)))
 
 
-def _components(labels: DataFrame, sample: int) -> DataFrame:
+def _components(labels: DataFrame, sample: int) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, kind) of all labelled rows, and of at most ``sample``."""
     rows = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("q"), F.col("toxic").cast("int").alias("t"))
     rows = rows.where("doc_id is not null and q is not null and t is not null")
     kind = F.when((F.col("q") == 1) & (F.col("t") == 0), TARGET).otherwise(F.concat(F.lit("raw"), F.col("q"), F.lit("-"), F.col("t")))
-    rows = rows.select("doc_id", kind.alias("kind")).where(F.col("kind").isin(TARGET, "raw0-0", "raw0-1", "raw1-1"))
-    return rows.orderBy(F.xxhash64("doc_id", F.lit("quality")), "doc_id", "kind").limit(sample)
+    rows = rows.select("doc_id", kind.alias("kind")).where(F.col("kind").isin(*KINDS))
+    return rows, rows.orderBy(F.xxhash64("doc_id", F.lit("quality")), "doc_id", "kind").limit(sample)
 
 
 def _families(texts: DataFrame) -> DataFrame:
@@ -108,66 +112,84 @@ def _families(texts: DataFrame) -> DataFrame:
     return texts.mapInArrow(work, "doc_id long, kind string, least array<long>")
 
 
-def _counts(texts: DataFrame) -> DataFrame:
-    """In how many texts of a kind each bucket occurs; the bucket after the last one counts texts."""
+def _found(docs: DataFrame) -> DataFrame:
+    """(doc_id, found): the buckets of each document, as the distances between them."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen, counts = _Words(), {}
+        seen = _Words()
         for batch in batches:
-            for kind, value in zip(batch.column(1).to_pylist(), batch.column(2), strict=True):
-                found = counts.setdefault(kind, np.zeros(BUCKETS + 1, np.int64))
-                found[features(value.as_py(), seen)] += 1
-                found[BUCKETS] += 1
-        for kind, found in counts.items():
-            full = np.flatnonzero(found)
-            columns = [pa.array([kind] * len(full), pa.string()), pa.array(full), pa.array(found[full])]
+            found = [np.diff(features(v.as_py(), seen), prepend=0).astype(np.int32).tobytes() for v in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], ["doc_id", "found"])
+
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of(docs).alias("text"))
+    return rows.mapInArrow(work, "doc_id long, found binary")
+
+
+def _buckets(found: bytes) -> np.ndarray:
+    return np.cumsum(np.frombuffer(found, np.int32))
+
+
+def _counts(found: DataFrame) -> DataFrame:
+    """In how many rows (kind, found) of a kind each bucket occurs."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = {}
+        for batch in batches:
+            for kind, value in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                counts.setdefault(kind, np.zeros(BUCKETS, np.int64))[_buckets(value.as_py())] += 1
+        for kind, mine in counts.items():
+            full = np.flatnonzero(mine)
+            columns = [pa.array([kind] * len(full), pa.string()), pa.array(full), pa.array(mine[full])]
             yield pa.RecordBatch.from_arrays(columns, ["kind", "bucket", "n"])
 
-    return texts.mapInArrow(work, "kind string, bucket long, n long").groupBy("kind", "bucket").agg(F.sum("n").alias("n"))
+    return found.mapInArrow(work, "kind string, bucket long, n long").groupBy("kind", "bucket").agg(F.sum("n").alias("n"))
+
 
+def _tilt(mine: np.ndarray, everything: np.ndarray) -> np.ndarray:
+    """The log of a model's share of each bucket over that of all documents, shrunk."""
+    out = np.zeros(BUCKETS)
+    for part in (slice(0, WORD_BUCKETS), slice(WORD_BUCKETS, BUCKETS)):
+        n, of = mine[part], everything[part]
+        expected = of * (n.sum() / max(1, of.sum()))
+        far = ((n - expected) ** 2 / (expected + 1)) ** 2
+        out[part] = np.log((n + BORROWED) / (expected + BORROWED)) * far / (far + SURE**4)
+    return out
 
-def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, *, sample: int = SAMPLE) -> dict:
-    """For each raw component its buckets and the log of their probability over the target's; the shares of all components.
 
-    Buckets that do not differ surely from the target's count alike in both.
+def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, *, sample: int = SAMPLE, found: DataFrame | None = None) -> dict:
+    """For each raw component the log of its buckets' probability over the target's; the shares of all components.
+
+    ``found``: the written rows of ``_found``, if they are there already.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of(docs).alias("text"))
-    chosen = written(spark, _components(labels, sample), "sample")
+    chosen = written(spark, _components(labels, sample)[1], "sample")
     texts = rows.join(F.broadcast(chosen), "doc_id").select("doc_id", "kind", "text")
-    # Of copies and near copies one is learned from, or their words would count as typical of their label.
-    shares, known, kept = Counter(), defaultdict(list), []
+    # Of copies and near copies with a raw label one is learned from, or their words would count as typical of it.  Those of
+    # the target stay: all documents, which they are compared with, have theirs, too.
+    shares, known, kept = Counter(), defaultdict(list), set()
     for r in sorted(_families(texts).collect(), key=lambda r: (r.doc_id, r.kind)):
         shares[r.kind] += 1
         equal = Counter(k for place in enumerate(r.least) for k in known[place])
-        if max(equal.values(), default=0) < COPY:
+        copy = max(equal.values(), default=0) >= COPY
+        if not copy:
             for place in enumerate(r.least):
-                known[place].append(len(kept))
-            kept.append((r.doc_id, r.kind))
+                known[place].append((r.doc_id, r.kind))
+        if not copy or r.kind == TARGET:
+            kept.add((r.doc_id, r.kind))
     if TARGET not in shares or len(shares) < 2:
         return {}
-    few = F.broadcast(spark.createDataFrame(kept, "doc_id long, kind string"))
-    counts = _counts(rows.join(few, "doc_id").select("doc_id", "kind", "text"))
+    found = written(spark, _found(docs), "found") if found is None else found
+    few = F.broadcast(spark.createDataFrame(sorted(kept), "doc_id long, kind string"))
+    mine = found.join(few, "doc_id").select("kind", "found")
+    counts = _counts(mine.union(found.select(F.lit(ALL).alias("kind"), "found")))
     raws = sorted(shares.keys() - {TARGET})
     n = lambda kind: F.coalesce(F.sum(F.when(F.col("kind") == kind, F.col("n"))), F.lit(0)).alias(kind)
-    wide = written(spark, counts.where(F.col("bucket") < BUCKETS).groupBy("bucket").agg(*(n(k) for k in (TARGET, *raws))), "counts")
-    shape = (F.col("bucket") >= WORD_BUCKETS).alias("shape")
-    sums = {r["shape"]: r for r in wide.groupBy(shape).agg(*(F.sum(F.col(f"`{k}`")).alias(k) for k in (TARGET, *raws))).collect()}
-    # Only buckets that are frequent in the sample can say something; there are few of them.
-    often = F.greatest(*(F.col(f"`{k}`") for k in raws)) >= LEAST_TEXTS
-    often = wide.where(often | (F.col(TARGET) >= SURE * SURE)).orderBy("bucket").toArrow()
-    buckets = often.column("bucket").to_numpy()
-    logs = {}
-    for kind in raws:
-        value = np.zeros(len(buckets))
-        for is_shape, of in sums.items():
-            mine = (buckets >= WORD_BUCKETS) == is_shape
-            share = often.column(TARGET).to_numpy()[mine] / max(1, of[TARGET])
-            raw, expected = often.column(kind).to_numpy()[mine], share * of[kind]
-            sure = np.abs(raw - expected) >= SURE * np.sqrt(expected + 1)
-            tilt = np.where(sure, (raw + BORROWED) / (expected + BORROWED), 1.0)
-            value[mine] = np.log(tilt)
-        found = np.flatnonzero(value)
-        logs[kind] = buckets[found], value[found]
+    wide = counts.groupBy("bucket").agg(*(n(k) for k in (ALL, TARGET, *raws))).toArrow()
+    dense = {k: np.zeros(BUCKETS) for k in (ALL, TARGET, *raws)}
+    for kind, values in dense.items():
+        values[wide.column("bucket").to_numpy()] = wide.column(kind).to_numpy()
+    target = _tilt(dense[TARGET], dense[ALL])
+    logs = {ALL: (-target).astype(np.float32)} | {k: (_tilt(dense[k], dense[ALL]) - target).astype(np.float32) for k in raws}
     total = sum(shares.values())
     return {"logs": logs, "shares": {k: v / total for k, v in shares.items()}}
 
@@ -177,22 +199,24 @@ class Scorer:
         self.seen = _Words()
         self.kinds = sorted(model.get("logs", ()))
         if self.kinds:
-            self.ratios = np.zeros((len(self.kinds), BUCKETS))
-            for row, kind in zip(self.ratios, self.kinds, strict=True):
-                at, value = model["logs"][kind]
-                row[at] = value
-            raw = sum(model["shares"][k] for k in self.kinds)
-            self.shares = np.log([model["shares"][k] / raw for k in self.kinds])
+            self.ratios = np.stack([model["logs"][k] for k in self.kinds], axis=1)
+            raw = sum(model["shares"][k] for k in self.kinds if k != ALL)
+            # All documents are one component beside those of the labels, with the mean of their shares.
+            others = len(self.kinds) - 1
+            self.shares = np.log([1 / (others + 1) if k == ALL else model["shares"][k] / raw * others / (others + 1) for k in self.kinds])
             self.odds = float(np.log(model["shares"][TARGET] / raw))
 
     def log_weight(self, text: str) -> float | None:
         """Of the target against raw text, at the labelled odds; None without words."""
-        found = features(text, self.seen)
+        return self.weight(features(text, self.seen))
+
+    def weight(self, found: np.ndarray) -> float | None:
+        """The same from the buckets of a text."""
         if not len(found):
             return None
         if not self.kinds:
             return 0.0
-        each = self.ratios[:, found].sum(axis=1) + self.shares
+        each = self.ratios[found].sum(axis=0, dtype=np.float64) + self.shares
         most = each.max()
         return self.odds - float(most + np.log(np.exp(each - most).sum()))
 
@@ -203,19 +227,18 @@ def gumbel(doc_id: int | None, seed: int) -> float:
     return -float(np.log(-np.log(u)))
 
 
-def _scores(docs: DataFrame, model: dict, temperature: float, seed: int) -> DataFrame:
+def _scores(found: DataFrame, model: dict, temperature: float, seed: int) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(model)
         for batch in batches:
             ids, out = batch.column(0).to_pylist(), []
             for doc_id, value in zip(ids, batch.column(1), strict=True):
-                weight = scorer.log_weight(value.as_py())
+                weight = scorer.weight(_buckets(value.as_py()))
                 out.append((weight, NOTHING if weight is None else weight + temperature * gumbel(doc_id, seed)))
             columns = [batch.column(0), *(pa.array([o[i] for o in out], pa.float64()) for i in (0, 1))]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "log_weight", "key"])
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of(docs).alias("text"))
-    return rows.mapInArrow(work, "doc_id long, log_weight double, key double")
+    return found.mapInArrow(work, "doc_id long, log_weight double, key double")
 
 
 def kth_largest(df: DataFrame, column: str, k: int) -> tuple[float, int]:
@@ -256,17 +279,19 @@ def resample(
     spark: SparkSession, docs: DataFrame, labels: DataFrame, *, temperature: float = TEMPERATURE, seed: int = SEED, sample: int = SAMPLE
 ) -> DataFrame:
     """One row per document: doc_id, log_weight (null without words), key, selected."""
-    model = fit(spark, docs, labels, sample=sample)
-    scored = written(spark, _scores(docs, model, temperature, seed), "scored")
+    found = written(spark, _found(docs), "found")
+    model = fit(spark, docs, labels, sample=sample, found=found)
+    scored = written(spark, _scores(found, model, temperature, seed), "scored")
     return scored.withColumn("selected", _is_in(F.col("key"), F.col("doc_id"), _border(scored)))
 
 
 def selected_documents(
     spark: SparkSession, docs: DataFrame, labels: DataFrame, *, temperature: float = TEMPERATURE, seed: int = SEED, sample: int = SAMPLE
 ) -> DataFrame:
-    """The selected documents with all their columns; scored twice rather than shuffled."""
-    model = fit(spark, docs, labels, sample=sample)
-    border = _border(written(spark, _scores(docs, model, temperature, seed), "scored"))
+    """The selected documents with all their columns; scored twice rather than shuffled with their texts."""
+    found = written(spark, _found(docs), "found")
+    model = fit(spark, docs, labels, sample=sample, found=found)
+    border = _border(written(spark, _scores(found, model, temperature, seed), "scored"))
     at = docs.columns.index("doc_id"), docs.columns.index("text")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
