@@ -9,7 +9,7 @@ shares, are then drawn by Gumbel top-k: those with the largest log-weight plus `
 a fixed function of seed and id.
 
 Scale: the n-grams of all documents are found once, written, and counted within each task before they are summed up in tables of fixed size, which
-come to the driver.  At most ``SAMPLE`` labelled rows are learned from, those with the smallest hash of the id (documented bound,
+come to the driver.  Of each label at most ``SAMPLE`` rows are learned from, those with the smallest hash of the id (documented bound,
 which makes the broadcast of the labels safe).  All documents are scored without
 a shuffle.  The k-th largest key is found by counting in bins, so nothing is sorted.
 
@@ -24,6 +24,7 @@ import hashlib
 import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
+from functools import reduce
 from math import inf
 
 import numpy as np
@@ -89,12 +90,13 @@ def features(text: str, seen: _Words) -> np.ndarray:
 
 
 def _components(labels: DataFrame, sample: int) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, kind) of all labelled rows, and of at most ``sample``."""
+    """(doc_id, kind) of all labelled rows, and of at most ``sample`` of each kind."""
     rows = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("q"), F.col("toxic").cast("int").alias("t"))
     rows = rows.where("doc_id is not null and q is not null and t is not null")
     kind = F.when((F.col("q") == 1) & (F.col("t") == 0), TARGET).otherwise(F.concat(F.lit("raw"), F.col("q"), F.lit("-"), F.col("t")))
-    rows = rows.select("doc_id", kind.alias("kind")).where(F.col("kind").isin(*KINDS))
-    return rows, rows.orderBy(F.xxhash64("doc_id", F.lit("quality")), "doc_id", "kind").limit(sample)
+    rows = rows.select("doc_id", kind.alias("kind"))
+    each = [rows.where(F.col("kind") == k).orderBy(F.xxhash64("doc_id", F.lit("quality")), "doc_id").limit(sample) for k in KINDS]
+    return rows.where(F.col("kind").isin(*KINDS)), reduce(DataFrame.union, each)
 
 
 def _families(texts: DataFrame) -> DataFrame:
@@ -162,7 +164,8 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, *, sample: int
     ``found``: the written rows of ``_found``, if they are there already.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of(docs).alias("text"))
-    chosen = written(spark, _components(labels, sample)[1], "sample")
+    labelled, some = _components(labels, sample)
+    chosen = written(spark, some, "sample")
     texts = rows.join(F.broadcast(chosen), "doc_id").select("doc_id", "kind", "text")
     # Of copies and near copies with a raw label one is learned from, or their words would count as typical of it.  Those of
     # the target stay: all documents, which they are compared with, have theirs, too.
@@ -178,6 +181,9 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, *, sample: int
             kept.add((r.doc_id, r.kind))
     if TARGET not in shares or len(shares) < 2:
         return {}
+    # A label with more rows than its sample counts with all of them.
+    whole, part = ({r.kind: r["count"] for r in x.groupBy("kind").count().collect()} for x in (labelled, chosen))
+    shares = {k: v * whole[k] / part[k] for k, v in shares.items()}
     found = written(spark, _found(docs), "found") if found is None else found
     few = F.broadcast(spark.createDataFrame(sorted(kept), "doc_id long, kind string"))
     mine = found.join(few, "doc_id").select("kind", "found")
