@@ -43,15 +43,24 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each class; documents with one id are told apart by their texts."""
-    found = ngram_classes(spark, docs, n=SHINGLE, percent=PERCENT)
-    out = found.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("gone")).distinct()
-    out = written(spark, out, "gone")
-    kept = docs.join(out, docs["doc_id"].cast("long").eqNullSafe(out["gone"]), "left_anti")
-    repeated = docs.groupBy("doc_id").count().where("count > 1").limit(1)
+    """The document with the smallest id of each class; of rows with one id that with the smallest text hash, null ids last."""
+    doc_id = F.col("doc_id").cast("long")
+    repeated = docs.groupBy(doc_id.alias("doc_id")).count().where("count > 1").limit(1)
     if repeated.isEmpty():
-        return kept
-    first = Window.partitionBy("doc_id", F.xxhash64("text")).orderBy(F.lit(1))
+        found = ngram_classes(spark, docs, n=SHINGLE, percent=PERCENT)
+        out = found.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("gone")).distinct()
+        out = written(spark, out, "gone")
+        return docs.join(out, docs["doc_id"].cast("long").eqNullSafe(out["gone"]), "left_anti")
+    # Ids do not tell the rows apart: numbers, written once, do.
+    number = "number_" + "_".join(docs.columns)
+    rows = written(spark, docs.withColumn(number, F.monotonically_increasing_id()), "numbered")
+    found = ngram_classes(spark, rows.select(F.col(number).alias("doc_id"), "text"), n=SHINGLE, percent=PERCENT)
+    order = F.struct(doc_id.isNull().alias("none"), doc_id.alias("id"), F.xxhash64("text").alias("hash"), F.col(number).alias("row"))
+    members = rows.select(F.col(number).alias("row"), order.alias("place")).join(found.select(F.col("doc_id").alias("row"), "component_id"), "row")
+    kept = written(spark, members.groupBy("component_id").agg(F.min("place")["row"].alias("kept")).select("kept"), "kept")
+    kept = rows.join(kept, rows[number] == kept["kept"], "left_semi")
+    # Texts without words are no copies, but of equal rows one stays.
+    first = Window.partitionBy("doc_id", F.xxhash64("text")).orderBy(number)
     return kept.withColumn("place_of_row", F.row_number().over(first)).where("place_of_row = 1").select(*docs.columns)
 
 

@@ -94,3 +94,14 @@ def test_run_and_empty(spark, corpus, folder):
     for name in ("documents", "labels", "benchmark"):
         spark.read.parquet(f"{corpus}/{name}.parquet").limit(0).write.parquet(f"{folder}/{name}.parquet")
     assert corpus_pipeline.run(spark, folder).count() == 0
+
+
+def test_near_duplicates_of_repeated_and_null_ids(spark):
+    rng = random.Random(12)
+    a, b, c, d = (" ".join(rng.choice(WORDS) for _ in range(60)) for _ in range(4))
+    near = lambda text: text + " more"
+    rows = [(1, a), (2, near(a)), (2, b), (3, c), (3, near(c)), (None, d), (None, near(b)), (None, near(a)), (4, ""), (4, ""), (5, d)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = [(r.doc_id, r.text) for r in corpus_pipeline.near_duplicates(spark, docs, "").collect()]
+    assert len(kept) == 5 and {(1, a), (2, b), (4, ""), (5, d)} <= set(kept)
+    assert len({(3, c), (3, near(c))} & set(kept)) == 1
