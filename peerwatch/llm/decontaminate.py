@@ -1,10 +1,11 @@
 """Operator 7: benchmark decontamination by templates.
 
 Texts are made into templates: numbers, units and names become typed placeholders, other words are lower-cased and lose their
-punctuation.  Windows of ``WINDOW`` template words of documents and items are joined by their hash, and equal ones are kept.
+punctuation.  In a second form every capitalised word is a name, also
+where a sentence or line begins, and names in a row are one placeholder.  Windows of ``WINDOW`` template words of documents and items are joined by their hash, and equal ones are kept.
 Along one alignment of a document with an item every value that a placeholder stands for in the item must have one value in the document
 (the slots are consistent): then the item is in the document, word for word or with other parameters.  A pair counts when at
-least ``SHARE`` of the item's windows are found so.
+least ``SHARE`` of the item's windows are found so, in either form.
 
 Scale: documents are read once, without a shuffle; windows that cannot be in the benchmark are dropped in the task by a bit table of
 fixed size (a larger benchmark makes it let more pass, never fewer).  What is left is joined by hash; Spark splits the
@@ -81,6 +82,26 @@ def template(text: str, kinds: _Kinds) -> tuple[list[str], list[str | None]]:
     return words, values
 
 
+def name_template(text: str, kinds: _Kinds) -> tuple[list[str], list[str | None]]:
+    """The same with every capitalised word as a name, wherever it stands; names in a row are one placeholder."""
+    words, values = [], []
+    for word in text.split():
+        template_words, slot, _, _ = kinds[word]
+        if not _any_name(word, slot):
+            words += template_words
+            values += slot
+        elif words and words[-1] == NAME:
+            values[-1] += " " + template_words[0]
+        else:
+            words.append(NAME)
+            values.append(template_words[0])
+    return words, values
+
+
+def _any_name(word: str, slot: tuple) -> bool:
+    return slot == (None,) and word.strip(_EDGES)[:1].isupper()
+
+
 class _Hashes(dict):
     def __missing__(self, word):
         if len(self) >= SEEN_WORDS:
@@ -124,6 +145,28 @@ def template_hashes(text: str, codes: _Codes) -> np.ndarray:
     return np.where(names, np.uint64(codes.hashes[NAME]), each & ~np.uint64(7))
 
 
+class _NameCodes(_Codes):
+    """Hash of the template word of a word in a ``name_template``, with the same 4."""
+
+    def __missing__(self, word):
+        if len(self) >= SEEN_WORDS:
+            self.clear()
+        template_words, slot, _, _ = self.kinds[word]
+        name = NAME if _any_name(word, slot) else template_words[0] if len(template_words) == 1 else None
+        code = self[word] = 4 if name is None else self.hashes[name]
+        return code
+
+
+def name_template_hashes(text: str, codes: _NameCodes) -> np.ndarray:
+    words = text.split()
+    each = np.fromiter(map(codes.__getitem__, words), np.uint64, len(words))
+    if (each & np.uint64(4)).any():
+        words = name_template(text, codes.kinds)[0]
+        return np.fromiter(map(codes.hashes.__getitem__, words), np.uint64, len(words))
+    name = each == np.uint64(codes.hashes[NAME])
+    return each[~(name & np.concatenate(([False], name[:-1])))] if len(each) else each
+
+
 def window_hashes(each: np.ndarray, size: int, hashes: _Hashes) -> np.ndarray:
     """A hash of every window of template hashes; 0 where it has too few plain words."""
     if len(each) < size:
@@ -137,31 +180,37 @@ def window_hashes(each: np.ndarray, size: int, hashes: _Hashes) -> np.ndarray:
     return np.where(size - (slots[size:] - slots[:-size]) >= LITERALS, _mixed(out) | np.uint64(1), np.uint64(0))
 
 
-WINDOWS = "id long, twin long, pos int, hash long, words string, slots array<string>"
+WINDOWS = "id long, twin long, form int, pos int, hash long, words string, slots array<string>"
 
 
 def _windows(rows: DataFrame, sizes: list[int] | None, bits: np.ndarray | None) -> DataFrame:
-    """Windows of rows (id, twin, text).  ``sizes`` None: of one size, the text's own if it is shorter."""
+    """Windows of rows (id, twin, text) in both forms of template: 0 for ``template``, 1 for ``name_template``.
+
+    ``sizes`` None: of one size, the text's own if it is shorter.
+    """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds, hashes = _Kinds(), _Hashes()
-        codes = _Codes(kinds, hashes)
+        forms = [(template, template_hashes, _Codes(kinds, hashes)), (name_template, name_template_hashes, _NameCodes(kinds, hashes))]
         for batch in batches:
             out = []
             for row_id, twin, value in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
-                text, words = value.as_py(), None
-                each = template_hashes(text, codes)
-                for size in sizes or [min(WINDOW, max(1, len(each)))]:
-                    hashed = window_hashes(each, size, hashes)
-                    keep = hashed != 0
-                    if bits is not None:
-                        at = hashed % np.uint64(BITS)
-                        keep &= (bits[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) == 1
-                    for pos in np.flatnonzero(keep):
-                        if words is None:
-                            words, values = template(text, kinds)
-                        slots = [v for v in values[pos : pos + size] if v is not None]
-                        out.append((row_id, twin, int(pos), int(hashed[pos : pos + 1].view(np.int64)[0]), " ".join(words[pos : pos + size]), slots))
+                text = value.as_py()
+                for form, (made, hashed_words, codes) in enumerate(forms):
+                    words, each = None, hashed_words(text, codes)
+                    for size in sizes or [min(WINDOW, max(1, len(each)))]:
+                        hashed = window_hashes(each, size, hashes)
+                        keep = hashed != 0
+                        hashed = hashed ^ np.uint64(form << 40)
+                        if bits is not None:
+                            at = hashed % np.uint64(BITS)
+                            keep &= (bits[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) == 1
+                        for pos in np.flatnonzero(keep):
+                            if words is None:
+                                words, values = made(text, kinds)
+                            slots = [v for v in values[pos : pos + size] if v is not None]
+                            number = int(hashed[pos : pos + 1].view(np.int64)[0])
+                            out.append((row_id, twin, form, int(pos), number, " ".join(words[pos : pos + size]), slots))
                 if len(out) >= 5_000:
                     yield _batch(out)
                     out = []
@@ -172,8 +221,9 @@ def _windows(rows: DataFrame, sizes: list[int] | None, bits: np.ndarray | None)
 
 
 def _batch(rows) -> pa.RecordBatch:
-    types = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.string(), pa.list_(pa.string())]
-    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(types)], ["id", "twin", "pos", "hash", "words", "slots"])
+    types = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.string(), pa.list_(pa.string())]
+    names = ["id", "twin", "form", "pos", "hash", "words", "slots"]
+    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(types)], names)
 
 
 def twin(docs: DataFrame):
@@ -192,23 +242,28 @@ def contaminated(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, *,
     for r in table_bits.groupBy("at").agg(F.bit_or("bit").alias("bits")).collect():
         bits[r["at"]] = np.uint64(r.bits & (2**64 - 1))
     sizes = sorted({r.n for r in items.select(F.size(F.split("words", " ")).alias("n")).distinct().collect()})
-    totals = items.groupBy(F.col("id").alias("item_id")).agg(F.count_distinct("pos").alias("windows"))
+    totals = items.groupBy(F.col("id").alias("item_id"), "form").agg(F.count_distinct("pos").alias("windows"))
     rows = docs.select(F.col("doc_id").cast("long").alias("id"), twin(docs).alias("twin"), text_of(docs).alias("text"))
     found = _windows(rows, sizes or [WINDOW], bits)
-    mine = items.select(F.col("id").alias("item_id"), F.col("pos").alias("item_pos"), "hash", F.col("words").alias("item_words"), F.col("slots").alias("item_slots"))
-    met = found.join(mine, "hash").where("words = item_words")
-    met = met.select("id", "twin", "item_id", "item_pos", (F.col("pos") - F.col("item_pos")).alias("shift"), "item_slots", "slots")
+    mine = items.select(F.col("id").alias("item_id"), "form", F.col("pos").alias("item_pos"), "hash", F.col("words").alias("item_words"), F.col("slots").alias("item_slots"))
+    met = found.join(mine, ["hash", "form"]).where("words = item_words")
+    met = met.select("id", "twin", "item_id", "form", "item_pos", (F.col("pos") - F.col("item_pos")).alias("shift"), "item_slots", "slots")
     met = written(spark, met, "met")
-    pair = ["id", "twin", "item_id"]
+    pair = ["id", "twin", "item_id", "form"]
     # An alignment is out if one value of the item stands for two in the document.
     slots = met.where(F.size("slots") > 0).select(*pair, "shift", F.explode(F.arrays_zip("item_slots", "slots")).alias("s"))
-    torn = slots.groupBy(*pair, "shift", F.col("s.item_slots").alias("value")).agg((F.min("s.slots") != F.max("s.slots")).alias("torn"))
+    # Of names in a row the last one is compared: the first may be any word that begins a sentence.
+    last = lambda c: F.substring_index(c, " ", -1)
+    torn = slots.groupBy(*pair, "shift", last("s.item_slots").alias("value"))
+    torn = torn.agg((F.min(last("s.slots")) != F.max(last("s.slots"))).alias("torn"))
     torn = torn.where("torn").select(*pair, "shift").distinct()
     same = lambda a, b, keys: F.expr(" and ".join(f"{a}.{k} <=> {b}.{k}" for k in keys))
     whole = met.alias("m").join(torn.alias("t"), same("m", "t", [*pair, "shift"]), "left_anti")
     whole = whole.groupBy(*pair).agg(F.count_distinct("item_pos").alias("found"), F.bool_and(F.col("item_slots") == F.col("slots")).alias("exact"))
-    out = whole.join(totals, "item_id").where(F.col("found") >= F.lit(share) * F.col("windows"))
-    return out.select(F.col("id").alias("doc_id"), "twin", "item_id", "windows", "found", "exact")
+    out = whole.join(totals, ["item_id", "form"]).where(F.col("found") >= F.lit(share) * F.col("windows"))
+    # Where both forms tell, the stricter one counts.
+    out = out.groupBy("id", "twin", "item_id").agg(F.min(F.struct("form", "windows", "found", "exact")).alias("o"))
+    return out.select(F.col("id").alias("doc_id"), "twin", "item_id", "o.windows", "o.found", "o.exact")
 
 
 def without_contaminated(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) -> DataFrame:

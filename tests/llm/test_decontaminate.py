@@ -105,3 +105,15 @@ def test_hashes_are_those_of_the_template():
         text = " ".join(rng.choice(parts) for _ in range(rng.randrange(20)))
         assert template_hashes(text, codes).tolist() == [hashes[w] for w in template(text, kinds)[0]]
     assert np.uint64(hashes[NAME]) & np.uint64(7) == 0
+
+
+def test_names_where_sentences_and_lines_begin(spark):
+    items = [(1, "Tom has 12 apples. Anna gives Tom 5 more. How many apples does Tom have now?"), (2, "then we ask McDonald to bring the red boat over to NASA before night falls")]
+    docs = [
+        (1, "Bill has 30 apples. Mary gives Bill 7 more. How many apples does Bill have now?"),
+        (2, "Bill has 30 apples. Mary gives Bill 7 more.\nHow many apples does Tom have now?"),
+        (3, "well then we ask\nO'Neil to bring the red boat over to\nESA before night falls"),
+        (4, "Some other text. With names of Tom and Anna who have no more apples now"),
+    ]
+    got = contaminated(spark, *frames(spark, docs, items)).collect()
+    assert {(r.doc_id, r.item_id) for r in got} == {(1, 1), (3, 2)}
