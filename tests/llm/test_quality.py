@@ -60,29 +60,3 @@ def test_kth_largest(spark):
     for k in (1, 2, 5_000, 10_000, 10_001, 25_000, 30_000):
         value, among = kth_largest(df, "x", k)
         assert value == values[k - 1] and among == k - sum(v > value for v in values)
-
-
-def test_rare_words_add_weight(spark):
-    """Four toxic texts of a small language share a word that is nowhere else."""
-    rng = random.Random(3)
-    rows = [(i, " ".join(rng.choice(GOOD) for _ in range(40)) + (" mauvais" if i % 100 == 0 else "")) for i in range(400)]
-    labels = spark.createDataFrame([(i, 1, int(i % 100 == 0 or i % 10 == 1)) for i, _ in rows], "doc_id long, quality int, toxic int")
-    scorer = Scorer(fit(spark, spark.createDataFrame(rows, "doc_id long, text string"), labels))
-    assert scorer.log_weight("word1 word2 mauvais") < scorer.log_weight("word1 word2 unknown") - 0.5
-
-
-def test_raw_text_is_all_documents(spark):
-    """Words of a source without labels that has a third of all rows."""
-    rng = random.Random(4)
-    rows = [(i, " ".join(rng.choice(GOOD) for _ in range(40))) for i in range(300)]
-    labels = spark.createDataFrame([(i, 1, int(i % 5 == 0)) for i, _ in rows], "doc_id long, quality int, toxic int")
-    rows += [(1000 + i, f"casino bonus jackpot spin word{i} word{i + 1}") for i in range(150)]
-    got = resample(spark, spark.createDataFrame(rows, "doc_id long, text string"), labels).collect()
-    assert all(r.log_weight < 0 and not r.selected for r in got if r.doc_id >= 1000)
-
-
-def test_the_sample_is_of_each_label(spark):
-    from peerwatch.llm.quality import _components
-
-    labels = spark.createDataFrame([(i, 1, int(i % 50 == 0)) for i in range(500)], "doc_id long, quality int, toxic int")
-    assert {r.kind: r["count"] for r in _components(labels, 10)[1].groupBy("kind").count().collect()} == {"good": 10, "raw1-1": 10}
