@@ -1,7 +1,7 @@
 """The queries of this subpackage and their SQL."""
 
 import corpus_pipeline
-from peerwatch.llm import bpe, decontaminate, exact_dedup, html_text, language, line_dedup, merkle, ngram_join, pii, quality, warc
+from peerwatch.llm import bpe, decontaminate, exact_dedup, html_text, language, line_dedup, merkle, ngram_join, pii, quality, vector_codes, warc
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
@@ -14,6 +14,7 @@ QUERIES = {
     "op8_html_text": html_text.op8_html_text,
     "op9_ngram_join": ngram_join.op9_ngram_join,
     "op10_warc": warc.op10_warc,
+    "op11_vector_codes": vector_codes.op11_vector_codes,
     "op13_merkle": merkle.op13_merkle,
     "pipeline": corpus_pipeline.run,
 }
@@ -23,5 +24,6 @@ ORACLES = {
     "op2_line_dedup": line_dedup.SQL,
     "op9_ngram_join": ngram_join.SQL,
     "op10_warc": warc.SQL,
+    "op11_vector_codes": vector_codes.SQL,
     "op13_merkle": merkle.SQL,
 }
