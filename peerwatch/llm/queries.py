@@ -1,7 +1,7 @@
 """The queries of this subpackage and their SQL."""
 
 import corpus_pipeline
-from peerwatch.llm import bpe, decontaminate, exact_dedup, html_text, language, line_dedup, merkle, ngram_join, pii, quality, vector_codes, warc
+from peerwatch.llm import bpe, decontaminate, exact_dedup, html_text, language, lattice, line_dedup, merkle, ngram_join, pii, quality, vector_codes, warc
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
@@ -15,6 +15,7 @@ QUERIES = {
     "op9_ngram_join": ngram_join.op9_ngram_join,
     "op10_warc": warc.op10_warc,
     "op11_vector_codes": vector_codes.op11_vector_codes,
+    "op12_lattice": lattice.op12_lattice,
     "op13_merkle": merkle.op13_merkle,
     "pipeline": corpus_pipeline.run,
 }
