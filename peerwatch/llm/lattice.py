@@ -22,7 +22,7 @@ in ``COMMON`` of all words, fewer than that by definition.  Those scores are kno
 shuffled to their scores, and no word has more than that share of the rows.
 
 Defined results: null and empty texts are just the end; a null doc_id has no decimal form and is trained on, not held out; rows that repeat an
-id are scored each by their own text; a very long word is one lattice, in time linear in its length; without training documents n_known is
+id are scored each by their own text; a very long word is one lattice, in time linear in its length, on its own; without training documents n_known is
 0, the pieces keep their scores by rank, and words and ends are equally likely; an empty table has no rows; further columns and clashing names
 are not read.
 """
@@ -53,6 +53,10 @@ BEGIN = "▁".encode()
 END = b" "
 #: Longer words travel as their hash.
 LONG = 48
+#: Words of up to so many bytes, with the mark, are worked on side by side.
+SIDE = 64
+#: Base of the rolling hash by which pieces are found in many words at once, and the bits of the table that most other strings fail.
+_BASE, _SPREAD, _BITS = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, 22
 
 
 def vocabulary_path() -> str:
@@ -92,6 +96,97 @@ class Lattice:
         self.inside = {p: s for p, s in zip(pieces, scores, strict=True) if not p.startswith(BEGIN)}
         self.longest = max(map(len, pieces))
         self.finish = math.log(stop) - math.log1p(-stop)
+        # The last place stands for no piece.
+        self.scores = np.append(scores, -np.inf)
+        powers = [1]
+        for _ in range(SIDE):
+            powers.append(powers[-1] * _BASE % (1 << 64))
+        self.powers = np.array(powers, np.uint64)
+        self.tables = [self._table([p for p in pieces if p.startswith(BEGIN) == begins and len(p) <= SIDE]) for begins in (True, False)]
+
+    def _table(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(sorted hashes, numbers, table of bits) of the pieces."""
+        hashes = []
+        for piece in pieces:
+            h = 0
+            for b in piece:
+                h = (h * _BASE + b + 1) % (1 << 64)
+            hashes.append(h)
+        hashed = np.array(hashes, np.uint64)
+        order = np.argsort(hashed)
+        bits = np.zeros(1 << _BITS, bool)
+        bits[self._bit(hashed)] = True
+        return hashed[order], np.array([self.number[p] for p in pieces], np.int64)[order], bits
+
+    @staticmethod
+    def _bit(hashed: np.ndarray) -> np.ndarray:
+        return (hashed * np.uint64(_SPREAD)) >> np.uint64(64 - _BITS)
+
+    def _pieces(self, hashed: np.ndarray, begins: bool) -> np.ndarray:
+        """Numbers of the pieces with these hashes, -1 for none."""
+        keys, numbers, bits = self.tables[0 if begins else 1]
+        out = np.full(hashed.shape, -1, np.int64)
+        maybe = np.nonzero(bits[self._bit(hashed)])
+        some = hashed[maybe]
+        at = np.minimum(np.searchsorted(keys, some), len(keys) - 1)
+        out[maybe] = np.where(keys[at] == some, numbers[at], -1)
+        return out
+
+    def _side_by_side(self, spelt: list[bytes]) -> tuple[np.ndarray, list]:
+        """Log of the ways to each place of words of one length, and for every place (starts, pieces, log of the ways by each)."""
+        n, size = len(spelt), len(spelt[0])
+        data = np.frombuffer(b"".join(spelt), np.uint8).reshape(n, size)
+        hashed = np.zeros((n, size + 1), np.uint64)
+        for i in range(size):
+            hashed[:, i + 1] = hashed[:, i] * np.uint64(_BASE) + data[:, i] + np.uint64(1)
+        ways, arcs = np.full((n, size + 1), -np.inf), []
+        ways[:, 0] = 0.0
+        with np.errstate(divide="ignore"):
+            for end in range(len(BEGIN), size + 1):
+                # Nothing but a piece that begins the word ends within the mark.
+                starts = np.arange(max(len(BEGIN), end - self.longest), end)
+                found = [self._pieces(hashed[:, end : end + 1], True)] if end <= self.longest else []
+                found.append(self._pieces(hashed[:, end : end + 1] - hashed[:, starts] * self.powers[end - starts], False))
+                starts = np.append(0, starts) if end <= self.longest else starts
+                pieces = np.concatenate(found, axis=1)
+                by = ways[:, starts] + self.scores[pieces]
+                most = by.max(axis=1)
+                least = np.where(np.isfinite(most), most, 0.0)
+                ways[:, end] = least + np.log(np.exp(by - least[:, None]).sum(axis=1))
+                arcs.append((starts, pieces, by))
+        return ways, arcs
+
+    def _by_length(self, words: list[bytes]) -> Iterator[tuple[list[int], list[bytes] | None]]:
+        """Places of words of one length and their spellings; None if they are long."""
+        groups: dict[int, list[int]] = {}
+        for i, word in enumerate(words):
+            groups.setdefault(min(len(word), SIDE), []).append(i)
+        for size, places in groups.items():
+            yield places, [BEGIN + words[i] for i in places] if size + len(BEGIN) <= SIDE else None
+
+    def logs(self, words: list[bytes]) -> np.ndarray:
+        """``log`` of many words."""
+        out = np.empty(len(words))
+        for places, spelt in self._by_length(words):
+            out[places] = [self.log(words[i]) for i in places] if spelt is None else self._side_by_side(spelt)[0][:, -1] + self.finish
+        return out
+
+    def expect_all(self, words: list[bytes], counts: np.ndarray) -> None:
+        """``expect`` of many words."""
+        for places, spelt in self._by_length(words):
+            if spelt is None:
+                for i in places:
+                    self.expect(words[i], counts)
+                continue
+            ways, arcs = self._side_by_side(spelt)
+            share = np.zeros(ways.shape)
+            share[:, -1] = 1.0
+            for end in range(len(spelt[0]), len(BEGIN) - 1, -1):
+                starts, pieces, by = arcs[end - len(BEGIN)]
+                row, column = np.nonzero((pieces >= 0) & (share[:, end : end + 1] > 0))
+                use = share[row, end] * np.exp(by[row, column] - ways[row, end])
+                np.add.at(share, (row, starts[column]), use)
+                counts += np.bincount(pieces[row, column], use, minlength=len(counts))
 
     def arcs(self, spelt: bytes) -> list[list[tuple[int, float]]]:
         """For every place the (start, log probability) of the pieces that end there."""
@@ -197,8 +292,7 @@ def fitted(distinct: DataFrame, pieces: list[bytes], *, rounds: int = ROUNDS) ->
             # One place more counts the words.
             lattice, expected = Lattice(pieces, scores, stop), np.zeros(len(pieces) + 1)
             for batch in batches:
-                for word in batch.column(0).to_pylist():
-                    lattice.expect(word, expected)
+                lattice.expect_all(batch.column(0).to_pylist(), expected)
                 expected[-1] += len(batch)
             used = np.flatnonzero(expected)
             yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array(expected[used])], ["piece", "n"])
@@ -223,11 +317,10 @@ class WordModel:
     def counted(self, c: int) -> float:
         return (c - self.discount) / self.n if c else 0.0
 
-    def word(self, word: bytes, c: int) -> float:
-        spelt = self.spelt + self.lattice.log(word)
-        if not c:
-            return spelt / math.log(10)
-        return float(np.logaddexp(math.log(self.counted(c)), spelt)) / math.log(10)
+    def words(self, words: list[bytes], counts: np.ndarray) -> np.ndarray:
+        with np.errstate(divide="ignore"):
+            counted = np.log(np.where(counts > 0, counts - self.discount, 0.0) / max(1, self.n))
+        return np.logaddexp(counted, self.spelt + self.lattice.logs(words)) / math.log(10)
 
     def end(self, c: int) -> float:
         return math.log10(self.counted(c)) if c else math.log10(0.5)
@@ -251,8 +344,8 @@ def scored_words(spark: SparkSession, rows: DataFrame, pieces: list[bytes], *, r
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = WordModel(*figures, Lattice(pieces, scores, stop))
         for batch in batches:
-            found = [model.word(word, c) for word, c in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(found, pa.float64())], ["key", "c", "score"])
+            found = model.words(batch.column(1).to_pylist(), batch.column(2).to_numpy())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(found)], ["key", "c", "score"])
 
     model = counts.where(f"not {is_end}").mapInArrow(work, "key binary, c long, score double")
     return written(spark, model, "model"), WordModel(*figures, None).end(total.ends), total.n, total.v, total.ends

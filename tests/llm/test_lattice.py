@@ -42,6 +42,18 @@ def test_lattice_sums_all_spellings(pieces, word):
     assert np.allclose(counts, want, atol=1e-9)
 
 
+def test_side_by_side_is_one_by_one(pieces):
+    own = Lattice(pieces, *first_scores(pieces))
+    found = [w.encode() for w in "a the banana überall x1 ▁ 日本 0007 straße ▁▁▁ \x00 http://www.example.org/index.html?a=1".split(" ")]
+    found += [b"y" * n for n in range(55, 70)] + [b"long" * 40, b"banana", bytes(range(128, 140))]
+    assert np.allclose(own.logs(found), [own.log(w) for w in found], atol=1e-9)
+    both = np.zeros(len(pieces)), np.zeros(len(pieces))
+    own.expect_all(found, both[0])
+    for w in found:
+        own.expect(w, both[1])
+    assert np.allclose(*both, atol=1e-9)
+
+
 def test_words_have_a_distribution():
     """All words of up to six of two letters, over a small vocabulary: their probabilities sum to almost one."""
     pieces = [BEGIN, BEGIN + b"a", BEGIN + b"ab", b"a", b"b", b"ba"]
