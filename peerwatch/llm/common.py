@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from peerwatch.session import work_folder
+from peerwatch.session import remove_folder, work_folder
 
 #: Tables are folders or files ``<name>.parquet`` below the folder of a data set.
 WHITE = r"[ \t-\r]+"
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -18,8 +19,23 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def written(spark: SparkSession, df: DataFrame, name: str = "step") -> DataFrame:
     """The rows as a Parquet table in the shared folder: lineage ends there, and a lost executor costs one read."""
     path = f"{work_folder(spark)}-{name}"
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    # Once the table is there, nothing needs the shuffle files that led to it.
+    before = spark.conf.get(SHUFFLE_CLEANUP)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(SHUFFLE_CLEANUP, before)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.step_folder = path
+    return out
+
+
+def removed(spark: SparkSession, *tables: DataFrame) -> None:
+    """Delete the folders of tables of ``written`` that nothing reads any more; frames made from them are left alone."""
+    for df in tables:
+        if path := df.__dict__.get("step_folder"):
+            remove_folder(spark, path)
 
 
 def text_of(docs: DataFrame) -> Column:

@@ -1,34 +1,43 @@
 """Operator 2: near-duplicate lines by an exact set-similarity join; DataFrame functions only.
 
-The set of a line is its distinct words; lines of fewer than ``least`` distinct words are left alone.  The query's SQL fixes five
-(``LEAST_WORDS``); the pipeline takes every line that is not blank.  A line is removed if an earlier line (smaller doc_id, then smaller line number) has a Jaccard
-similarity of at least ``percent``.
-
-Lines with equal sets are found by a 128-bit name.  The first line of each set goes into the join: its words are ordered by
-rarity (counts of all words of the corpus, in a table of fixed size, equal counts by hash), and only the prefix that a similar line must
-touch is joined.  A pair that meets at a word has to pass the length filter, the positional filter (what can still be common after
-this word) and a parity sketch (64 bits whose Hamming distance is at most the symmetric difference); what is left is verified on the
-words themselves.
-
-Scale: a prefix is about a fifth of a line.  Each line is first compared with the earliest line at each of its prefix words, which removes
-the many variants of one line without their pairs; only lines that are left are compared with all others they meet.  Equal lines,
-however many, are one line in the join.  Documents without a removed line are not shuffled again (a bit table of fixed size tells them).
-
-Defined results: a null text counts as empty and has no lines; blank lines and those below ``least`` stay as they are; of rows that repeat an id, or have none, those with the
-smaller text hash come first, null ids last; rows equal in id and text are one row in this order, and lose the same lines; other columns are not touched.
+The set of a line is its distinct words; lines of fewer than ``least`` distinct words are left alone (by default only blank ones).  A line is
+removed if an earlier line (smaller doc_id, then smaller line number) has a Jaccard similarity of at least ``percent``.
+
+Lines with equal sets are found by a 128-bit name made of their sorted words.  The first line of each set goes into the join: its words are
+ordered by rarity (counts of all words of the corpus, in a table of fixed size: quarters of the binary logarithm, ties by hash), and only the
+prefix that a similar line must touch is joined.  A pair that meets at a word has to pass the length filter, the positional filter (what can
+still be common after this word) and a parity sketch (64 bits whose Hamming distance is at most the symmetric difference); what is left is
+verified on the words themselves.
+
+Scale: a prefix is about a fifth of a line, and its rows are shuffled once, by word.  There each line is compared with the lines before it at its
+word, if those are at most ``NEAR``; lines at a more frequent word are first compared with the earliest one alone, which removes the many variants
+of one line without their pairs, and only lines that are left are compared with all others.  Of the lines that a line may be similar to
+the earliest is verified first, and the others only if that fails.  Equal lines, however many, are one line in the join.  Documents without a
+removed line are not shuffled again (a bit table of fixed size tells them).  Every step's table goes when the next ones are written, and
+the shuffle files of a step with it.
+
+Defined results: a null text counts as empty and has no lines; blank lines and those below ``least`` stay as they are; a very long line is a set
+like any other; of rows that repeat an id, or have none, those with the smaller text hash come first, null ids last; rows equal in id and text
+are one row in this order, and lose the same lines; an empty table gives an empty one; other columns, also with the names used here, are not
+touched.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from peerwatch.llm.common import in_bit_table, table, text_of, written
+from peerwatch.llm.common import in_bit_table, removed, table, text_of, written
 
-LEAST_WORDS = 5
+LEAST_WORDS = 1
 PERCENT = 80
-BUCKETS = 1 << 16
+#: Buckets of the counts of words.
+BUCKETS = 1 << 18
+#: Lines before a line at one of its words that it is compared with directly.
+NEAR = 24
 NONE = (1 << 63) - 1
 
 
@@ -41,17 +50,12 @@ def _plain(text: Column) -> Column:
     return F.when(F.rlike(text, F.lit(r"[\t\x0B-\r]")), F.translate(text, "\t\x0b\x0c\r", "    ")).otherwise(text)
 
 
-def _hashed(line: Column) -> Column:
-    """Distinct 64-bit hashes of the words of a line."""
-    return F.array_distinct(F.transform(_words(line), lambda w: F.xxhash64(w)))
-
-
-def _rarity(spark: SparkSession, lines: DataFrame) -> Column:
-    """An array with a class for every hash bucket: the log of how often its words occur, in quarters."""
-    words = lines.select(F.explode(F.transform(_words(F.col("line")), lambda w: F.xxhash64(w))).alias("w"))
-    counts = words.groupBy(F.pmod("w", F.lit(BUCKETS)).alias("b")).count()
+def _rarity(lines: DataFrame) -> Column:
+    """An array with a class for every hash bucket: four times the binary logarithm of how often its words occur."""
+    words = lines.select(F.explode(_words(F.col("line"))).alias("w"))
+    counts = words.groupBy(F.pmod(F.xxhash64("w"), F.lit(BUCKETS)).alias("b")).count()
     found = {r.b: r["count"] for r in counts.collect()}
-    classes = ",".join(str(min(120, int(found.get(b, 0) ** 0.5).bit_length() * 4)) for b in range(BUCKETS))
+    classes = ",".join(str(min(126, int(4 * math.log2(found.get(b, 0) + 1)))) for b in range(BUCKETS))
     # One literal, folded by the optimizer.
     return F.split(F.lit(classes), ",").cast("array<int>")
 
@@ -61,12 +65,12 @@ def _least_common(n: str | int, percent: int) -> str:
 
 
 def _placed(spark: SparkSession, docs: DataFrame) -> tuple[DataFrame, int]:
-    """Rows (d, h, p, t) and a number of bits: a line's place in the order is ``p`` shifted by them, plus its number."""
+    """Rows (d, h, p, t), one for each pair of d and h, and a number of bits: a line's place in the order is ``p`` shifted by them, plus its number."""
     keyed = with_keys(docs).select("d", "h", _plain(F.col("t")).alias("t"))
-    longest = keyed.agg(F.max(F.length("t") - F.length(F.replace("t", F.lit("\n"))))).first()[0] or 0
-    bits = max(1, longest.bit_length())
-    ids = keyed.groupBy("d").agg(F.count_distinct("h").alias("n"))
-    low, high, most = ids.agg(F.min("d"), F.max("d"), F.max("n")).first()
+    lines = F.octet_length("t") - F.octet_length(F.replace("t", F.lit("\n")))
+    ids = keyed.groupBy("d").agg(F.max(lines).alias("lines"), F.count("*").alias("n"))
+    low, high, longest, most = ids.agg(F.min("d"), F.max("d"), F.max("lines"), F.max("n")).first()
+    bits = max(1, (longest or 0).bit_length())
     if most is None or most == 1 and (high - low).bit_length() + bits < 63:
         return keyed.withColumn("p", F.col("d") - F.lit(low or 0)), bits
     # Ids that repeat, are missing or lie far apart: number the rows in order.
@@ -79,63 +83,81 @@ def _placed(spark: SparkSession, docs: DataFrame) -> tuple[DataFrame, int]:
         starts += [F.lit(number), F.lit(total).cast("long")]
         total += n
     order = order.select("d", "h", (F.element_at(F.create_map(*starts), part) + rest).alias("p"))
-    return keyed.join(order, ["d", "h"]).select("d", "h", "t", "p"), bits
+    once = keyed.groupBy("d", "h").agg(F.min("t").alias("t"))
+    return written(spark, once.join(order, ["d", "h"]).select("d", "h", "t", "p"), "placed"), bits
 
 
 def _lines(placed: DataFrame, bits: int) -> DataFrame:
-    """(at, line): at orders the lines of the corpus."""
+    """(at, line): at orders the lines of the corpus; blank ones are left out."""
     lines = placed.select("p", F.posexplode(F.split("t", "\n", -1)).alias("line_no", "line"))
-    return lines.select((F.shiftleft("p", bits) + F.col("line_no")).alias("at"), "line")
+    return lines.where(F.length(F.trim("line")) > 0).select((F.shiftleft("p", bits) + F.col("line_no")).alias("at"), "line")
 
 
-def near_lines(spark: SparkSession, docs: DataFrame, *, percent: int = PERCENT, least: int = LEAST_WORDS) -> DataFrame:
-    """(d, h, line_no) of the lines to remove; d and h as of ``with_keys``."""
-    placed, bits = _placed(spark, docs)
-    lines = _lines(placed, bits)
-    rarity = _rarity(spark, lines)
-    ordered = F.sort_array(
-        F.transform(
-            F.col("w"),
-            # 7 bits of rarity, then 56 bits of the hash.
-            lambda w: F.shiftleft(F.element_at(rarity, (F.pmod(w, F.lit(BUCKETS)) + 1).cast("int")).cast("long"), 56).bitwiseOR(F.shiftrightunsigned(w, 8)),
-        )
-    )
-    sets = lines.select("at", _hashed(F.col("line")).alias("w")).where(F.size("w") >= max(1, least))
-    sets = sets.select("at", ordered.alias("w"))
+def _sets(lines: DataFrame, percent: int) -> DataFrame:
+    """(at, n, s1, s2, sketch, prefix) of every line: size and name of its set, parity sketch, and the words it must share one of."""
+    rarity = _rarity(lines)
+    # 7 bits of rarity, then 56 bits of the hash.
+    placed = lambda h: F.shiftleft(F.element_at(rarity, (F.pmod(h, F.lit(BUCKETS)) + 1).cast("int")).cast("long"), 56).bitwiseOR(F.shiftrightunsigned(h, 8))
     one_bit = lambda w: F.call_function("shiftleft", F.lit(1).cast("long"), w.bitwiseAND(F.lit(63).cast("long")).cast("int"))
+    sets = lines.select("at", F.sort_array(F.array_distinct(_words(F.col("line")))).alias("words"))
     sets = sets.select(
         "at",
-        F.size("w").alias("n"),
-        F.xxhash64("w").alias("s1"),
-        F.xxhash64("w", F.lit(1)).alias("s2"),
+        F.size("words").alias("n"),
+        # The name is made of the words themselves.
+        F.xxhash64("words").alias("s1"),
+        F.xxhash64("words", F.lit(1)).alias("s2"),
+        F.sort_array(F.transform(F.transform("words", lambda w: F.xxhash64(w)), placed)).alias("w"),
+    )
+    return sets.select(
+        "at",
+        "n",
+        "s1",
+        "s2",
         F.aggregate("w", F.lit(0).cast("long"), lambda acc, w: acc.bitwiseXOR(one_bit(w))).alias("sketch"),
-        F.expr(f"slice(w, 1, size(w) - {_least_common('size(w)', percent)} + 1)").alias("prefix"),
+        F.expr(f"slice(w, 1, n - {_least_common('n', percent)} + 1)").alias("prefix"),
     )
-    sets = written(spark, sets, "sets")
+
+
+def near_lines(spark: SparkSession, docs: DataFrame, *, percent: int = PERCENT, least: int = LEAST_WORDS) -> DataFrame:
+    """(d, h, line_no) of the lines to remove; d and h as of ``with_keys``."""
+    placed, bits = _placed(spark, docs)
+    every = written(spark, _sets(_lines(placed, bits), percent), "sets")
+    sets = every.where(F.col("n") >= max(1, least))
     # Of lines with one set all but the first are removed.
-    firsts = sets.groupBy("s1", "s2").agg(F.min("at").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
-    again = written(spark, sets.select("s1", "s2", "at").join(firsts, ["s1", "s2"]).where("at > first").select("at"), "again")
-    rows = sets.select(F.posexplode("prefix").alias("j", "w"), "at", "n", "sketch", "s1")
-    # Lines with one set have one prefix, so at every word the first of them is there, too: the others go.
-    copies = Window.partitionBy("w", "s1", "n", "sketch").orderBy("at")
-    rows = rows.withColumn("copy", F.row_number().over(copies)).where("copy = 1").drop("copy", "s1")
-    word = Window.partitionBy("w")
-    # The earliest line at a word, and how many there are.
-    met = rows.withColumns({"low": F.min(F.struct("at", "n", "sketch", "j")).over(word), "many": F.count("*").over(word)})
-    near = F.expr(_can_match("n", "low.n", "j", "low.j", "sketch", "low.sketch", percent))
-    # Of two lines at a word the later is compared with the earlier; only three or more can give other pairs.
-    met = met.where("at > low.at").withColumn("near", near).where("near or many > 2")
-    met = written(spark, met.select("w", "at", "n", "sketch", "j", "near", "many", F.col("low.at").alias("low")), "met")
-    near_first = written(spark, met.where("near").select("at", F.col("low").alias("by")).distinct(), "near_first")
-    found = written(spark, _verified(spark, placed, bits, near_first, percent), "found")
-    met = met.where("many > 2")
-    left = met.join(found, "at", "left_anti").select("w", "at", "n", "sketch", "j")
-    others = met.select("w", *(F.col(c).alias(f"y_{c}") for c in ("at", "n", "sketch", "j")))
-    pairs = left.join(others, "w").where("y_at < at").where(_can_match("n", "y_n", "j", "y_j", "sketch", "y_sketch", percent))
-    pairs = written(spark, pairs.select("at", F.col("y_at").alias("by")).distinct(), "pairs")
-    more = written(spark, _verified(spark, placed, bits, pairs, percent), "more")
+    firsts = sets.groupBy("s1", "s2").agg(F.min("at").alias("first"), F.count("*").alias("many")).where("many > 1")
+    again = sets.select("s1", "s2", "at").join(firsts, ["s1", "s2"]).where("at > first").select("at")
+    again = written(spark, again, "again")
+    one = sets.groupBy("s1", "s2").agg(F.min(F.struct("at", "n", "sketch", "prefix")).alias("f"))
+    rows = one.select("f.*").select(F.posexplode("prefix").alias("j", "w"), "at", "n", "sketch")
+    word = Window.partitionBy("w").orderBy("at")
+    line = F.struct("at", "n", "sketch", "j")
+    whole = word.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    met = rows.withColumns(
+        {
+            "many": F.count("*").over(whole),
+            "low": F.first(line).over(whole),
+            "before": F.collect_list(line).over(word.rowsBetween(-NEAR, -1)),
+        }
+    )
+    frequent = F.col("many") > NEAR + 1
+    met = met.where("many > 1").withColumn("by", F.explode(F.when(frequent, F.array("low")).otherwise(F.col("before"))))
+    near = F.expr(_can_match("n", "by.n", "j", "by.j", "sketch", "by.sketch", percent))
+    met = met.where("at > by.at").withColumn("near", near).where(F.col("near") | frequent)
+    only = lambda c: F.when(frequent, F.col(c)).alias(c)
+    met = written(spark, met.select("at", F.col("by.at").alias("by"), "near", frequent.alias("frequent"), *map(only, ("w", "n", "sketch", "j"))), "met")
+    removed(spark, every)
+    # The earliest line that a line may be similar to, then the others.
+    pairs = met.where("near").select("at", "by")
+    found = _verified(spark, placed, bits, pairs.groupBy("at").agg(F.min("by").alias("by")), percent)
+    left = met.where("frequent").join(found, "at", "left_anti").select("w", "at", "n", "sketch", "j")
+    others = met.where("frequent").select("w", *(F.col(c).alias(f"y_{c}") for c in ("at", "n", "sketch", "j")))
+    among = left.join(others, "w").where("y_at < at").where(_can_match("n", "y_n", "j", "y_j", "sketch", "y_sketch", percent))
+    rest = pairs.join(found, "at", "left_anti").union(among.select("at", F.col("y_at").alias("by"))).distinct()
+    more = _verified(spark, placed, bits, rest, percent)
     gone = again.union(found).union(more).select((F.expr(f"at >> {bits}")).alias("p"), F.expr(f"cast(at & {(1 << bits) - 1} as int)").alias("line_no"))
-    return gone.join(placed.select("d", "h", "p").distinct(), "p").select("d", "h", "line_no")
+    out = written(spark, gone.join(placed.select("d", "h", "p"), "p").select("d", "h", "line_no"), "gone_lines")
+    removed(spark, met, again, found, more)
+    return out
 
 
 def _can_match(n: str, m: str, i: str, j: str, a: str, b: str, percent: int) -> str:
@@ -149,14 +171,17 @@ def _can_match(n: str, m: str, i: str, j: str, a: str, b: str, percent: int) ->
 
 def _verified(spark: SparkSession, placed: DataFrame, bits: int, pairs: DataFrame, percent: int) -> DataFrame:
     """The lines ``at`` of pairs (at, by) that are similar in their words."""
+    pairs = written(spark, pairs, "pairs")
     both = pairs.select(F.explode(F.array("at", "by")).alias("at")).distinct()
     holders = placed.where(in_bit_table(both.select(F.expr(f"at >> {bits}").alias("p")), "p", F.col("p")))
     lines = _lines(holders, bits).select("at", F.array_distinct(_words(F.col("line"))).alias("words"))
-    texts = written(spark, lines.join(both, "at").distinct(), "texts")
+    texts = written(spark, lines.join(both, "at"), "texts")
     by = texts.select(F.col("at").alias("by"), F.col("words").alias("other"))
     found = pairs.join(by, "by").join(texts, "at")
     common = F.size(F.array_intersect("words", "other"))
-    return found.where(100 * common >= percent * (F.size("words") + F.size("other") - common)).select("at").distinct()
+    found = written(spark, found.where(100 * common >= percent * (F.size("words") + F.size("other") - common)).select("at").distinct(), "found")
+    removed(spark, pairs, texts)
+    return found
 
 
 def with_keys(docs: DataFrame) -> DataFrame:
@@ -170,17 +195,18 @@ def clean_documents(spark: SparkSession, docs: DataFrame, *, percent: int = PERC
     plain = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
     named = {c: f"c{i}" for i, c in enumerate(plain)}
     keyed = with_keys(docs).select(*(F.col(f"`{c}`").alias(n) for c, n in named.items()), "d", "h", "t")
-    gone = near_lines(spark, docs, percent=percent, least=least).distinct().groupBy("d", "h").agg(F.collect_set("line_no").alias("gone"))
-    gone = written(spark, gone, "gone")
+    lines = near_lines(spark, docs, percent=percent, least=least)
+    gone = written(spark, lines.groupBy("d", "h").agg(F.collect_set("line_no").alias("gone")), "gone")
+    removed(spark, lines)
     touched = in_bit_table(gone, "d", F.col("d"))
     lines = F.split("t", "\n", -1)
     number = F.when(F.length("t") > 0, F.size(lines)).otherwise(0)
     same = keyed.where(~touched).select(*named.values(), F.col("t").alias("new"), number.alias("n_lines"), F.lit(0).alias("n_removed"))
     other = keyed.where(touched).join(gone, ["d", "h"], "left")
     kept = F.filter(lines, lambda _, i: ~F.array_contains("gone", i))
-    removed = F.coalesce(F.size("gone"), F.lit(0))
+    n_gone = F.coalesce(F.size("gone"), F.lit(0))
     new = F.when(F.col("gone").isNull(), F.col("t")).otherwise(F.array_join(kept, "\n"))
-    other = other.select(*named.values(), new.alias("new"), number.alias("n_lines"), removed.alias("n_removed"))
+    other = other.select(*named.values(), new.alias("new"), number.alias("n_lines"), n_gone.alias("n_removed"))
     both = same.unionByName(other)
     # A text that loses nothing stays as it is, also if it is null.
     text = F.when(F.col("n_removed") > 0, F.col("new")).otherwise(F.col(named["text"]))
@@ -201,7 +227,7 @@ SQL = r"""
 WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS i
   FROM documents WHERE text <> ''),
 w AS (SELECT doc_id, i, list_distinct(list_filter(string_split_regex(line, '[\x20\x09\x0B-\x0D]+'), lambda x: x <> '')) AS w FROM l),
-s AS (SELECT doc_id, i, w, len(w) AS n, list_sort(w) AS k FROM w WHERE len(w) >= 5),
+s AS (SELECT doc_id, i, w, len(w) AS n, list_sort(w) AS k FROM w WHERE len(w) >= 1),
 f AS (SELECT k, min((doc_id, i)) AS pos, any_value(n) AS n FROM s GROUP BY k),
 t AS (SELECT pos, n, unnest(k) AS t FROM f),
 p AS (SELECT a.pos AS pos, count(*) AS c, any_value(a.n) AS n, any_value(b.n) AS m FROM t a JOIN t b

@@ -1,9 +1,10 @@
 import random
 
+from peerwatch.llm import line_dedup
 from peerwatch.llm.line_dedup import clean_documents
 
 
-def brute(rows, least=5, percent=80):
+def brute(rows, least=1, percent=80):
     """Lines in the order of id (null last), then text hash is irrelevant here as ids are unique or rows equal."""
     order = sorted({(d is None, d or 0, t or "") for d, t, *_ in rows})
     lines = [(k, i, set(x.split()), x) for k in order for i, x in enumerate(k[2].split("\n"))] if rows else []
@@ -23,17 +24,17 @@ def brute(rows, least=5, percent=80):
     return sorted(map(repr, out))
 
 
-def check(spark, rows):
+def check(spark, rows, **options):
     docs = spark.createDataFrame(rows, "doc_id long, text string, n_lines string")
-    got = clean_documents(spark, docs).select("doc_id", "text", "n_lines", "n_removed").collect()
-    assert sorted(repr(tuple(r)) for r in got) == brute(rows)
+    got = clean_documents(spark, docs, **options).select("doc_id", "text", "n_lines", "n_removed").collect()
+    assert sorted(repr(tuple(r)) for r in got) == brute(rows, **options)
 
 
 def line(rng, n, vocabulary):
     return [f"v{rng.randrange(vocabulary)}" for _ in range(n)]
 
 
-def test_near_lines_against_brute_force(spark):
+def test_near_lines_against_brute_force(spark, monkeypatch):
     rng = random.Random(11)
     bases = [line(rng, n, 80) for n in (5, 6, 9, 12, 20, 40, 90) for _ in range(3)]
     rows = []
@@ -46,6 +47,11 @@ def test_near_lines_against_brute_force(spark):
             lines.append(rng.choice((" ", "\t", "  ")).join(words))
         rows.append((d * 7, "\n".join([*lines, "", "short line"]), "x"))
     check(spark, rows)
+    check(spark, rows, least=5)
+    check(spark, rows, percent=60)
+    # Every word that more than two lines meet at goes the way of frequent words.
+    monkeypatch.setattr(line_dedup, "NEAR", 1)
+    check(spark, rows)
 
 
 def test_odd_rows(spark):
