@@ -7,10 +7,10 @@ Lines with equal sets are found by a 128-bit name made of their sorted words.  T
 ordered by rarity (counts of all words of the corpus, in a table of fixed size: quarters of the binary logarithm, ties by hash), and only the
 prefix that a similar line must touch is joined.  A pair that meets at a word has to pass the length filter, the positional filter (what can
 still be common after this word) and a parity sketch (64 bits whose Hamming distance is at most the symmetric difference); what is left is
-verified on the words themselves.
+compared by wider sketches and verified on the words themselves.
 
 Scale: a prefix is about a fifth of a line, and its rows are shuffled once, by word.  There each line is compared with the lines before it at its
-word, if those are at most ``NEAR``; lines at a more frequent word are first compared with the earliest one alone, which removes the many variants
+word, if those that meet there are at most ``NEAR``; lines at a more frequent word are first compared with the earliest one alone, which removes the many variants
 of one line without their pairs, and only lines that are left are compared with all others.  Of the lines that a line may be similar to
 the earliest is verified first, and the others only if that fails.  Equal lines, however many, are one line in the join.  Documents without a
 removed line are not shuffled again (a bit table of fixed size tells them).  Every step's table goes when the next ones are written, and
@@ -24,8 +24,7 @@ touched.
 
 from __future__ import annotations
 
-import math
-
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -34,10 +33,14 @@ from peerwatch.llm.common import in_bit_table, removed, table, text_of, written
 
 LEAST_WORDS = 1
 PERCENT = 80
-#: Buckets of the counts of words.
-BUCKETS = 1 << 18
-#: Lines before a line at one of its words that it is compared with directly.
-NEAR = 24
+#: Buckets of the counts of words, a power of two.
+BUCKETS = 1 << 20
+#: Words of 64 bits of the sketches that pairs are compared by before their texts are.
+WIDE = 4
+#: The class of words that occur once in all.
+ONCE = 4
+#: Lines that may meet at a word to be compared with each other at once.
+NEAR = 64
 NONE = (1 << 63) - 1
 
 
@@ -51,13 +54,17 @@ def _plain(text: Column) -> Column:
 
 
 def _rarity(lines: DataFrame) -> Column:
-    """An array with a class for every hash bucket: four times the binary logarithm of how often its words occur."""
-    words = lines.select(F.explode(_words(F.col("line"))).alias("w"))
-    counts = words.groupBy(F.pmod(F.xxhash64("w"), F.lit(BUCKETS)).alias("b")).count()
-    found = {r.b: r["count"] for r in counts.collect()}
-    classes = ",".join(str(min(126, int(4 * math.log2(found.get(b, 0) + 1)))) for b in range(BUCKETS))
+    """An array, of fixed size, with a class for every hash bucket: four times the binary logarithm of how often its words occur, and one."""
+    words = lines.select(F.explode(F.split("line", " ", -1)).alias("w")).where("w != ''")
+    counts = words.groupBy(_bucket(F.xxhash64("w")).alias("b")).agg(F.count("*").alias("n")).toArrow()
+    classes = np.zeros(BUCKETS, np.int64)
+    classes[counts["b"].to_numpy()] = np.minimum(126, 4 * np.log2(counts["n"].to_numpy() + 1))
     # One literal, folded by the optimizer.
-    return F.split(F.lit(classes), ",").cast("array<int>")
+    return F.split(F.lit(",".join(map(str, classes.tolist()))), ",").cast("array<int>")
+
+
+def _bucket(h: Column) -> Column:
+    return h.bitwiseAND(F.lit(BUCKETS - 1).cast("long")).cast("int")
 
 
 def _least_common(n: str | int, percent: int) -> str:
@@ -93,29 +100,31 @@ def _lines(placed: DataFrame, bits: int) -> DataFrame:
     return lines.where(F.length(F.trim("line")) > 0).select((F.shiftleft("p", bits) + F.col("line_no")).alias("at"), "line")
 
 
+def _bit(h: Column) -> Column:
+    return F.call_function("shiftleft", F.lit(1).cast("long"), h.bitwiseAND(F.lit(63).cast("long")).cast("int"))
+
+
+def _parity(hashes: Column, bit) -> Column:
+    """The bits of all hashes, XORed."""
+    return F.aggregate(hashes, F.lit(0).cast("long"), lambda acc, h: acc.bitwiseXOR(bit(h)))
+
+
 def _sets(lines: DataFrame, percent: int) -> DataFrame:
     """(at, n, s1, s2, sketch, prefix) of every line: size and name of its set, parity sketch, and the words it must share one of."""
     rarity = _rarity(lines)
     # 7 bits of rarity, then 56 bits of the hash.
-    placed = lambda h: F.shiftleft(F.element_at(rarity, (F.pmod(h, F.lit(BUCKETS)) + 1).cast("int")).cast("long"), 56).bitwiseOR(F.shiftrightunsigned(h, 8))
-    one_bit = lambda w: F.call_function("shiftleft", F.lit(1).cast("long"), w.bitwiseAND(F.lit(63).cast("long")).cast("int"))
-    sets = lines.select("at", F.sort_array(F.array_distinct(_words(F.col("line")))).alias("words"))
+    placed = lambda h: F.shiftleft(F.element_at(rarity, _bucket(h) + 1).cast("long"), 56).bitwiseOR(F.shiftrightunsigned(h, 8))
+    hashed = F.transform(_words(F.col("line")), lambda w: F.xxhash64(w))
+    sets = lines.select("at", F.sort_array(F.array_distinct(hashed)).alias("h"))
     sets = sets.select(
         "at",
-        F.size("words").alias("n"),
-        # The name is made of the words themselves.
-        F.xxhash64("words").alias("s1"),
-        F.xxhash64("words", F.lit(1)).alias("s2"),
-        F.sort_array(F.transform(F.transform("words", lambda w: F.xxhash64(w)), placed)).alias("w"),
-    )
-    return sets.select(
-        "at",
-        "n",
-        "s1",
-        "s2",
-        F.aggregate("w", F.lit(0).cast("long"), lambda acc, w: acc.bitwiseXOR(one_bit(w))).alias("sketch"),
-        F.expr(f"slice(w, 1, n - {_least_common('n', percent)} + 1)").alias("prefix"),
+        F.size("h").alias("n"),
+        F.xxhash64("h").alias("s1"),
+        F.xxhash64("h", F.lit(1)).alias("s2"),
+        _parity(F.col("h"), _bit).alias("sketch"),
+        F.sort_array(F.transform("h", placed)).alias("w"),
     )
+    return sets.select("at", "n", "s1", "s2", "sketch", F.expr(f"slice(w, 1, n - {_least_common('n', percent)} + 1)").alias("prefix"))
 
 
 def near_lines(spark: SparkSession, docs: DataFrame, *, percent: int = PERCENT, least: int = LEAST_WORDS) -> DataFrame:
@@ -129,18 +138,15 @@ def near_lines(spark: SparkSession, docs: DataFrame, *, percent: int = PERCENT,
     again = written(spark, again, "again")
     one = sets.groupBy("s1", "s2").agg(F.min(F.struct("at", "n", "sketch", "prefix")).alias("f"))
     rows = one.select("f.*").select(F.posexplode("prefix").alias("j", "w"), "at", "n", "sketch")
+    # At a word that occurs once nothing is met.
+    rows = rows.where(F.shiftright("w", 56) != ONCE)
     word = Window.partitionBy("w").orderBy("at")
-    line = F.struct("at", "n", "sketch", "j")
     whole = word.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    met = rows.withColumns(
-        {
-            "many": F.count("*").over(whole),
-            "low": F.first(line).over(whole),
-            "before": F.collect_list(line).over(word.rowsBetween(-NEAR, -1)),
-        }
-    )
-    frequent = F.col("many") > NEAR + 1
-    met = met.where("many > 1").withColumn("by", F.explode(F.when(frequent, F.array("low")).otherwise(F.col("before"))))
+    met = rows.withColumns({"place": F.row_number().over(word), "many": F.count("*").over(whole)}).where("many > 1")
+    # The first lines at a word, a bounded number.
+    met = met.withColumn("first", F.collect_list(F.when(F.col("place") <= NEAR, F.struct("at", "n", "sketch", "j"))).over(whole))
+    frequent = F.col("many") > NEAR
+    met = met.withColumn("by", F.explode(F.when(frequent, F.slice("first", 1, 1)).otherwise(F.col("first"))))
     near = F.expr(_can_match("n", "by.n", "j", "by.j", "sketch", "by.sketch", percent))
     met = met.where("at > by.at").withColumn("near", near).where(F.col("near") | frequent)
     only = lambda c: F.when(frequent, F.col(c)).alias(c)
@@ -174,13 +180,21 @@ def _verified(spark: SparkSession, placed: DataFrame, bits: int, pairs: DataFram
     pairs = written(spark, pairs, "pairs")
     both = pairs.select(F.explode(F.array("at", "by")).alias("at")).distinct()
     holders = placed.where(in_bit_table(both.select(F.expr(f"at >> {bits}").alias("p")), "p", F.col("p")))
-    lines = _lines(holders, bits).select("at", F.array_distinct(_words(F.col("line"))).alias("words"))
-    texts = written(spark, lines.join(both, "at"), "texts")
+    lines = _lines(holders, bits).join(both, "at").select("at", F.array_distinct(_words(F.col("line"))).alias("words"))
+    lines = lines.select("at", "words", F.transform("words", lambda w: F.xxhash64(w)).alias("h"))
+    # A sketch of 64 bits for every part of the hashes.
+    part = lambda k: lambda h: F.when(F.shiftright(h, 6).bitwiseAND(F.lit(WIDE - 1).cast("long")) == k, _bit(h)).otherwise(F.lit(0).cast("long"))
+    sketches = [f"q{k}" for k in range(WIDE)]
+    texts = written(spark, lines.select("at", "words", F.size("words").alias("n"), *(_parity(F.col("h"), part(k)).alias(q) for k, q in enumerate(sketches))), "texts")
+    known = lambda c: texts.select(F.col("at").alias(c), *(F.col(x).alias(f"{c}_{x}") for x in ["n", *sketches]))
+    distance = " + ".join(f"bit_count(at_{q} ^ by_{q})" for q in sketches)
+    likely = f"100 * least(at_n, by_n) >= {percent} * greatest(at_n, by_n) and {100 + percent} * ({distance}) <= {100 - percent} * (at_n + by_n)"
+    likely = written(spark, pairs.join(known("by"), "by").join(known("at"), "at").where(likely).select("at", "by"), "likely")
     by = texts.select(F.col("at").alias("by"), F.col("words").alias("other"))
-    found = pairs.join(by, "by").join(texts, "at")
+    found = likely.join(by, "by").join(texts.select("at", "words"), "at")
     common = F.size(F.array_intersect("words", "other"))
     found = written(spark, found.where(100 * common >= percent * (F.size("words") + F.size("other") - common)).select("at").distinct(), "found")
-    removed(spark, pairs, texts)
+    removed(spark, pairs, texts, likely)
     return found
 
 

@@ -50,7 +50,7 @@ def test_near_lines_against_brute_force(spark, monkeypatch):
     check(spark, rows, least=5)
     check(spark, rows, percent=60)
     # Every word that more than two lines meet at goes the way of frequent words.
-    monkeypatch.setattr(line_dedup, "NEAR", 1)
+    monkeypatch.setattr(line_dedup, "NEAR", 2)
     check(spark, rows)
 
 
