@@ -6,8 +6,8 @@ removed if an earlier line (smaller doc_id, then smaller line number) has a Jacc
 Lines with equal sets are found by a 128-bit name made of their sorted words.  The first line of each set goes into the join: its words are
 ordered by rarity (counts of all words of the corpus, in a table of fixed size: quarters of the binary logarithm, ties by hash), and only the
 prefix that a similar line must touch is joined.  A pair that meets at a word has to pass the length filter, the positional filter (what can
-still be common after this word) and a parity sketch (64 bits whose Hamming distance is at most the symmetric difference); what is left is
-compared by wider sketches and verified on the words themselves.
+still be common after this word) and a parity sketch (64 bits, of lines of more than 64 words 256, whose Hamming distance is at most the symmetric difference); what is left is
+verified on the words themselves.
 
 Scale: a prefix is about a fifth of a line, and its rows are shuffled once, by word.  There each line is compared with the lines before it at its
 word, if those that meet there are at most ``NEAR``; lines at a more frequent word are first compared with the earliest one alone, which removes the many variants
@@ -35,8 +35,9 @@ LEAST_WORDS = 1
 PERCENT = 80
 #: Buckets of the counts of words, a power of two.
 BUCKETS = 1 << 20
-#: Words of 64 bits of the sketches that pairs are compared by before their texts are.
-WIDE = 4
+#: Words of 64 bits of a sketch; lines of up to ``SHORT`` words use the first alone.
+WIDE, SHORT = 4, 64
+SKETCH = tuple(f"q{k}" for k in range(WIDE))
 #: The class of words that occur once in all.
 ONCE = 4
 #: Lines that may meet at a word to be compared with each other at once.
@@ -100,17 +101,19 @@ def _lines(placed: DataFrame, bits: int) -> DataFrame:
     return lines.where(F.length(F.trim("line")) > 0).select((F.shiftleft("p", bits) + F.col("line_no")).alias("at"), "line")
 
 
-def _bit(h: Column) -> Column:
-    return F.call_function("shiftleft", F.lit(1).cast("long"), h.bitwiseAND(F.lit(63).cast("long")).cast("int"))
-
-
-def _parity(hashes: Column, bit) -> Column:
-    """The bits of all hashes, XORed."""
-    return F.aggregate(hashes, F.lit(0).cast("long"), lambda acc, h: acc.bitwiseXOR(bit(h)))
+def _sketch(hashes: str) -> list[Column]:
+    """Parity bits of the hashes of a line: a long line's in ``WIDE`` words, a short one's folded into the first."""
+    zero = F.lit(0).cast("long")
+    bit = lambda h: F.call_function("shiftleft", F.lit(1).cast("long"), h.bitwiseAND(F.lit(63).cast("long")).cast("int"))
+    part = lambda h, k: F.shiftright(h, 6).bitwiseAND(F.lit(WIDE - 1).cast("long")) == k
+    whole = F.aggregate(hashes, zero, lambda acc, h: acc.bitwiseXOR(bit(h)))
+    only = lambda k: F.aggregate(hashes, zero, lambda acc, h: F.when(part(h, k), acc.bitwiseXOR(bit(h))).otherwise(acc))
+    long = F.size(hashes) > SHORT
+    return [F.when(long, only(0)).otherwise(whole).alias(SKETCH[0]), *(F.when(long, only(k)).otherwise(zero).alias(SKETCH[k]) for k in range(1, WIDE))]
 
 
 def _sets(lines: DataFrame, percent: int) -> DataFrame:
-    """(at, n, s1, s2, sketch, prefix) of every line: size and name of its set, parity sketch, and the words it must share one of."""
+    """(at, n, s1, s2, sketch, prefix) of every line: size and name of its set, words of its parity sketch, and the words it must share one of."""
     rarity = _rarity(lines)
     # 7 bits of rarity, then 56 bits of the hash.
     placed = lambda h: F.shiftleft(F.element_at(rarity, _bucket(h) + 1).cast("long"), 56).bitwiseOR(F.shiftrightunsigned(h, 8))
@@ -121,10 +124,10 @@ def _sets(lines: DataFrame, percent: int) -> DataFrame:
         F.size("h").alias("n"),
         F.xxhash64("h").alias("s1"),
         F.xxhash64("h", F.lit(1)).alias("s2"),
-        _parity(F.col("h"), _bit).alias("sketch"),
+        *_sketch("h"),
         F.sort_array(F.transform("h", placed)).alias("w"),
     )
-    return sets.select("at", "n", "s1", "s2", "sketch", F.expr(f"slice(w, 1, n - {_least_common('n', percent)} + 1)").alias("prefix"))
+    return sets.select("at", "n", "s1", "s2", *SKETCH, F.expr(f"slice(w, 1, n - {_least_common('n', percent)} + 1)").alias("prefix"))
 
 
 def near_lines(spark: SparkSession, docs: DataFrame, *, percent: int = PERCENT, least: int = LEAST_WORDS) -> DataFrame:
@@ -136,28 +139,28 @@ def near_lines(spark: SparkSession, docs: DataFrame, *, percent: int = PERCENT,
     firsts = sets.groupBy("s1", "s2").agg(F.min("at").alias("first"), F.count("*").alias("many")).where("many > 1")
     again = sets.select("s1", "s2", "at").join(firsts, ["s1", "s2"]).where("at > first").select("at")
     again = written(spark, again, "again")
-    one = sets.groupBy("s1", "s2").agg(F.min(F.struct("at", "n", "sketch", "prefix")).alias("f"))
-    rows = one.select("f.*").select(F.posexplode("prefix").alias("j", "w"), "at", "n", "sketch")
+    one = sets.groupBy("s1", "s2").agg(F.min(F.struct("at", "n", *SKETCH, "prefix")).alias("f"))
+    rows = one.select("f.*").select(F.posexplode("prefix").alias("j", "w"), "at", "n", *SKETCH)
     # At a word that occurs once nothing is met.
     rows = rows.where(F.shiftright("w", 56) != ONCE)
     word = Window.partitionBy("w").orderBy("at")
     whole = word.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     met = rows.withColumns({"place": F.row_number().over(word), "many": F.count("*").over(whole)}).where("many > 1")
     # The first lines at a word, a bounded number.
-    met = met.withColumn("first", F.collect_list(F.when(F.col("place") <= NEAR, F.struct("at", "n", "sketch", "j"))).over(whole))
+    met = met.withColumn("first", F.collect_list(F.when(F.col("place") <= NEAR, F.struct("at", "n", "j", *SKETCH))).over(whole))
     frequent = F.col("many") > NEAR
     met = met.withColumn("by", F.explode(F.when(frequent, F.slice("first", 1, 1)).otherwise(F.col("first"))))
-    near = F.expr(_can_match("n", "by.n", "j", "by.j", "sketch", "by.sketch", percent))
+    near = F.expr(_can_match("", "by.", percent))
     met = met.where("at > by.at").withColumn("near", near).where(F.col("near") | frequent)
     only = lambda c: F.when(frequent, F.col(c)).alias(c)
-    met = written(spark, met.select("at", F.col("by.at").alias("by"), "near", frequent.alias("frequent"), *map(only, ("w", "n", "sketch", "j"))), "met")
+    met = written(spark, met.select("at", F.col("by.at").alias("by"), "near", frequent.alias("frequent"), *map(only, ("w", "n", "j", *SKETCH))), "met")
     removed(spark, every)
     # The earliest line that a line may be similar to, then the others.
     pairs = met.where("near").select("at", "by")
     found = _verified(spark, placed, bits, pairs.groupBy("at").agg(F.min("by").alias("by")), percent)
-    left = met.where("frequent").join(found, "at", "left_anti").select("w", "at", "n", "sketch", "j")
-    others = met.where("frequent").select("w", *(F.col(c).alias(f"y_{c}") for c in ("at", "n", "sketch", "j")))
-    among = left.join(others, "w").where("y_at < at").where(_can_match("n", "y_n", "j", "y_j", "sketch", "y_sketch", percent))
+    left = met.where("frequent").join(found, "at", "left_anti").select("w", "at", "n", "j", *SKETCH)
+    others = met.where("frequent").select("w", *(F.col(c).alias(f"y_{c}") for c in ("at", "n", "j", *SKETCH)))
+    among = left.join(others, "w").where("y_at < at").where(_can_match("", "y_", percent))
     rest = pairs.join(found, "at", "left_anti").union(among.select("at", F.col("y_at").alias("by"))).distinct()
     more = _verified(spark, placed, bits, rest, percent)
     gone = again.union(found).union(more).select((F.expr(f"at >> {bits}")).alias("p"), F.expr(f"cast(at & {(1 << bits) - 1} as int)").alias("line_no"))
@@ -166,35 +169,34 @@ def near_lines(spark: SparkSession, docs: DataFrame, *, percent: int = PERCENT,
     return out
 
 
-def _can_match(n: str, m: str, i: str, j: str, a: str, b: str, percent: int) -> str:
-    """Length, positional and sketch filter for two lines that meet at places i and j of their orders."""
-    common = f"ceil({percent} * ({n} + {m}) / {100.0 + percent}D - 1e-9D)"
+def _can_match(x: str, y: str, percent: int) -> str:
+    """Length, positional and sketch filter for two lines (their columns begin with x and y) that meet at places j of their orders."""
+    common = f"ceil({percent} * ({x}n + {y}n) / {100.0 + percent}D - 1e-9D)"
     return (
-        f"100 * least({n}, {m}) >= {percent} * greatest({n}, {m}) and 1 + least({n} - 1 - {i}, {m} - 1 - {j}) >= {common} "
-        f"and bit_count({a} ^ {b}) <= {n} + {m} - 2 * {common}"
+        f"100 * least({x}n, {y}n) >= {percent} * greatest({x}n, {y}n) and 1 + least({x}n - 1 - {x}j, {y}n - 1 - {y}j) >= {common} "
+        f"and {_distance(x, y)} <= {x}n + {y}n - 2 * {common}"
     )
 
 
+def _distance(x: str, y: str) -> str:
+    """A number that the symmetric difference of two lines reaches at least; a short and a long line are compared by the folded words."""
+    folded = f"bit_count({' ^ '.join(a + q for q in SKETCH for a in (x, y))})"
+    each = " + ".join(f"bit_count({x}{q} ^ {y}{q})" for q in SKETCH)
+    return f"if(({x}n > {SHORT}) = ({y}n > {SHORT}), {each}, {folded})"
+
+
 def _verified(spark: SparkSession, placed: DataFrame, bits: int, pairs: DataFrame, percent: int) -> DataFrame:
     """The lines ``at`` of pairs (at, by) that are similar in their words."""
     pairs = written(spark, pairs, "pairs")
     both = pairs.select(F.explode(F.array("at", "by")).alias("at")).distinct()
     holders = placed.where(in_bit_table(both.select(F.expr(f"at >> {bits}").alias("p")), "p", F.col("p")))
     lines = _lines(holders, bits).join(both, "at").select("at", F.array_distinct(_words(F.col("line"))).alias("words"))
-    lines = lines.select("at", "words", F.transform("words", lambda w: F.xxhash64(w)).alias("h"))
-    # A sketch of 64 bits for every part of the hashes.
-    part = lambda k: lambda h: F.when(F.shiftright(h, 6).bitwiseAND(F.lit(WIDE - 1).cast("long")) == k, _bit(h)).otherwise(F.lit(0).cast("long"))
-    sketches = [f"q{k}" for k in range(WIDE)]
-    texts = written(spark, lines.select("at", "words", F.size("words").alias("n"), *(_parity(F.col("h"), part(k)).alias(q) for k, q in enumerate(sketches))), "texts")
-    known = lambda c: texts.select(F.col("at").alias(c), *(F.col(x).alias(f"{c}_{x}") for x in ["n", *sketches]))
-    distance = " + ".join(f"bit_count(at_{q} ^ by_{q})" for q in sketches)
-    likely = f"100 * least(at_n, by_n) >= {percent} * greatest(at_n, by_n) and {100 + percent} * ({distance}) <= {100 - percent} * (at_n + by_n)"
-    likely = written(spark, pairs.join(known("by"), "by").join(known("at"), "at").where(likely).select("at", "by"), "likely")
+    texts = written(spark, lines, "texts")
     by = texts.select(F.col("at").alias("by"), F.col("words").alias("other"))
-    found = likely.join(by, "by").join(texts.select("at", "words"), "at")
+    found = pairs.join(by, "by").join(texts, "at")
     common = F.size(F.array_intersect("words", "other"))
     found = written(spark, found.where(100 * common >= percent * (F.size("words") + F.size("other") - common)).select("at").distinct(), "found")
-    removed(spark, pairs, texts, likely)
+    removed(spark, pairs, texts)
     return found
 
 
