@@ -72,6 +72,7 @@ def classes(spark: SparkSession, links: DataFrame) -> DataFrame:
         )
         small = written(spark, small, "small")
         same = small.count() == now.count() and small.exceptAll(now).isEmpty()
+        removed(spark, now, large)
         now = small
         if same:
             return now.select(F.col("a").alias("node"), F.col("b").alias("root")).union(

@@ -5,26 +5,32 @@ A document's set is its distinct word n-grams.  Two sets link when their Jaccard
 Candidates: sizes are cut into bands, each as wide as the threshold, so linked sets lie in one band or in neighbouring ones.  For a
 band, the symmetric difference of linked sets is at most ``d``.  Every n-gram is hashed to one of ``m > d`` parts and
 one of the bits of that part, and the bits are XORed: a sketch whose Hamming distance is at most the symmetric
-difference.  So at least ``m - d`` parts of linked sets are equal (pigeonhole), and sets that share a part meet.  A part
+difference.  So at least ``m - d`` parts of linked sets hold the same n-grams (pigeonhole), and sets that share a part meet.  A part
 with fewer than two n-grams says little and is left out, unless the set has so many of them that they could be all
 that is equal; then they are used too.  A set is sketched for its own band and for the next larger one.
 
+As ``m`` is about 1.3 d, a set that links with another shares not one part with others but at least ``m - d``, less those that it left
+out.  Sets that share fewer, as texts with a common passage do, are dropped with their keys before any pair is made.
+
 Candidates whose whole sketches are further apart than linked sets can be are dropped; of the rest the sets of words themselves
 are compared.  Nothing else makes a link.
 
 Scale: equal sets are one before the join.  Sketch parts are shuffled once.  Sets that share a part are first compared with one
 pivot each, the smallest id among all they meet, which joins groups of near copies without their pairs.  What is still in
 different classes is then compared over each shared part: the members outside the largest class of that part with all others, so every pair
-that could still change a class is looked at, and no pair within a class.  Classes are found by star contraction over tables.
+that could still change a class is looked at, and no pair within a class.  Classes are found by star contraction over tables.  Tables of
+steps go when nothing reads them any more.
 
 Defined results: a null or blank text has an empty set and links with nothing; with fewer words than n, the whole
 sequence is the only n-gram; rows that repeat an id are one document each, in the class of their own text, named by its
-smallest id; a null id counts as larger than any other; other columns are not touched.
+smallest id; a null id counts as larger than any other; a very long text is a set like any other; an empty table gives an empty one; other
+columns, also with the names used here, are not touched.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,7 +39,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from peerwatch.llm.common import classes, in_bit_table, table, text_of, written
+from peerwatch.llm.common import classes, in_bit_table, removed, table, text_of, written
 
 SEEN_WORDS = 500_000
 PART_BITS = 64
@@ -41,6 +47,8 @@ PART_BITS = 64
 SHORT = 8
 #: n-grams that a part must have to be used by itself.
 FULL_PART = 2
+#: Parts above the least number, as a share of it.
+MORE_PARTS = 0.3
 
 
 def words(text: str) -> list[bytes]:
@@ -104,12 +112,13 @@ class Bands:
         largest = self.starts[band + 1] - 1
         # 100 i >= p u and u + i = a + b give u - i <= (100 - p)(a + b) / (100 + p).
         d = (100 - self.percent) * 2 * largest // (100 + self.percent)
-        return d, d + 1 + round(0.06 * (d + 1))
+        return d, d + 1 + math.ceil(MORE_PARTS * (d + 1))
 
 
-def sketch_keys(hashed: np.ndarray, bands: Bands) -> np.ndarray:
-    """Keys by which the set meets others: hashes of (band, part, parity bits of the part)."""
-    out = []
+def sketch_keys(hashed: np.ndarray, bands: Bands) -> tuple[np.ndarray, np.ndarray]:
+    """Keys by which the set meets others, hashes of (band, part, parity bits of the part), and for each twice the number of keys of its band that a
+    linked set has as well, plus one in the larger band."""
+    out, needs = [], []
     own = bands.of(len(hashed))
     for band in (own, own + 1):
         d, m = bands.parts(band)
@@ -124,7 +133,9 @@ def sketch_keys(hashed: np.ndarray, bands: Bands) -> np.ndarray:
         which = np.flatnonzero(use).astype(np.uint64)
         salt = np.uint64(band * 2654435761 + 17)
         out.append(_mixed(_mixed(which * np.uint64(0x9E3779B97F4A7C15) + salt) + bits[use]))
-    return np.concatenate(out)
+        # Of the m - d equal parts those that are left out are no keys.
+        needs.append(np.full(len(which), 2 * (len(which) - d) + band - own, np.int32))
+    return np.concatenate(out), np.concatenate(needs)
 
 
 def _sets(rows: DataFrame, n: int) -> DataFrame:
@@ -150,7 +161,7 @@ def _name(hashed: np.ndarray) -> bytes:
 
 
 def _keys(rows: DataFrame, n: int, percent: int) -> DataFrame:
-    """(key, rid) for the sketch parts of each row (rid, doc_id, text).
+    """(key, rid, need) for the sketch parts of each row (rid, doc_id, text).
 
     Within a task only the first row of equal sets is sketched: the others have the same keys, and all rows are mapped
     to their set later.
@@ -159,7 +170,7 @@ def _keys(rows: DataFrame, n: int, percent: int) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, bands, seen = _Hashes(), Bands(percent), set()
         for batch in batches:
-            keys, ids, size = [], [], 0
+            keys, ids, needs, size = [], [], [], 0
             for rid, value in zip(batch.column(0).to_pylist(), batch.column(2), strict=True):
                 hashed = gram_hashes(value.as_py(), n, hashes)
                 if not len(hashed) or (name := _name(hashed)) in seen:
@@ -167,22 +178,23 @@ def _keys(rows: DataFrame, n: int, percent: int) -> DataFrame:
                 if len(seen) >= SEEN_WORDS:
                     seen.clear()
                 seen.add(name)
-                some = sketch_keys(hashed, bands)
+                some, need = sketch_keys(hashed, bands)
                 keys.append(some)
+                needs.append(need)
                 ids.append(np.full(len(some), rid, np.int64))
                 size += len(some)
                 if size > 200_000:
-                    yield _pairs(keys, ids)
-                    keys, ids, size = [], [], 0
+                    yield _keyed(keys, ids, needs)
+                    keys, ids, needs, size = [], [], [], 0
             if keys:
-                yield _pairs(keys, ids)
+                yield _keyed(keys, ids, needs)
 
-    return rows.mapInArrow(work, "key long, rid long")
+    return rows.mapInArrow(work, "key long, rid long, need int")
 
 
-def _pairs(keys, ids) -> pa.RecordBatch:
-    columns = [pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.concatenate(ids))]
-    return pa.RecordBatch.from_arrays(columns, ["key", "rid"])
+def _keyed(keys, ids, needs) -> pa.RecordBatch:
+    columns = [pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.concatenate(ids)), pa.array(np.concatenate(needs))]
+    return pa.RecordBatch.from_arrays(columns, ["key", "rid", "need"])
 
 
 def parity(hashed: np.ndarray) -> np.ndarray:
@@ -261,29 +273,36 @@ def ngram_classes(spark: SparkSession, docs: DataFrame, *, n: int = 4, percent:
     named = written(spark, named, "named")
     mapped = written(spark, found.drop("sketch").join(named.drop("first"), "name", "left").drop("name"), "mapped")
     part = Window.partitionBy("key")
-    met = _keys(rows, n, percent)
+    # Of equal sets (almost) only the one that stands for them is sketched.
+    met = _keys(rows.where(in_bit_table(named, "set", F.col("rid"))), n, percent)
     met = met.withColumns({"low": F.min("rid").over(part), "high": F.max("rid").over(part)})
-    met = written(spark, met.where("low < high").select("key", "rid"), "met")
-    sets = met.join(mapped.select("rid", "set"), "rid").select("key", "set").distinct()
+    met = written(spark, met.where("low < high").select("key", "rid", "need"), "met")
+    enough = met.groupBy("rid", "need").agg(F.count("*").alias("keys")).where("2 * keys >= need - need % 2").drop("keys")
+    sets = met.join(enough, ["rid", "need"], "left_semi").join(named.select("set"), F.col("rid") == F.col("set"), "left_semi").select("key", F.col("rid").alias("set"))
     sets = sets.withColumns({"low": F.min("set").over(part), "high": F.max("set").over(part)})
     sets = written(spark, sets.where("low < high").select("key", "set", "low"), "shared")
+    removed(spark, met)
     # The sketches of all sets that meet another.
     members = sets.select(F.col("set").alias("rid")).distinct()
     sketches = found.select("rid", F.col("n_shingles").alias("n"), "sketch").join(members, "rid", "left_semi")
     sketches = written(spark, sketches, "sketches")
+    removed(spark, found)
     pivots = sets.groupBy("set").agg(F.min("low").alias("a")).where("set != a").select("a", F.col("set").alias("b"))
 
     def check(pairs: DataFrame) -> DataFrame:
         possible = written(spark, _possible(pairs, sketches, percent), "possible")
         ids = possible.select(F.explode(F.array("a", "b")).alias("rid")).distinct()
-        texts = rows.where(in_bit_table(ids, "rid", F.col("rid"))).join(ids, "rid").select("rid", "text")
-        return _verified(possible, written(spark, texts, "texts"), n, percent)
+        texts = written(spark, rows.where(in_bit_table(ids, "rid", F.col("rid"))).join(ids, "rid").select("rid", "text"), "texts")
+        out = written(spark, _verified(possible, texts, n, percent), "links")
+        removed(spark, possible, texts)
+        return out
 
-    links = written(spark, check(pivots), "links")
+    links = check(pivots)
     root = classes(spark, links)
     placed = sets.select("key", "set").join(root, sets["set"] == root["node"], "left")
     placed = written(spark, placed.select("key", "set", F.coalesce("root", "set").alias("root")), "placed")
-    more = written(spark, check(_between_classes(spark, placed, sketches, percent)), "more")
+    more = check(_between_classes(spark, placed, sketches, percent))
+    removed(spark, sets, placed, sketches)
     root = classes(spark, links.union(more))
     whole = named.join(root, named["set"] == root["node"], "left")
     whole = written(spark, whole.select("set", "first", F.coalesce("root", "set").alias("class")), "whole")

@@ -61,17 +61,32 @@ def test_odd_rows(spark):
 def test_linked_sets_share_a_key(percent):
     rng, hashes, bands = random.Random(percent), _Hashes(), Bands(percent)
     linked = 0
-    for _ in range(400):
-        a, b = family(rng, rng.choice((5, 9, 17, 40, 90, 300)), 4, 2, 60)
+    for i in range(600):
+        size = rng.choice((4, 5, 6, 7, 9, 12, 17, 25, 40, 60, 90, 150, 300, 700))
+        a, b = family(rng, size, max(1, size // 20), 2, 60 if i % 2 else 4000)
         x, y = grams(a, 4), grams(b, 4)
         if 100 * len(x & y) >= percent * len(x | y):
             linked += 1
             p, q = gram_hashes(a, 4, hashes), gram_hashes(b, 4, hashes)
             assert may_link(parity(p), len(p), parity(q), len(q), percent)
-            assert set(sketch_keys(gram_hashes(a, 4, hashes), bands).tolist()) & set(sketch_keys(gram_hashes(b, 4, hashes), bands).tolist())
+            mine, theirs = sketch_keys(p, bands), sketch_keys(q, bands)
+            shared = set(mine[0].tolist()) & set(theirs[0].tolist())
+            # Both share as many keys as each needs, in a band of both.
+            both = [[n for k, n in zip(keys.tolist(), needs.tolist(), strict=True) if k in shared] for keys, needs in (mine, theirs)]
+            assert all(any(found.count(n) >= n // 2 >= 1 for n in set(found)) for found in both)
     assert linked > 50
 
 
+def test_texts_with_common_passages(spark):
+    """Half of a text is a passage of many: no links, but for the near copies among them."""
+    rng = random.Random(8)
+    passage = [f"p{i}" for i in range(60)]
+    texts = [" ".join(passage + [f"w{rng.randrange(9999)}" for _ in range(60)]) for _ in range(40)]
+    texts += [t + " end" for t in texts[:10]] + [" ".join(passage)] * 3 + [" ".join(passage[:55])]
+    check(spark, [(i, t, 0) for i, t in enumerate(texts)])
+    check(spark, [(i, t, 0) for i, t in enumerate(texts)], n=5, percent=80)
+
+
 def test_classes(spark):
     rng = random.Random(1)
     links = [(i, i + 1) for i in range(0, 60)] + [(rng.randrange(100, 400), rng.randrange(100, 400)) for _ in range(200)] + [(900, 900), (7, 7)]
