@@ -275,8 +275,9 @@ def ngram_classes(spark: SparkSession, docs: DataFrame, *, n: int = 4, percent:
     part = Window.partitionBy("key")
     # Of equal sets (almost) only the one that stands for them is sketched.
     met = _keys(rows.where(in_bit_table(named, "set", F.col("rid"))), n, percent)
-    met = met.withColumns({"low": F.min("rid").over(part), "high": F.max("rid").over(part)})
-    met = written(spark, met.where("low < high").select("key", "rid", "need"), "met")
+    met = met.withColumns({"low": F.min("rid").over(part), "high": F.max("rid").over(part), "larger": F.min(F.col("need") % 2).over(part)})
+    # Sets that all have a key from the next band meet by their own band's keys, too.
+    met = written(spark, met.where("low < high and larger = 0").select("key", "rid", "need"), "met")
     enough = met.groupBy("rid", "need").agg(F.count("*").alias("keys")).where("2 * keys >= need - need % 2").drop("keys")
     sets = met.join(enough, ["rid", "need"], "left_semi").join(named.select("set"), F.col("rid") == F.col("set"), "left_semi").select("key", F.col("rid").alias("set"))
     sets = sets.withColumns({"low": F.min("set").over(part), "high": F.max("set").over(part)})
@@ -330,10 +331,12 @@ def _between_classes(spark: SparkSession, placed: DataFrame, sketches: DataFrame
 
     Those that their sizes or short sketches rule out are left out at once.
     """
-    counts = placed.groupBy("key", "root").agg(F.count("*").alias("n"))
-    most = counts.groupBy("key").agg(F.count("*").alias("classes"), F.max(F.struct("n", "root"))["root"].alias("largest"))
-    open_ = placed.join(most.where("classes > 1"), "key").join(_short(sketches), "set")
-    open_ = written(spark, open_.drop("classes"), "open")
+    part = Window.partitionBy("key")
+    several = placed.withColumns({"low": F.min("root").over(part), "high": F.max("root").over(part)}).where("low < high")
+    several = written(spark, several.select("key", "set", "root"), "several")
+    counts = several.groupBy("key", "root").agg(F.count("*").alias("n"))
+    most = counts.groupBy("key").agg(F.max(F.struct("n", "root"))["root"].alias("largest"))
+    open_ = written(spark, several.join(most, "key").join(_short(sketches), "set"), "open")
     words = [f"q{i}" for i in range(SHORT)]
     side = lambda c: ["key", F.col("set").alias(c), *(F.col(o).alias(f"{c}_{o}") for o in ("root", "n", *words))]
     left = open_.where("root != largest").select(*side("x"))
