@@ -5,15 +5,16 @@ punctuation.  In a second form every capitalised word is a name, also
 where a sentence or line begins, and names in a row are one placeholder.  Windows of ``WINDOW`` template words of documents and items are joined by their hash, and equal ones are kept.
 Along one alignment of a document with an item every value that a placeholder stands for in the item must have one value in the document
 (the slots are consistent): then the item is in the document, word for word or with other parameters.  A pair counts when at
-least ``SHARE`` of the item's windows are found so, in either form.
+least ``SHARE`` of the item's windows are found so, in either form, or when ``QUOTED`` words in a row are the item's own, placeholders included.
 
-Scale: documents are read once, without a shuffle; windows that cannot be in the benchmark are dropped in the task by a bit table of
-fixed size (a larger benchmark makes it let more pass, never fewer).  What is left is joined by hash; Spark splits the
+Scale: documents are read once, without a shuffle; a task splits a text once, numbers its words, and hashes the windows of many texts at a time.  Windows that cannot be in
+the benchmark are dropped in the task by a bit table, 64 bits for each window of the benchmark up to ``MOST_BITS`` (a larger benchmark makes it let more
+pass, never fewer).  What is left is joined by hash; Spark splits the
 windows of a passage that many documents share, and all further groups are one document and one item.
 
 Defined results: a null or empty text has no windows; items of fewer than ``WINDOW`` words are one window of their own length, and
-items of fewer than ``LITERALS`` plain words can never match; rows that repeat an id are judged by their own text; items with one
-id are one item; other columns are not touched.
+items of fewer than ``LITERALS`` plain words can never match; a very long text is like any other; rows that repeat an id are judged by their own text; items with one
+id are one item; an empty table finds nothing; other columns, also with the names used here, are not touched.
 """
 
 from __future__ import annotations
@@ -26,13 +27,17 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from peerwatch.llm.common import table, text_of, written
+from peerwatch.llm.common import removed, table, text_of, written
 from peerwatch.llm.ngram_join import _mixed
 
-WINDOW, LITERALS, SHARE = 8, 4, 0.5
-BITS = 1 << 22
+WINDOW, LITERALS, SHARE, QUOTED = 8, 4, 0.5, 13
+LEAST_BITS, MOST_BITS = 1 << 16, 1 << 27
 SEEN_WORDS = 500_000
+#: Words that are worked on at a time.
+AT_ONCE = 100_000
+_BASE, _INVERSE = 0x9E3779B97F4A7C15, pow(0x9E3779B97F4A7C15, -1, 1 << 64)
 NUMBER, UNIT, NAME = "<number>", "<unit>", "<name>"
 
 #: Fixed values.
@@ -102,82 +107,95 @@ def _any_name(word: str, slot: tuple) -> bool:
     return slot == (None,) and word.strip(_EDGES)[:1].isupper()
 
 
-class _Hashes(dict):
-    def __missing__(self, word):
-        if len(self) >= SEEN_WORDS:
-            self.clear()
-        # The lowest bits are left to flags.
-        value = self[word] = xxhash.xxh64_intdigest(word.encode("utf-8", "replace")) & ~7
-        return value
-
-
-class _Codes(dict):
-    """Hash of the template word of a word, without its lowest bits: 1 for a capital, 2 for an end of sentence, 4 if the
-    word is not just one template word."""
-
-    def __init__(self, kinds: _Kinds, hashes: _Hashes):
-        super().__init__()
-        self.kinds, self.hashes = kinds, hashes
+def _hash(word: str) -> int:
+    return xxhash.xxh64_intdigest(word.encode("utf-8", "replace"))
 
-    def __missing__(self, word):
-        if len(self) >= SEEN_WORDS:
-            self.clear()
-        template_words, _, capital, ends = self.kinds[word]
-        plain = self.hashes[template_words[0]] if len(template_words) == 1 else 0
-        code = self[word] = plain | capital | ends << 1 | (len(template_words) != 1) << 2
-        return code
 
+SLOTS = np.array([_hash(w) for w in (NUMBER, UNIT, NAME)], np.uint64)
 
-def template_hashes(text: str, codes: _Codes) -> np.ndarray:
-    """The hashes of the template words of a text, mostly without a step for each word in Python."""
-    lines = [line.split() for line in text.splitlines()]
-    words = [w for line in lines for w in line]
-    if not words:
-        return np.empty(0, np.uint64)
-    each = np.fromiter(map(codes.__getitem__, words), np.uint64, len(words))
-    if (each & np.uint64(4)).any():
-        words = template(text, codes.kinds)[0]
-        return np.fromiter(map(codes.hashes.__getitem__, words), np.uint64, len(words))
-    starts = np.concatenate(([True], (each[:-1] & np.uint64(2)) != 0))
-    first = np.cumsum([0, *map(len, lines[:-1])])
-    starts[first[first < len(words)]] = True
-    names = ((each & np.uint64(1)) != 0) & ~starts
-    return np.where(names, np.uint64(codes.hashes[NAME]), each & ~np.uint64(7))
 
+class _Numbers(dict):
+    """A number for every word met, and what the number stands for: its template words (two at most), and its part in either form."""
 
-class _NameCodes(_Codes):
-    """Hash of the template word of a word in a ``name_template``, with the same 4."""
+    def __init__(self, kinds: _Kinds):
+        super().__init__()
+        self.kinds = kinds
+        self.rows: list[tuple[int, int, int, bool, bool, bool]] = []
+        self.table = np.zeros((0, 6), np.uint64)
 
     def __missing__(self, word):
-        if len(self) >= SEEN_WORDS:
+        template_words, slot, capital, ends = self.kinds[word]
+        hashes = [*map(_hash, template_words), 0, 0]
+        number = self[word] = len(self.rows)
+        self.rows.append((len(template_words), hashes[0], hashes[1], capital, ends, _any_name(word, slot)))
+        return number
+
+    def of(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(numbers of the words, table by number)."""
+        if len(self) > SEEN_WORDS:
             self.clear()
-        template_words, slot, _, _ = self.kinds[word]
-        name = NAME if _any_name(word, slot) else template_words[0] if len(template_words) == 1 else None
-        code = self[word] = 4 if name is None else self.hashes[name]
-        return code
-
-
-def name_template_hashes(text: str, codes: _NameCodes) -> np.ndarray:
-    words = text.split()
-    each = np.fromiter(map(codes.__getitem__, words), np.uint64, len(words))
-    if (each & np.uint64(4)).any():
-        words = name_template(text, codes.kinds)[0]
-        return np.fromiter(map(codes.hashes.__getitem__, words), np.uint64, len(words))
-    name = each == np.uint64(codes.hashes[NAME])
-    return each[~(name & np.concatenate(([False], name[:-1])))] if len(each) else each
-
-
-def window_hashes(each: np.ndarray, size: int, hashes: _Hashes) -> np.ndarray:
-    """A hash of every window of template hashes; 0 where it has too few plain words."""
-    if len(each) < size:
-        return np.empty(0, np.uint64)
-    slot = (each == hashes[NUMBER]) | (each == hashes[UNIT]) | (each == hashes[NAME])
-    slots = np.concatenate(([0], np.cumsum(slot)))
-    n = len(each) - size + 1
-    out = np.full(n, size, np.uint64)
-    for i in range(size):
-        out = out * np.uint64(0x9E3779B97F4A7C15) + each[i : n + i]
-    return np.where(size - (slots[size:] - slots[:-size]) >= LITERALS, _mixed(out) | np.uint64(1), np.uint64(0))
+            self.rows, self.table = [], self.table[:0]
+        numbers = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
+        if len(self.rows) > len(self.table):
+            self.table = np.concatenate([self.table, np.array(self.rows[len(self.table) :], np.uint64)])
+        return numbers, self.table
+
+
+def template_codes(texts: list[str], numbers: _Numbers) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For both forms the hashes of the template words of all texts, and the text that each belongs to."""
+    words, lines, of_line = [], [], []
+    for i, text in enumerate(texts):
+        for line in text.splitlines():
+            before = len(words)
+            words += line.split()
+            lines.append(len(words) - before)
+            of_line.append(i)
+    if not words:
+        return [(np.empty(0, np.uint64), np.empty(0, np.int64))] * 2
+    number, table = numbers.of(words)
+    line = np.repeat(np.arange(len(lines)), lines)
+    text = np.array(of_line, np.int64)[line]
+    row = table[number]
+    parts, capital, ends, any_name = row[:, 0].astype(np.int64), row[:, 3] != 0, row[:, 4] != 0, row[:, 5] != 0
+    # A word begins a sentence if its line begins, or one ended since the last word that is more than punctuation.
+    place = np.arange(len(words))
+    last = np.maximum.accumulate(np.where(parts > 0, place, -1))
+    last = np.concatenate(([-1], last[:-1]))
+    ended = np.concatenate(([0], np.cumsum(ends)))
+    starts = (last < 0) | (line[last] != line) | (ended[place] > ended[np.maximum(last, 0)])
+    out = []
+    for name in (capital & ~starts, any_name):
+        count = np.where(name, 1, parts)
+        codes = np.repeat(np.where(name, SLOTS[2], row[:, 1]), count)
+        second = np.cumsum(count)[count == 2] - 1
+        codes[second] = row[count == 2, 2]
+        out.append((codes, np.repeat(text, count)))
+    # In the second form names in a row are one.
+    codes, text = out[1]
+    name = codes == SLOTS[2]
+    keep = ~(name & np.concatenate(([False], name[:-1])) & np.concatenate(([False], text[1:] == text[:-1])))
+    out[1] = codes[keep], text[keep]
+    return out
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    return np.concatenate(([np.uint64(1)], np.cumprod(np.full(max(0, n - 1), base, np.uint64))))[:n]
+
+
+def window_hashes(codes: np.ndarray, text: np.ndarray, sizes: list[int]) -> Iterator[tuple[int, np.ndarray]]:
+    """For every size a hash of the window at each place; 0 where it leaves its text or has too few plain words."""
+    n = len(codes)
+    sums = np.concatenate(([np.uint64(0)], np.cumsum(codes * _powers(_BASE, n))))
+    back = _powers(_INVERSE, n)
+    slots = np.concatenate(([0], np.cumsum(np.isin(codes, SLOTS))))
+    for size in sizes:
+        if n < size:
+            yield size, np.zeros(n, np.uint64)
+            continue
+        m = n - size + 1
+        whole = (text[size - 1 :] == text[:m]) & (size - (slots[size:] - slots[:-size]) >= LITERALS)
+        hashed = _mixed((sums[size:] - sums[:-size]) * back[:m] + np.uint64(size)) | np.uint64(1)
+        yield size, np.concatenate((np.where(whole, hashed, np.uint64(0)), np.zeros(size - 1, np.uint64)))
 
 
 WINDOWS = "id long, twin long, form int, pos int, hash long, words string, slots array<string>"
@@ -186,36 +204,45 @@ WINDOWS = "id long, twin long, form int, pos int, hash long, words string, slots
 def _windows(rows: DataFrame, sizes: list[int] | None, bits: np.ndarray | None) -> DataFrame:
     """Windows of rows (id, twin, text) in both forms of template: 0 for ``template``, 1 for ``name_template``.
 
-    ``sizes`` None: of one size, the text's own if it is shorter.
+    ``sizes`` None: of one size, the text's own if it is shorter.  With ``bits``, only those that the bit table lets pass.
     """
 
+    def found(ids: list, twins: list, texts: list[str], numbers: _Numbers) -> list[tuple]:
+        out = []
+        for form, (codes, text) in enumerate(template_codes(texts, numbers)):
+            first = np.searchsorted(text, np.arange(len(texts)))
+            made: dict[int, tuple] = {}
+            for size, hashed in window_hashes(codes, text, sizes or [min(WINDOW, max(1, len(codes)))]):
+                keep = hashed != 0
+                hashed = hashed ^ np.uint64(form << 40)
+                if bits is not None:
+                    at = hashed % np.uint64(64 * len(bits))
+                    keep &= (bits[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) == 1
+                for place in np.flatnonzero(keep).tolist():
+                    i = int(text[place])
+                    if i not in made:
+                        made[i] = (template, name_template)[form](texts[i], numbers.kinds)
+                    pos = place - int(first[i])
+                    words, values = (x[pos : pos + size] for x in made[i])
+                    number = int(hashed[place : place + 1].view(np.int64)[0])
+                    out.append((ids[i], twins[i], form, pos, number, " ".join(words), [v for v in values if v is not None]))
+        return out
+
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds, hashes = _Kinds(), _Hashes()
-        forms = [(template, template_hashes, _Codes(kinds, hashes)), (name_template, name_template_hashes, _NameCodes(kinds, hashes))]
+        numbers = _Numbers(_Kinds())
         for batch in batches:
-            out = []
+            ids, twins, texts, size = [], [], [], 0
             for row_id, twin, value in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
-                text = value.as_py()
-                for form, (made, hashed_words, codes) in enumerate(forms):
-                    words, each = None, hashed_words(text, codes)
-                    for size in sizes or [min(WINDOW, max(1, len(each)))]:
-                        hashed = window_hashes(each, size, hashes)
-                        keep = hashed != 0
-                        hashed = hashed ^ np.uint64(form << 40)
-                        if bits is not None:
-                            at = hashed % np.uint64(BITS)
-                            keep &= (bits[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) == 1
-                        for pos in np.flatnonzero(keep):
-                            if words is None:
-                                words, values = made(text, kinds)
-                            slots = [v for v in values[pos : pos + size] if v is not None]
-                            number = int(hashed[pos : pos + 1].view(np.int64)[0])
-                            out.append((row_id, twin, form, int(pos), number, " ".join(words[pos : pos + size]), slots))
-                if len(out) >= 5_000:
-                    yield _batch(out)
-                    out = []
-            if out:
-                yield _batch(out)
+                ids.append(row_id)
+                twins.append(twin)
+                texts.append(value.as_py())
+                size += len(texts[-1])
+                # An item has a size of its own.
+                if size > 6 * AT_ONCE or sizes is None:
+                    yield _batch(found(ids, twins, texts, numbers))
+                    ids, twins, texts, size = [], [], [], 0
+            if texts:
+                yield _batch(found(ids, twins, texts, numbers))
 
     return rows.mapInArrow(work, WINDOWS)
 
@@ -235,12 +262,13 @@ def contaminated(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, *,
     """(doc_id, twin, item_id, windows, found, exact) for every item in a document."""
     items = benchmark.select(F.col("item_id").cast("long").alias("id"), F.lit(0).cast("long").alias("twin"), text_of(benchmark).alias("text")).where("id is not null")
     items = written(spark, _windows(items, None, None).distinct(), "items")
-    word = F.pmod("hash", F.lit(BITS))
-    # hash % BITS is the same for the signed and the unsigned number, as BITS is a power of two.
-    table_bits = items.select(F.floor(word / 64).alias("at"), F.expr(f"shiftleft(1L, cast(pmod(hash, {BITS}) % 64 as int))").alias("bit"))
-    bits = np.zeros(BITS // 64, np.uint64)
-    for r in table_bits.groupBy("at").agg(F.bit_or("bit").alias("bits")).collect():
-        bits[r["at"]] = np.uint64(r.bits & (2**64 - 1))
+    # Powers of two, so that hash % bits is the same for the signed and the unsigned number.
+    n_bits = min(MOST_BITS, max(LEAST_BITS, 1 << (64 * items.count()).bit_length()))
+    place = F.pmod("hash", F.lit(n_bits))
+    table_bits = items.select(F.floor(place / 64).alias("at"), F.expr(f"shiftleft(1L, cast(pmod(hash, {n_bits}) % 64 as int))").alias("bit"))
+    set_bits = table_bits.groupBy("at").agg(F.bit_or("bit").alias("bits")).toArrow()
+    bits = np.zeros(n_bits // 64, np.uint64)
+    bits[set_bits["at"].to_numpy()] = set_bits["bits"].to_numpy().view(np.uint64)
     sizes = sorted({r.n for r in items.select(F.size(F.split("words", " ")).alias("n")).distinct().collect()})
     totals = items.groupBy(F.col("id").alias("item_id"), "form").agg(F.count_distinct("pos").alias("windows"))
     rows = docs.select(F.col("doc_id").cast("long").alias("id"), twin(docs).alias("twin"), text_of(docs).alias("text"))
@@ -259,10 +287,20 @@ def contaminated(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, *,
     torn = torn.where("torn").select(*pair, "shift").distinct()
     same = lambda a, b, keys: F.expr(" and ".join(f"{a}.{k} <=> {b}.{k}" for k in keys))
     whole = met.alias("m").join(torn.alias("t"), same("m", "t", [*pair, "shift"]), "left_anti")
-    whole = whole.groupBy(*pair).agg(F.count_distinct("item_pos").alias("found"), F.bool_and(F.col("item_slots") == F.col("slots")).alias("exact"))
-    out = whole.join(totals, ["item_id", "form"]).where(F.col("found") >= F.lit(share) * F.col("windows"))
+    mine_too = F.col("item_slots") == F.col("slots")
+    # Windows in a row that are the item's own in every value: a row for each alignment and run.
+    rows_in = Window.partitionBy(*pair, "shift").orderBy("item_pos")
+    runs = whole.where(mine_too).select(*pair, "shift", "item_pos").distinct()
+    runs = runs.withColumn("run", F.col("item_pos") - F.row_number().over(rows_in)).groupBy(*pair, "shift", "run").agg(F.count("*").alias("n"))
+    quoted = runs.groupBy(*pair).agg(F.max("n").alias("quoted"))
+    whole = whole.groupBy(*pair).agg(F.count_distinct("item_pos").alias("found"), F.bool_and(mine_too).alias("exact"))
+    whole = whole.alias("w").join(quoted.alias("q"), same("w", "q", pair), "left").select("w.*", "quoted")
+    enough = (F.col("found") >= F.lit(share) * F.col("windows")) | (F.col("quoted") >= QUOTED - WINDOW + 1)
+    out = whole.join(totals, ["item_id", "form"]).where(enough)
     # Where both forms tell, the stricter one counts.
     out = out.groupBy("id", "twin", "item_id").agg(F.min(F.struct("form", "windows", "found", "exact")).alias("o"))
+    out = written(spark, out, "pairs")
+    removed(spark, met, items)
     return out.select(F.col("id").alias("doc_id"), "twin", "item_id", "o.windows", "o.found", "o.exact")
 
 

@@ -1,7 +1,26 @@
 import random
 import re
 
-from peerwatch.llm.decontaminate import LITERALS, NAME, NUMBER, SHARE, UNIT, WINDOW, _Kinds, contaminated, op7_decontaminate, template, without_contaminated
+from peerwatch.llm.decontaminate import (
+    LITERALS,
+    NAME,
+    NUMBER,
+    QUOTED,
+    SHARE,
+    UNIT,
+    UNITS,
+    WINDOW,
+    _hash,
+    _Kinds,
+    _Numbers,
+    contaminated,
+    name_template,
+    op7_decontaminate,
+    template,
+    template_codes,
+    window_hashes,
+    without_contaminated,
+)
 
 ITEMS = [
     (1, "Say Tom has 12 apples and gives 5 apples to Anna before walking 3 km home with Tom again"),
@@ -36,7 +55,7 @@ def brute(docs, items):
                 for p in range(len(words) - len(w) + 1):
                     if words[p : p + len(w)] == w:
                         shifts.setdefault(p - i, []).append((i, v, values[p : p + len(w)]))
-            found = set()
+            found, quoted = set(), 0
             for met in shifts.values():
                 slots = {}
                 for _, mine, theirs in met:
@@ -45,7 +64,9 @@ def brute(docs, items):
                             slots.setdefault(a, set()).add(b)
                 if all(len(s) == 1 for s in slots.values()):
                     found |= {i for i, _, _ in met}
-            if windows and len(found) >= SHARE * len(windows):
+                    own = {i for i, v, w in met if v == w}
+                    quoted = max([quoted, *(next(n for n in range(len(words) + 2) if i + n not in own) for i in own)])
+            if windows and (len(found) >= SHARE * len(windows) or quoted >= QUOTED - WINDOW + 1):
                 out.add((doc, item, len(windows), len(found)))
     return out
 
@@ -92,19 +113,115 @@ def test_empty_tables(spark, folder):
     assert op7_decontaminate(spark, folder).count() == 0
 
 
-def test_hashes_are_those_of_the_template():
-    import numpy as np
+def test_codes_are_those_of_the_template():
+    rng = random.Random(9)
+    numbers = _Numbers(_Kinds())
+    parts = ["Tom", "tom.", "5kg", "...", "12", "km", "\n", "\n\n", "End!", "É", "a", "—", '"Quote."', " ", " ", "USA", "“", "7ml."]
+    for _ in range(300):
+        texts = [" ".join(rng.choice(parts) for _ in range(rng.randrange(20))) for _ in range(rng.randrange(1, 6))]
+        for (codes, text), made in zip(template_codes(texts, numbers), (template, name_template), strict=True):
+            for i, own in enumerate(texts):
+                assert codes[text == i].tolist() == [_hash(w) for w in made(own, numbers.kinds)[0]]
+
+
+def test_windows_of_many_texts():
+    rng = random.Random(3)
+    texts = [" ".join(rng.choice(["a", "b", "Tom", "7", "c."]) for _ in range(rng.randrange(14))) for _ in range(30)]
+    numbers = _Numbers(_Kinds())
+    apart = {}
+    for i, own in enumerate(texts):
+        codes, text = template_codes([own], numbers)[0]
+        for size, hashed in window_hashes(codes, text, [5, 8]):
+            apart[i, size] = hashed.tolist()
+            assert len(hashed) == len(codes)
+    codes, text = template_codes(texts, numbers)[0]
+    for size, hashed in window_hashes(codes, text, [5, 8]):
+        assert all(hashed[text == i].tolist() == apart[i, size] for i in range(30))
+
+
+def plain_forms(text):
+    """Both templates, written out apart from the operator: (word, value) pairs."""
+    forms, units = ([], []), set(UNITS)
+    for line in re.split("[\n\r]", text):
+        begin = True
+        for word in line.split():
+            core = word.strip(".,;:!?()[]{}\"'“”‘’«»…")
+            if not core:
+                begin = begin or word[-1] in ".!?:"
+                continue
+            number, measure = re.fullmatch(r"[+-]?[$€£]?\d[\d.,:/]*%?", core), re.fullmatch(r"([+-]?\d[\d.,]*)([A-Za-z]+)", core)
+            if number:
+                parts = [("<number>", core)]
+            elif measure and measure[2].lower() in units:
+                parts = [("<number>", measure[1]), ("<unit>", measure[2].lower())]
+            elif core.lower() in units:
+                parts = [("<unit>", core.lower())]
+            else:
+                parts = [(core.lower(), None)]
+            word_name = parts[0][1] is None
+            first = [("<name>", core.lower())] if word_name and not begin and core[0].isupper() and core[1:].islower() else parts
+            forms[0].extend(first)
+            if word_name and core[0].isupper():
+                if forms[1] and forms[1][-1][0] == "<name>":
+                    forms[1][-1] = ("<name>", core.lower())
+                else:
+                    forms[1].append(("<name>", core.lower()))
+            else:
+                forms[1].extend(parts)
+            begin = word.rstrip("\"')]”’»")[-1:] in (".", "!", "?", ":")
+    return forms
+
+
+def brute_forms(docs, items):
+    """(doc, item) pairs by both forms, the share, and the quotations."""
+    made = {k: plain_forms(t or "") for k, t in {**{("i", i): t for i, t in items}, **{("d", d): t for d, t in docs}}.items()}
+    out = set()
+    for item, _ in items:
+        for doc, _ in docs:
+            for mine, theirs in zip(made["i", item], made["d", doc], strict=True):
+                size = min(WINDOW, max(1, len(mine)))
+                windows = [i for i in range(len(mine) - size + 1) if sum(v is None for _, v in mine[i : i + size]) >= LITERALS]
+                found, quoted = set(), 0
+                for shift in range(-len(mine), len(theirs)):
+                    met = [i for i in windows if 0 <= i + shift and [w for w, _ in mine[i : i + size]] == [w for w, _ in theirs[i + shift : i + shift + size]]]
+                    values = {}
+                    for i in met:
+                        for (_, a), (_, b) in zip(mine[i : i + size], theirs[i + shift : i + shift + size], strict=True):
+                            if a is not None:
+                                values.setdefault(a, set()).add(b)
+                    if all(len(v) == 1 for v in values.values()):
+                        found.update(met)
+                        run = 0
+                        for i in range(len(mine)):
+                            run = run + 1 if i in met and mine[i : i + size] == theirs[i + shift : i + shift + size] else 0
+                            quoted = max(quoted, run)
+                if windows and (len(found) >= SHARE * len(windows) or quoted >= QUOTED - WINDOW + 1):
+                    out.add((doc, item))
+    return out
 
-    from peerwatch.llm.decontaminate import _Codes, _Hashes, template_hashes
 
-    rng = random.Random(9)
-    kinds, hashes = _Kinds(), _Hashes()
-    codes = _Codes(kinds, hashes)
-    parts = ["Tom", "tom.", "5kg", "...", "12", "km", "\n", "\n\n", "End!", "É", "a", "—", '"Quote."', " ", " ", "USA"]
-    for _ in range(2_000):
-        text = " ".join(rng.choice(parts) for _ in range(rng.randrange(20)))
-        assert template_hashes(text, codes).tolist() == [hashes[w] for w in template(text, kinds)[0]]
-    assert np.uint64(hashes[NAME]) & np.uint64(7) == 0
+def test_both_forms_against_brute_force(spark):
+    rng = random.Random(21)
+    vocabulary = ["the", "boat", "is", "red", "and", "was", "seen", "by", "many", "people", "there", "Tom", "Ann", "USA", "7", "12", "km", "5kg", "day.", "so:", "..."]
+    items = [(i, " ".join(rng.choice(vocabulary) for _ in range(rng.randrange(4, 70)))) for i in range(14)]
+    docs = []
+    for d in range(80):
+        words = [rng.choice(vocabulary) for _ in range(rng.randrange(60))]
+        part = items[rng.randrange(14)][1].split()
+        if rng.random() < 0.6:
+            part = [{"Tom": "Bob", "Ann": "McDonald", "7": "99", "12": "8"}.get(w, w) for w in part]
+        at = rng.randrange(1 + len(part))
+        words[5:5] = part[at : at + rng.choice((9, 13, 20, 80))]
+        docs.append((d, "".join(w + rng.choice("   \n") for w in words)))
+    got = {(r.doc_id, r.item_id) for r in contaminated(spark, *frames(spark, docs, items)).collect()}
+    assert got == brute_forms(docs, items) and len(got) > 20
+
+
+def test_a_long_quotation_of_a_longer_item(spark):
+    item = " ".join(f"word{i}" for i in range(60))
+    docs = [(1, "so " + " ".join(f"word{i}" for i in range(20, 33)) + " it says"), (2, "so " + " ".join(f"word{i}" for i in range(20, 32)) + " it says"), (3, "x " * 30_000 + item)]
+    got = contaminated(spark, *frames(spark, docs, [(1, item)])).collect()
+    assert {(r.doc_id, r.found, r.exact) for r in got} == {(1, 6, True), (3, 53, True)}
 
 
 def test_names_where_sentences_and_lines_begin(spark):
