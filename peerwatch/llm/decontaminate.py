@@ -8,7 +8,7 @@ Along one alignment of a document with an item every value that a placeholder st
 least ``SHARE`` of the item's windows are found so, in either form, or when ``QUOTED`` words in a row are the item's own, placeholders included.
 
 Scale: documents are read once, without a shuffle; a task splits a text once, numbers its words, and hashes the windows of many texts at a time.  Windows that cannot be in
-the benchmark are dropped in the task by a bit table, 64 bits for each window of the benchmark up to ``MOST_BITS`` (a larger benchmark makes it let more
+the benchmark are dropped in the task by a bit table with three places for a window, 64 bits for each window of the benchmark up to ``MOST_BITS`` (a larger benchmark makes it let more
 pass, never fewer).  What is left is joined by hash; Spark splits the
 windows of a passage that many documents share, and all further groups are one document and one item.
 
@@ -35,6 +35,8 @@ from peerwatch.llm.ngram_join import _mixed
 WINDOW, LITERALS, SHARE, QUOTED = 8, 4, 0.5, 13
 LEAST_BITS, MOST_BITS = 1 << 16, 1 << 27
 SEEN_WORDS = 500_000
+#: Shifts of a hash to its places in the bit table.
+PROBES = (0, 20, 37)
 #: Words that are worked on at a time.
 AT_ONCE = 100_000
 _BASE, _INVERSE = 0x9E3779B97F4A7C15, pow(0x9E3779B97F4A7C15, -1, 1 << 64)
@@ -215,10 +217,11 @@ def _windows(rows: DataFrame, sizes: list[int] | None, bits: np.ndarray | None)
             for size, hashed in window_hashes(codes, text, sizes or [min(WINDOW, max(1, len(codes)))]):
                 keep = hashed != 0
                 hashed = hashed ^ np.uint64(form << 40)
-                if bits is not None:
-                    at = hashed % np.uint64(64 * len(bits))
-                    keep &= (bits[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) == 1
-                for place in np.flatnonzero(keep).tolist():
+                places = np.flatnonzero(keep)
+                for k in PROBES if bits is not None else ():
+                    at = (hashed[places] >> np.uint64(k)) & np.uint64(64 * len(bits) - 1)
+                    places = places[(bits[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) == 1]
+                for place in places.tolist():
                     i = int(text[place])
                     if i not in made:
                         made[i] = (template, name_template)[form](texts[i], numbers.kinds)
@@ -262,10 +265,9 @@ def contaminated(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, *,
     """(doc_id, twin, item_id, windows, found, exact) for every item in a document."""
     items = benchmark.select(F.col("item_id").cast("long").alias("id"), F.lit(0).cast("long").alias("twin"), text_of(benchmark).alias("text")).where("id is not null")
     items = written(spark, _windows(items, None, None).distinct(), "items")
-    # Powers of two, so that hash % bits is the same for the signed and the unsigned number.
     n_bits = min(MOST_BITS, max(LEAST_BITS, 1 << (64 * items.count()).bit_length()))
-    place = F.pmod("hash", F.lit(n_bits))
-    table_bits = items.select(F.floor(place / 64).alias("at"), F.expr(f"shiftleft(1L, cast(pmod(hash, {n_bits}) % 64 as int))").alias("bit"))
+    places = F.array(*(F.shiftrightunsigned("hash", k).bitwiseAND(F.lit(n_bits - 1).cast("long")) for k in PROBES))
+    table_bits = items.select(F.explode(places).alias("place")).select(F.expr("place div 64").alias("at"), F.expr("shiftleft(1L, cast(place % 64 as int))").alias("bit"))
     set_bits = table_bits.groupBy("at").agg(F.bit_or("bit").alias("bits")).toArrow()
     bits = np.zeros(n_bits // 64, np.uint64)
     bits[set_bits["at"].to_numpy()] = set_bits["bits"].to_numpy().view(np.uint64)
