@@ -53,24 +53,29 @@ _NUMBER = re.compile(r"[+-]?[$€£]?\d[\d.,:/]*%?")
 _MEASURE = re.compile(r"([+-]?\d[\d.,]*)([A-Za-z]+)")
 
 
-class _Kinds(dict):
+def _kind(word: str) -> tuple:
     """(template words, slot values, capital, ends a sentence) of a word."""
+    inner = word.strip(_EDGES)
+    low = inner.lower()
+    figures = not inner.isalpha()
+    if figures and _NUMBER.fullmatch(inner):
+        found = (NUMBER,), (inner,), False
+    elif figures and (m := _MEASURE.fullmatch(inner)) and m[2].lower() in UNITS:
+        found = (NUMBER, UNIT), (m[1], m[2].lower()), False
+    elif low in UNITS:
+        found = (UNIT,), (low,), False
+    else:
+        found = (low,) if low else (), (None,) if low else (), inner[:1].isupper() and inner[1:].islower()
+    return *found, word.rstrip("\"')]”’»")[-1:] in tuple(".!?:")
+
+
+class _Kinds(dict):
+    """The kinds of the words met."""
 
     def __missing__(self, word):
         if len(self) >= SEEN_WORDS:
             self.clear()
-        inner = word.strip(_EDGES)
-        low = inner.lower()
-        figures = not inner.isalpha()
-        if figures and _NUMBER.fullmatch(inner):
-            found = (NUMBER,), (inner,), False
-        elif figures and (m := _MEASURE.fullmatch(inner)) and m[2].lower() in UNITS:
-            found = (NUMBER, UNIT), (m[1], m[2].lower()), False
-        elif low in UNITS:
-            found = (UNIT,), (low,), False
-        else:
-            found = (low,) if low else (), (None,) if low else (), inner[:1].isupper() and inner[1:].islower()
-        value = self[word] = (*found, word.rstrip("\"')]”’»")[-1:] in tuple(".!?:"))
+        value = self[word] = _kind(word)
         return value
 
 
@@ -126,10 +131,13 @@ class _Numbers(dict):
         self.table = np.zeros((0, 6), np.uint64)
 
     def __missing__(self, word):
-        template_words, slot, capital, ends = self.kinds[word]
-        hashes = [*map(_hash, template_words), 0, 0]
         number = self[word] = len(self.rows)
-        self.rows.append((len(template_words), hashes[0], hashes[1], capital, ends, _any_name(word, slot)))
+        if word.isalpha() and word.islower() and word not in UNITS:
+            self.rows.append((1, _hash(word), 0, 0, 0, 0))
+        else:
+            template_words, slot, capital, ends = _kind(word)
+            hashes = [*map(_hash, template_words), 0, 0]
+            self.rows.append((len(template_words), hashes[0], hashes[1], capital, ends, _any_name(word, slot)))
         return number
 
     def of(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
