@@ -1,5 +1,7 @@
 """Mass senders: who sent one text to many different peers in one bucket?"""
 
+import math
+
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
@@ -9,6 +11,8 @@ from peerwatch.functions.text import clean_text, trimmed
 from peerwatch.operators.exclusion import BROADCAST_IDS, fits_broadcast, without_listed
 from peerwatch.operators.filters import in_window, with_code
 
+#: Error of merged sketches with one register; it falls with the square root of their number.
+_MERGED_ERROR = 1.04
 PLAIN_KEYS = ("f22", "f02", "f06", "f07")
 GROUP_KEYS = ("f22", "f02", "f16", "bk", "ad", "f06", "f07")
 
@@ -77,11 +81,34 @@ def count_peers(rows: DataFrame, keys, *, peer: str = "f04", approximate: float
     ``approximate`` gives the relative error of the sketch used instead, which
     needs one shuffle of at most one row per group and task.
     """
-    if approximate is None:
-        n = F.count_distinct(peer)
-    else:
-        n = F.approx_count_distinct(peer, approximate)
-    return rows.groupBy(*keys).agg(n.alias("cnt"))
+    if approximate is not None:
+        return merged_peers(peer_sketches(rows, keys, peer=peer, error=approximate), keys)
+    return rows.groupBy(*keys).agg(F.count_distinct(peer).alias("cnt"))
+
+
+def _sketch_bits(error: float) -> int:
+    """Size of a sketch, as a power of two, that has the error at most."""
+    return min(21, max(4, math.ceil(2 * math.log2(_MERGED_ERROR / error))))
+
+
+def sketch_error(error: float) -> float:
+    """Relative standard error of the sketches made for an error, also when they are merged."""
+    return _MERGED_ERROR / math.sqrt(1 << _sketch_bits(error))
+
+
+def peer_sketches(rows: DataFrame, keys, *, peer: str = "f04", error: float = 0.02) -> DataFrame:
+    """(keys, sketch) of the distinct peers of each group, to be stored.
+
+    A sketch lists its values while they are few, so small groups are counted
+    as good as exactly.  Sketches of hours are merged to those of days or
+    months by :func:`merged_peers`, without the log.
+    """
+    return rows.groupBy(*keys).agg(F.hll_sketch_agg(peer, F.lit(_sketch_bits(error))).alias("sketch"))
+
+
+def merged_peers(sketches: DataFrame, keys) -> DataFrame:
+    """(keys, cnt) from sketches of the same or smaller groups."""
+    return sketches.groupBy(*keys).agg(F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("cnt"))
 
 
 def _group_hash() -> Column:

@@ -17,7 +17,7 @@ from peerwatch.functions.text import (
     trimmed,
 )
 from peerwatch.operators import derived, filters, profile, report, sample
-from peerwatch.operators.detect import HOURLY, count_peers, mass_senders
+from peerwatch.operators.detect import HOURLY, count_peers, mass_senders, merged_peers, peer_sketches, sketch_error
 from peerwatch.operators.exclusion import without_listed
 from peerwatch.plans.jobs import Tables, mass_senders_in_two_steps, run_bulk, run_hours, run_next_day
 from peerwatch.schema import BATCH, EXCLUSION, LATEST, RESULT
@@ -27,6 +27,7 @@ from peerwatch.sources.adapters import event_exclusion, event_log, order_exclusi
 from peerwatch.sources.batch_log import BatchLog, last_batch
 from peerwatch.sources.generator import LogPlan, generate_log, noise_log, planted_log
 from peerwatch.sources.logs import read_log, read_table, write_log, write_table
+from peerwatch.sources.named import NamedResults, NamedTables
 from peerwatch.sources.results import ResultStore
 from peerwatch.sources.snapshots import Snapshot
 from peerwatch.streaming.hourly import run_stream, stream_log
@@ -98,13 +99,30 @@ def peer_count(spark, folder) -> DataFrame:
     return count_peers(log, ("f02", "bd"))
 
 
+#: Relative error of the sketches.
+SKETCH_ERROR = 0.02
+
+
+def _near(exact, sketched) -> DataFrame:
+    """Whether the sketched count of each group is within four standard errors of the exact one (and half a peer, as it is rounded)."""
+    both = exact.join(sketched.withColumnRenamed("cnt", "sketch"), ["f02", "bd"])
+    bound = 0.5 + 4 * sketch_error(SKETCH_ERROR) * F.col("cnt")
+    return both.select("f02", "bd", (F.abs(F.col("sketch") - F.col("cnt")) <= bound).alias("near"))
+
+
 def peer_count_sketch(spark, folder) -> DataFrame:
-    """Whether the sketched count of each group is near the exact one."""
     log = order_log(spark, folder).withColumn("bd", hours.bucket_text("f31", hours.BUCKET_MONTH))
-    exact = count_peers(log, ("f02", "bd"))
-    sketched = count_peers(log, ("f02", "bd"), approximate=0.02).withColumnRenamed("cnt", "sketch")
-    near = F.abs(F.col("sketch") - F.col("cnt")) <= F.greatest(F.lit(1.0), 0.1 * F.col("cnt"))
-    return exact.join(sketched, ["f02", "bd"]).select("f02", "bd", near.alias("near"))
+    return _near(count_peers(log, ("f02", "bd")), count_peers(log, ("f02", "bd"), approximate=SKETCH_ERROR))
+
+
+def peer_count_merged(spark, folder) -> DataFrame:
+    """Sketches of every hour, stored as a table, merged to months without reading the log again."""
+    path = work_folder(spark)
+    log = order_log(spark, folder)
+    peer_sketches(log, ("f02", "f31"), error=SKETCH_ERROR).write.parquet(path)
+    stored = spark.read.parquet(path).withColumn("bd", hours.bucket_text("f31", hours.BUCKET_MONTH))
+    exact = count_peers(log.withColumn("bd", hours.bucket_text("f31", hours.BUCKET_MONTH)), ("f02", "bd"))
+    return _near(exact, merged_peers(stored, ("f02", "bd")))
 
 
 # --- rows, predicates, functions ------------------------------------------------
@@ -380,9 +398,9 @@ def swap_table(spark, folder) -> DataFrame:
     return snapshot.read()
 
 
-def _events_loaded(spark, folder, **more) -> Tables:
+def _events_loaded(spark, folder, tables=None, **more) -> Tables | NamedTables:
     """All events: the first 29 days as one batch, the last day by the hour."""
-    tables = Tables(spark, work_folder(spark)).create()
+    tables = (tables or Tables(spark, work_folder(spark))).create()
     log, listed = event_log(spark, folder), event_exclusion(spark, folder)
     options = {"bucket_format": hours.BUCKET_DAY, "min_peers": 1, **more}
     run_bulk(tables, log, listed, (EVENTS[0], EVENTS_SPLIT), **options)
@@ -398,9 +416,9 @@ def restart_day_seen(spark, folder) -> DataFrame:
     return _events_loaded(spark, folder).seen.read()
 
 
-def rerun_smaller(spark, folder) -> DataFrame:
+def rerun_smaller(spark, folder, tables=None) -> DataFrame:
     """All tables after the last day was run again with a higher threshold."""
-    tables = _events_loaded(spark, folder)
+    tables = _events_loaded(spark, folder, tables)
     options = {"bucket_format": hours.BUCKET_DAY, "min_peers": 3}
     window = (EVENTS_SPLIT, EVENTS[1])
     run_hours(tables, event_log(spark, folder), event_exclusion(spark, folder), window, **options)
@@ -553,10 +571,43 @@ def overwrite_batch(spark, folder) -> DataFrame:
     catalog.insert_partitions(daily_batch(spark, folder), name)
     catalog.overwrite_batch(bulk_batch(spark, folder, min_peers=8), name, ORDERS[1])
     catalog.overwrite_batch(bulk_batch(spark, folder), name, ORDERS[1])
-    catalog.clear_batches(spark, name, [EVENTS[1]])
+    NamedResults(spark, name).clear_batches([EVENTS[1]])
     return spark.table(name).select(*RESULT.names)
 
 
+def _named(spark, prefix) -> NamedTables:
+    return NamedTables(spark, _database(spark), f"{prefix}_")
+
+
+def restart_day_by_name(spark, folder) -> DataFrame:
+    """The jobs of ``restart_day`` on tables of the catalog."""
+    return _events_loaded(spark, folder, _named(spark, "restart")).results.read()
+
+
+def restart_day_by_name_dynamic(spark, folder) -> DataFrame:
+    return _in_dynamic_session(spark, restart_day_by_name, folder)
+
+
+def rerun_smaller_by_name(spark, folder) -> DataFrame:
+    return rerun_smaller(spark, folder, _named(spark, "rerun"))
+
+
+def preclear_day_by_name(spark, folder) -> DataFrame:
+    """A day of hourly batches cleared in one statement."""
+    tables = _events_loaded(spark, folder, _named(spark, "preclear"))
+    tables.results.clear_batches(hours.hourly_batch_ids(EVENTS_SPLIT, EVENTS[1]))
+    return tables.results.read()
+
+
+def replace_escaped_buckets_by_name(spark, folder) -> DataFrame:
+    """A rerun without rows where bucket names hold characters that partition names escape."""
+    store = NamedResults(spark, f"{_database(spark)}.escaped").create()
+    store.append(daily_batch(spark, folder))
+    for peers in (10, 1_000_000_000):
+        store.replace_batches(bulk_batch(spark, folder, bucket_format="yyyy/MM/dd HH:mm", min_peers=peers), [ORDERS[1]])
+    return store.read()
+
+
 def swap_by_rename(spark, folder) -> DataFrame:
     db = _database(spark)
     catalog.reset(spark, db, ("live", "staged"))
@@ -625,6 +676,7 @@ QUERIES = {
         batch_view,
         peer_count,
         peer_count_sketch,
+        peer_count_merged,
         clean_text,
         squeeze_runs,
         is_null_flag,
@@ -680,6 +732,11 @@ QUERIES = {
         create_table_as,
         insert_partitions,
         overwrite_batch,
+        restart_day_by_name,
+        restart_day_by_name_dynamic,
+        rerun_smaller_by_name,
+        preclear_day_by_name,
+        replace_escaped_buckets_by_name,
         swap_by_rename,
         truncate_by_name,
         reset_tables,

@@ -1,5 +1,8 @@
 """The batch jobs: bulk load, hourly batches in one pass, restart.
 
+They run on tables by path (``Tables``) or in a catalog
+(``peerwatch.sources.named.NamedTables``), which have the same methods.
+
 Results are written once and read back for everything derived from them.  The
 stored batch, not a cache, is what later steps depend on, so a lost executor
 never sends them back to the log.
@@ -53,6 +56,9 @@ class Tables:
     def read_metrics(self) -> DataFrame:
         return self.spark.read.schema(RUN_METRICS).parquet(self.metrics_path)
 
+    def add_metrics(self, rows) -> None:
+        literal_rows(self.spark, rows, RUN_METRICS).write.mode("append").parquet(self.metrics_path)
+
 
 def mass_senders_in_two_steps(
     log: DataFrame,
@@ -115,11 +121,7 @@ def _record(tables: Tables, job: str, batch_ids, rows_in: int | None, started: f
     millis = round((perf_counter() - started) * 1000)
     counted = tables.results.read_batches(batch_ids).groupBy("ad").agg(F.count(F.lit(1)).alias("n")).collect()
     rows_out = {r["ad"]: r["n"] for r in counted}
-    _measured(tables, [(job, b, rows_in, rows_out.get(b, 0), millis) for b in batch_ids])
-
-
-def _measured(tables: Tables, rows) -> None:
-    literal_rows(tables.spark, rows, RUN_METRICS).write.mode("append").parquet(tables.metrics_path)
+    tables.add_metrics([(job, b, rows_in, rows_out.get(b, 0), millis) for b in batch_ids])
 
 
 def run_bulk(
@@ -197,4 +199,4 @@ def _finish(tables: Tables, batch_ids, options: dict, advance: bool, replaced: b
         started = perf_counter()
         step()
         timed.append((name, batch_ids[-1], None, None, round((perf_counter() - started) * 1000)))
-    _measured(tables, timed)
+    tables.add_metrics(timed)

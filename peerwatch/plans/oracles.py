@@ -269,12 +269,14 @@ ORACLES = {
     "bulk_batch_two_steps": BULK,
     "bulk_batch_two_steps_shuffled": BULK,
     "peer_count_sketch": f"SELECT f02, {hour_text('f31', MONTH)} AS bd, true AS near FROM ({ORDER_LOG}) AS l GROUP BY 1, 2",
+    "peer_count_merged": f"SELECT f02, {hour_text('f31', MONTH)} AS bd, true AS near FROM ({ORDER_LOG}) AS l GROUP BY 1, 2",
     "column_profile_distinct": exact_values(ORDER_LOG, ORDERED_COLUMNS),
     "batch_replace_dynamic": f"SELECT * FROM ({BULK}) AS a UNION ALL SELECT * FROM ({DAILY}) AS b",
     "batch_replace_empty_dynamic": DAILY,
     "truncate_table_dynamic": f'SELECT count(*) AS "before", 0::BIGINT AS "after" FROM ({BULK}) AS r',
     "overwrite_batch_dynamic": BULK,
     "replace_escaped_buckets": DAILY,
+    "replace_escaped_buckets_by_name": DAILY,
     "rerun_smaller": f"""
         SELECT 'results' AS what, f02, bd, cnt::VARCHAR AS value FROM ({RELOADED}) AS a
         UNION ALL SELECT 'latest', f02, bd, cnt::VARCHAR FROM ({latest(RELOADED)}) AS b
@@ -336,9 +338,12 @@ ORACLES = {
     "batch_replace_empty": DAILY,
     "dynamic_partitions": BULK,
     "preclear_day": LOADED_BULK,
+    "preclear_day_by_name": LOADED_BULK,
     "truncate_table": f'SELECT count(*) AS "before", 0::BIGINT AS "after" FROM ({BULK}) AS r',
     "swap_table": f"SELECT * FROM ({BULK_OLD}) AS a UNION ALL SELECT * FROM ({BULK_NEW}) AS b",
     "restart_day": LOADED,
+    "restart_day_by_name": LOADED,
+    "restart_day_by_name_dynamic": LOADED,
     "restart_day_seen": seen(LOADED),
     "stream_hours": f"SELECT * FROM ({STREAMED}) AS r WHERE ad < (SELECT max({NEXT_HOUR}) FROM ({EVENT_LOG}) AS l)",
     "run_metrics": f"""
@@ -378,3 +383,6 @@ ORACLES = {
                        min(f31)::VARCHAR, max(f31)::VARCHAR, '0']) AS v FROM log) AS x""",
     "table_roundtrip": BULK,
 }
+
+# The same jobs on tables by name give the same rows.
+ORACLES["rerun_smaller_by_name"] = ORACLES["rerun_smaller"]

@@ -10,17 +10,15 @@ from pyspark.sql.types import StructType
 
 from peerwatch.schema import RESULT, RESULT_PARTITIONS
 from peerwatch.session import remove_folder
-from peerwatch.sources.logs import empty
-
 
 _MODE = "spark.sql.sources.partitionOverwriteMode"
 
 
 @contextmanager
-def _static_overwrite(spark: SparkSession):
-    """Overwriting a partition replaces all below it, whatever the session says."""
+def overwrite_mode(spark: SparkSession, mode: str):
+    """What overwriting replaces, whatever the session says: all below a named partition ("static"), or the partitions that rows come for ("dynamic")."""
     before = spark.conf.get(_MODE)
-    spark.conf.set(_MODE, "static")
+    spark.conf.set(_MODE, mode)
     try:
         yield
     finally:
@@ -79,19 +77,12 @@ def overwrite_batch(rows: DataFrame, table: str, batch_id: int) -> None:
     spark = rows.sparkSession
     inner = [c for c in RESULT.names if c != "ad"]
     values = rows.where(f"ad = {int(batch_id)}").select(*inner).hint("rebalance", "bd")
-    with _static_overwrite(spark):
+    with overwrite_mode(spark, "static"):
         spark.sql(
             f"INSERT OVERWRITE TABLE {table} PARTITION (ad = {int(batch_id)}, bd) SELECT * FROM {{rows}}", rows=values
         )
 
 
-def clear_batches(spark: SparkSession, table: str, batch_ids) -> None:
-    """Empty many batches by overwriting each with no rows."""
-    nothing = empty(spark, RESULT)
-    for batch_id in batch_ids:
-        overwrite_batch(nothing, table, batch_id)
-
-
 def truncate(spark: SparkSession, table: str) -> None:
     spark.sql(f"TRUNCATE TABLE {table}")
 
