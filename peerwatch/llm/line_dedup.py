@@ -41,7 +41,7 @@ SKETCH = tuple(f"q{k}" for k in range(WIDE))
 #: The class of words that occur once in all.
 ONCE = 4
 #: Lines that may meet at a word to be compared with each other at once.
-NEAR = 64
+NEAR = 512
 NONE = (1 << 63) - 1
 
 
