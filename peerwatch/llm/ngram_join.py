@@ -349,6 +349,30 @@ def _between_classes(spark: SparkSession, placed: DataFrame, sketches: DataFrame
     return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
+def without_near_duplicates(spark: SparkSession, docs: DataFrame, *, n: int, percent: int) -> DataFrame:
+    """One document of each class, with all its columns: that with the smallest id; of rows with one id that with the smallest text hash, null ids
+    last.  Texts without words are no copies, but of equal ones under one id one stays."""
+    doc_id = F.col("doc_id").cast("long")
+    repeated = docs.groupBy(doc_id.alias("doc_id")).count().where("count > 1").limit(1)
+    if repeated.isEmpty():
+        found = ngram_classes(spark, docs, n=n, percent=percent)
+        out = found.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("gone")).distinct()
+        out = written(spark, out, "gone")
+        return docs.join(out, docs["doc_id"].cast("long").eqNullSafe(out["gone"]), "left_anti")
+    # Ids do not tell the rows apart: numbers, written once, do.  No column has the name of all together.
+    number = "number_" + "_".join(docs.columns)
+    rows = written(spark, docs.withColumn(number, F.monotonically_increasing_id()), "numbered")
+    found = ngram_classes(spark, rows.select(F.col(number).alias("doc_id"), "text"), n=n, percent=percent)
+    order = F.struct(doc_id.isNull().alias("none"), doc_id.alias("id"), F.xxhash64("text").alias("hash"), F.col(number).alias("row"))
+    members = rows.select(F.col(number).alias("row"), order.alias("place"), F.xxhash64("text").alias("hash"), doc_id.alias("id"))
+    members = members.join(found.select(F.col("doc_id").alias("row"), "component_id", "n_shingles"), "row")
+    kept = members.groupBy("component_id").agg(F.min("place")["row"].alias("kept"), F.first("id").alias("id"), F.first("hash").alias("hash"), F.first("n_shingles").alias("n"))
+    # Texts without words are classes of their own; equal rows are one.
+    blank = kept.where("n = 0").groupBy("id", "hash").agg(F.min("kept").alias("kept")).select("kept")
+    kept = written(spark, kept.where("n > 0").select("kept").union(blank), "kept")
+    return rows.join(kept, rows[number] == kept["kept"], "left_semi").select(*(F.col(f"`{c}`") for c in docs.columns))
+
+
 def op9_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
     return ngram_classes(spark, table(spark, folder, "documents"))
 
