@@ -10,20 +10,20 @@ stage.  All but the last return the columns of the documents they were given.
 5. tokens: the remaining documents as token ids, with digests of the ids and of the text decoded from them.
 
 Null and empty texts have no words and go in the first stage; an empty table gives an empty table.  Rows that repeat an id are judged by
-their own text; of equal rows one stays.  Further columns pass through the first four stages.
+their own text; of equal rows one stays.  Very long texts are judged and encoded whole.  Ties (documents of one similarity class, lines that are
+alike) go to the smallest id, then the smallest text hash.  Further columns, whatever their names, pass through the first four stages.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from peerwatch.llm.bpe import encode_documents
 from peerwatch.llm.common import table, written
 from peerwatch.llm.decontaminate import without_contaminated
 from peerwatch.llm.line_dedup import clean_documents
-from peerwatch.llm.ngram_join import ngram_classes
+from peerwatch.llm.ngram_join import without_near_duplicates
 from peerwatch.llm.quality import selected_documents
 
 SHINGLE, PERCENT = 5, 80
@@ -36,32 +36,13 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     # Columns that have the names of the counts come back under their own names.
     aside = {c: f"documents_{c}" for c in ("n_lines", "n_removed") if c in docs.columns}
-    # Short lines, too: menus, buttons and licence lines of a source are often of one to four words.
-    cleaned = clean_documents(spark, docs.withColumnsRenamed(aside).withColumn("text", F.col("text").cast("string")), least=1)
+    cleaned = clean_documents(spark, docs.withColumnsRenamed(aside).withColumn("text", F.col("text").cast("string")))
     left = (F.col("n_removed") == 0) | F.rlike("text", F.lit(r"\S"))
     return cleaned.where(left).select(*(F.col(aside.get(c, c)).alias(c) for c in docs.columns))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each class; of rows with one id that with the smallest text hash, null ids last."""
-    doc_id = F.col("doc_id").cast("long")
-    repeated = docs.groupBy(doc_id.alias("doc_id")).count().where("count > 1").limit(1)
-    if repeated.isEmpty():
-        found = ngram_classes(spark, docs, n=SHINGLE, percent=PERCENT)
-        out = found.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("gone")).distinct()
-        out = written(spark, out, "gone")
-        return docs.join(out, docs["doc_id"].cast("long").eqNullSafe(out["gone"]), "left_anti")
-    # Ids do not tell the rows apart: numbers, written once, do.
-    number = "number_" + "_".join(docs.columns)
-    rows = written(spark, docs.withColumn(number, F.monotonically_increasing_id()), "numbered")
-    found = ngram_classes(spark, rows.select(F.col(number).alias("doc_id"), "text"), n=SHINGLE, percent=PERCENT)
-    order = F.struct(doc_id.isNull().alias("none"), doc_id.alias("id"), F.xxhash64("text").alias("hash"), F.col(number).alias("row"))
-    members = rows.select(F.col(number).alias("row"), order.alias("place")).join(found.select(F.col("doc_id").alias("row"), "component_id"), "row")
-    kept = written(spark, members.groupBy("component_id").agg(F.min("place")["row"].alias("kept")).select("kept"), "kept")
-    kept = rows.join(kept, rows[number] == kept["kept"], "left_semi")
-    # Texts without words are no copies, but of equal rows one stays.
-    first = Window.partitionBy("doc_id", F.xxhash64("text")).orderBy(number)
-    return kept.withColumn("place_of_row", F.row_number().over(first)).where("place_of_row = 1").select(*docs.columns)
+    return without_near_duplicates(spark, docs, n=SHINGLE, percent=PERCENT)
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
