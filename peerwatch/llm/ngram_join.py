@@ -29,6 +29,7 @@ columns, also with the names used here, are not touched.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import math
 from collections.abc import Iterator
@@ -47,6 +48,8 @@ PART_BITS = 64
 SHORT = 8
 #: n-grams that a part must have to be used by itself.
 FULL_PART = 2
+#: Pieces in which shared keys are looked at, one after the other: sketches lie on disk for one piece at a time.
+PIECES = 8
 #: Parts above the least number, as a share of it.
 MORE_PARTS = 0.3
 
@@ -336,7 +339,17 @@ def _between_classes(spark: SparkSession, placed: DataFrame, sketches: DataFrame
     several = written(spark, several.select("key", "set", "root"), "several")
     counts = several.groupBy("key", "root").agg(F.count("*").alias("n"))
     most = counts.groupBy("key").agg(F.max(F.struct("n", "root"))["root"].alias("largest"))
-    open_ = written(spark, several.join(most, "key").join(_short(sketches), "set"), "open")
+    open_ = written(spark, several.join(most, "key"), "open")
+    short = written(spark, _short(sketches), "short")
+    found = [_pairs_at_keys(spark, open_.where(F.pmod("key", F.lit(PIECES)) == i), short, percent) for i in range(PIECES)]
+    pairs = written(spark, functools.reduce(DataFrame.union, found).distinct(), "pairs")
+    removed(spark, several, open_, short, *found)
+    return pairs
+
+
+def _pairs_at_keys(spark: SparkSession, open_: DataFrame, short: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) of different classes at some of the keys."""
+    open_ = written(spark, open_.join(short, "set"), "piece")
     words = [f"q{i}" for i in range(SHORT)]
     side = lambda c: ["key", F.col("set").alias(c), *(F.col(o).alias(f"{c}_{o}") for o in ("root", "n", *words))]
     left = open_.where("root != largest").select(*side("x"))
@@ -346,7 +359,9 @@ def _between_classes(spark: SparkSession, placed: DataFrame, sketches: DataFrame
     pairs = pairs.where(f"100 * least(x_n, y_n) >= {percent} * greatest(x_n, y_n)")
     distance = " + ".join(f"bit_count(x_{q} ^ y_{q})" for q in words)
     pairs = pairs.where(f"{100 + percent} * ({distance}) <= {100 - percent} * (x_n + y_n)")
-    return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    out = written(spark, pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), "pairs")
+    removed(spark, open_)
+    return out
 
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, *, n: int, percent: int) -> DataFrame:
