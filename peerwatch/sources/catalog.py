@@ -83,6 +83,13 @@ def overwrite_batch(rows: DataFrame, table: str, batch_id: int) -> None:
         )
 
 
+def clear_batches(spark: SparkSession, table: str, batch_ids) -> None:
+    """Leave no row of the batches, however many, by one statement on the partitions that the table holds."""
+    from peerwatch.sources.named import NamedResults  # which is made of this module
+
+    NamedResults(spark, table).clear_batches(batch_ids)
+
+
 def truncate(spark: SparkSession, table: str) -> None:
     spark.sql(f"TRUNCATE TABLE {table}")
 
