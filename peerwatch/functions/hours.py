@@ -45,10 +45,28 @@ def _split(x: Column):
     return year, month, day, x % 100
 
 
-def is_hour(hour) -> Column:
+_PARTS = ("year", "month", "day", "hh")
+
+
+def hour_parts(hour, prefix: str) -> dict[str, Column]:
+    """Year, month, day and hour of day, to be columns of a projection of their own.
+
+    The calendar functions below name them many times.  As expressions they
+    are written out at each place, and the JVM never compiles a generated
+    method of more than 8,000 bytes.
+    """
+    return {f"{prefix}_{part}": value for part, value in zip(_PARTS, _split(_col(hour)))}
+
+
+def parts_of(prefix: str) -> tuple[Column, ...]:
+    """The columns of :func:`hour_parts`, as ``parts`` of the functions below."""
+    return tuple(F.col(f"{prefix}_{part}") for part in _PARTS)
+
+
+def is_hour(hour, parts=None) -> Column:
     """True if the integer is a real ``yyyyMMddHH`` hour."""
     x = _col(hour)
-    year, month, day, hh = _split(x)
+    year, month, day, hh = parts or _split(x)
     return (
         x.between(1000_01_01_00, 9999_12_31_23)
         & month.between(1, 12)
@@ -58,7 +76,7 @@ def is_hour(hour) -> Column:
     )
 
 
-def next_hour(hour) -> Column:
+def next_hour(hour, parts=None) -> Column:
     """The first real hour greater than the integer, itself a real hour or not.
 
     For a log row this is the end of its hourly window, hence the id of the
@@ -66,7 +84,7 @@ def next_hour(hour) -> Column:
     as a per-hour range filter would place it.
     """
     x = _col(hour)
-    year, month, day, hh = _split(x)
+    year, month, day, hh = parts or _split(x)
     last = _days_in_month(year, month)
     year_start = year * 1_000_000 + 10_100
     month_start = year * 1_000_000 + month * 10_000 + 100
@@ -113,12 +131,12 @@ def has_bucket_key(bucket_format: str) -> bool:
     return bucket_format in _BUCKET_DROPS
 
 
-def bucket_key(hour, bucket_format: str = BUCKET_HOUR) -> Column:
+def bucket_key(hour, bucket_format: str = BUCKET_HOUR, parts=None) -> Column:
     """The bucket as an integer prefix of the hour: 8 bytes to group by
     instead of a formatted string, and nothing to parse per log row."""
     x = _col(hour)
     drop = _BUCKET_DROPS[bucket_format]
-    return F.when(is_hour(x), x if drop == 1 else _div(x, drop))
+    return F.when(is_hour(x, parts), x if drop == 1 else _div(x, drop))
 
 
 def bucket_key_text(key, bucket_format: str = BUCKET_HOUR) -> Column:

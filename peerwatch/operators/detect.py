@@ -31,9 +31,13 @@ def _compact(df: DataFrame, column: str) -> Column:
 HOURLY = "hourly"
 
 
+def _integer(column: str) -> Column:
+    return F.col(column).try_cast("bigint")
+
+
 def _batch_column(window, batch_ids) -> Column:
     if batch_ids == HOURLY:
-        return hours.next_hour(F.col("f31").try_cast("bigint"))
+        return hours.next_hour(_integer("f31"), hours.parts_of("_f31"))
     return F.lit(int(window[1] if batch_ids is None else batch_ids)).cast("bigint")
 
 
@@ -52,24 +56,26 @@ def prepare(
         rows = with_code(rows, "f14", code)
     rows = rows.where(F.col("f02").isNotNull())
 
-    integer_hour = not isinstance(log.schema["f30"].dataType, StringType)
-    if integer_hour and hours.has_bucket_key(bucket_format):
-        bucket = hours.bucket_key("f30", bucket_format)
+    # Raw length first: normalising never lengthens a text.
+    rows = rows.where(F.length("f16") > min_len)
+    parts = hours.hour_parts(_integer("f31"), "_f31") if batch_ids == HOURLY else {}
+    if not isinstance(log.schema["f30"].dataType, StringType) and hours.has_bucket_key(bucket_format):
+        parts |= hours.hour_parts("f30", "_f30")
+        bucket = hours.bucket_key("f30", bucket_format, hours.parts_of("_f30"))
     else:
         bucket = hours.bucket_text("f30", bucket_format)
 
-    return (
-        # Raw length first: normalising never lengthens a text.
-        rows.where(F.length("f16") > min_len)
-        .select(
-            *[_compact(log, c).alias(c) for c in PLAIN_KEYS],
-            _compact(log, "f04").alias("f04"),
-            clean_text("f16").alias("f16"),
-            bucket.alias("bk"),
-            _batch_column(window, batch_ids).alias("ad"),
-        )
-        .where(F.length("f16") > min_len)
+    rows = rows.withColumns(parts).select(
+        *[_compact(log, c).alias(c) for c in PLAIN_KEYS],
+        _compact(log, "f04").alias("f04"),
+        "f16",
+        bucket.alias("bk"),
+        _batch_column(window, batch_ids).alias("ad"),
     )
+    # A list of one text, taken apart: a condition on a plain column is moved
+    # before the projection that makes it, and the text normalised for both.
+    cleaned = rows.select(*[c for c in rows.columns if c != "f16"], F.explode(F.array(clean_text("f16"))).alias("f16"))
+    return cleaned.where(F.length("f16") > min_len)
 
 
 def count_peers(rows: DataFrame, keys, *, peer: str = "f04", approximate: float | None = None) -> DataFrame:

@@ -1,4 +1,5 @@
 import random
+import re
 from collections import defaultdict
 
 import pytest
@@ -12,7 +13,7 @@ from peerwatch.operators.detect import HOURLY, count_peers, mass_senders
 from peerwatch.operators.exclusion import without_listed
 from peerwatch.plans.jobs import mass_senders_in_two_steps
 from peerwatch.schema import BATCH, EXCLUSION
-from peerwatch.sources.logs import literal_rows
+from peerwatch.sources.logs import literal_rows, read_log, write_log
 
 DAY = (2023032300, 2023032400)
 
@@ -167,8 +168,6 @@ def plan_of(df):
 def test_plan_of_a_long_list(spark, make_log, folder):
     """Stored log: filters reach the files, nine columns are read, the list
     meets the few groups left and nothing runs in Python."""
-    from peerwatch.sources.logs import read_log, write_log
-
     write_log(make_log([{"f04": p} for p in range(20)]), folder, partition_by=("f31",))
     listed = literal_rows(spark, [(9, "z")], EXCLUSION)
     plan = plan_of(mass_senders(read_log(spark, folder), listed, DAY, broadcast=False))
@@ -180,3 +179,22 @@ def test_plan_of_a_long_list(spark, make_log, folder):
     tree = plan[: plan.index("\n\n\n")] if "\n\n\n" in plan else plan
     assert "LeftAnti" in tree and "Python" not in plan
     assert tree.index("LeftAnti") < tree.index("HashAggregate")
+
+
+def test_plan_normalises_once_and_compiles(spark, make_log, folder):
+    """One matcher per row, and no generated method that the JVM leaves to its interpreter (8,000 bytes)."""
+    write_log(make_log([{}]), folder)
+    log = read_log(spark, folder)
+    for options in ({"batch_ids": HOURLY}, {}, {"bucket_format": hours.BUCKET_DAY}):
+        found = mass_senders(log, literal_rows(spark, [(5, "n")], EXCLUSION), (2023032300, 2023032400), **options)
+        plan = found._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("regexp_replace") == 1
+        found.createOrReplaceTempView("generated")
+        adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        try:
+            text = spark.sql("EXPLAIN CODEGEN SELECT * FROM generated").first()[0]
+        finally:
+            spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+        sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", text)]
+        assert sizes and max(sizes) < 6500
