@@ -184,15 +184,44 @@ def mass_senders(
     if observation is not None:
         rows = rows.observe(observation, F.count(F.lit(1)).alias("rows_in"))
 
+    # Told once for both places where the list may be applied.
     if exclusion is not None and broadcast is None:
         broadcast = fits_broadcast(exclusion)
-    if exclusion is not None and broadcast:
-        rows = without_listed(rows, exclusion, "f02", broadcast=True)
-
     if candidates is not None:
+        if exclusion is not None and broadcast:
+            rows = without_listed(rows, exclusion, "f02", broadcast=True)
+            exclusion = None
         few = fits_broadcast(candidates, broadcast_limit)
         groups = F.broadcast(candidates) if few else candidates
         rows = rows.join(groups, _group_hash() == F.col("group"), "left_semi")
+    return senders_of(
+        rows,
+        exclusion,
+        window,
+        batch_ids=batch_ids,
+        min_peers=min_peers,
+        bucket_format=bucket_format,
+        broadcast=broadcast,
+        approximate=approximate,
+    )
+
+
+def senders_of(
+    rows: DataFrame,
+    exclusion: DataFrame | None,
+    window: tuple[int, int],
+    *,
+    batch_ids=None,
+    min_peers: int = 10,
+    bucket_format: str = hours.BUCKET_HOUR,
+    broadcast: bool | None = None,
+    approximate: float | None = None,
+) -> DataFrame:
+    """:func:`mass_senders` from prepared rows, which may repeat or be distinct already."""
+    if exclusion is not None and broadcast is None:
+        broadcast = fits_broadcast(exclusion)
+    if exclusion is not None and broadcast:
+        rows = without_listed(rows, exclusion, "f02", broadcast=True)
 
     # One id for the whole window needs no place in the shuffled key.
     keys = [k for k in GROUP_KEYS if k != "ad" or batch_ids == HOURLY]

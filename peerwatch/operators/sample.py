@@ -58,3 +58,15 @@ def sender_names(log: DataFrame, keep_out: tuple[int, int]) -> DataFrame:
 def build_exclusion(log: DataFrame, n: int, *, keep_out: tuple[int, int], seed: int = 0) -> DataFrame:
     """A random exclusion list of ``n`` (id, name) pairs of the log."""
     return seeded_sample(sender_names(log, keep_out), n, seed=seed)
+
+
+def merged_exclusion(kept: DataFrame, n: int, *, seed: int = 0) -> DataFrame:
+    """The list of the whole log from the stored lists of its parts.
+
+    Parts may be any sets of rows that make up the log, each with its own
+    :func:`build_exclusion` of at least ``n`` pairs and the same seed.  A
+    pair's place depends on the pair alone, so the ``n`` first of all parts
+    are among the ``n`` first of their own part, and the merged list is that
+    of one pass over the log.
+    """
+    return seeded_sample(kept, n, seed=seed)

@@ -4,6 +4,9 @@ Every query reads whole tables.  Those that show a table operation write
 below the session's shared working folder and return what is read back.
 """
 
+from dataclasses import replace
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -20,14 +23,16 @@ from peerwatch.operators import derived, filters, profile, report, sample
 from peerwatch.operators.detect import HOURLY, count_peers, mass_senders, merged_peers, peer_sketches, sketch_error
 from peerwatch.operators.exclusion import without_listed
 from peerwatch.plans.jobs import Tables, mass_senders_in_two_steps, run_bulk, run_hours, run_next_day
+from peerwatch.plans.load import BaseTables, run_load
 from peerwatch.schema import BATCH, EXCLUSION, LATEST, RESULT
 from peerwatch.session import work_folder
 from peerwatch.sources import catalog
 from peerwatch.sources.adapters import event_exclusion, event_log, order_exclusion, order_log, table
 from peerwatch.sources.batch_log import BatchLog, last_batch
-from peerwatch.sources.generator import LogPlan, generate_log, noise_log, planted_log
+from peerwatch.sources.generator import PLANTED_FIRST, PLANTED_NUMBERS, PLANTED_TEXT, LogPlan, generate_log, noise_log, planted_log
 from peerwatch.sources.logs import read_log, read_table, write_log, write_table
 from peerwatch.sources.named import NamedResults, NamedTables
+from peerwatch.sources.partials import PeerPartials
 from peerwatch.sources.results import ResultStore
 from peerwatch.sources.snapshots import Snapshot
 from peerwatch.streaming.hourly import run_stream, stream_log
@@ -88,6 +93,23 @@ def hourly_batches(spark, folder) -> DataFrame:
     )
 
 
+def bulk_from_hours(spark, folder) -> DataFrame:
+    """The answer of ``bulk_batch`` from stored hours; the log is not read again."""
+    log = order_log(spark, folder)
+    stored = PeerPartials(spark, work_folder(spark), bucket_format=hours.BUCKET_MONTH, log_schema=log.schema).create()
+    stored.add(log, ORDERS)
+    return stored.mass_senders(order_exclusion(spark, folder), ORDERS)
+
+
+def hourly_from_hours(spark, folder) -> DataFrame:
+    """The hourly batches from stored hours, the last day of which is added twice."""
+    log = event_log(spark, folder)
+    stored = PeerPartials(spark, work_folder(spark), log_schema=log.schema).create()
+    stored.add(log, EVENTS)
+    stored.add(log, (EVENTS_SPLIT, EVENTS[1]))
+    return stored.mass_senders(event_exclusion(spark, folder), EVENTS, batch_ids=HOURLY, min_peers=1)
+
+
 def batch_view(spark, folder) -> DataFrame:
     """The batch as a temporary view, read with SQL."""
     bulk_batch(spark, folder).createOrReplaceTempView("batch_view")
@@ -238,6 +260,15 @@ def exclusion_list(spark, folder) -> DataFrame:
     return sample.build_exclusion(order_log(spark, folder), 40, keep_out=(10, 20), seed=3)
 
 
+def exclusion_list_merged(spark, folder) -> DataFrame:
+    """The same list from those of three parts of the log, each made and stored on its own."""
+    path, log = work_folder(spark), order_log(spark, folder)
+    for window in ((0, 1997010100), (1997010100, ORDERS_SPLIT), (ORDERS_SPLIT, 9999123123)):
+        part = sample.build_exclusion(filters.in_window(log, "f31", *window), 40, keep_out=(10, 20), seed=3)
+        write_table(part, path, mode="append")
+    return sample.merged_exclusion(read_table(spark, path, EXCLUSION), 40, seed=3)
+
+
 def seeded_sample(spark, folder) -> DataFrame:
     pairs = table(spark, folder, "lineitem").select("l_orderkey", "l_partkey").distinct()
     return sample.seeded_sample(pairs, 20_000, seed=3)
@@ -499,6 +530,13 @@ def gen_planted(spark, folder) -> DataFrame:
     return _planted(spark, folder)
 
 
+def gen_older(spark, folder) -> DataFrame:
+    """Noise and planted rows in the older form of the log."""
+    plan = replace(PLAN, older=True)
+    noise = noise_log(_ids(spark, folder, "orders", "o_orderkey"), plan)
+    return noise.unionByName(planted_log(_ids(spark, folder, "customer", "c_custkey"), plan))
+
+
 def gen_to_size(spark, folder) -> DataFrame:
     """A log as large as the line items, by the 4,000 rows per megabyte rule,
     counted by hour and sender kind."""
@@ -646,6 +684,25 @@ def bucketed_table(spark, folder) -> DataFrame:
     return spark.table(name).groupBy("f02").agg(F.count(F.lit(1)).alias("rows"))
 
 
+def load_job(spark, folder) -> DataFrame:
+    """The load job with as many rows as there are line items: what ANALYZE counted, and what is in the tables."""
+    rows = table(spark, folder, "lineitem").count()
+    plan = LogPlan.for_size(rows / 4000 / 1024, end=PLAN.end, days=1, batch_rows=4000, seed=7)
+    base = BaseTables(spark, _database(spark), "load_")
+    described = run_load(base, plan, listed=1000, drop=True)
+    parts = []
+    for what, name in (("log", base.log), ("list", base.exclusion)):
+        line = described[name].where(F.col("col_name") == "Statistics")
+        counted = F.regexp_extract("data_type", r"(\d+) rows", 1).cast("bigint")
+        parts.append(line.select(F.lit(what).alias("what"), counted.alias("rows")))
+    planted = F.col("f02").between(PLANTED_FIRST, PLANTED_FIRST + PLANTED_NUMBERS - 1) & (F.col("f16") == PLANTED_TEXT)
+    count = F.count(F.lit(1)).alias("rows")
+    parts.append(base.read_log().where(planted).agg(count).select(F.lit("planted").alias("what"), "rows"))
+    hidden = base.read_exclusion().join(base.read_log().where(planted), F.col("id") == F.col("f02"), "left_semi")
+    parts.append(hidden.agg(count).select(F.lit("planted and listed").alias("what"), "rows"))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def table_statistics(spark, folder) -> DataFrame:
     name = f"{_database(spark)}.analyzed"
     catalog.create_table_as(order_log(spark, folder), name)
@@ -694,6 +751,7 @@ QUERIES = {
         anti_join_text_key_long_list,
         distinct_pairs,
         exclusion_list,
+        exclusion_list_merged,
         seeded_sample,
         random_sample,
         latest_per_number,
@@ -725,7 +783,11 @@ QUERIES = {
         watermark,
         gen_noise,
         gen_planted,
+        gen_older,
         gen_to_size,
+        load_job,
+        bulk_from_hours,
+        hourly_from_hours,
         partition_roundtrip,
         file_control,
         planted_recovery,

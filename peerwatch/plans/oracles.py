@@ -122,17 +122,17 @@ def _letters(kind: str) -> str:
     return f"translate(to_base64(unhex(concat({blocks}))), '+/=', '')"
 
 
-def generated(kind: str, ids: str, batch_rows: int, fields: dict, message: str) -> str:
+def generated(kind: str, ids: str, batch_rows: int, fields: dict, message: str, older: tuple[str, str] | None = None) -> str:
     span = PLAN.end - PLAN.start
     texts = {c: f"substr(letters, {1 + 10 * i}, 10)" for i, c in enumerate(SHORT_TEXTS)}
-    hour = "strftime(make_timestamp({}::BIGINT * 1000000), '%Y%m%d%H')::BIGINT"
+    hour = "strftime(make_timestamp(({})::BIGINT * 1000000), '%Y%m%d%H')" + ("" if older else "::BIGINT")
     columns = {
         "f01": "f01",
         **fields,
         **texts,
         "f16": message,
-        "f30": hour.format("f30"),
-        "f31": hour.format("f30"),
+        "f30": hour.format(older[0] if older else "f30"),
+        "f31": hour.format(older[1] if older else "f30"),
         "cp": hour.format("f01"),
         "ld": hour.format("f01"),
     }
@@ -144,7 +144,7 @@ def generated(kind: str, ids: str, batch_rows: int, fields: dict, message: str)
              {_number(_digest(kind, 'times'), 1)} AS t1, {_number(_digest(kind, 'times'), 16)} AS t2
       FROM ({ids}) AS i),
     placed AS (
-      SELECT id, turn, a, b, letters, base + t1 % length AS f01, base + t2 % length AS f30
+      SELECT id, turn, a, b, letters, base, length, base + t1 % length AS f01, base + t2 % length AS f30
       FROM (SELECT *, {PLAN.start} + turn * {span} // {PLAN.rounds} AS base,
                    greatest((turn + 1) * {span} // {PLAN.rounds} - turn * {span} // {PLAN.rounds}, 1) AS length
             FROM drawn) AS s)
@@ -153,7 +153,7 @@ def generated(kind: str, ids: str, batch_rows: int, fields: dict, message: str)
 
 
 _DIGIT = "((a // {}) % 10)"
-NOISE = generated(
+_NOISE_PARTS = (
     "noise",
     "SELECT o_orderkey AS id FROM orders",
     PLAN.batch_rows,
@@ -166,20 +166,29 @@ NOISE = generated(
     },
     f"substr(letters, 181, 2 + {_number(_digest('noise', 'length', 'turn'), 1)} % 29)",
 )
+NOISE = generated(*_NOISE_PARTS)
+_PLANTED_FIELDS = {
+    "f02": "(19218983880 + a % 10)",
+    "f04": "(19200000000 + b % 20000000)",
+    **{c: _DIGIT.format(20_000_000 * 10**i) for i, c in enumerate(("f10", "f15", "f19"))},
+    "f06": "0::BIGINT",
+    "f07": "7::BIGINT",
+    "f14": "49::BIGINT",
+    "f22": "3::BIGINT",
+}
 PLANTED = generated(
+    "planted", "SELECT c_custkey AS id FROM customer", PLAN.planted_batch, _PLANTED_FIELDS, "'Great you found me !'"
+)
+# The older form: hours of the round for noise, hours and codes of their own for planted rows, all hours as text.
+_ENDS = _number(_digest("planted", "ends"), 1)
+OLDER_NOISE = generated(*_NOISE_PARTS, older=("base", "base + length"))
+OLDER_PLANTED = generated(
     "planted",
     "SELECT c_custkey AS id FROM customer",
     PLAN.planted_batch,
-    {
-        "f02": "(19218983880 + a % 10)",
-        "f04": "(19200000000 + b % 20000000)",
-        **{c: _DIGIT.format(20_000_000 * 10**i) for i, c in enumerate(("f10", "f15", "f19"))},
-        "f06": "0::BIGINT",
-        "f07": "7::BIGINT",
-        "f14": "49::BIGINT",
-        "f22": "3::BIGINT",
-    },
+    {**_PLANTED_FIELDS, "f14": "(48 + (b // 20000000) % 3)"},
     "'Great you found me !'",
+    older=("f30", f"base + {_ENDS} % length"),
 )
 GENERATED = f"SELECT * FROM ({NOISE}) AS n UNION ALL SELECT * FROM ({PLANTED}) AS p"
 GENERATED_LIST = sampled(
@@ -358,7 +367,14 @@ ORACLES = {
     "watermark": f"SELECT max(ad) AS lastdate FROM ({HOURLY}) AS r",
     "gen_noise": NOISE,
     "gen_planted": PLANTED,
+    "gen_older": f"SELECT * FROM ({OLDER_NOISE}) AS n UNION ALL SELECT * FROM ({OLDER_PLANTED}) AS p",
     "gen_to_size": SIZED,
+    "load_job": """
+        WITH plan AS (SELECT ceil(count(*) / 4000 / 1024 * 1024)::BIGINT AS rounds FROM lineitem)
+        SELECT 'log' AS what, rounds * 4400 AS "rows" FROM plan
+        UNION ALL SELECT 'list', 1000 FROM plan
+        UNION ALL SELECT 'planted', rounds * 400 FROM plan
+        UNION ALL SELECT 'planted and listed', 0 FROM plan""",
     "partition_roundtrip": GENERATED,
     "file_control": f"""
         SELECT kind, f31, count(*) AS "rows", true AS few_files
@@ -386,3 +402,6 @@ ORACLES = {
 
 # The same jobs on tables by name give the same rows.
 ORACLES["rerun_smaller_by_name"] = ORACLES["rerun_smaller"]
+ORACLES["exclusion_list_merged"] = ORACLES["exclusion_list"]
+ORACLES["bulk_from_hours"] = ORACLES["bulk_batch"]
+ORACLES["hourly_from_hours"] = ORACLES["hourly_batches"]

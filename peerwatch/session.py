@@ -29,6 +29,12 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def child_names(spark: SparkSession, path: str) -> list[str]:
+    """Names right below a folder: one call to the file system, no job."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return [s.getPath().getName() for s in folder.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(folder)]
+
+
 def work_folder(spark: SparkSession) -> str:
     """A fresh folder path below the cluster's shared checkpoint folder.
 

@@ -26,6 +26,7 @@ EVENT_CODE = 49
 TEXT_LENGTH = 10
 ROWS_PER_MB = 4_000  # 100,000 rows are taken as 25 MB
 PLANTED_SHARE = 10  # one planted row for every ten noise rows
+ROWS_PER_TASK = ROWS_PER_MB * 1024  # a task makes a gigabyte, so 100 TB are some 100,000 tasks
 
 SHORT_TEXTS = tuple(c for c in LOG.names if c not in LONG_FIELDS and c not in LOG_PARTITIONS and c != "f16")
 _TEXT_BLOCKS = 7  # 224 characters: 18 texts of 10 and one message of up to 30
@@ -33,13 +34,19 @@ _TEXT_BLOCKS = 7  # 224 characters: 18 texts of 10 and one message of up to 30
 
 @dataclass(frozen=True)
 class LogPlan:
-    """How many rows to make and over which time span."""
+    """How many rows to make and over which time span.
+
+    ``older`` makes logs of the older form: hour columns are text, ``f30`` and
+    ``f31`` of noise are the first and last hour of its round, and planted
+    rows have hours ``f30`` and ``f31`` and codes ``f14`` of their own.
+    """
 
     start: int  # epoch seconds, in
     end: int  # epoch seconds, out
     rounds: int
     batch_rows: int
     seed: int = 0
+    older: bool = False
 
     @property
     def noise_rows(self) -> int:
@@ -55,12 +62,12 @@ class LogPlan:
 
     @classmethod
     def for_size(
-        cls, size_gb: float, *, end: int, days: int = 7, batch_rows: int = 100_000, seed: int = 0, debug: bool = False
+        cls, size_gb: float, *, end: int, days: int = 7, batch_rows: int = 100_000, seed: int = 0, debug: bool = False, older: bool = False
     ) -> "LogPlan":
         """The plan for a target size; ``debug`` makes two rounds only."""
         unit_mb = math.ceil(batch_rows / ROWS_PER_MB)
         rounds = 2 if debug else math.ceil(size_gb * 1024 / unit_mb)
-        return cls(end - days * 86_400, end, rounds, batch_rows, seed)
+        return cls(end - days * 86_400, end, rounds, batch_rows, seed, older)
 
 
 def _slice_bounds(plan: LogPlan, row_id: Column, batch_rows: int):
@@ -75,11 +82,12 @@ def _slice_bounds(plan: LogPlan, row_id: Column, batch_rows: int):
     return round_no, start + plan.start, F.greatest(end - start, F.lit(1))
 
 
-def _finish(rows: DataFrame) -> DataFrame:
+def _finish(rows: DataFrame, plan: LogPlan) -> DataFrame:
     """Turn epoch seconds into the hour columns and order the columns."""
+    hour_type = "string" if plan.older else "bigint"
     return rows.select(
         *[
-            hour_of_epoch("f01" if c in LOG_PARTITIONS else c).alias(c)
+            hour_of_epoch("f01" if c in LOG_PARTITIONS else c).cast(hour_type).alias(c)
             if c in ("f30", "f31", *LOG_PARTITIONS)
             else F.col(c)
             for c in LOG.names
@@ -103,6 +111,8 @@ def _draw(ids: DataFrame, plan: LogPlan, kind: str, batch_rows: int) -> DataFram
     return drawn.select(
         "id",
         "_round",
+        "_start",
+        "_length",
         "_texts",
         hex_number(F.col("_n"), 1).alias("_a"),
         hex_number(F.col("_n"), 16).alias("_b"),
@@ -138,11 +148,13 @@ def noise_log(ids: DataFrame, plan: LogPlan) -> DataFrame:
                 **digits,
                 "f14": 48 + _peeled("_b", 1, 3),
                 "f22": 1 + _peeled("_b", 3, 9),
-                "f31": F.col("f30"),
+                "f30": F.col("_start") if plan.older else F.col("f30"),
+                "f31": F.col("_start") + F.col("_length") if plan.older else F.col("f30"),
                 "f16": _noise_message(plan),
                 **_texts(),
             }
-        )
+        ),
+        plan,
     )
 
 
@@ -151,22 +163,34 @@ def planted_log(ids: DataFrame, plan: LogPlan) -> DataFrame:
     rows = _draw(ids, plan, "planted", plan.planted_batch)
     digits = {c: _peeled("_a", 10**i, 10) for i, c in enumerate(("f10", "f15", "f19"))}
     fixed = {"f06": 0, "f07": 7, "f14": EVENT_CODE, "f22": 3}
+    fixed = {c: F.lit(v).cast("bigint") for c, v in fixed.items()}
+    last = F.col("f30")
+    if plan.older:
+        fixed["f14"] = 48 + _peeled("_b", 1, 3)
+        last = F.col("_start") + hex_number(digest(plan.seed, F.col("id"), "planted-ends"), 1) % F.col("_length")
     return _finish(
         rows.withColumns(
             {
                 "f02": PLANTED_FIRST + F.col("_a") % PLANTED_NUMBERS,
                 "f04": FIRST_NUMBER + F.col("_b") % NUMBERS,
                 **digits,
-                **{c: F.lit(v).cast("bigint") for c, v in fixed.items()},
-                "f31": F.col("f30"),
+                **fixed,
+                "f31": last,
                 "f16": F.lit(PLANTED_TEXT),
                 **_texts(),
             }
-        )
+        ),
+        plan,
     )
 
 
+def row_ids(spark: SparkSession, rows: int) -> DataFrame:
+    """Ids from 0, in tasks of equal size: as many as the rows need, and no fewer than the cluster has cores."""
+    tasks = max(math.ceil(rows / ROWS_PER_TASK), spark.sparkContext.defaultParallelism)
+    return spark.range(0, rows, 1, tasks)
+
+
 def generate_log(spark: SparkSession, plan: LogPlan) -> DataFrame:
     """Noise and planted rows of a plan as one DataFrame."""
-    noise = noise_log(spark.range(plan.noise_rows), plan)
-    return noise.unionByName(planted_log(spark.range(plan.planted_rows), plan))
+    noise = noise_log(row_ids(spark, plan.noise_rows), plan)
+    return noise.unionByName(planted_log(row_ids(spark, plan.planted_rows), plan))

@@ -17,6 +17,7 @@ def write_log(
     files: int | None = None,
     rebalance: bool = False,
     compression: str = "zlib",
+    file_rows: int = 0,
 ) -> None:
     """Append a log as partitioned ORC.
 
@@ -24,13 +25,15 @@ def write_log(
     ``rebalance`` shuffles by partition value towards even file sizes: small
     partitions share a task and a large one is split over many.  The default
     partition column is the one that batches filter on, so that they skip
-    whole folders; ``cp`` and ``ld`` are ordinary columns.
+    whole folders; ``cp`` and ``ld`` are ordinary columns.  ``file_rows``
+    bounds the rows of a file, so that a large hour gets many files.
     """
     if rebalance:
         log = log.hint("rebalance", *partition_by)
     if files is not None:
         log = log.coalesce(files)
-    log.write.mode(mode).partitionBy(*partition_by).option("compression", compression).orc(path)
+    writer = log.write.mode(mode).partitionBy(*partition_by).option("compression", compression)
+    writer.option("maxRecordsPerFile", file_rows).orc(path)
 
 
 def read_log(spark: SparkSession, path: str, schema: StructType = LOG) -> DataFrame:

@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 
 from peerwatch.operators.detect import mass_senders
 from peerwatch.operators.sample import build_exclusion
+from peerwatch.plans.load import BaseTables, run_load
 from peerwatch.schema import EXCLUSION, LOG
 from peerwatch.sources.generator import (
     FIRST_NUMBER,
@@ -14,6 +15,7 @@ from peerwatch.sources.generator import (
     generate_log,
     noise_log,
     planted_log,
+    row_ids,
 )
 
 END = 1_679_616_000  # 2023-03-24 00:00 UTC
@@ -72,3 +74,41 @@ def test_planted_rows_are_found(spark):
     assert found.select("f02").distinct().count() == 10
     want = planted.groupBy("f02", "f30").agg(F.count_distinct("f04").alias("n")).where("n > 2").count()
     assert found.count() == want
+
+
+def test_tasks_grow_with_the_rows(spark):
+    plan = LogPlan.for_size(100 * 1024, end=END)
+    assert 100_000 <= row_ids(spark, plan.noise_rows).rdd.getNumPartitions() <= 110_000
+    assert row_ids(spark, 100).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+
+
+def test_older_form(spark):
+    """Text hours; one first and last hour for the noise of a round, hours and codes of their own for planted rows."""
+    plan = LogPlan(start=END - 86_400, end=END, rounds=4, batch_rows=400, seed=1, older=True)
+    noise = noise_log(spark.range(plan.noise_rows), plan)
+    assert [noise.schema[c].dataType.simpleString() for c in ("f30", "f31", "cp", "ld", "f14")] == ["string"] * 4 + ["bigint"]
+    assert rows_of(noise.select("f30", "f31").distinct()) == [
+        ("2023032300", "2023032306"), ("2023032306", "2023032312"), ("2023032312", "2023032318"), ("2023032318", "2023032400"),
+    ]
+    assert noise.where("cp < f30 OR cp >= f31").isEmpty()
+    planted = planted_log(spark.range(plan.planted_rows), plan)
+    assert {r.f14 for r in planted.select("f14").distinct().collect()} == {48, 49, 50}
+    assert planted.where("f30 <> f31").count() > 50
+    newer = planted_log(spark.range(plan.planted_rows), LogPlan(plan.start, plan.end, 4, 400, seed=1))
+    assert rows_of(newer.select("f01", "f02", "f04")) == rows_of(planted.select("f01", "f02", "f04"))
+    found = mass_senders(planted, None, (2023032300, 2023032400), min_peers=1)
+    assert {r.f16 for r in found.collect()} == {PLANTED_TEXT}
+
+
+def test_load_job(spark):
+    base = BaseTables(spark, "peerwatch_load_test")
+    for times in (1, 2):
+        described = run_load(base, PLAN, listed=500, drop=times == 1, file_rows=100)
+        assert base.read_log().count() == 11_000 * times and base.read_exclusion().count() == 500
+        line = described[base.log].where("col_name = 'Statistics'").first()["data_type"]
+        assert f"{11_000 * times} rows" in line
+    again = generate_log(spark, PLAN)
+    assert base.read_log().select(*again.columns).distinct().exceptAll(again.distinct()).isEmpty()
+    assert base.read_exclusion().where(F.col("id").between(*KEEP)).isEmpty()
+    base.reset()
+    assert not spark.catalog.tableExists(base.log)
