@@ -5,7 +5,8 @@ label and the kind of place it is), and what is seen at the node (kind of tag, w
 node.  Sum-product messages, once from the leaves up and once from the root down, give the exact probability of each node, and the
 text of nodes above one half is the result.
 
-All tables are counted from labelled pages.  The labels come from pages with an ``article`` element: what is inside is content.
+All tables are counted from labelled pages.  The labels come from pages with an ``article`` element: what is inside is content,
+but for menus, side bars, forms and footers in it.  Pages with one article are learned from as they are, tree, names and all.
 To learn other page designs as well, the parts of these pages are set again in several layouts, with menus, side bars,
 notices, forms, adverts and comments in and around the content, made of the texts that the page has outside its article.
 
@@ -13,7 +14,9 @@ Scale: at most ``SAMPLE`` pages, those with the smallest hash of the id, of at m
 learning (documented bound); all pages are read whole, in one pass without a shuffle; time is linear in the page.
 
 Defined results: null or empty html gives an empty text; without any page with an article, layouts of plain words are learned from; broken
-markup is read on as browsers do (missing and surplus end tags, open tags at the end); ties at one half are content; other columns are not touched.
+markup is read on as browsers do (missing and surplus end tags, open tags at the end; an element without text to read that is never closed ends
+with the block it stands in, an open ``svg`` or ``math`` at the next block); a script inside a block does not cut it; ties at one half are content;
+other columns are not touched.
 """
 
 from __future__ import annotations
@@ -36,12 +39,13 @@ LABEL = "data-content"
 #: Fixed values of the format: elements without content, with raw text, without any text to read, and in a line of text.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp noembed noframes iframe".split())
-UNREAD = frozenset("head script style textarea title xmp noembed noframes iframe noscript template svg math canvas audio video object select option button datalist".split())
+UNREAD = frozenset("script style textarea title xmp noembed noframes iframe noscript template svg math canvas audio video object select option button datalist".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub "
     "sup time tt u var wbr br img nobr".split()
 )
-CLOSES_ITSELF = {"li": "li", "dt": "dd dt", "dd": "dd dt", "tr": "tr td th", "td": "td th", "th": "td th", "option": "option", "body": "head"}
+CLOSES_ITSELF = {"li": "li", "dt": "dd dt", "dd": "dd dt", "tr": "tr td th", "td": "td th", "th": "td th", "option": "option"}
+NOT_IN_ARTICLE = frozenset("nav aside form footer".split())
 STOPS_AT = {"li": "ul ol menu", "dt": "dl", "dd": "dl", "tr": "table", "td": "table tr", "th": "table tr"}
 CLOSES_P = frozenset(
     "address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p "
@@ -94,6 +98,7 @@ def parse(html: str) -> tuple[list[Node], list[tuple[int, str]]]:
     nodes = [Node("html", -1, "none", None)]
     runs: list[tuple[int, str]] = []
     stack, pieces, links, unread = [0], [], 0, None
+    inner: dict[str, int] = {}  # elements open inside the unread one
     at, end = 0, len(html)
 
     def flush():
@@ -111,6 +116,11 @@ def parse(html: str) -> tuple[list[Node], list[tuple[int, str]]]:
         if links:
             nodes[stack[-1]].linked += len(text.strip())
 
+    def past(tag: str, at: int) -> int:
+        """Where raw text ends."""
+        close = re.compile(rf"</{tag}\s*>", re.I).search(html, at)
+        return close.end() if close else end
+
     while at < end:
         m = _TAG.search(html, at)
         stop = m.start() if m else end
@@ -124,20 +134,28 @@ def parse(html: str) -> tuple[list[Node], list[tuple[int, str]]]:
             continue
         closing = bool(m[1])
         if unread:
-            unread = None if closing and tag == unread or not closing and tag == "body" and unread == "head" else unread
-            if unread:
+            if closing and inner.get(tag):
+                inner[tag] -= 1
                 continue
-            if closing:
+            if closing and tag == unread:
+                unread = None
                 continue
-        if not closing and tag in UNREAD:
-            flush() if tag not in ("svg", "math", "button", "select") else None
-            if m[3].endswith("/"):
+            if not closing and tag in RAW:
+                at = past(tag, at)
                 continue
+            # An end tag of a block around it, or a block in a drawing, ends an element that was never closed.
+            around = closing and any(nodes[i].tag == tag for i in stack[1:])
+            escapes = not closing and unread in ("svg", "math") and tag in CLOSES_P and not any(inner.values())
+            if not (around or escapes):
+                if not closing and tag not in VOID and tag not in CLOSES_ITSELF and tag != "p" and not m[3].endswith("/"):
+                    inner[tag] = inner.get(tag, 0) + 1
+                continue
+            unread = None
+        if not closing and tag in UNREAD:
             if tag in RAW:
-                close = re.compile(rf"</{tag}\s*>", re.I).search(html, at)
-                at = close.end() if close else end
-            else:
-                unread = tag
+                at = past(tag, at)
+            elif not m[3].endswith("/"):
+                unread, inner = tag, {}
             continue
         if tag in INLINE:
             if tag == "a":
@@ -164,7 +182,7 @@ def parse(html: str) -> tuple[list[Node], list[tuple[int, str]]]:
                 if nodes[stack[d]].tag in shut:
                     del stack[d:]
                     break
-        if tag == "html" or tag in VOID:
+        if tag in ("html", "head") or tag in VOID:
             continue
         hint, label = _attributes(m[3]) if m[3].strip() else ("none", None)
         nodes.append(Node(tag, stack[-1], hint, label))
@@ -197,13 +215,26 @@ class Model:
         self.odds_of = {}
 
     def learn(self, html: str) -> None:
-        labels = []
-        for node in (nodes := parse(html)[0]):
+        """Count a page that says itself what is content."""
+        nodes, labels = parse(html)[0], []
+        for node in nodes:
             above = labels[node.parent] if node.parent >= 0 else 0
             labels.append(above if node.label is None else int(node.label == "1"))
-            if node.parent >= 0:
-                self.steps.setdefault(place(nodes[node.parent]), np.full((2, 2), SMOOTH))[above, labels[-1]] += 1
+        self.count(nodes, labels)
+
+    def learn_article(self, html: str) -> None:
+        """Count a page as it is, if it has one article: that is its content, but for menus, side bars, forms and footers."""
+        nodes, labels = parse(html)[0], []
+        if sum(n.tag == "article" for n in nodes) != 1:
+            return
+        for node in nodes:
+            above = labels[node.parent] if node.parent >= 0 else 0
+            labels.append(0 if node.tag in NOT_IN_ARTICLE else 1 if node.tag == "article" else above)
+        self.count(nodes, labels)
+
+    def count(self, nodes: list[Node], labels: list[int]) -> None:
         for node, label in zip(nodes[1:], labels[1:], strict=True):
+            self.steps.setdefault(place(nodes[node.parent]), np.full((2, 2), SMOOTH))[labels[node.parent], label] += 1
             self.total[label] += 1
             for view, value in zip(self.views, seen(node), strict=True):
                 view[label][value] = view[label].get(value, 0) + 1
@@ -280,6 +311,10 @@ def _layouts(title: str, body: list[str], other: list[str]) -> Iterator[str]:
         f'{"".join(f"<div>{e(t)}</div>" for t in body)}{points}<table><tr><td>{line(2)}</td><td>{line(3)}</td></tr></table></div><div class="widget"><p>{line(4)}</p></div></div>'
         f'<form action="/login"><p>{line(5)}</p></form><div class="sponsored"><p>{line(6)}</p></div><div id="disqus">{comments}</div><footer>{line(7)}</footer></body>'
     )
+    yield (
+        f'<body><header><p>{line(0)}</p>{menu}</header><article{yes}><header><h1>{e(title)}</h1></header>{"".join(paragraphs)}'
+        f'<section><h2>{line(2)}</h2><p>{line(3)}</p></section><footer{no}><p>{line(4)}</p></footer></article><footer><p>{line(1)}</p></footer></body>'
+    )
 
 
 def _parts(html: str) -> tuple[str, list[str], list[str]] | None:
@@ -307,6 +342,7 @@ def train(spark: SparkSession, pages: DataFrame, *, sample: int = SAMPLE) -> Mod
     model, plain = Model(), ("Some title", ["A long line of plain words about something that happened. " * n for n in (1, 2, 4)], ["short words"])
     for r in picked:
         if parts := _parts(r.html):
+            model.learn_article(r.html)
             for layout in _layouts(*parts):
                 model.learn(layout)
     if not sum(model.total):

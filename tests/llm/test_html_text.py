@@ -72,3 +72,47 @@ def test_defined_results(spark):
     assert sorted((r.page_id or 0, r.text, r.n_chars) for r in got) == [(0, "Some text here", 14), (1, "", 0), (2, "", 0), (2, "", 0)]
     assert main_text(pages.limit(0), train(spark, pages.limit(0))).count() == 0
     assert _parts("<p>no article</p>") is None
+
+
+def test_scripts_do_not_cut_a_block(model):
+    page = "<article><p>one two <script>x('<p>')</script>three<noscript><img src=a> no</noscript> four<p>next <style>p {}</style>block</article>"
+    assert model.text(page) == "one two three four\nnext block"
+
+
+def test_open_elements_end_with_their_block(model):
+    words = "Some words that are long enough to be read as text of the page."
+    for opened in ("<noscript>no", "<button>no", "<select><option>no", "<svg><path>", "<object><div>no</div>", "<video><source src=a>"):
+        page = f"<body><article><div>{opened}</div><p>{words}</p></article></body>"
+        assert model.text(page) == words, opened
+    assert model.text(f"<body><article><svg><g><title>no</title></g><p>{words}</p></article></body>") == words
+    nested = f"<article><object><div>no<object>no</object>no</div>no</object><template><p>no</p></template><p>{words}</p></article>"
+    assert model.text(nested) == words
+
+
+def test_heads_without_end(model):
+    for head in ("<head>", "<head><title>no</title>", "<head><script>if (a < b) '<p>no</p>'</script><meta charset=x>", "<head><style>no</style></head>"):
+        for body in ("<body>", ""):
+            assert model.text(f"<html>{head}{body}<article><p>Some words.</p></article>") == "Some words."
+
+
+def test_headline_in_the_header_of_the_article(model):
+    page = "<body><header><p>Name of the site</p></header><article><header><h1>Title of it</h1></header><p>Some words of the article, at some length.</p></article></body>"
+    assert model.text(page) == "Title of it\nSome words of the article, at some length."
+
+
+def test_pages_are_learned_as_they_are():
+    """A design that no layout has: counts by hand, and the words of a name that only the page shows as content."""
+    page = "<body><nav><p>a</p></nav><article class=widget><dl><dt>t<dd>d</dl><aside><p>x</p></aside></article></body>"
+    learned = Model()
+    learned.learn_article(page)
+    # Content: article, dl, dt, dd.  The rest: body, nav, its p, aside, its p.
+    assert learned.total == [5, 4]
+    assert learned.views[0][1] == {"article": 1, "list": 1, "item": 2} and learned.views[1][1] == {"side": 1, "none": 3}
+    assert learned.steps["side"].tolist() == [[0.5, 0.5], [1.5, 1.5]]
+    learned.learn_article(page + page.replace("body", "div"))  # two articles say nothing about one
+    assert learned.total == [5, 4]
+
+
+def test_ties_are_content(monkeypatch, model):
+    monkeypatch.setattr(Model, "marginals", lambda self, nodes: [0.5] * len(nodes))
+    assert model.text("<p>one</p><p>two</p>") == "one\ntwo"
