@@ -1,10 +1,17 @@
 """The stored detection result: one folder per batch, replaced as a whole.
 
 Running a batch again must leave exactly its new rows, also when there are
-fewer of them or none, in any session and for any bucket format.  New rows are
-first written aside, so a detection that fails leaves the former batch as it
-was; then the batch's folder is overwritten with them.  A failure in that
-short last step leaves the batch without rows until it is run again.
+fewer of them or none, in any session and for any bucket format:
+
+1. the new rows are written aside, so a detection that fails leaves the former
+   batch as it was;
+2. one dynamic overwrite puts them in place, bucket by bucket;
+3. folders of buckets that the batches have no longer are removed.
+
+What is stored is read from the names of folders, so neither clearing nor
+replacing runs a job per batch.  A failure between the last two steps leaves
+buckets of the former run beside the new ones, never a batch without rows; the
+next run of the batch removes them.
 """
 
 from py4j.protocol import Py4JJavaError
@@ -13,7 +20,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from peerwatch.schema import RESULT, RESULT_PARTITIONS
-from peerwatch.session import remove_folder, work_folder
+from peerwatch.session import child_names, remove_folder, work_folder
 from peerwatch.sources.logs import empty
 
 
@@ -71,28 +78,31 @@ class ResultStore:
         checked = F.when(ad.isin(wanted), ad).otherwise(
             F.raise_error(F.concat(F.lit("row of a batch that is not replaced: "), ad.cast("string"))).cast("bigint")
         )
-        staged = work_folder(self.spark)
-        self._writer(self._by_partition(rows.withColumn("ad", checked)), "overwrite").parquet(staged)
-        before = self.filled(wanted)
-        self._clear(before)
-        self.append(self.spark.read.schema(RESULT).parquet(staged))
-        remove_folder(self.spark, staged)
-        return before
+        aside = ResultStore(self.spark, work_folder(self.spark))
+        aside._writer(self._by_partition(rows.withColumn("ad", checked)), "overwrite").partitionBy(*RESULT_PARTITIONS).parquet(aside.path)
+        before, new = self._held(wanted), aside._held(wanted)
+        self.overwrite_partitions(aside.read())
+        self._remove(before - new)
+        remove_folder(self.spark, aside.path)
+        return {ad for ad, _ in before}
 
     def clear_batches(self, batch_ids) -> None:
-        """Leave no row of the batches."""
-        self._clear(self.filled(batch_ids))
+        """Leave no row of the batches: folders are removed, no job runs."""
+        self._remove(self._held(batch_ids))
 
     def filled(self, batch_ids) -> set[int]:
-        """Those of some batches that have rows: partition values only, at
-        most one row for each batch."""
-        return {r["ad"] for r in self.read_batches(batch_ids).select("ad").distinct().collect()}
-
-    def _clear(self, batch_ids) -> None:
-        """Overwrite the folders of whole batches, whatever buckets are in them."""
-        nothing = empty(self.spark, RESULT).drop("ad")
-        for ad in sorted(batch_ids):
-            self._writer(nothing, "overwrite").partitionBy("bd").parquet(f"{self.path}/ad={ad}")
+        """Those of some batches that have rows."""
+        return {ad for ad, _ in self._held(batch_ids)}
+
+    def _held(self, batch_ids) -> set[tuple[int, str]]:
+        """(batch, folder name of the bucket) of what is stored of some batches."""
+        stored = set(child_names(self.spark, self.path))
+        found = [int(b) for b in batch_ids if f"ad={int(b)}" in stored]
+        return {(ad, name) for ad in found for name in child_names(self.spark, f"{self.path}/ad={ad}") if name.startswith("bd=")}
+
+    def _remove(self, held: set[tuple[int, str]]) -> None:
+        for ad, name in sorted(held):
+            remove_folder(self.spark, f"{self.path}/ad={ad}/{name}")
 
     @staticmethod
     def _by_partition(rows: DataFrame) -> DataFrame:

@@ -61,6 +61,33 @@ def test_replace_batches_in_one_write(spark, folder):
     assert stored(store) == []
 
 
+def test_a_failed_replacement_leaves_rows(spark, folder, monkeypatch):
+    """Whatever step fails, every batch has its former or its new rows, and the next run leaves exactly the new ones."""
+    store = ResultStore(spark, folder).create()
+    old = spark.createDataFrame([("3", "1", "t", 5, "0", "7", ad, f"2023-{m}") for ad in (1, 2) for m in ("01%2", "02")], RESULT)
+    new = old.where("bd = '2023-02'").withColumn("cnt", F.lit(9).cast("bigint"))
+    store.replace_batches(old, [1, 2])
+    for step in ("overwrite_partitions", "_remove"):
+        with monkeypatch.context() as patch:
+            patch.setattr(ResultStore, step, lambda *_: 1 / 0)
+            with pytest.raises(ZeroDivisionError):
+                store.replace_batches(new, [1, 2])
+        assert {r.ad for r in store.read().collect()} == {1, 2}
+    assert store.replace_batches(new, [1, 2]) == {1, 2}
+    assert sorted((r.ad, r.bd, r.cnt) for r in store.read().collect()) == [(1, "2023-02", 9), (2, "2023-02", 9)]
+
+
+def test_clearing_runs_no_job(spark, folder):
+    store = ResultStore(spark, folder).create()
+    store.replace_batches(spark.createDataFrame([("3", "1", "t", 5, "0", "7", ad, None) for ad in range(5)], RESULT), range(5))
+    spark.sparkContext.setJobGroup("clearing", "")
+    store.clear_batches([0, 1, 2, 77])
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("clearing")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert not jobs and sorted(r.ad for r in store.read().collect()) == [3, 4]
+    assert store.filled(range(5)) == {3, 4}
+
+
 def test_rows_of_another_batch_are_refused(spark, folder):
     store = ResultStore(spark, folder).create()
     with pytest.raises(Exception, match="batch that is not replaced"):
