@@ -703,6 +703,26 @@ def load_job(spark, folder) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def column_histograms(spark, folder) -> DataFrame:
+    """Whether each bin of the histograms ends at its share of the rows, within a thousandth of them (and one row)."""
+    name = f"{_database(spark)}.histograms"
+    catalog.create_table_as(order_log(spark, folder), name)
+    bins, columns = 20, ("f02", "f04", "f31")
+    found = catalog.histograms(spark, name, columns, bins)
+    log = spark.table(name)
+    # One row for each value, with the rows up to it; the bins are few.
+    values = log.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("v")) for c in columns])).alias("x"))
+    counted = values.select("x.*").groupBy("column", "v").agg(F.count(F.lit(1)).alias("n"))
+    met = counted.join(F.broadcast(found), "column").groupBy("column", "bin", "upper")
+    upto = met.agg(
+        F.sum(F.when(F.col("v") < F.col("upper"), F.col("n")).otherwise(0)).alias("below"),
+        F.sum(F.when(F.col("v") <= F.col("upper"), F.col("n")).otherwise(0)).alias("upto"),
+        F.sum("n").alias("total"),
+    )
+    share, slack = F.col("total") * (F.col("bin") + 1) / bins, 1 + F.col("total") / 1000
+    return upto.select("column", "bin", ((F.col("below") <= share + slack) & (F.col("upto") >= share - slack)).alias("near"))
+
+
 def table_statistics(spark, folder) -> DataFrame:
     name = f"{_database(spark)}.analyzed"
     catalog.create_table_as(order_log(spark, folder), name)
@@ -804,6 +824,7 @@ QUERIES = {
         reset_tables,
         bucketed_table,
         table_statistics,
+        column_histograms,
         table_roundtrip,
     )
 }

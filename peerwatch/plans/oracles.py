@@ -397,6 +397,9 @@ ORACLES = {
                unnest(['min', 'max', 'num_nulls', 'min', 'max', 'num_nulls', 'min', 'max', 'num_nulls']) AS s,
                unnest([min(f02)::VARCHAR, max(f02)::VARCHAR, '0', min(f04)::VARCHAR, max(f04)::VARCHAR, '0',
                        min(f31)::VARCHAR, max(f31)::VARCHAR, '0']) AS v FROM log) AS x""",
+    "column_histograms": """
+        SELECT c AS "column", b::INTEGER AS bin, true AS near
+        FROM (VALUES ('f02'), ('f04'), ('f31')) AS v(c) CROSS JOIN range(20) AS r(b)""",
     "table_roundtrip": BULK,
 }
 

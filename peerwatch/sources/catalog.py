@@ -6,6 +6,7 @@ Everything here is Spark SQL on datasource tables and needs no Hive support.
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from peerwatch.schema import RESULT, RESULT_PARTITIONS
@@ -144,6 +145,34 @@ def column_statistics(spark: SparkSession, table: str, columns) -> DataFrame:
     return out.where("statistic IN ('min', 'max', 'num_nulls', 'distinct_count')")
 
 
+_HISTOGRAMS = {"spark.sql.statistics.histogram.enabled": "true"}
+
+
+def histograms(spark: SparkSession, table: str, columns, bins: int = 20) -> DataFrame:
+    """Equi-height histograms by ANALYZE: (column, bin, lower, upper), each bin an equal share of the rows.
+
+    Bounds are approximate percentiles.  The optimiser uses the stored
+    histograms for its estimates of ranges and joins.
+    """
+    settings = {**_HISTOGRAMS, "spark.sql.statistics.histogram.numBins": str(bins)}
+    before = {k: spark.conf.get(k) for k in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        spark.sql(f"ANALYZE TABLE {table} COMPUTE STATISTICS FOR COLUMNS {', '.join(f'`{c}`' for c in columns)}")
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    out = None
+    for column in columns:
+        described = spark.sql(f"DESCRIBE EXTENDED {table} `{column}`").where(F.col("info_name").startswith("bin_"))
+        bound = lambda name: F.regexp_extract("info_value", rf"{name}: ([^,]+)", 1).cast("double").alias(name.split("_")[0])
+        number = F.regexp_extract("info_name", r"(\d+)", 1).cast("int").alias("bin")
+        rows = described.select(F.lit(column).alias("column"), number, bound("lower_bound"), bound("upper_bound"))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 def analyze(spark: SparkSession, table: str) -> DataFrame:
     """Compute statistics of all columns and describe the table."""
     spark.sql(f"ANALYZE TABLE {table} COMPUTE STATISTICS FOR ALL COLUMNS")

@@ -247,3 +247,17 @@ def test_swap_by_name_keeps_the_live_table(spark):
     catalog.create_table_as(spark.range(5), staged)
     catalog.swap(spark, staged, live)
     assert spark.table(live).count() == 5 and not spark.catalog.tableExists(f"{live}_replaced")
+
+
+def test_histograms(spark):
+    """Equal shares of the rows, also with a value that holds a third of them; the session's settings come back."""
+    catalog.use_database(spark, "peerwatch_histograms")
+    name = "peerwatch_histograms.h"
+    catalog.create_table_as(spark.range(3000).selectExpr("if(id < 1000, 0, id) AS a", "id AS b"), name)
+    before = spark.conf.get("spark.sql.statistics.histogram.numBins")
+    got = {(r.column, r.bin): (r.lower, r.upper) for r in catalog.histograms(spark, name, ["a", "b"], 6).collect()}
+    assert len(got) == 12 and got["a", 0] == (0.0, 0.0)
+    for i in range(6):
+        assert abs(got["b", i][1] - 500 * (i + 1)) <= 5
+    assert spark.conf.get("spark.sql.statistics.histogram.numBins") == before
+    catalog.reset(spark, "peerwatch_histograms", ["h"])
