@@ -42,3 +42,62 @@ def without_listed(df: DataFrame, exclusion: DataFrame, column: str, *, broadcas
     ids = ids.where(F.col("_excluded").isNotNull()).distinct().withColumn("_number", F.lit(True))
     place = F.coalesce(key, F.xxhash64(*df.columns))
     return df.join(ids, (place == F.col("_excluded")) & (key.isNotNull() == F.col("_number")), "left_anti")
+
+
+# A word of the table below answers for this many ids, four bits each: about
+# two in a hundred other numbers pass.  At most 2^20 words, some 40 MB once broadcast.
+IDS_PER_WORD = 5
+MAX_WORDS = 1 << 20
+
+
+def _place(key: Column, words: int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(words).cast("bigint"))
+
+
+def _bits(key: Column) -> Column:
+    """Four of 64 bits, from another hash than the place."""
+    hashed = F.xxhash64(key, F.lit("bits"))
+    one = F.lit(1).cast("bigint")
+    bits = [F.call_function("shiftleft", one, F.call_function("shiftrightunsigned", hashed, F.lit(8 * i)).bitwiseAND(F.lit(63)).cast("int")) for i in range(4)]
+    return bits[0].bitwiseOR(bits[1]).bitwiseOR(bits[2]).bitwiseOR(bits[3])
+
+
+def listed_words(exclusion: DataFrame, words: int) -> DataFrame:
+    """(place, word): a Bloom filter of the list, at most ``words`` rows of 16 bytes.
+
+    Filters of parts of a list are merged by bit_or per place.
+    """
+    ids = exclusion.select(F.col("id").cast("bigint").alias("id")).where("id is not null")
+    return ids.groupBy(_place(F.col("id"), words).alias("place")).agg(F.bit_or(_bits(F.col("id"))).alias("word"))
+
+
+def split_by_words(df: DataFrame, column: str, filter_rows: DataFrame, words: int) -> tuple[DataFrame, DataFrame]:
+    """(rows that are surely not listed, rows that may be), by the filter of :func:`listed_words`.
+
+    Both parts have the columns of ``df``; each reads ``df`` again, but
+    neither shuffles it.
+    """
+    key = exclusion_key(df, column)
+    # The filter's columns get names that the rows do not have.
+    place, word = (name + "_" * max(map(len, df.columns)) for name in ("place", "word"))
+    table = F.broadcast(filter_rows.select(F.col("place").alias(place), F.col("word").alias(word)))
+    wanted = _bits(key)
+    met = (_place(key, words) == F.col(place)) & (F.col(word).bitwiseAND(wanted) == wanted) & key.isNotNull()
+    return df.join(table, met, "left_anti"), df.join(table, met, "left_semi")
+
+
+def without_listed_split(df: DataFrame, exclusion: DataFrame, column: str, *, words: int | None = None) -> DataFrame:
+    """:func:`without_listed` for a list too long to broadcast that meets few rows.
+
+    The list is turned into a Bloom filter of bounded size, which is
+    broadcast.  Rows that it does not know pass by the join; only the others,
+    listed ones and some two in a hundred more, are shuffled to the list.  The
+    answer is exact for any size of the filter; ``words=None`` takes it from
+    the length of the list, and beyond ``MAX_WORDS`` it only lets more rows
+    into the shuffle.  It pays if reading the rows twice is cheaper than
+    shuffling them, as with a columnar log of which few columns are read.
+    """
+    if words is None:
+        words = max(1, min(MAX_WORDS, -(-exclusion.count() // IDS_PER_WORD)))
+    passed, open_rows = split_by_words(df, column, listed_words(exclusion, words), words)
+    return passed.unionByName(without_listed(open_rows, exclusion, column, broadcast=False))

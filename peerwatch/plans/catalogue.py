@@ -21,7 +21,7 @@ from peerwatch.functions.text import (
 )
 from peerwatch.operators import derived, filters, profile, report, sample
 from peerwatch.operators.detect import HOURLY, count_peers, mass_senders, merged_peers, peer_sketches, sketch_error
-from peerwatch.operators.exclusion import without_listed
+from peerwatch.operators.exclusion import without_listed, without_listed_split
 from peerwatch.plans.jobs import Tables, mass_senders_in_two_steps, run_bulk, run_hours, run_next_day
 from peerwatch.plans.load import BaseTables, run_load
 from peerwatch.schema import BATCH, EXCLUSION, LATEST, RESULT
@@ -30,11 +30,12 @@ from peerwatch.sources import catalog
 from peerwatch.sources.adapters import event_exclusion, event_log, order_exclusion, order_log, table
 from peerwatch.sources.batch_log import BatchLog, last_batch
 from peerwatch.sources.generator import PLANTED_FIRST, PLANTED_NUMBERS, PLANTED_TEXT, LogPlan, generate_log, noise_log, planted_log
-from peerwatch.sources.logs import read_log, read_table, write_log, write_table
+from peerwatch.sources.logs import read_log, read_table, sender_history, write_log, write_table
 from peerwatch.sources.named import NamedResults, NamedTables
 from peerwatch.sources.partials import PeerPartials
 from peerwatch.sources.results import ResultStore
 from peerwatch.sources.snapshots import Snapshot
+from peerwatch.streaming.complete import CompleteHours
 from peerwatch.streaming.hourly import run_stream, stream_log
 
 # The line items ship from 1995 to 2001, the events happen in January 2024.
@@ -252,6 +253,20 @@ def anti_join_text_key_long_list(spark, folder) -> DataFrame:
     return anti_join_text_key(spark, folder, broadcast=False)
 
 
+def anti_join_split(spark, folder) -> DataFrame:
+    """A Bloom filter of the list lets most rows pass by the shuffled join."""
+    rows = without_listed_split(order_log(spark, folder), order_exclusion(spark, folder), "f02")
+    return rows.select("f02", "f04", "f31")
+
+
+def anti_join_text_key_split(spark, folder) -> DataFrame:
+    """The same for numbers kept as text, with a filter so small that many rows are open."""
+    log = order_log(spark, folder)
+    number = F.when(F.col("f04") % 2 == 0, F.col("f02").cast("string")).otherwise(F.concat(F.lit("x"), F.col("f02")))
+    rows = without_listed_split(log.withColumn("f02", number), order_exclusion(spark, folder), "f02", words=2)
+    return rows.select("f02", "f04", "f31")
+
+
 def distinct_pairs(spark, folder) -> DataFrame:
     return sample.sender_names(order_log(spark, folder), (10, 20))
 
@@ -479,6 +494,22 @@ def stream_hours(spark, folder) -> DataFrame:
     return ResultStore(spark, found).read()
 
 
+def stream_all_hours(spark, folder) -> DataFrame:
+    """The hourly batches as a stream that loses nothing: every seventh peer's first half comes after those hours were
+    published, and the newest hour is closed at the end."""
+    path, progress = work_folder(spark), work_folder(spark)
+    log = event_log(spark, folder)
+    middle = (EVENTS[0] + EVENTS[1]) // 2
+    late = (F.col("f31") < middle) & (F.col("f04") % 7 == 0)
+    found = CompleteHours(spark, work_folder(spark)).create()
+    for part in (log.where(F.col("f31") < middle).where(~late), log.where(late | (F.col("f31") >= middle))):
+        write_log(filters.in_window(part, "f31", *EVENTS), path, partition_by=())
+        found.run(stream_log(spark, path), progress)
+        found.publish(event_exclusion(spark, folder), middle, min_peers=4)
+    found.close(event_exclusion(spark, folder), min_peers=4)
+    return found.results.read()
+
+
 def run_metrics(spark, folder) -> DataFrame:
     """Rows read and stored by every batch, with a short list and a long one."""
     out = None
@@ -554,6 +585,13 @@ def partition_roundtrip(spark, folder) -> DataFrame:
     return read_log(spark, path)
 
 
+def sender_history_rows(spark, folder) -> DataFrame:
+    """All rows of a few senders, from files sorted by sender with Bloom filters."""
+    path = work_folder(spark)
+    write_log(order_log(spark, folder), path, partition_by=(), sort_by=("f02",), look_up=("f02",))
+    return sender_history(read_log(spark, path), (3, 8, 10**9), ORDERS).select("f02", "f04", "f31")
+
+
 def file_control(spark, folder) -> DataFrame:
     """Rows written by two tasks, or spread by partition value: into how many files."""
     merged, spread = work_folder(spark), work_folder(spark)
@@ -684,6 +722,29 @@ def bucketed_table(spark, folder) -> DataFrame:
     return spark.table(name).groupBy("f02").agg(F.count(F.lit(1)).alias("rows"))
 
 
+def _co_bucketed(spark, folder, name: str) -> tuple[str, str]:
+    """Names of the order log by sender and of its list by id, bucketed alike."""
+    log, listed = f"{_database(spark)}.{name}_log", f"{_database(spark)}.{name}_list"
+    for table_name, rows, key in ((log, order_log(spark, folder), "f02"), (listed, order_exclusion(spark, folder), "id")):
+        spark.sql(f"DROP TABLE IF EXISTS {table_name}")
+        catalog.write_bucketed(rows, table_name, buckets=8, key=key, sort=key)
+    return log, listed
+
+
+def anti_join_bucketed(spark, folder) -> DataFrame:
+    """Log and list bucketed alike: no row is shuffled."""
+    log, listed = _co_bucketed(spark, folder, "anti")
+    return catalog.without_listed_by_bucket(spark, log, listed).select("f02", "f04", "f31")
+
+
+def latest_bucketed(spark, folder) -> DataFrame:
+    """Latest result per sender, from results bucketed by sender: no row is shuffled."""
+    name = f"{_database(spark)}.bucketed_results"
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    catalog.write_bucketed(daily_batch(spark, folder).unionByName(daily_batch(spark, folder, (EVENTS[0], EVENTS_SPLIT))), name, buckets=8, sort="bd")
+    return derived.latest_per_sender(spark.table(name))
+
+
 def load_job(spark, folder) -> DataFrame:
     """The load job with as many rows as there are line items: what ANALYZE counted, and what is in the tables."""
     rows = table(spark, folder, "lineitem").count()
@@ -768,6 +829,10 @@ QUERIES = {
         anti_join,
         anti_join_long_list,
         anti_join_text_key,
+        anti_join_split,
+        anti_join_text_key_split,
+        anti_join_bucketed,
+        latest_bucketed,
         anti_join_text_key_long_list,
         distinct_pairs,
         exclusion_list,
@@ -798,6 +863,7 @@ QUERIES = {
         restart_day_seen,
         rerun_smaller,
         stream_hours,
+        stream_all_hours,
         run_metrics,
         batch_log,
         watermark,
@@ -810,6 +876,7 @@ QUERIES = {
         hourly_from_hours,
         partition_roundtrip,
         file_control,
+        sender_history_rows,
         planted_recovery,
         create_table_as,
         insert_partitions,

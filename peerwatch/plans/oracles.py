@@ -408,3 +408,8 @@ ORACLES["rerun_smaller_by_name"] = ORACLES["rerun_smaller"]
 ORACLES["exclusion_list_merged"] = ORACLES["exclusion_list"]
 ORACLES["bulk_from_hours"] = ORACLES["bulk_batch"]
 ORACLES["hourly_from_hours"] = ORACLES["hourly_batches"]
+ORACLES["anti_join_split"] = ORACLES["anti_join_bucketed"] = ORACLES["anti_join"]
+ORACLES["anti_join_text_key_split"] = ORACLES["anti_join_text_key"]
+ORACLES["latest_bucketed"] = ORACLES["latest_with_ties"]
+ORACLES["stream_all_hours"] = STREAMED
+ORACLES["sender_history_rows"] = f"SELECT f02, f04, f31 FROM ({ORDER_LOG}) AS l WHERE f02 IN (3, 8, 1000000000)"

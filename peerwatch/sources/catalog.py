@@ -134,6 +134,33 @@ def write_bucketed(
     writer.bucketBy(buckets, key).sortBy(sort).saveAsTable(table)
 
 
+def co_bucketed(spark: SparkSession, *tables: tuple[str, str]) -> list[DataFrame]:
+    """Tables (name, key) that are each bucketed by their key into the same number of buckets.
+
+    Others are an error: their join would give the same rows, but by
+    shuffling the log.
+    """
+    numbers = set()
+    for table, key in tables:
+        described = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE EXTENDED {table}").collect()}
+        if described.get("Bucket Columns") != f"[`{key}`]":
+            raise ValueError(f"{table} is not bucketed by {key}")
+        numbers.add(described["Num Buckets"])
+    if len(numbers) > 1:
+        raise ValueError(f"different numbers of buckets: {sorted(numbers)}")
+    return [spark.table(t) for t, _ in tables]
+
+
+def without_listed_by_bucket(spark: SparkSession, log: str, exclusion: str, key: str = "f02", list_key: str = "id") -> DataFrame:
+    """Anti join of two tables bucketed alike: each task reads one bucket of both, and nothing is shuffled.
+
+    Rows without a number match nothing and stay.  The list may repeat ids.
+    """
+    rows, listed = co_bucketed(spark, (log, key), (exclusion, list_key))
+    # A hint, as the size of a list that has no statistics may be taken for small.
+    return rows.join(listed.select(list_key).hint("merge"), F.col(key) == F.col(list_key), "left_anti")
+
+
 def column_statistics(spark: SparkSession, table: str, columns) -> DataFrame:
     """What ANALYZE found out about columns: (column, statistic, value)."""
     out = None
