@@ -1,8 +1,11 @@
+import math
 import random
+from collections import Counter, defaultdict
 
+import numpy as np
 from pyspark.sql import functions as F
 
-from peerwatch.llm.quality import Scorer, fit, gumbel, kth_largest, resample, selected_documents
+from peerwatch.llm.quality import BUCKETS, REST, TARGET, Scorer, _Words, bands, evidence, features, fit, gumbel, kth_largest, model_of, resample, selected_documents, tilt
 
 GOOD = [f"word{i}" for i in range(300)]
 
@@ -60,3 +63,101 @@ def test_kth_largest(spark):
     for k in (1, 2, 5_000, 10_000, 10_001, 25_000, 30_000):
         value, among = kth_largest(df, "x", k)
         assert value == values[k - 1] and among == k - sum(v > value for v in values)
+
+
+def test_fit_is_a_count_of_all_documents(spark):
+    """The model from counts made text by text: all documents are in the raw model, near copies once in each."""
+    rows, labelled = corpus()
+    rows += [(1000 + i, rows[3][1] + f" own{i}", "g", 1) for i in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, kind string, key int")
+    marks = {(r.doc_id, r.text): r.mark for r in docs.selectExpr("doc_id", "text", "xxhash64(doc_id, coalesce(text, '')) as mark").collect()}
+    seen, grams = _Words(), {}
+    for r in rows:
+        if (r[1] or "").split():
+            grams[r[0], r[1]] = features(r[1], seen)
+    least = {}
+    for d, found in grams.items():
+        for place in enumerate(bands(found)):
+            least[place] = min(least.get(place, marks[d]), marks[d])
+    firsts = [d for d, found in grams.items() if all(least[p] == marks[d] for p in enumerate(bands(found)))]
+    assert len(firsts) < len(grams) - 29
+    kind = {i: TARGET if (q, t) == (1, 0) else f"raw{q}-{t}" for i, q, t, _ in labelled if None not in (i, q, t)}
+    learned, known = defaultdict(list), set()
+    of_label = sorted((d for d in grams if d[0] in kind), key=lambda d: d[0])
+    for d in of_label:
+        places = set(enumerate(bands(grams[d])))
+        if not places & known:
+            learned[kind[d[0]]].append(d)
+        known |= places
+
+    def counted(which):
+        n, x = np.zeros(BUCKETS + 1, np.int64), np.zeros(BUCKETS + 1, np.int64)
+        for d in which:
+            for b in grams[d]:
+                n[b] += 1
+                x[b] ^= marks[d]
+            n[BUCKETS] += 1
+        return n, x
+
+    want = model_of({k: counted(v) for k, v in learned.items()} | {REST: counted(firsts)}, Counter(kind[d[0]] for d in of_label))
+    got = fit(spark, docs, spark.createDataFrame(labelled, "doc_id long, quality int, toxic int, text string"))
+    assert got["odds"] == want["odds"] and np.array_equal(got["shares"], want["shares"])
+    assert np.array_equal(got["tilts"], want["tilts"])
+
+
+def test_every_bucket_weighs_by_its_counts():
+    n = np.arange(1, 40)
+    got = tilt(np.zeros(39, int), 1000, n, 1000)
+    assert (got > 0).all() and (np.diff(got) > 0).all()
+    for t, r in ((3, 9), (9, 3), (40, 40), (0, 1)):
+        g = 2 * sum(k * math.log(k / (100 * (t + r) / 400) / f) if k else 0 for k, f in ((t, 1), (r, 3)))
+        log = math.log((r + 1) / (300 * (t + r) / 400 + 1)) - math.log((t + 1) / (100 * (t + r) / 400 + 1))
+        assert abs(tilt(np.array([t]), 100, np.array([r]), 300)[0] - log * g**3 / (g**3 + 25.0**3)) < 1e-9
+
+
+def test_ngrams_of_the_same_documents_are_one():
+    n, marks = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
+    n[[5, 6, 7, 8]], marks[[5, 6, 7, 8]] = (2, 2, 2, 3), (11, 11, 12, 11)
+    assert evidence(n, marks)[[5, 6, 7, 8, 9]].tolist() == [0.25, 0.25, 0.5, 0.5, 1.0]
+
+
+def test_bands_tell_near_copies():
+    rng, seen = random.Random(4), _Words()
+    words = [f"w{i}" for i in range(2000)]
+    text = [rng.choice(words) for _ in range(400)]
+    near = [w if i % 100 else "other" for i, w in enumerate(text)]
+    far = [rng.choice(words) for _ in range(400)]
+    a, b, c = (set(enumerate(bands(features(" ".join(t), seen)))) for t in (text, near, far))
+    assert a & b and not a & c and len(a) == 4
+
+
+def test_labels_at_work(spark):
+    """Toxic and junk texts go in every language, held-out ones too; good ones stay."""
+    folder = "/root/testdata/sf0.1"
+    docs, labels = (spark.read.parquet(f"{folder}/{n}.parquet") for n in ("documents", "labels"))
+    learn = F.col("doc_id") % 2 == 0
+    got = resample(spark, docs, labels.where(learn)).join(labels, "doc_id").join(docs.select("doc_id", "lang"), "doc_id")
+    kept = defaultdict(lambda: [0, 0])
+    for r in got.collect():
+        what = "good" if (r.quality, r.toxic) == (1, 0) else "toxic" if r.toxic else "junk"
+        for key in ((what, r.doc_id % 2), (what, r.doc_id % 2, r.lang)):
+            kept[key][0] += r.selected
+            kept[key][1] += 1
+    share = {k: n / m for k, (n, m) in kept.items()}
+    print({k: tuple(v) for k, v in sorted(kept.items(), key=str)})
+    assert share["good", 0] > 0.95 and share["good", 1] > 0.95
+    assert share["junk", 0] < 0.05 and share["junk", 1] < 0.05
+    assert share["toxic", 0] < 0.05 and share["toxic", 1] < 0.06
+    assert all(share["toxic", 1, lang] < 0.1 for lang in ("en", "de", "fr"))
+
+
+def test_very_long_and_odd_texts(spark):
+    long = " ".join(f"t{i}" for i in range(100_000))
+    rows = [(1, long, 5, "x"), (2, "!!! ... ((", 5, "x"), (3, "a " * 50_000, 5, "x"), (4, "\ud7ff\u00df 9x", 5, "x"), (4, None, 5, "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, mark int, c0 string")
+    labels = spark.createDataFrame([(1, 1, 0), (3, 0, 0)], "doc_id long, quality int, toxic int")
+    got = resample(spark, docs, labels)
+    assert got.count() == 5 and got.where("log_weight is null and not selected").count() == 1
+    kept = selected_documents(spark, docs, labels)
+    assert kept.columns == docs.columns and kept.count() == got.where("selected").count()
+    assert {(r.mark, r.c0) for r in kept.collect()} == {(5, "x")}
