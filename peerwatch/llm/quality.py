@@ -222,23 +222,34 @@ def tilt(t: np.ndarray, texts: int, r: np.ndarray, raw_texts: int) -> np.ndarray
 
 def evidence(n: np.ndarray, marks: np.ndarray) -> np.ndarray:
     """The weight of each bucket, by its documents: those with the same documents share one, words and beginnings a half."""
-    _, which, many = np.unique(np.stack([n, marks]), axis=1, return_inverse=True, return_counts=True)
-    out = 1.0 / many[which.ravel()]
+    order = np.lexsort((marks, n))
+    new = np.ones(len(order), bool)
+    new[1:] = (np.diff(n[order]) != 0) | (marks[order[1:]] != marks[order[:-1]])
+    starts = np.flatnonzero(new)
+    many = np.diff(starts, append=len(order))
+    out = np.empty(len(order), np.float32)
+    out[order] = np.repeat(1 / many, many)
     out[:SHAPES_AT] /= 2
-    return np.where(n > 0, out, 1.0)
+    out[n == 0] = 1
+    return out
 
 
-def model_of(counts: dict, shares: dict) -> dict:
-    """The model from (counts, marks) of all documents under ``REST`` and of each label, arrays of all buckets and the number of texts."""
-    all_n, marks = counts[REST]
-    t = counts[TARGET][0]
-    weigh = evidence(all_n[:-1], marks[:-1])
+def model_of(counts: dict, marks: np.ndarray, shares: dict) -> dict:
+    """The model from the texts that each bucket is in, of all documents under ``REST`` and of each label; last the number of
+    texts.  ``marks`` are those of all documents.  Buckets are taken in slices, as the driver's memory is bounded."""
+    t, weigh = counts[TARGET], evidence(counts[REST][:-1], marks[:-1])
     raws = sorted(shares.keys() - {TARGET})
     raw = sum(shares[k] for k in raws)
-    counted = {k: counts[k][0] for k in raws} | {REST: np.maximum(all_n - t, 0)}
-    logs = [weigh * tilt(t[:-1], t[-1], n[:-1], max(n[-1], 1)) for n in counted.values()]
+    tilts = np.empty((BUCKETS, len(raws) + 1), np.float32)
+    for low in range(0, BUCKETS, 1 << 16):
+        part = slice(low, min(low + (1 << 16), BUCKETS))
+        for i, kind in enumerate((*raws, REST)):
+            n, texts = counts[kind][part], counts[kind][-1]
+            if kind == REST:
+                n, texts = np.maximum(n - t[part], 0), max(texts - t[-1], 1)
+            tilts[part, i] = weigh[part] * tilt(t[part], t[-1], n, texts)
     each = np.array([*(shares[k] for k in raws), AT_LARGE * raw])
-    return {"tilts": np.stack(logs, axis=1).astype(np.float32), "shares": np.log(each / each.sum()), "odds": float(np.log(shares[TARGET] / raw))}
+    return {"tilts": tilts, "shares": np.log(each / each.sum()), "odds": float(np.log(shares[TARGET] / raw))}
 
 
 def _model(spark: SparkSession, featured: DataFrame, labels: DataFrame, sample: int) -> dict:
@@ -263,15 +274,18 @@ def _model(spark: SparkSession, featured: DataFrame, labels: DataFrame, sample:
     at_large = sure.union(open_rows.join(copies, "mark", "left_anti"))
     parts = labelled.select("kind", "mark", "grams").union(at_large.select(rest, "mark", "grams"))
     counted = written(spark, _counts(parts), "counts")
-    counts = {}
+    counts, marks = {}, np.zeros(BUCKETS + 1, np.int64)
     for kind in (*shares, REST):
-        arrow = counted.where(F.col("kind") == kind).select("bucket", "n", "marks").toArrow()
-        n, marks = np.zeros(BUCKETS + 1, np.int64), np.zeros(BUCKETS + 1, np.int64)
+        columns = ["bucket", "n", *(["marks"] if kind == REST else [])]
+        arrow = counted.where(F.col("kind") == kind).select(*columns).toArrow()
         at = arrow.column("bucket").to_numpy()
-        n[at], marks[at] = arrow.column("n").to_numpy(), arrow.column("marks").to_numpy()
-        counts[kind] = n, marks
+        counts[kind] = np.zeros(BUCKETS + 1, np.int64)
+        counts[kind][at] = arrow.column("n").to_numpy()
+        if kind == REST:
+            marks[at] = arrow.column("marks").to_numpy()
+        del arrow, at
     removed(spark, chosen, copies, counted)
-    return model_of(counts, shares)
+    return model_of(counts, marks, shares)
 
 
 def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, *, sample: int = SAMPLE) -> dict:

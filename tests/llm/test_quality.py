@@ -99,7 +99,8 @@ def test_fit_is_a_count_of_all_documents(spark):
             n[BUCKETS] += 1
         return n, x
 
-    want = model_of({k: counted(v) for k, v in learned.items()} | {REST: counted(firsts)}, Counter(kind[d[0]] for d in of_label))
+    counts = {k: counted(v)[0] for k, v in learned.items()} | {REST: counted(firsts)[0]}
+    want = model_of(counts, counted(firsts)[1], Counter(kind[d[0]] for d in of_label))
     got = fit(spark, docs, spark.createDataFrame(labelled, "doc_id long, quality int, toxic int, text string"))
     assert got["odds"] == want["odds"] and np.array_equal(got["shares"], want["shares"])
     assert np.array_equal(got["tilts"], want["tilts"])
