@@ -100,3 +100,17 @@ def test_jobs_by_name(spark, make_log):
     assert rows_of(tables.results.read(), "ad") == [(2023032301,)] and tables.batch_log.read().count() == 25
     assert rows_of(tables.seen.read(), "f_date", "l_date") == [("2023-03-23-00", "2023-03-23-00")]
     assert tables.read_metrics().where("job = 'hours'").count() == 26
+
+
+def test_tables_of_another_session_are_not_in_the_way(spark):
+    """Another session left, or keeps, a table's folder in the warehouse; this session's catalog does not know it."""
+    from peerwatch.plans import catalogue
+
+    spark.sql("DROP DATABASE IF EXISTS peerwatch_check CASCADE")
+    other = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/peerwatch_check.db/restart_results"
+    spark.range(3).write.mode("overwrite").parquet(other)
+    made = catalogue._named(spark, "restart").create()
+    assert made.results.read().count() == 0
+    made.results.append(result(spark, (1, 5, 10, "a")))
+    assert held(made.results) == [("1", 5, 10, "a")]
+    assert spark.read.parquet(other).count() == 3
