@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from peerwatch.operators.sample import build_exclusion
 from peerwatch.schema import EXCLUSION
+from peerwatch.session import unsorted_partitions
 from peerwatch.sources import catalog
 from peerwatch.sources.generator import PLANTED_FIRST, PLANTED_NUMBERS, LogPlan, generate_log
 
@@ -55,7 +56,9 @@ def run_load(
         catalog.create_table(tables.spark, tables.log, rows.schema, partition_by)
     # A table has its partition columns last.
     columns = tables.read_log().columns
-    rows.select(*columns).write.option("maxRecordsPerFile", file_rows).insertInto(tables.log)
+    # A task makes the rows of few hours; a sort of them would only spill.
+    with unsorted_partitions(tables.spark):
+        rows.select(*columns).write.option("maxRecordsPerFile", file_rows).insertInto(tables.log)
     keep_out = (PLANTED_FIRST, PLANTED_FIRST + PLANTED_NUMBERS)
     pairs = build_exclusion(tables.read_log(), listed, keep_out=keep_out, seed=plan.seed)
     catalog.create_table_as(pairs.select(*EXCLUSION.names), tables.exclusion)

@@ -112,3 +112,51 @@ def test_load_job(spark):
     assert base.read_exclusion().where(F.col("id").between(*KEEP)).isEmpty()
     base.reset()
     assert not spark.catalog.tableExists(base.log)
+
+
+def _sorts(spark, table, rows):
+    """Whether an insert of rows into a table sorts them, as its plan says."""
+    rows.createOrReplaceTempView("to_insert")
+    return "Sort [" in spark.sql(f"EXPLAIN INSERT INTO {table} SELECT * FROM to_insert").first()[0]
+
+
+def test_partitioned_writes_need_no_sort(spark, folder, monkeypatch):
+    """A sort of all rows by hour would spill them; writers of few hours are kept open instead."""
+    from pyspark.sql import DataFrameWriter
+
+    from peerwatch.sources import catalog
+    from peerwatch.sources.logs import read_log, write_log
+
+    catalog.use_database(spark, "sort_tests")
+    plan = LogPlan.for_size(0.002, end=1_679_616_000, days=1, batch_rows=400, seed=3)
+    rows = generate_log(spark, plan)
+    catalog.create_table(spark, "sort_tests.log", rows.schema, ("f31",))
+    columns = spark.table("sort_tests.log").columns
+    assert _sorts(spark, "sort_tests.log", rows.select(*columns))
+    found = []
+
+    def watched(name):
+        kept = getattr(DataFrameWriter, name)
+
+        def write(self, *given, **more):
+            if "f31" in self._df.columns:
+                found.append(_sorts(spark, "sort_tests.log", self._df.select(*columns)))
+            return kept(self, *given, **more)
+
+        monkeypatch.setattr(type(rows.write), name, write)
+
+    watched("insertInto")
+    watched("orc")
+    base = BaseTables(spark, "sort_tests", "load_")
+    run_load(base, plan, listed=5, drop=True)
+    write_log(rows, folder)
+    assert found == [False, False]
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "0"
+    expected = sorted(map(tuple, rows.select("f31", "f01", "f02", "f16").collect()))
+    for read in (base.read_log(), read_log(spark, folder)):
+        assert sorted(map(tuple, read.select("f31", "f01", "f02", "f16").collect())) == expected
+    # More partitions than files kept open: the rest is sorted, nothing is lost.
+    many = f"{folder}-many"
+    write_log(rows.coalesce(1), many)
+    assert read_log(spark, many).select("f31").distinct().count() == 24 > 16
+    assert sorted(map(tuple, read_log(spark, many).select("f31", "f01", "f02", "f16").collect())) == expected
