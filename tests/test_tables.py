@@ -261,3 +261,38 @@ def test_histograms(spark):
         assert abs(got["b", i][1] - 500 * (i + 1)) <= 5
     assert spark.conf.get("spark.sql.statistics.histogram.numBins") == before
     catalog.reset(spark, "peerwatch_histograms", ["h"])
+
+
+def test_escaped_buckets_store_no_row_per_group_with_texts(spark, folder, monkeypatch):
+    """Where nearly every row is a group, groups are told by their sizes first, with the same result."""
+    from peerwatch.operators import detect
+    from peerwatch.plans import catalogue
+
+    days = [f"1998-01-{d:02d}" for d in range(1, 10)]
+    items = [(1, order, days[0]) for order in range(12)] + [(2, order, days[order % 9]) for order in range(18)] + [(None, 5, days[0])]
+    spark.createDataFrame([(s, o, d) for s, o, d in items], "l_suppkey int, l_orderkey int, l_shipdate string").selectExpr(
+        "l_suppkey", "l_orderkey", "cast(l_shipdate as date) l_shipdate"
+    ).write.parquet(f"{folder}/lineitem.parquet")
+    spark.createDataFrame([(1, "Supplier#001", 2000.0), (2, "Supplier#002", 2000.0)], "s_suppkey int, s_name string, s_acctbal double").write.parquet(f"{folder}/supplier.parquet")
+    spark.createDataFrame([(1, "view", 7, "2024-01-02 03:00:00")], "event_id int, event_type string, user_id int, ts string").write.parquet(
+        f"{folder}/events.parquet"
+    )
+    counted, plain = [], detect.count_peers
+
+    def count_peers(rows, keys, **more):
+        counted.append(rows.count())
+        return plain(rows, keys, **more)
+
+    stored, replace = [], ResultStore.replace_batches
+
+    def replace_batches(self, rows, batch_ids):
+        replaced = replace(self, rows, batch_ids)
+        stored.append(rows_of(self.read_batches(batch_ids), "f02", "cnt", "bd"))
+        return replaced
+
+    monkeypatch.setattr(detect, "count_peers", count_peers)
+    monkeypatch.setattr(ResultStore, "replace_batches", replace_batches)
+    assert catalogue.replace_escaped_buckets(spark, folder).count() == 0
+    assert stored == [[("1", 12, "1998/01/01 00:00")], []]
+    # The daily batch counts its one event; of the line items only the rows of the one large group are counted.
+    assert counted[1:] == [12, 0]
