@@ -252,18 +252,29 @@ def model_of(counts: dict, marks: np.ndarray, shares: dict) -> dict:
     return {"tilts": tilts, "shares": np.log(each / each.sum()), "odds": float(np.log(shares[TARGET] / raw))}
 
 
+def first_of_copies(rows: pa.Table) -> pa.Table:
+    """(doc_id, mark, kind) of the rows that share no band with one before them, by id and kind.
+
+    Of copies and near copies one is learned from, or their words would count as typical of their label.
+    """
+    rows = rows.sort_by([("doc_id", "ascending"), ("kind", "ascending")])
+    # By column of arrays: as Python objects the bands of all labelled rows would be the most that the driver holds.
+    names = rows.column("bands").combine_chunks().flatten().to_numpy().reshape(-1, BANDS)
+    first = np.ones(len(names), bool)
+    for band in names.T:
+        new = np.zeros(len(names), bool)
+        new[np.unique(band, return_index=True)[1]] = True
+        first &= new
+    return rows.select(["doc_id", "mark", "kind"]).filter(pa.array(first))
+
+
 def _model(spark: SparkSession, featured: DataFrame, labels: DataFrame, sample: int) -> dict:
     chosen = written(spark, _sample(labels, sample), "sample")
     # One row of each labelled id, however many there are.
     rows = featured.join(F.broadcast(chosen), "doc_id").where(F.size("bands") > 0)
-    rows = rows.groupBy("doc_id", "kind").agg(F.min("mark").alias("mark"), F.min_by("bands", "mark").alias("bands")).collect()
-    # Of copies and near copies one is learned from, or their words would count as typical of their label.
-    shares, known, kept = Counter(r.kind for r in rows), set(), []
-    for r in sorted(rows, key=lambda r: (r.doc_id, r.kind)):
-        places = set(enumerate(r.bands))
-        if known.isdisjoint(places):
-            kept.append((r.doc_id, r.mark, r.kind))
-        known |= places
+    rows = rows.groupBy("doc_id", "kind").agg(F.min("mark").alias("mark"), F.min_by("bands", "mark").alias("bands")).toArrow()
+    shares, kept = Counter(rows.column("kind").to_pylist()), first_of_copies(rows)
+    del rows
     if TARGET not in shares or len(shares) < 2:
         return {}
     few = F.broadcast(spark.createDataFrame(kept, "doc_id long, mark long, kind string"))

@@ -162,3 +162,36 @@ def test_very_long_and_odd_texts(spark):
     kept = selected_documents(spark, docs, labels)
     assert kept.columns == docs.columns and kept.count() == got.where("selected").count()
     assert {(r.mark, r.c0) for r in kept.collect()} == {(5, "x")}
+
+
+def test_first_of_copies_by_arrays():
+    """The rows kept are those that share no band with a former one, kept or not, and no Python object is made per band."""
+    import random
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from peerwatch.llm.quality import BANDS, first_of_copies
+
+    def table(n, values, ids):
+        draw = random.Random(5)
+        rows = [(draw.randrange(ids), draw.randrange(1 << 40), kind, [draw.randrange(values) for _ in range(BANDS)]) for kind in ("raw0-0", "good") for _ in range(n)]
+        rows = list({(r[0], r[2]): r for r in rows}.values())
+        return rows, pa.table([pa.array(c) for c in zip(*rows)], ["doc_id", "mark", "kind", "bands"])
+
+    for values in (1, 300, 1 << 40):
+        rows, arrow = table(200, values, 150)
+        known, kept = set(), []
+        for doc_id, mark, kind, bands in sorted(rows, key=lambda r: (r[0], r[2])):
+            places = set(enumerate(bands))
+            if known.isdisjoint(places):
+                kept.append((doc_id, mark, kind))
+            known |= places
+        assert [tuple(r.values()) for r in first_of_copies(arrow).to_pylist()] == kept
+    assert first_of_copies(arrow.slice(0, 0)).num_rows == 0
+    _, arrow = table(20_000, 1 << 40, 1 << 40)
+    tracemalloc.start()
+    first_of_copies(arrow)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 40_000 * BANDS * 32
