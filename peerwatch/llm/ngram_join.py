@@ -4,8 +4,8 @@ A document's set is its distinct word n-grams.  Two sets link when their Jaccard
 
 Candidates: sizes are cut into bands, each as wide as the threshold, so linked sets lie in one band or in neighbouring ones.  For a
 band, the symmetric difference of linked sets is at most ``d``.  Every n-gram is hashed to one of ``m > d`` parts and
-one of the bits of that part, and the bits are XORed: a sketch whose Hamming distance is at most the symmetric
-difference.  So at least ``m - d`` parts of linked sets hold the same n-grams (pigeonhole), and sets that share a part meet.  A part
+a pattern of the 64 bits of that part, and the patterns are XORed: at most as many parts differ as the symmetric
+difference has n-grams.  (One bit for each n-gram would leave 2016 values to a part of two, which many sets share by chance.)  So at least ``m - d`` parts of linked sets hold the same n-grams (pigeonhole), and sets that share a part meet.  A part
 with fewer than two n-grams says little and is left out, unless the set has so many of them that they could be all
 that is equal; then they are used too.  A set is sketched for its own band and for the next larger one.
 
@@ -43,7 +43,6 @@ from pyspark.sql.window import Window
 from peerwatch.llm.common import classes, in_bit_table, removed, table, text_of, written
 
 SEEN_WORDS = 500_000
-PART_BITS = 64
 #: Words of 64 bits of the short sketch that pairs are first compared by.
 SHORT = 8
 #: n-grams that a part must have to be used by itself.
@@ -119,7 +118,7 @@ class Bands:
 
 
 def sketch_keys(hashed: np.ndarray, bands: Bands) -> tuple[np.ndarray, np.ndarray]:
-    """Keys by which the set meets others, hashes of (band, part, parity bits of the part), and for each twice the number of keys of its band that a
+    """Keys by which the set meets others, hashes of (band, part, XORed patterns of the part), and for each twice the number of keys of its band that a
     linked set has as well, plus one in the larger band."""
     out, needs = [], []
     own = bands.of(len(hashed))
@@ -128,7 +127,7 @@ def sketch_keys(hashed: np.ndarray, bands: Bands) -> tuple[np.ndarray, np.ndarra
         place = _mixed(hashed, band + 1)
         part = ((place >> np.uint64(32)) * np.uint64(m) >> np.uint64(32)).astype(np.int64)
         bits = np.zeros(m, np.uint64)
-        np.bitwise_xor.at(bits, part, np.uint64(1) << (place % np.uint64(PART_BITS)))
+        np.bitwise_xor.at(bits, part, _mixed(place))
         filled = np.bincount(part, minlength=m)
         use = filled >= FULL_PART
         if m - use.sum() >= m - d:

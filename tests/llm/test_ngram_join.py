@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 
 from peerwatch.llm.common import classes
@@ -77,6 +78,14 @@ def test_linked_sets_share_a_key(percent):
     assert linked > 50
 
 
+def test_unrelated_sets_share_few_keys():
+    """Parts of two or three n-grams say as much as these: one bit for each would leave them 2016 values, or some 40,000."""
+    sets, bands = np.random.default_rng(3).integers(0, 1 << 63, (2000, 40), np.uint64), Bands(85)
+    keys = np.concatenate([np.unique(sketch_keys(s, bands)[0]) for s in sets])
+    # But for the empty parts of sets that need them all.
+    assert len(keys) > 10_000 and len(keys) - len(np.unique(keys)) < len(keys) / 200
+
+
 def test_texts_with_common_passages(spark):
     """Half of a text is a passage of many: no links, but for the near copies among them."""
     rng = random.Random(8)
