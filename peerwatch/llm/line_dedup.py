@@ -6,7 +6,7 @@ removed if an earlier line (smaller doc_id, then smaller line number) has a Jacc
 Lines with equal sets are found by a 128-bit name made of their sorted words.  The first line of each set goes into the join: its words are
 ordered by rarity (counts of all words of the corpus, in a table of fixed size: quarters of the binary logarithm, ties by hash), and only the
 prefix that a similar line must touch is joined.  A pair that meets at a word has to pass the length filter, the positional filter (what can
-still be common after this word) and a parity sketch (64 bits, of lines of more than 64 words 256, whose Hamming distance is at most the symmetric difference); what is left is
+still be common after this word) and a parity sketch (64 bits, of lines of more than 64 words 128, whose Hamming distance is at most the symmetric difference); what is left is
 verified on the words themselves.
 
 Scale: a prefix is about a fifth of a line, and its rows are shuffled once, by word.  There each line is compared with the lines before it at its
@@ -36,7 +36,7 @@ PERCENT = 80
 #: Buckets of the counts of words, a power of two.
 BUCKETS = 1 << 20
 #: Words of 64 bits of a sketch; lines of up to ``SHORT`` words use the first alone.
-WIDE, SHORT = 4, 64
+WIDE, SHORT = 2, 64
 SKETCH = tuple(f"q{k}" for k in range(WIDE))
 #: The class of words that occur once in all.
 ONCE = 4
@@ -55,13 +55,13 @@ def _plain(text: Column) -> Column:
 
 
 def _rarity(lines: DataFrame) -> Column:
-    """An array, of fixed size, with a class for every hash bucket: four times the binary logarithm of how often its words occur, and one."""
+    """Bytes, a fixed number, with a class for every hash bucket: four times the binary logarithm of how often its words occur, and one."""
     words = lines.select(F.explode(F.split("line", " ", -1)).alias("w")).where("w != ''")
     counts = words.groupBy(_bucket(F.xxhash64("w")).alias("b")).agg(F.count("*").alias("n")).toArrow()
-    classes = np.zeros(BUCKETS, np.int64)
+    classes = np.zeros(BUCKETS, np.uint8)
     classes[counts["b"].to_numpy()] = np.minimum(126, 4 * np.log2(counts["n"].to_numpy() + 1))
-    # One literal, folded by the optimizer.
-    return F.split(F.lit(",".join(map(str, classes.tolist()))), ",").cast("array<int>")
+    # A megabyte in the plan; an array would be a million objects on the driver.
+    return F.lit(classes.tobytes())
 
 
 def _bucket(h: Column) -> Column:
@@ -101,22 +101,22 @@ def _lines(placed: DataFrame, bits: int) -> DataFrame:
     return lines.where(F.length(F.trim("line")) > 0).select((F.shiftleft("p", bits) + F.col("line_no")).alias("at"), "line")
 
 
-def _sketch(hashes: str) -> list[Column]:
-    """Parity bits of the hashes of a line: a long line's in ``WIDE`` words, a short one's folded into the first."""
+def _sketches(hashes: str) -> list[Column]:
+    """(whole, even): parity bits of all hashes, and for a long line of those that go into the first word."""
     zero = F.lit(0).cast("long")
     bit = lambda h: F.call_function("shiftleft", F.lit(1).cast("long"), h.bitwiseAND(F.lit(63).cast("long")).cast("int"))
-    part = lambda h, k: F.shiftright(h, 6).bitwiseAND(F.lit(WIDE - 1).cast("long")) == k
     whole = F.aggregate(hashes, zero, lambda acc, h: acc.bitwiseXOR(bit(h)))
-    only = lambda k: F.aggregate(hashes, zero, lambda acc, h: F.when(part(h, k), acc.bitwiseXOR(bit(h))).otherwise(acc))
-    long = F.size(hashes) > SHORT
-    return [F.when(long, only(0)).otherwise(whole).alias(SKETCH[0]), *(F.when(long, only(k)).otherwise(zero).alias(SKETCH[k]) for k in range(1, WIDE))]
+    first = F.filter(hashes, lambda h: h.bitwiseAND(F.lit(64).cast("long")) == 0)
+    even = F.when(F.size(hashes) > SHORT, F.aggregate(first, zero, lambda acc, h: acc.bitwiseXOR(bit(h))))
+    return [whole.alias("whole"), even.alias("even")]
 
 
 def _sets(lines: DataFrame, percent: int) -> DataFrame:
     """(at, n, s1, s2, sketch, prefix) of every line: size and name of its set, words of its parity sketch, and the words it must share one of."""
     rarity = _rarity(lines)
+    of_bucket = lambda b: F.ascii(F.substring(rarity, b + 1, F.lit(1)).cast("string")).cast("long")
     # 7 bits of rarity, then 56 bits of the hash.
-    placed = lambda h: F.shiftleft(F.element_at(rarity, _bucket(h) + 1).cast("long"), 56).bitwiseOR(F.shiftrightunsigned(h, 8))
+    ranked = lambda h: F.shiftleft(of_bucket(_bucket(h)), 56).bitwiseOR(F.shiftrightunsigned(h, 8))
     hashed = F.transform(_words(F.col("line")), lambda w: F.xxhash64(w))
     sets = lines.select("at", F.sort_array(F.array_distinct(hashed)).alias("h"))
     sets = sets.select(
@@ -124,10 +124,12 @@ def _sets(lines: DataFrame, percent: int) -> DataFrame:
         F.size("h").alias("n"),
         F.xxhash64("h").alias("s1"),
         F.xxhash64("h", F.lit(1)).alias("s2"),
-        *_sketch("h"),
-        F.sort_array(F.transform("h", placed)).alias("w"),
+        *_sketches("h"),
+        F.sort_array(F.transform("h", ranked)).alias("w"),
     )
-    return sets.select("at", "n", "s1", "s2", *SKETCH, F.expr(f"slice(w, 1, n - {_least_common('n', percent)} + 1)").alias("prefix"))
+    first, second = F.coalesce("even", "whole"), F.coalesce(F.col("whole").bitwiseXOR(F.col("even")), F.lit(0).cast("long"))
+    prefix = F.expr(f"slice(w, 1, n - {_least_common('n', percent)} + 1)")
+    return sets.select("at", "n", "s1", "s2", first.alias(SKETCH[0]), second.alias(SKETCH[1]), prefix.alias("prefix"))
 
 
 def near_lines(spark: SparkSession, docs: DataFrame, *, percent: int = PERCENT, least: int = LEAST_WORDS) -> DataFrame:

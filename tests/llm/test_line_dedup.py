@@ -54,6 +54,16 @@ def test_near_lines_against_brute_force(spark, monkeypatch):
     check(spark, rows)
 
 
+def test_the_rarity_table_is_small_in_the_plan(spark):
+    """A megabyte of bytes: as text or an array it would be millions of characters or objects on the driver, in each plan."""
+    docs = spark.createDataFrame([(1, "a b\n\na  b c"), (2, None)], "doc_id long, text string")
+    plan = spark.range(1).select(line_dedup._rarity(line_dedup._lines(*line_dedup._placed(spark, docs))).alias("r"))
+    assert plan.schema["r"].dataType.typeName() == "binary"
+    counted = [c for c in plan.first().r if c]
+    # Two words that occur twice, one that does once, blanks none.
+    assert sorted(counted) == [4, 6, 6] and len(plan.first().r) == line_dedup.BUCKETS
+
+
 def test_odd_rows(spark):
     long = " ".join(f"a{i}" for i in range(20_000))
     rows = [(1, None, ""), (2, "", ""), (3, "\n\n", ""), (4, "a b c d e\r\na b c d e", ""), (5, "e d c b a", ""), (9, long, ""), (12, long + " more", ""),
