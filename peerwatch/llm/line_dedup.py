@@ -9,10 +9,11 @@ prefix that a similar line must touch is joined.  A pair that meets at a word ha
 still be common after this word) and a parity sketch (64 bits, of lines of more than 64 words 128, whose Hamming distance is at most the symmetric difference); what is left is
 verified on the words themselves.
 
-Scale: a prefix is about a fifth of a line, and its rows are shuffled once, by word.  There each line is compared with the lines before it at its
-word, if those that meet there are at most ``NEAR``; lines at a more frequent word are first compared with the earliest one alone, which removes the many variants
-of one line without their pairs, and only lines that are left are compared with all others.  Of the lines that a line may be similar to
-the earliest is verified first, and the others only if that fails.  Equal lines, however many, are one line in the join.  Documents without a
+Scale: a prefix is about a fifth of a line, and its rows are shuffled once, by word.  There a line is compared with those of no larger sets that
+have the word in the first half of their prefixes, at a word that is not rare only with those in its band of sizes, if at most ``NEAR`` stand in
+it; in a fuller band lines are first compared with the earliest one alone, which removes the many variants of one line without their pairs, and
+only lines that are left are compared with all others.  Of the lines that a line may be similar to the earliest is verified first, and the
+others only if that fails.  Equal lines, however many, are one line in the join.  Documents without a
 removed line are not shuffled again (a bit table of fixed size tells them).  Every step's table goes when the next ones are written, and
 the shuffle files of a step with it.
 
@@ -24,12 +25,14 @@ touched.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from peerwatch.llm.common import in_bit_table, removed, table, text_of, written
+from peerwatch.llm.common import constant, in_bit_table, removed, table, text_of, written
 
 LEAST_WORDS = 1
 PERCENT = 80
@@ -40,8 +43,8 @@ WIDE, SHORT = 2, 64
 SKETCH = tuple(f"q{k}" for k in range(WIDE))
 #: The class of words that occur once in all.
 ONCE = 4
-#: Lines that may meet at a word to be compared with each other at once.
-NEAR = 512
+#: Occurrences of a word up to which all lines at it are compared with each other, and lines that may meet in a band of sizes at another.
+FEW, NEAR = 64, 512
 NONE = (1 << 63) - 1
 
 
@@ -54,14 +57,18 @@ def _plain(text: Column) -> Column:
     return F.when(F.rlike(text, F.lit(r"[\t\x0B-\r]")), F.translate(text, "\t\x0b\x0c\r", "    ")).otherwise(text)
 
 
-def _rarity(lines: DataFrame) -> Column:
-    """Bytes, a fixed number, with a class for every hash bucket: four times the binary logarithm of how often its words occur, and one."""
+def _classes(lines: DataFrame) -> np.ndarray:
+    """A class for every hash bucket: four times the binary logarithm of how often its words occur, and one."""
     words = lines.select(F.explode(F.split("line", " ", -1)).alias("w")).where("w != ''")
     counts = words.groupBy(_bucket(F.xxhash64("w")).alias("b")).agg(F.count("*").alias("n")).toArrow()
     classes = np.zeros(BUCKETS, np.uint8)
     classes[counts["b"].to_numpy()] = np.minimum(126, 4 * np.log2(counts["n"].to_numpy() + 1))
-    # A megabyte in the plan; an array would be a million objects on the driver.
-    return F.lit(classes.tobytes())
+    return classes
+
+
+def _rarity(lines: DataFrame) -> Column:
+    """The classes of all buckets as bytes, a fixed number."""
+    return F.lit(_classes(lines).tobytes())
 
 
 def _bucket(h: Column) -> Column:
@@ -75,9 +82,9 @@ def _least_common(n: str | int, percent: int) -> str:
 def _placed(spark: SparkSession, docs: DataFrame) -> tuple[DataFrame, int]:
     """Rows (d, h, p, t), one for each pair of d and h, and a number of bits: a line's place in the order is ``p`` shifted by them, plus its number."""
     keyed = with_keys(docs).select("d", "h", _plain(F.col("t")).alias("t"))
-    lines = F.octet_length("t") - F.octet_length(F.replace("t", F.lit("\n")))
-    ids = keyed.groupBy("d").agg(F.max(lines).alias("lines"), F.count("*").alias("n"))
-    low, high, longest, most = ids.agg(F.min("d"), F.max("d"), F.max("lines"), F.max("n")).first()
+    # No text has more line ends than bytes.
+    ids = keyed.groupBy("d").agg(F.max(F.octet_length("t")).alias("bytes"), F.count("*").alias("n"))
+    low, high, longest, most = ids.agg(F.min("d"), F.max("d"), F.max("bytes"), F.max("n")).first()
     bits = max(1, (longest or 0).bit_length())
     if most is None or most == 1 and (high - low).bit_length() + bits < 63:
         return keyed.withColumn("p", F.col("d") - F.lit(low or 0)), bits
@@ -113,10 +120,9 @@ def _sketches(hashes: str) -> list[Column]:
 
 def _sets(lines: DataFrame, percent: int) -> DataFrame:
     """(at, n, s1, s2, sketch, prefix) of every line: size and name of its set, words of its parity sketch, and the words it must share one of."""
-    rarity = _rarity(lines)
-    of_bucket = lambda b: F.ascii(F.substring(rarity, b + 1, F.lit(1)).cast("string")).cast("long")
+    rarity = constant(lines.sparkSession, _classes(lines).astype(np.int8))
     # 7 bits of rarity, then 56 bits of the hash.
-    ranked = lambda h: F.shiftleft(of_bucket(_bucket(h)), 56).bitwiseOR(F.shiftrightunsigned(h, 8))
+    ranked = lambda h: F.shiftleft(F.get("rarity", _bucket(h)).cast("long"), 56).bitwiseOR(F.shiftrightunsigned(h, 8))
     hashed = F.transform(_words(F.col("line")), lambda w: F.xxhash64(w))
     sets = lines.select("at", F.sort_array(F.array_distinct(hashed)).alias("h"))
     sets = sets.select(
@@ -125,8 +131,11 @@ def _sets(lines: DataFrame, percent: int) -> DataFrame:
         F.xxhash64("h").alias("s1"),
         F.xxhash64("h", F.lit(1)).alias("s2"),
         *_sketches("h"),
-        F.sort_array(F.transform("h", ranked)).alias("w"),
+        "h",
+        rarity.alias("rarity"),
     )
+    # A step of its own: it takes each column once and is made one with the last, so that no row holds the table.
+    sets = sets.select(*sets.columns[:-2], F.sort_array(F.transform("h", ranked)).alias("w"))
     first, second = F.coalesce("even", "whole"), F.coalesce(F.col("whole").bitwiseXOR(F.col("even")), F.lit(0).cast("long"))
     prefix = F.expr(f"slice(w, 1, n - {_least_common('n', percent)} + 1)")
     return sets.select("at", "n", "s1", "s2", first.alias(SKETCH[0]), second.alias(SKETCH[1]), prefix.alias("prefix"))
@@ -141,29 +150,20 @@ def near_lines(spark: SparkSession, docs: DataFrame, *, percent: int = PERCENT,
     firsts = sets.groupBy("s1", "s2").agg(F.min("at").alias("first"), F.count("*").alias("many")).where("many > 1")
     again = sets.select("s1", "s2", "at").join(firsts, ["s1", "s2"]).where("at > first").select("at")
     again = written(spark, again, "again")
-    one = sets.groupBy("s1", "s2").agg(F.min(F.struct("at", "n", *SKETCH, "prefix")).alias("f"))
-    rows = one.select("f.*").select(F.posexplode("prefix").alias("j", "w"), "at", "n", *SKETCH)
+    one = sets.join(again, "at", "left_anti")
+    rows = one.select(F.posexplode("prefix").alias("j", "w"), "at", "n", *SKETCH)
     # At a word that occurs once nothing is met.
-    rows = rows.where(F.shiftright("w", 56) != ONCE)
-    word = Window.partitionBy("w").orderBy("at")
-    whole = word.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    met = rows.withColumns({"place": F.row_number().over(word), "many": F.count("*").over(whole)}).where("many > 1")
-    # The first lines at a word, a bounded number.
-    met = met.withColumn("first", F.collect_list(F.when(F.col("place") <= NEAR, F.struct("at", "n", "j", *SKETCH))).over(whole))
-    frequent = F.col("many") > NEAR
-    met = met.withColumn("by", F.explode(F.when(frequent, F.slice("first", 1, 1)).otherwise(F.col("first"))))
-    near = F.expr(_can_match("", "by.", percent))
-    met = met.where("at > by.at").withColumn("near", near).where(F.col("near") | frequent)
-    only = lambda c: F.when(frequent, F.col(c)).alias(c)
-    met = written(spark, met.select("at", F.col("by.at").alias("by"), "near", frequent.alias("frequent"), *map(only, ("w", "n", "j", *SKETCH))), "met")
+    met = written(spark, _met(rows.where(F.shiftright("w", 56) != ONCE), percent), "met")
     removed(spark, every)
     # The earliest line that a line may be similar to, then the others.
     pairs = met.where("near").select("at", "by")
     found = _verified(spark, placed, bits, pairs.groupBy("at").agg(F.min("by").alias("by")), percent)
-    left = met.where("frequent").join(found, "at", "left_anti").select("w", "at", "n", "j", *SKETCH)
-    others = met.where("frequent").select("w", *(F.col(c).alias(f"y_{c}") for c in ("at", "n", "j", *SKETCH)))
-    among = left.join(others, "w").where("y_at < at").where(_can_match("", "y_", percent))
-    rest = pairs.join(found, "at", "left_anti").union(among.select("at", F.col("y_at").alias("by"))).distinct()
+    many = met.where("many").select("x.*")
+    left = many.join(found, "at", "left_anti")
+    others = many.select("w", "band", *(F.col(c).alias(f"y_{c}") for c in ("at", "n", "j", "i", *SKETCH)))
+    among = left.join(others, ["w", "band"]).where("y_at < at and (i or y_i)").where(_can_match("", "y_", percent))
+    among = among.select("at", F.col("y_at").alias("by"))
+    rest = pairs.join(found, "at", "left_anti").union(among).distinct()
     more = _verified(spark, placed, bits, rest, percent)
     gone = again.union(found).union(more).select((F.expr(f"at >> {bits}")).alias("p"), F.expr(f"cast(at & {(1 << bits) - 1} as int)").alias("line_no"))
     out = written(spark, gone.join(placed.select("d", "h", "p"), "p").select("d", "h", "line_no"), "gone_lines")
@@ -171,6 +171,42 @@ def near_lines(spark: SparkSession, docs: DataFrame, *, percent: int = PERCENT,
     return out
 
 
+def _met(rows: DataFrame, percent: int) -> DataFrame:
+    """(at, by, near, many, x) of lines that meet at a word: ``by`` is the earlier one, ``near`` if they pass the filters.  Where very many
+    meet, ``many``, x has what is needed to compare a line with the others."""
+    met = _looks(rows, percent).withColumn("y", F.explode("ys")).where("at != y.at")
+    met = met.withColumn("near", F.expr(_can_match("", "y.", percent))).where("near or many")
+    own = F.when(F.col("many"), F.struct("w", "band", "at", "n", "j", "i", *SKETCH))
+    return met.select(F.greatest("at", "y.at").alias("at"), F.least("at", "y.at").alias("by"), "near", "many", own.alias("x"))
+
+
+def _looks(rows: DataFrame, percent: int) -> DataFrame:
+    """Lines at their words with ``ys``, the lines there that they are compared with.
+
+    The smaller set of a similar pair (of equal ones the earlier line) has their rarest common word in a prefix of about half the length: only
+    lines that have it there, ``i``, are looked at.  At a word that may occur more than ``FEW`` times lines stand in bands of their sizes, and look
+    into those bands that a set not larger and similar can be in.  Where more than ``NEAR`` stand (many) they look at the earliest one only.
+    """
+    width = math.log(max(100 / percent, 1.05))
+    band = lambda n: f"cast(floor(ln({n}) / {width}D + 1e-9D) as int)"
+    inner = f"j <= n - cast(ceil({2 * percent} * n / {100.0 + percent}D - 1e-9D) as int)"
+    largest = f"least(n, cast(floor((n - j) * {(100.0 + percent) / percent}D - n + 1e-9D) as int))"
+    bands = f"sequence({band(_least_common('n', percent))}, {band(largest)})"
+    rare = F.shiftright("w", 56) <= int(4 * math.log2(FEW + 1))
+    at_word = rows.repartition("w").withColumn("band", F.explode(F.when(rare, F.array(F.lit(-1))).otherwise(F.expr(bands))))
+    at_word = at_word.withColumn("i", F.expr(f"{inner} and (band = -1 or band = {band('n')})"))
+    order = Window.partitionBy("w", "band").orderBy("n", "at")
+    whole = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    place = {"place": F.count_if("i").over(order.rowsBetween(Window.unboundedPreceding, 0)), "stand": F.count_if("i").over(whole)}
+    line = F.struct("at", "n", "j", *SKETCH)
+    first = F.collect_list(F.when(F.col("i") & (F.col("place") <= NEAR), line)).over(whole)
+    at_word = at_word.withColumns(place).withColumns({"first": first, "earliest": F.min(F.when(F.col("i"), line)).over(whole)})
+    many = F.col("stand") > NEAR
+    # Those that stand before a line in the order of sizes.
+    before = F.expr("slice(first, 1, cast(place as int) - if(i, 1, 0))")
+    return at_word.select(*rows.columns, "band", "i", many.alias("many"), F.when(many, F.array("earliest")).otherwise(before).alias("ys"))
+
+
 def _can_match(x: str, y: str, percent: int) -> str:
     """Length, positional and sketch filter for two lines (their columns begin with x and y) that meet at places j of their orders."""
     common = f"ceil({percent} * ({x}n + {y}n) / {100.0 + percent}D - 1e-9D)"

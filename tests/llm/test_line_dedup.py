@@ -1,5 +1,7 @@
 import random
 
+from pyspark.sql import functions as F
+
 from peerwatch.llm import line_dedup
 from peerwatch.llm.line_dedup import clean_documents
 
@@ -64,6 +66,43 @@ def test_the_rarity_table_is_small_in_the_plan(spark):
     assert sorted(counted) == [4, 6, 6] and len(plan.first().r) == line_dedup.BUCKETS
 
 
+def test_bands_of_sizes_against_brute_force(spark, monkeypatch):
+    """Every word has bands, and all sets of one size and the next ones are there, similar or just not."""
+    rng = random.Random(3)
+    rows = []
+    for d in range(60):
+        words = [f"v{k}" for k in range(rng.randrange(1, 30))]
+        for _ in range(rng.randrange(5)):
+            words[rng.randrange(len(words))] = f"w{rng.randrange(9)}"
+        rows.append((rng.randrange(1000), "\n".join((" ".join(words), " ".join(words[: 1 + len(words) * 4 // 5]))), "x"))
+    rows = list({r[0]: r for r in rows}.values())
+    monkeypatch.setattr(line_dedup, "FEW", 1)
+    check(spark, rows)
+    check(spark, rows, percent=60)
+    check(spark, rows, percent=100)
+    monkeypatch.setattr(line_dedup, "NEAR", 2)
+    check(spark, rows)
+
+
+def test_few_of_the_lines_at_a_frequent_word_are_compared(spark):
+    """400 lines at one word made 79,800 pairs."""
+    frequent = 40 << 56
+    early = [(frequent, d, 10 + d, 0, 0, 0) for d in range(400)]
+    late = [(frequent + 1, d, 100, 20, 0, 0) for d in range(400)]
+    rows = spark.createDataFrame(early + late, "w long, at long, n int, j int, q0 long, q1 long")
+    looks = line_dedup._looks(rows, 80)
+    pairs = {r.w: r.pairs for r in looks.groupBy("w").agg(F.sum(F.size("ys")).alias("pairs")).collect()}
+    # No line is compared with those of sizes out of reach, and none that has the word late with another such.
+    assert 400 < pairs[frequent] < 30_000 and pairs[frequent + 1] == 0
+
+
+def test_the_tables_of_every_row_are_not_in_the_plans(spark):
+    docs = spark.createDataFrame([(d, f"a b c {d}\na b") for d in range(3)], "doc_id long, text string")
+    placed, bits = line_dedup._placed(spark, docs)
+    for df in (line_dedup._sets(line_dedup._lines(placed, bits), 80), clean_documents(spark, docs)):
+        assert len(df._jdf.queryExecution().toString()) < 200_000
+
+
 def test_odd_rows(spark):
     long = " ".join(f"a{i}" for i in range(20_000))
     rows = [(1, None, ""), (2, "", ""), (3, "\n\n", ""), (4, "a b c d e\r\na b c d e", ""), (5, "e d c b a", ""), (9, long, ""), (12, long + " more", ""),
